@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a size check, plain join beyond it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it provably has at most this many rows. The
+# check is an early-exit ``limit(n + 1).count()``, so it never scans more than
+# n + 1 rows of the candidate side. Beyond the bound the join is left to the
+# planner (sort-merge / shuffle-hash, AQE may still demote it at run time).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
