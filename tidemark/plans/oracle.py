@@ -330,3 +330,117 @@ ORACLE["refill_gap_carry"] = with_(
 ORACLE["refill_master"] = with_(
     *two_stage_refill("monthly_summary", "master", Q.MONTHLY_SPLIT), roles=("portfolio", "monthly_summary")
 ) + "\n" + rounded(perf_cols("master_portfolio"), PERF_COLS, "allout")
+
+# ----------------------------------------------------------------- dedup / merge / update / append
+SUMMARY_COLS = ["id", "portfolio", "exchange", "total_usd_value", "transfer_adjustment", "current_time", "tw_time"]
+DEDUP_A_WIN = f"""SELECT id FROM account_summary QUALIFY row_number() OVER (
+  PARTITION BY portfolio, {CT} ORDER BY {CT} DESC, total_usd_value DESC, id ASC) = 1"""
+DEDUP_B_SCOPE = f"""SELECT * FROM account_summary WHERE exchange IN ('okx', 'bybit', 'bitmex')
+  AND {CT} >= {ts(Q.RANGE_START)} AND {CT} <= TIMESTAMP '1998-12-31 23:59:59'"""
+DEDUP_B_WIN = f"SELECT id FROM b_scope QUALIFY row_number() OVER (PARTITION BY portfolio ORDER BY {CT} DESC, id DESC) = 1"
+
+ORACLE["dedup_keep"] = with_(("a_win", DEDUP_A_WIN), roles=("account_summary",)) + "\n" + rounded(
+    SUMMARY_COLS, AMT, "account_summary WHERE id IN (SELECT id FROM a_win)"
+)
+ORACLE["dedup_removed"] = with_(("b_scope", DEDUP_B_SCOPE), ("b_win", DEDUP_B_WIN), roles=("account_summary",)) + "\n" + rounded(
+    SUMMARY_COLS, AMT, "b_scope WHERE id NOT IN (SELECT id FROM b_win)"
+)
+ORACLE["dedup_summary"] = with_(("b_scope", DEDUP_B_SCOPE), roles=("account_summary",)) + f"""
+SELECT CAST(g AS BIGINT) AS matched_groups, CAST(n - g AS BIGINT) AS deleted_ids, variant FROM (
+  SELECT (SELECT count(*) FROM (SELECT DISTINCT portfolio, {CT} FROM account_summary)) AS g,
+         (SELECT count(*) FROM account_summary) AS n, 'A' AS variant
+  UNION ALL
+  SELECT (SELECT count(*) FROM (SELECT DISTINCT portfolio FROM b_scope)), (SELECT count(*) FROM b_scope), 'B')"""
+
+MERGE_PARTS = (
+    ("a_win", DEDUP_A_WIN),
+    ("kept", "SELECT * FROM account_summary WHERE id IN (SELECT id FROM a_win)"),
+    ("tg", f"SELECT * FROM kept WHERE {CT} < {ts(Q.MERGE_TARGET_BEFORE)}"),
+    (
+        "src",
+        f"""SELECT portfolio, {CT},
+  CASE WHEN exchange = 'okx' THEN total_usd_value ELSE total_usd_value * 2 END AS total_usd_value,
+  CASE WHEN exchange IN ('bybit', 'binance') THEN CAST(NULL AS DOUBLE) ELSE transfer_adjustment END AS transfer_adjustment,
+  'merged' AS note
+FROM kept WHERE {CT} >= {ts(Q.MERGE_SOURCE_FROM)}""",
+    ),
+    (
+        "fj",
+        f"""SELECT COALESCE(t.portfolio, s.portfolio) AS portfolio, COALESCE(t.{CT}, s.{CT}) AS {CT},
+  t.portfolio IS NOT NULL AS in_t, s.portfolio IS NOT NULL AS in_s,
+  t.id, t.exchange, t.tw_time, t.total_usd_value AS t_total, t.transfer_adjustment AS t_adj,
+  s.total_usd_value AS s_total, s.transfer_adjustment AS s_adj, s.note
+FROM tg t FULL OUTER JOIN src s ON t.portfolio = s.portfolio AND t.{CT} = s.{CT}""",
+    ),
+)
+MERGE_COLS = [*SUMMARY_COLS, "note"]
+MERGE_SELECT = {
+    "set": """SELECT id, portfolio, exchange, CASE WHEN in_s THEN s_total ELSE t_total END AS total_usd_value,
+  CASE WHEN in_s THEN s_adj ELSE t_adj END AS transfer_adjustment, "current_time", tw_time, note FROM fj""",
+    "set_no_null": """SELECT id, portfolio, exchange, COALESCE(s_total, t_total) AS total_usd_value,
+  COALESCE(s_adj, t_adj) AS transfer_adjustment, "current_time", tw_time, note FROM fj""",
+    "replace": """SELECT CASE WHEN in_s THEN NULL ELSE id END AS id, portfolio, CASE WHEN in_s THEN NULL ELSE exchange END AS exchange,
+  CASE WHEN in_s THEN s_total ELSE t_total END AS total_usd_value,
+  CASE WHEN in_s THEN s_adj ELSE t_adj END AS transfer_adjustment, "current_time",
+  CASE WHEN in_s THEN NULL ELSE tw_time END AS tw_time, note FROM fj""",
+    "no_upsert": """SELECT id, portfolio, exchange, CASE WHEN in_s THEN s_total ELSE t_total END AS total_usd_value,
+  CASE WHEN in_s THEN s_adj ELSE t_adj END AS transfer_adjustment, "current_time", tw_time, note FROM fj WHERE in_t""",
+}
+for _v, _sel in MERGE_SELECT.items():
+    ORACLE[f"merge_{_v}"] = with_(*MERGE_PARTS, (f"m_{_v}", _sel), roles=("account_summary",)) + "\n" + rounded(
+        MERGE_COLS, AMT, f"m_{_v}"
+    )
+
+_MOD = {
+    "set": "(t_total IS DISTINCT FROM s_total OR t_adj IS DISTINCT FROM s_adj OR note IS NOT NULL)",
+    "set_no_null": """((s_total IS NOT NULL AND t_total IS DISTINCT FROM s_total)
+      OR (s_adj IS NOT NULL AND t_adj IS DISTINCT FROM s_adj) OR note IS NOT NULL)""",
+    "replace": """(id IS NOT NULL OR exchange IS NOT NULL OR tw_time IS NOT NULL
+      OR t_total IS DISTINCT FROM s_total OR t_adj IS DISTINCT FROM s_adj OR note IS NOT NULL)""",
+    "no_upsert": "(t_total IS DISTINCT FROM s_total OR t_adj IS DISTINCT FROM s_adj OR note IS NOT NULL)",
+}
+ORACLE["merge_summary"] = with_(*MERGE_PARTS, roles=("account_summary",)) + "\n" + "\nUNION ALL\n".join(
+    f"""SELECT CAST(count(*) FILTER (WHERE in_t AND in_s) AS BIGINT) AS matched,
+  CAST(count(*) FILTER (WHERE in_t AND in_s AND {mod}) AS BIGINT) AS modified,
+  CAST({'0' if v == 'no_upsert' else 'count(*) FILTER (WHERE in_s AND NOT in_t)'} AS BIGINT) AS upserted, '{v}' AS variant FROM fj"""
+    for v, mod in _MOD.items()
+)
+
+ORACLE["append_rows"] = with_(roles=("account_summary", "daily_summary")) + "\n" + rounded(
+    SUMMARY_COLS,
+    AMT,
+    f"""(SELECT id, portfolio, exchange, total_usd_value, transfer_adjustment, {CT}, tw_time FROM account_summary
+  UNION ALL SELECT NULL, portfolio, NULL, total_usd_value, transfer_adjustment, {CT}, tw_time FROM daily_summary)""",
+)
+
+ORACLE["update_where"] = with_(
+    ("w1", "SELECT min(id) AS id FROM account_summary WHERE portfolio = '7'"),
+    ("w2", f"SELECT min(id) AS id FROM account_summary WHERE exchange = 'bybit' AND {CT} >= TIMESTAMP '1998-01-01 00:00:00'"),
+    ("w4", "SELECT min(id) AS id FROM account_summary WHERE id = 5"),
+    roles=("account_summary",),
+) + "\n" + rounded(
+    SUMMARY_COLS,
+    AMT,
+    f"""(SELECT id, portfolio,
+  CASE WHEN id = (SELECT id FROM w1) THEN 'okx-migrated' ELSE exchange END AS exchange,
+  CASE WHEN id = (SELECT id FROM w2) THEN COALESCE(total_usd_value, 0) + 100.0 ELSE total_usd_value END AS total_usd_value,
+  transfer_adjustment, {CT},
+  CASE WHEN id = (SELECT id FROM w4) THEN NULL ELSE tw_time END AS tw_time
+FROM account_summary
+UNION ALL SELECT NULL, 'no-such-portfolio', 'okx', CAST(1.0 AS DOUBLE), NULL, NULL, NULL)""",
+)
+ORACLE["update_summary"] = with_(
+    ("w1", "SELECT min(id) AS id FROM account_summary WHERE portfolio = '7'"),
+    ("w2", f"SELECT min(id) AS id FROM account_summary WHERE exchange = 'bybit' AND {CT} >= TIMESTAMP '1998-01-01 00:00:00'"),
+    ("w4", "SELECT min(id) AS id FROM account_summary WHERE id = 5"),
+    ("w3", "SELECT min(id) AS id FROM account_summary WHERE portfolio = 'no-such-portfolio'"),
+    roles=("account_summary",),
+) + """
+SELECT
+  CAST((SELECT id FROM w1) IS NOT NULL AS BIGINT) + CAST((SELECT id FROM w2) IS NOT NULL AS BIGINT)
+    + CAST((SELECT id FROM w3) IS NOT NULL AS BIGINT) + CAST((SELECT id FROM w4) IS NOT NULL AS BIGINT) AS matched,
+  CAST(COALESCE((SELECT exchange IS DISTINCT FROM 'okx-migrated' FROM account_summary WHERE id = (SELECT id FROM w1)), FALSE) AS BIGINT)
+    + CAST(COALESCE((SELECT COALESCE(total_usd_value, 0) + 100.0 IS DISTINCT FROM total_usd_value
+                     FROM account_summary WHERE id = (SELECT id FROM w2)), FALSE) AS BIGINT)
+    + CAST(COALESCE((SELECT tw_time IS NOT NULL FROM account_summary WHERE id = (SELECT id FROM w4)), FALSE) AS BIGINT) AS modified,
+  CAST((SELECT id FROM w3) IS NULL AS BIGINT) AS upserted"""

@@ -8,6 +8,7 @@ value hash against the DuckDB oracle in ``tidemark.plans.oracle``.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from tidemark.operators.rollup import (
     match_condition,
     refill_base,
 )
+from tidemark.operators import maintenance as M
 from tidemark.plans import jobs
 from tidemark.plans.fixtures import AS_OF, load
 
@@ -173,6 +175,119 @@ def refill_master(spark: SparkSession, d: str) -> DataFrame:
     return finish(history.unionByName(recent))
 
 
+# --------------------------------------------------------------------------- dedup / merge / update
+DEDUP_A = dict(group_fields=["portfolio", "current_time"], time_field="current_time", sort_tiebreak=[("total_usd_value", -1)])
+DEDUP_B = dict(
+    group_fields=["portfolio"],
+    time_field="current_time",
+    start=RANGE_START,
+    end="1998-12-31 23:59:59",
+    extra_match={"exchange": {"$in": ["okx", "bybit", "bitmex"]}},
+    sort_tiebreak=[("id", -1)],
+)
+MERGE_TARGET_BEFORE = "1999-01-01 00:00:00"
+MERGE_SOURCE_FROM = "1998-07-01 00:00:00"
+MERGE_KEYS = ["portfolio", "current_time"]
+MERGE_VARIANTS = {
+    "set": dict(strategy="set", upsert=True),
+    "set_no_null": dict(strategy="set", upsert=True, null_keeps_target=True),
+    "replace": dict(strategy="replace", upsert=True),
+    "no_upsert": dict(strategy="set", upsert=False),
+}
+UPDATE_OPS = [
+    {"filter": {"portfolio": "7"}, "update": {"$set": {"exchange": "okx-migrated"}}},
+    {
+        "filter": {"exchange": "bybit", "current_time": {"$gte": datetime.datetime(1998, 1, 1)}},
+        "update": {"$inc": {"total_usd_value": 100.0}},
+    },
+    {
+        "filter": {"portfolio": "no-such-portfolio"},
+        "update": {"$set": {"total_usd_value": 1.0, "exchange": "okx"}},
+        "upsert": True,
+    },
+    {"filter": {"id": 5}, "update": {"$unset": ["tw_time"]}},
+]
+
+
+@query
+def dedup_keep(spark: SparkSession, d: str) -> DataFrame:
+    return finish(M.dedup(_s(spark, d), **DEDUP_A).table)
+
+
+@query
+def dedup_removed(spark: SparkSession, d: str) -> DataFrame:
+    return finish(M.dedup(_s(spark, d), **DEDUP_B).removed)
+
+
+@query
+def dedup_summary(spark: SparkSession, d: str) -> DataFrame:
+    s = _s(spark, d)
+    a = M.dedup(s, **DEDUP_A).summary.withColumn("variant", F.lit("A"))
+    b = M.dedup(s, **DEDUP_B).summary.withColumn("variant", F.lit("B"))
+    return a.unionByName(b)
+
+
+def _merge_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    kept = M.dedup(_s(spark, d), **DEDUP_A).table
+    ct = F.col("current_time")
+    target = kept.filter(ct < F.lit(MERGE_TARGET_BEFORE).cast("timestamp_ntz"))
+    source = kept.filter(ct >= F.lit(MERGE_SOURCE_FROM).cast("timestamp_ntz")).select(
+        "portfolio",
+        "current_time",
+        F.when(F.col("exchange") == "okx", F.col("total_usd_value"))
+        .otherwise(F.col("total_usd_value") * 2)
+        .alias("total_usd_value"),
+        F.when(F.col("exchange").isin("bybit", "binance"), F.lit(None).cast("double"))
+        .otherwise(F.col("transfer_adjustment"))
+        .alias("transfer_adjustment"),
+        F.lit("merged").alias("note"),
+    )
+    return target, source
+
+
+def _merge(variant: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        target, source = _merge_inputs(spark, d)
+        return finish(M.merge(target, source, MERGE_KEYS, **MERGE_VARIANTS[variant]).table)
+
+    run.__name__ = f"merge_{variant}"
+    return run
+
+
+for _v in MERGE_VARIANTS:
+    query(_merge(_v))
+
+
+@query
+def merge_summary(spark: SparkSession, d: str) -> DataFrame:
+    target, source = _merge_inputs(spark, d)
+    parts = [
+        M.merge(target, source, MERGE_KEYS, **kw).summary.withColumn("variant", F.lit(v))
+        for v, kw in MERGE_VARIANTS.items()
+    ]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+@query
+def append_rows(spark: SparkSession, d: str) -> DataFrame:
+    """K1: daily summaries derived from events appended to the summaries."""
+    docs = load(spark, d, "daily_summary")
+    return finish(M.append(_s(spark, d), docs).table)
+
+
+@query
+def update_where(spark: SparkSession, d: str) -> DataFrame:
+    return finish(M.update_where(spark, _s(spark, d), UPDATE_OPS).table)
+
+
+@query
+def update_summary(spark: SparkSession, d: str) -> DataFrame:
+    return M.update_where(spark, _s(spark, d), UPDATE_OPS).summary
+
+
 # Registry names without the ``_q`` suffix used to avoid clashing with the
 # operator names imported above.
 def registry() -> dict[str, Query]:
