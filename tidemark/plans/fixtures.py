@@ -164,7 +164,11 @@ TRANSFERS = Role(
     "events",
     (
         Col("portfolio", "CAST(user_id AS STRING)"),
-        Col("ts_ms", "CAST(epoch_ms(ts) AS STRING)", "CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING)"),
+        Col(
+            "ts_ms",
+            "CAST(epoch_us(ts) // 1000 AS STRING)",
+            "CAST(timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS STRING)",
+        ),
         Col(
             "to_account",
             "CASE event_type WHEN 'signup' THEN 'UNIFIED' WHEN 'purchase' THEN 'unified' "

@@ -444,3 +444,150 @@ SELECT
                      FROM account_summary WHERE id = (SELECT id FROM w2)), FALSE) AS BIGINT)
     + CAST(COALESCE((SELECT tw_time IS NOT NULL FROM account_summary WHERE id = (SELECT id FROM w4)), FALSE) AS BIGINT) AS modified,
   CAST((SELECT id FROM w3) IS NULL AS BIGINT) AS upserted"""
+
+# ----------------------------------------------------------------- snapshots / transfers
+import calendar as _cal  # noqa: E402
+import datetime as _dt  # noqa: E402
+
+from tidemark.plans import payloads as PL  # noqa: E402
+
+
+def cutoff_ms(as_of: str, minutes: float) -> int:
+    t = _dt.datetime.fromisoformat(as_of)
+    return _cal.timegm(t.timetuple()) * 1000 - int(round(minutes * 60_000))
+
+
+def transfer_sql(as_of: str, minutes: float, rule: str) -> str:
+    ts_ = "TRY_CAST(ts_ms AS BIGINT)"
+    amt = "TRY_CAST(amount AS DOUBLE)"
+    if rule == "unified":
+        val = f"CASE WHEN lower(to_account) = 'unified' THEN -1.0 ELSE 1.0 END * {amt}"
+    else:
+        val = f"CASE to_account WHEN '18' THEN -abs({amt}) WHEN '6' THEN abs({amt}) ELSE 0.0 END"
+    return f"""SELECT portfolio, COALESCE(SUM(CASE WHEN {ts_} > {cutoff_ms(as_of, minutes)} THEN {val} END), 0.0) AS adjustment,
+  TRUE AS ok FROM transfers GROUP BY portfolio"""
+
+
+ORACLE["transfer_unified"] = with_(("t", transfer_sql(Q.TRANSFER_AS_OF, Q.TRANSFER_WINDOW_MIN, "unified")), roles=("transfers",)) + (
+    "\n" + rounded(["portfolio", "adjustment", "ok"], ("adjustment",), "t")
+)
+ORACLE["transfer_18_6"] = with_(("t", transfer_sql(Q.TRANSFER_AS_OF, Q.TRANSFER_WINDOW_MIN, "18/6")), roles=("transfers",)) + (
+    "\n" + rounded(["portfolio", "adjustment", "ok"], ("adjustment",), "t")
+)
+
+SNAP_LINES = f"""SELECT CAST(l_orderkey AS STRING) AS portfolio, {PL.EXCHANGE} AS exchange,
+  row_number() OVER (PARTITION BY l_orderkey ORDER BY {PL.LINE_ORDER}) - 1 AS pos, l_linenumber,
+  {PL.ASSET} AS asset, {PL.JUNK} AS junk, l_partkey, l_quantity AS q, l_extendedprice AS ext, l_tax, l_discount,
+  l_returnflag, l_linestatus FROM lineitem"""
+
+_IS_STABLE_Z = "asset IN ('USD', 'USDT', 'USDC', 'FDUSD', 'BUSD', 'TUSD', 'DAI', 'USDe', 'USDD')"
+# Per exchange: (valued line rows with asset/total/available/notional/liability/interest/usd/keep,
+#                portfolio-level total expression or None for Σ usd, error expression)
+SNAP_ROWS = {
+    "binance": """SELECT l.*, a.amount AS total, a.amount AS available, round_even(a.amount * a.price, 2) AS notional,
+    0.0 AS liability, 0.0 AS interest, a.amount * a.price AS usd, a.amount <> 0 AND a.price IS NOT NULL AS keep
+  FROM lines l, LATERAL (SELECT (CASE WHEN l.l_discount = 0 THEN 0 ELSE l.q END) + (CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END) AS amount,
+    CASE WHEN l.asset IN ('USDT', 'BUSD', 'USDC') THEN 1.0 ELSE (SELECT TRY_CAST(price AS DOUBLE) FROM prices WHERE symbol = l.asset || 'USDT') END AS price) a
+  WHERE l.exchange = 'binance'""",
+    "bingx": """SELECT l.*, q AS total, CASE WHEN l_linenumber % 2 = 1 THEN q - 1 ELSE ext END AS available, ext AS notional,
+    CASE WHEN l_returnflag = 'A' THEN q ELSE 0.0 END AS liability, 0.0 AS interest, ext AS usd, TRUE AS keep
+  FROM lines l WHERE exchange = 'bingx'""",
+    "bitmart": """SELECT l.*, CASE WHEN k.last IS NOT NULL THEN q * k.last ELSE q END AS total, q AS available,
+    CASE WHEN k.last IS NOT NULL THEN (q + fz) * k.last ELSE q + fz END AS notional, 0.0 AS liability, 0.0 AS interest,
+    CASE WHEN k.last IS NOT NULL THEN q * k.last ELSE q END AS usd, TRUE AS keep
+  FROM (SELECT *, CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END AS fz FROM lines WHERE exchange = 'bitmart') l
+  LEFT JOIN (SELECT 'A' || CAST(p_partkey AS STRING) AS cur,
+      CASE WHEN p_size > 5 THEN p_retailprice WHEN p_size > 2 THEN p_retailprice + 1 END AS last FROM part) k
+    ON l.asset = k.cur""",
+    "bitmex": """SELECT l.*, amt AS total, amt AS available, amt AS notional, 0.0 AS liability, 0.0 AS interest,
+    CASE WHEN upper(asset) IN ('USDT', 'USD', 'USDC') THEN amt ELSE COALESCE(amt * lp, 0.0) END AS usd, TRUE AS keep
+  FROM (SELECT l.*, CASE WHEN upper(asset) IN ('XBT', 'BTC', 'WBTC') THEN CAST(CAST(q AS BIGINT) * 1000000 AS DOUBLE) / 1e8
+      ELSE CAST(CAST(q AS BIGINT) * 1000000 AS DOUBLE) / 1e6 END AS amt,
+      (SELECT arg_min("lastPrice", pos) FROM instruments i WHERE i.typ = 'IFXXXP' AND upper(i.symbol) = upper(l.asset) || '_USDT') AS lp
+    FROM lines l WHERE exchange = 'bitmex') l""",
+    "bybit": """SELECT l.*, q AS total, q AS available, ext AS notional, l_tax AS liability,
+    CASE WHEN l_returnflag = 'N' THEN 0.0 ELSE l_discount END AS interest, ext AS usd, TRUE AS keep
+  FROM lines l WHERE exchange = 'bybit'""",
+    "okx": """SELECT l.*, q AS total, CASE WHEN l_linestatus = 'O' THEN 0.0 ELSE q - 1 END AS available, ext AS notional,
+    CASE WHEN l_returnflag = 'R' THEN l_tax ELSE 0.0 END AS liability, CASE WHEN l_returnflag = 'A' THEN l_discount ELSE 0.0 END AS interest,
+    ext AS usd, TRUE AS keep
+  FROM lines l WHERE exchange = 'okx'""",
+    "zoomex": f"""SELECT l.*, q AS total, q AS available,
+    CASE WHEN l_returnflag NOT IN ('R', 'A') THEN ext WHEN {_IS_STABLE_Z} THEN q ELSE 0.0 END AS notional,
+    l_tax AS liability, CASE WHEN l_linestatus = 'O' THEN 0.0 ELSE l_discount END AS interest,
+    CASE WHEN l_returnflag NOT IN ('R', 'A') THEN ext WHEN {_IS_STABLE_Z} THEN q ELSE 0.0 END AS usd, TRUE AS keep
+  FROM lines l WHERE exchange = 'zoomex'""",
+}
+_JUNK_FAILS = {"binance", "bingx", "bitmart", "bybit", "okx", "zoomex"}
+_ADJ = {
+    "bybit": transfer_sql(PL.PAYLOAD_AS_OF, Q.BYBIT_INTERVAL_MIN, "unified"),
+    "okx": transfer_sql(PL.PAYLOAD_AS_OF, 0.5, "18/6"),
+}
+SNAP_LOOKUPS = (
+    ("lines", SNAP_LINES),
+    ("prices", PL.PRICES_SQL),
+    ("instruments", PL.INSTRUMENTS_SQL),
+)
+
+
+def snap_parts() -> list[tuple[str, str]]:
+    parts = list(SNAP_LOOKUPS)
+    for ex, rows in SNAP_ROWS.items():
+        parts.append((f"{ex}_rows", rows))
+        bad = "bool_or(junk)" if ex in _JUNK_FAILS else "FALSE"
+        parts.append(
+            (
+                f"{ex}_pf",
+                f"""SELECT portfolio, exchange, COALESCE(SUM(usd) FILTER (WHERE keep), 0.0) AS sum_usd,
+  SUM(ext) AS sum_ext, CAST(count(DISTINCT asset) FILTER (WHERE keep) AS BIGINT) AS n_assets, {bad} AS bad
+FROM {ex}_rows GROUP BY portfolio, exchange""",
+            )
+        )
+        if ex in _ADJ:
+            parts.append((f"{ex}_adj", _ADJ[ex]))
+            adj = f"COALESCE((SELECT adjustment FROM {ex}_adj a WHERE a.portfolio = f.portfolio), 0.0)"
+        else:
+            adj = "0.0"
+        total = "sum_ext" if ex in ("bybit", "okx") else "sum_usd"
+        parts.append(
+            (
+                f"{ex}_sum",
+                f"""SELECT portfolio, exchange, {total} AS total_usd_value, {adj} AS transfer_adjustment,
+  {ts(PL.PAYLOAD_AS_OF)} AS {CT}, {tw(ts(PL.PAYLOAD_AS_OF))} AS tw_time, n_assets FROM {ex}_pf f WHERE NOT bad""",
+            )
+        )
+    parts.append(("all_sum", " UNION ALL ".join(f"SELECT * FROM {ex}_sum" for ex in SNAP_ROWS)))
+    parts.append(
+        (
+            "all_bal",
+            " UNION ALL ".join(
+                f"""SELECT portfolio, asset, total, available, notional, liability, interest FROM {ex}_rows r
+  WHERE keep AND portfolio IN (SELECT portfolio FROM {ex}_sum)
+  QUALIFY row_number() OVER (PARTITION BY portfolio, asset ORDER BY pos DESC) = 1"""
+                for ex in SNAP_ROWS
+            ),
+        )
+    )
+    return parts
+
+
+SNAP_COLS = ["portfolio", "exchange", "total_usd_value", "transfer_adjustment", "current_time", "tw_time", "n_assets"]
+_SNAP_ROLES = ("transfers",)
+for _ex in SNAP_ROWS:
+    ORACLE[f"snapshot_{_ex}"] = with_(*snap_parts(), roles=_SNAP_ROLES) + "\n" + rounded(
+        SNAP_COLS, ("total_usd_value", "transfer_adjustment"), f"{_ex}_sum"
+    )
+ORACLE["snapshot_all"] = with_(*snap_parts(), roles=_SNAP_ROLES) + "\n" + rounded(
+    SNAP_COLS, ("total_usd_value", "transfer_adjustment"), "all_sum"
+)
+_BAL = ("total", "available", "notional", "liability", "interest")
+ORACLE["snapshot_balances"] = with_(*snap_parts(), roles=_SNAP_ROLES) + "\n" + rounded(
+    ["portfolio", "asset", *_BAL], _BAL, "all_bal"
+)
+ORACLE["snapshot_quarantine"] = with_(("lines", SNAP_LINES)) + """
+SELECT portfolio, exchange, CASE WHEN exchange = 'kraken' THEN 'unsupported exchange' ELSE 'unparsable payload' END AS reason
+FROM lines GROUP BY portfolio, exchange
+HAVING exchange = 'kraken' OR (exchange IN ('binance', 'bingx', 'bitmart', 'bybit', 'okx', 'zoomex') AND bool_or(junk))"""
+ORACLE["zoomex_missing_prices"] = with_(("lines", SNAP_LINES)) + f"""
+SELECT portfolio, asset AS coin, q AS available FROM lines
+WHERE exchange = 'zoomex' AND l_returnflag IN ('R', 'A') AND NOT {_IS_STABLE_Z}"""

@@ -25,7 +25,10 @@ from tidemark.operators.rollup import (
     refill_base,
 )
 from tidemark.operators import maintenance as M
+from tidemark.operators import snapshot as SN
+from tidemark.operators.transfers import transfer_adjustment
 from tidemark.plans import jobs
+from tidemark.plans import payloads as P
 from tidemark.plans.fixtures import AS_OF, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -288,6 +291,71 @@ def update_summary(spark: SparkSession, d: str) -> DataFrame:
     return M.update_where(spark, _s(spark, d), UPDATE_OPS).summary
 
 
+# --------------------------------------------------------------------------- snapshots / transfers
+TRANSFER_AS_OF = "2024-01-20 00:00:00"
+TRANSFER_WINDOW_MIN = 3 * 24 * 60
+BYBIT_INTERVAL_MIN = 0.5  # the snapshot job's interval
+
+
+def _snapshot(spark: SparkSession, d: str) -> SN.Snapshot:
+    return SN.snapshot(
+        P.payloads(spark, d),
+        P.lookups(spark, d),
+        P.PAYLOAD_AS_OF,
+        transfers=load(spark, d, "transfers"),
+        bybit_interval_minutes=BYBIT_INTERVAL_MIN,
+    )
+
+
+def _summary_rows(df: DataFrame) -> DataFrame:
+    return finish(df.withColumn("n_assets", F.size("balances").cast("long")).drop("balances"))
+
+
+def _snapshot_ex(ex: str) -> Query:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return _summary_rows(_snapshot(spark, d).summaries.filter(F.col("exchange") == ex))
+
+    run.__name__ = f"snapshot_{ex}"
+    return run
+
+
+for _ex in SN.EXCHANGES:
+    query(_snapshot_ex(_ex))
+
+
+@query
+def snapshot_all(spark: SparkSession, d: str) -> DataFrame:
+    return _summary_rows(_snapshot(spark, d).summaries)
+
+
+@query
+def snapshot_balances(spark: SparkSession, d: str) -> DataFrame:
+    s = _snapshot(spark, d).summaries
+    return finish(
+        s.select("portfolio", F.explode("balances").alias("asset", "b")).select("portfolio", "asset", "b.*")
+    )
+
+
+@query
+def snapshot_quarantine(spark: SparkSession, d: str) -> DataFrame:
+    return _snapshot(spark, d).quarantine
+
+
+@query
+def zoomex_missing_prices(spark: SparkSession, d: str) -> DataFrame:
+    return finish(SN.zoomex_missing_prices(P.payloads(spark, d)))
+
+
+@query
+def transfer_unified(spark: SparkSession, d: str) -> DataFrame:
+    return finish(transfer_adjustment(load(spark, d, "transfers"), TRANSFER_AS_OF, TRANSFER_WINDOW_MIN, "unified"))
+
+
+@query
+def transfer_18_6(spark: SparkSession, d: str) -> DataFrame:
+    return finish(transfer_adjustment(load(spark, d, "transfers"), TRANSFER_AS_OF, TRANSFER_WINDOW_MIN, "18/6"))
+
+
 # Registry names without the ``_q`` suffix used to avoid clashing with the
 # operator names imported above.
 def registry() -> dict[str, Query]:
