@@ -59,14 +59,30 @@ def truncate_milli(ts: str | Column) -> Column:
 
 
 # F3 -------------------------------------------------------------------------
+_ISO_LOCAL = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)"
+_ISO_OFFSET = r"(Z|[+-]\d{2}:?\d{2})$"
+
+
 def iso_to_timestamp(c: str | Column) -> Column:
-    """ISO-8601 string (``Z`` or ``+hh:mm`` offsets allowed) -> naive UTC.
+    """ISO-8601 string -> naive UTC timestamp, independent of the session zone.
 
-    NULL passes through; an unparsable string raises (ANSI ``to_timestamp``),
+    The local part is parsed as TIMESTAMP_NTZ and a trailing ``Z`` /
+    ``+hh:mm`` / ``-hhmm`` offset is subtracted; a string without offset is
+    taken as UTC. NULL passes through; an unparsable string raises (ANSI cast),
     as the reference raises ``ValueError``.
     """
-    c = col_of(c)
-    return F.to_timestamp(c).cast("timestamp_ntz")
+    s = F.trim(col_of(c))
+    local = F.regexp_extract(s, _ISO_LOCAL, 1)
+    off = F.regexp_extract(s, _ISO_OFFSET, 1)
+    digits = F.regexp_replace(off, "[+:Z-]", "")
+    minutes = F.when((off == "") | (off == "Z"), F.lit(0)).otherwise(
+        (F.substring(digits, 1, 2).cast("int") * 60 + F.substring(digits, 3, 2).cast("int"))
+        * F.when(F.substring(off, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
+    )
+    parsed = F.when(local == "", s).otherwise(local).cast("timestamp_ntz")
+    return F.when(s.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(
+        parsed - F.make_dt_interval(mins=minutes)
+    )
 
 
 # F4 -------------------------------------------------------------------------

@@ -93,7 +93,7 @@ PORTFOLIO = Role(
         Col(
             "position_threshold",
             "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN CAST(NULL AS DOUBLE) "
-            "WHEN 'FURNITURE' THEN CAST(0 AS DOUBLE) ELSE c_acctbal * 40 END",
+            "WHEN 'FURNITURE' THEN CAST(0 AS DOUBLE) ELSE CAST(FLOOR(c_acctbal) AS DOUBLE) * 40 END",
         ),
     ),
 )
@@ -187,7 +187,7 @@ JOB_EVENTS = Role(
         Col("job_id", "'job-' || CAST(user_id AS STRING)"),
         Col(
             "event",
-            "CASE event_type WHEN 'signup' THEN 'submitted' WHEN 'view' THEN 'submitted' "
+            "CASE event_type WHEN 'signup' THEN 'submitted' WHEN 'view' THEN 'missed' "
             "WHEN 'purchase' THEN 'success' WHEN 'click' THEN 'success' ELSE 'error' END",
         ),
         Col("recorded_at", "ts"),
@@ -196,7 +196,39 @@ JOB_EVENTS = Role(
     ),
 )
 
-ROLES = {r.name: r for r in (PORTFOLIO, ACCOUNT_SUMMARY, MONTHLY_SUMMARY, DAILY_SUMMARY, TRANSFERS, JOB_EVENTS)}
+# scalar-function inputs <- events ---------------------------------------------
+_EPOCH_US = ("epoch_us(ts)", "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)")
+_OFFSET = "CASE CAST(event_id % 3 AS INT) WHEN 0 THEN 'Z' WHEN 1 THEN '+08:00' ELSE '-0530' END"
+SCALAR_INPUTS = Role(
+    "scalar_inputs",
+    "events",
+    (
+        Col("event_id", "event_id"),
+        Col("ts", "ts"),
+        Col(
+            "iso",
+            f"strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || {_OFFSET}",
+            f"date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || {_OFFSET}",
+        ),
+        Col(
+            "epoch",
+            "CAST(CASE CAST(event_id % 4 AS INT) WHEN 0 THEN {u} / 1e6 WHEN 1 THEN floor({u} / 1000) "
+            "WHEN 2 THEN {u} ELSE {u} * 1000 END AS DOUBLE)".format(u=_EPOCH_US[0]),
+            "CAST(CASE CAST(event_id % 4 AS INT) WHEN 0 THEN {u} / 1e6 WHEN 1 THEN floor({u} / 1000) "
+            "WHEN 2 THEN {u} ELSE {u} * 1000 END AS DOUBLE)".format(u=_EPOCH_US[1]),
+        ),
+        Col(
+            "word",
+            "CASE event_type WHEN 'click' THEN ' Yes ' WHEN 'view' THEN 'off' WHEN 'purchase' THEN 'T' "
+            "WHEN 'signup' THEN '0' ELSE 'maybe' END",
+        ),
+    ),
+)
+
+ROLES = {
+    r.name: r
+    for r in (PORTFOLIO, ACCOUNT_SUMMARY, MONTHLY_SUMMARY, DAILY_SUMMARY, TRANSFERS, JOB_EVENTS, SCALAR_INPUTS)
+}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

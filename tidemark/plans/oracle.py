@@ -591,3 +591,84 @@ HAVING exchange = 'kraken' OR (exchange IN ('binance', 'bingx', 'bitmart', 'bybi
 ORACLE["zoomex_missing_prices"] = with_(("lines", SNAP_LINES)) + f"""
 SELECT portfolio, asset AS coin, q AS available FROM lines
 WHERE exchange = 'zoomex' AND l_returnflag IN ('R', 'A') AND NOT {_IS_STABLE_Z}"""
+
+# ----------------------------------------------------------------- scalar functions
+ORACLE["tw_time"] = with_(roles=("scalar_inputs",)) + f"\nSELECT event_id, ts, {tw('ts')} AS tw_time FROM scalar_inputs"
+ORACLE["ts_truncate"] = with_(roles=("scalar_inputs",)) + """
+SELECT event_id, date_trunc('second', ts) AS ts_second, date_trunc('millisecond', ts) AS ts_milli FROM scalar_inputs"""
+ORACLE["iso_normalise"] = with_(roles=("scalar_inputs",)) + r"""
+SELECT event_id, iso, CAST(regexp_extract(iso, '^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)', 1) AS TIMESTAMP)
+  - to_minutes(CAST(CASE WHEN off IN ('', 'Z') THEN 0
+      ELSE (CAST(substr(dg, 1, 2) AS INT) * 60 + CAST(substr(dg, 3, 2) AS INT)) * CASE WHEN off LIKE '-%' THEN -1 ELSE 1 END END AS BIGINT)) AS parsed
+FROM (SELECT *, regexp_extract(iso, '(Z|[+-]\d{2}:?\d{2})$', 1) AS off,
+        regexp_replace(regexp_extract(iso, '(Z|[+-]\d{2}:?\d{2})$', 1), '[+:Z-]', '', 'g') AS dg FROM scalar_inputs)"""
+ORACLE["epoch_normalise"] = with_(roles=("scalar_inputs",)) + """
+SELECT event_id, epoch, t AS parsed,
+  strftime(t, '%Y-%m-%dT%H:%M:%S') || '.' || lpad(CAST(CAST((epoch_us(t) % 1000000) // 1000 AS BIGINT) AS VARCHAR), 3, '0') || 'Z' AS iso
+FROM (SELECT *, make_timestamp(CAST(CASE WHEN epoch >= 1e18 THEN floor(epoch / 1000) WHEN epoch >= 1e15 THEN floor(epoch)
+    WHEN epoch >= 1e12 THEN floor(epoch * 1000) ELSE floor(epoch * 1000000) END AS BIGINT)) AS t FROM scalar_inputs)"""
+ORACLE["strict_bool"] = with_(roles=("scalar_inputs",)) + """
+SELECT event_id, word, CASE WHEN lower(trim(word)) IN ('1', 'true', 't', 'yes', 'y', 'on') THEN TRUE
+  WHEN lower(trim(word)) IN ('0', 'false', 'f', 'no', 'n', 'off') THEN FALSE END AS flag FROM scalar_inputs"""
+
+# ----------------------------------------------------------------- alerts / telemetry
+ORACLE["low_value_alert"] = with_(
+    ("latest", LATEST),
+    (
+        "al",
+        f"""SELECT 'usd_under:' || l.portfolio AS key, l.portfolio, 'CRITICAL' AS severity, CAST(5 AS BIGINT) AS level,
+  p.position_threshold AS threshold, TRY_CAST(l.total_usd_value AS DOUBLE) AS total_usd_value, l.{CT},
+  'Total_Usd_Value Under ' || CAST(p.position_threshold AS VARCHAR) || chr(10)
+  || '\U0001F4BC Portfolio     : ' || l.portfolio || chr(10)
+  || '\U0001F4B0 Current Value : ' || format('{{:,.2f}}', TRY_CAST(l.total_usd_value AS DOUBLE)) || chr(10)
+  || '\U0001F552 Time(UTC)     : ' || strftime(l.{CT}, '%Y-%m-%d %H:%M:%S') AS message
+FROM latest l JOIN portfolio p ON l.portfolio = p.portfolio
+WHERE p.status = 'active' AND p.position_threshold IS NOT NULL AND p.position_threshold <> 0
+  AND TRY_CAST(l.total_usd_value AS DOUBLE) <= p.position_threshold""",
+    ),
+    roles=("portfolio", "account_summary"),
+) + "\n" + rounded(
+    ["key", "portfolio", "severity", "level", "threshold", "total_usd_value", "current_time", "message", "text", "hash"],
+    ("threshold", "total_usd_value"),
+    "(SELECT *, '\U0001F525 ' || message AS text, sha256(message) AS hash FROM al)",
+)
+
+JOB_DUR = f"""SELECT job_id, event_id, event, recorded_at, scheduled_at,
+  CASE WHEN event IN ('success', 'error') THEN (epoch_us(recorded_at) - epoch_us(st)) / 1e6 * 1000.0 END AS duration_ms,
+  CASE WHEN event = 'missed' THEN CASE WHEN scheduled_at IS NULL THEN 'Job missed its scheduled run'
+         ELSE 'Job missed run scheduled for ' || strftime(scheduled_at, '%Y-%m-%dT%H:%M:%S') END
+       WHEN event = 'error' THEN COALESCE(message, 'Unknown error')
+       WHEN event = 'submitted' THEN NULL ELSE message END AS message
+FROM (SELECT *, last_value(CASE WHEN event = 'submitted' THEN recorded_at END IGNORE NULLS) OVER (
+  PARTITION BY job_id ORDER BY recorded_at, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS st FROM job_events)"""
+
+ORACLE["job_durations"] = with_(("jd", JOB_DUR), roles=("job_events",)) + "\n" + rounded(
+    ["job_id", "event_id", "event", "recorded_at", "duration_ms"], ("duration_ms",), "jd WHERE event IN ('success', 'error')"
+)
+ORACLE["job_history"] = with_(("jd", JOB_DUR), roles=("job_events",)) + "\n" + rounded(
+    ["job_id", "rank", "event_id", "event", "recorded_at", "scheduled_at", "duration_ms", "message"],
+    ("duration_ms",),
+    """(SELECT *, row_number() OVER (PARTITION BY job_id ORDER BY recorded_at DESC, event_id DESC) AS rank FROM jd
+  QUALIFY rank <= 50)""",
+)
+ORACLE["job_stats"] = with_(
+    ("jd", JOB_DUR),
+    ("cnt", """SELECT job_id, CAST(count(*) FILTER (WHERE event = 'submitted') AS BIGINT) AS total_runs,
+  CAST(count(*) FILTER (WHERE event = 'success') AS BIGINT) AS total_success,
+  CAST(count(*) FILTER (WHERE event = 'error') AS BIGINT) AS total_error,
+  CAST(count(*) FILTER (WHERE event = 'missed') AS BIGINT) AS total_missed,
+  max(recorded_at) FILTER (WHERE event = 'submitted') AS last_started_at,
+  max(recorded_at) FILTER (WHERE event IN ('success', 'error', 'missed')) AS last_finished_at FROM jd GROUP BY job_id"""),
+    ("lst", "SELECT job_id, event AS last_event FROM jd QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY recorded_at DESC, event_id DESC) = 1"),
+    ("lsub", """SELECT job_id, scheduled_at AS last_scheduled_at FROM jd WHERE event = 'submitted'
+  QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY recorded_at DESC, event_id DESC) = 1"""),
+    ("lterm", """SELECT job_id, duration_ms AS last_duration_ms, CASE WHEN event <> 'success' THEN message END AS last_error FROM jd
+  WHERE event IN ('success', 'error', 'missed')
+  QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY recorded_at DESC, event_id DESC) = 1"""),
+    roles=("job_events",),
+) + "\n" + rounded(
+    ["job_id", "total_runs", "total_success", "total_error", "total_missed", "last_event", "last_scheduled_at",
+     "last_started_at", "last_finished_at", "last_duration_ms", "last_error"],
+    ("last_duration_ms",),
+    "cnt LEFT JOIN lst USING (job_id) LEFT JOIN lsub USING (job_id) LEFT JOIN lterm USING (job_id)",
+)

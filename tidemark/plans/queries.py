@@ -24,7 +24,10 @@ from tidemark.operators.rollup import (
     match_condition,
     refill_base,
 )
+from tidemark.functions import scalars as S
+from tidemark.operators import alerts as AL
 from tidemark.operators import maintenance as M
+from tidemark.operators import telemetry as TM
 from tidemark.operators import snapshot as SN
 from tidemark.operators.transfers import transfer_adjustment
 from tidemark.plans import jobs
@@ -356,6 +359,60 @@ def transfer_18_6(spark: SparkSession, d: str) -> DataFrame:
     return finish(transfer_adjustment(load(spark, d, "transfers"), TRANSFER_AS_OF, TRANSFER_WINDOW_MIN, "18/6"))
 
 
+# --------------------------------------------------------------------------- scalar functions
+@query
+def tw_time_q(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "scalar_inputs")
+    return e.select("event_id", "ts", S.tw_time("ts").alias("tw_time"))
+
+
+@query
+def ts_truncate(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "scalar_inputs")
+    return e.select("event_id", S.truncate_second("ts").alias("ts_second"), S.truncate_milli("ts").alias("ts_milli"))
+
+
+@query
+def iso_normalise(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "scalar_inputs")
+    return e.select("event_id", "iso", S.iso_to_timestamp("iso").alias("parsed"))
+
+
+@query
+def epoch_normalise(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "scalar_inputs")
+    t = S.epoch_to_timestamp("epoch")
+    return e.select("event_id", "epoch", t.alias("parsed"), S.timestamp_to_iso(t).alias("iso"))
+
+
+@query
+def strict_bool_q(spark: SparkSession, d: str) -> DataFrame:
+    e = load(spark, d, "scalar_inputs")
+    return e.select("event_id", "word", S.strict_bool("word", on_error="null").alias("flag"))
+
+
+# --------------------------------------------------------------------------- alerts / telemetry
+@query
+def low_value_alert(spark: SparkSession, d: str) -> DataFrame:
+    latest = jobs.latest_summaries(_s(spark, d))
+    return finish(AL.low_value_alerts(latest, active_portfolios(_p(spark, d))))
+
+
+@query
+def job_stats(spark: SparkSession, d: str) -> DataFrame:
+    return finish(TM.job_stats(load(spark, d, "job_events")))
+
+
+@query
+def job_durations(spark: SparkSession, d: str) -> DataFrame:
+    return finish(TM.job_durations(load(spark, d, "job_events")))
+
+
+@query
+def job_history(spark: SparkSession, d: str) -> DataFrame:
+    return finish(TM.job_history(load(spark, d, "job_events")))
+
+
 # Registry names without the ``_q`` suffix used to avoid clashing with the
 # operator names imported above.
 def registry() -> dict[str, Query]:
