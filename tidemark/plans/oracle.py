@@ -19,7 +19,8 @@ CT = '"current_time"'
 
 
 def ts(v: str) -> str:
-    return f"TIMESTAMP '{v}'"
+    """A timestamp literal, or an SQL expression passed in parentheses."""
+    return v if v.startswith("(") else f"TIMESTAMP '{v}'"
 
 
 def tw(expr: str) -> str:
@@ -672,3 +673,56 @@ ORACLE["job_stats"] = with_(
     ("last_duration_ms",),
     "cnt LEFT JOIN lst USING (job_id) LEFT JOIN lsub USING (job_id) LEFT JOIN lterm USING (job_id)",
 )
+
+# ----------------------------------------------------------------- alert cooldown (recursive, sequential per key)
+_CD = Q.COOLDOWN_SEC
+ORACLE["alert_cooldown"] = cte("portfolio", "account_summary").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+al AS (SELECT 'usd_under:' || s.portfolio AS key, s.id, (epoch_us(s.{CT}) // 1000) / 1000.0 AS t,
+    sha256('Total_Usd_Value Under ' || CAST(p.position_threshold AS VARCHAR) || ' band '
+           || CAST(CAST(floor(s.total_usd_value / 100000) AS BIGINT) AS VARCHAR)) AS h
+  FROM account_summary s JOIN portfolio p ON s.portfolio = p.portfolio
+  WHERE p.status = 'active' AND p.position_threshold IS NOT NULL AND p.position_threshold <> 0
+    AND s.total_usd_value <= p.position_threshold),
+ev AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY t, id) AS rn FROM al),
+r AS (
+  SELECT key, id, rn, t AS last_t, h AS last_h, TRUE AS emitted FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.key, e.id, e.rn,
+    CASE WHEN e.t - r.last_t >= {_CD} OR e.h <> r.last_h THEN e.t ELSE r.last_t END,
+    CASE WHEN e.t - r.last_t >= {_CD} OR e.h <> r.last_h THEN e.h ELSE r.last_h END,
+    e.t - r.last_t >= {_CD} OR e.h <> r.last_h
+  FROM r JOIN ev e ON e.key = r.key AND e.rn = r.rn + 1)
+SELECT r.key, r.id, ev.h AS hash, r.emitted FROM r JOIN ev ON r.key = ev.key AND r.id = ev.id"""
+
+
+# ----------------------------------------------------------------- streams (same results as the batch queries)
+ORACLE["stream_snapshot"] = ORACLE["snapshot_all"]
+ORACLE["stream_alert"] = ORACLE["alert_cooldown"]
+ORACLE["stream_job_stats"] = with_(("jd", JOB_DUR), roles=("job_events",)) + """
+SELECT job_id, CAST(count(*) FILTER (WHERE event = 'submitted') AS BIGINT) AS total_runs,
+  CAST(count(*) FILTER (WHERE event = 'success') AS BIGINT) AS total_success,
+  CAST(count(*) FILTER (WHERE event = 'error') AS BIGINT) AS total_error,
+  CAST(count(*) FILTER (WHERE event = 'missed') AS BIGINT) AS total_missed,
+  arg_max(event, {'r': recorded_at, 'e': event_id}) AS last_event,
+  max(recorded_at) FILTER (WHERE event = 'submitted') AS last_started_at,
+  max(recorded_at) FILTER (WHERE event IN ('success', 'error', 'missed')) AS last_finished_at
+FROM jd GROUP BY job_id"""
+
+
+def _stream_mart_parts() -> list[tuple[str, str]]:
+    from tidemark.plans.streams import YEARS_FROM, YEARS_TO
+
+    parts: list[tuple[str, str]] = []
+    prev = None
+    for y in range(YEARS_FROM, YEARS_TO + 1):
+        as_of = f"(SELECT max({CT}) FROM account_summary WHERE year({CT}) = {y})"
+        parts += master_mart_parts(f"y{y}_", f"WHERE year({CT}) <= {y}", as_of, prev)
+        union = f"SELECT * FROM y{y}_sout" if prev is None else f"SELECT * FROM {prev} UNION ALL SELECT * FROM y{y}_sout"
+        parts.append((f"mart{y}", union))
+        prev = f"mart{y}"
+    return parts
+
+
+ORACLE["stream_mart"] = with_(*_stream_mart_parts(), roles=("portfolio", "account_summary")) + "\n" + rounded(
+    perf_cols("master_portfolio"), PERF_COLS, "mart2001"
+)

@@ -26,6 +26,7 @@ from tidemark.operators.rollup import (
 )
 from tidemark.functions import scalars as S
 from tidemark.operators import alerts as AL
+from tidemark.operators import cooldown as CD
 from tidemark.operators import maintenance as M
 from tidemark.operators import telemetry as TM
 from tidemark.operators import snapshot as SN
@@ -398,6 +399,28 @@ def low_value_alert(spark: SparkSession, d: str) -> DataFrame:
     return finish(AL.low_value_alerts(latest, active_portfolios(_p(spark, d))))
 
 
+COOLDOWN_SEC = 30 * 24 * 3600  # 30 days: daily alerts of one key fall within it
+
+
+def cooldown_input(spark: SparkSession, d: str) -> DataFrame:
+    """Every summary at or under its portfolio's threshold is an alert; the
+    message carries the threshold and a 100k value band, so dedupe lets a
+    changed band through inside the cooldown."""
+    j = _s(spark, d).join(active_portfolios(_p(spark, d)).select("portfolio", "position_threshold"), "portfolio")
+    th = F.col("position_threshold")
+    j = j.filter(th.isNotNull() & (th != 0) & (F.col("total_usd_value") <= th))
+    msg = F.concat(
+        F.lit("Total_Usd_Value Under "), th.cast("string"), F.lit(" band "),
+        F.floor(F.col("total_usd_value") / 100000).cast("string"),
+    )
+    return j.select(F.concat(F.lit("usd_under:"), F.col("portfolio")).alias("key"), "id", F.col("current_time").alias("ts"), msg.alias("message"))
+
+
+@query
+def alert_cooldown(spark: SparkSession, d: str) -> DataFrame:
+    return CD.cooldown(cooldown_input(spark, d), COOLDOWN_SEC, dedupe=True)
+
+
 @query
 def job_stats(spark: SparkSession, d: str) -> DataFrame:
     return finish(TM.job_stats(load(spark, d, "job_events")))
@@ -416,6 +439,8 @@ def job_history(spark: SparkSession, d: str) -> DataFrame:
 # Registry names without the ``_q`` suffix used to avoid clashing with the
 # operator names imported above.
 def registry() -> dict[str, Query]:
+    from tidemark.plans import streams  # noqa: F401  (registers the streaming queries)
+
     return {name[:-2] if name.endswith("_q") else name: fn for name, fn in REGISTRY.items()}
 
 
