@@ -65,32 +65,57 @@ def _last_emission(results: DataFrame) -> DataFrame:
     ).select("key", (F.col("chunk") + 1).alias("chunk"), F.col("s.t").alias("nx_t"), F.col("s.h").alias("nx_h"))
 
 
+CHUNK_EVENTS = 50_000  # target alerts per (key, chunk) group
+
+
 def cooldown(
     alerts: DataFrame,
     cooldown_sec: float = 60,
     *,
     dedupe: bool = True,
     chunk_sec: float | None = None,
+    chunk_events: int = CHUNK_EVENTS,
     max_rounds: int | None = None,
 ) -> DataFrame:
     """``alerts``: key, id (unique long), ts (naive UTC), message.
     Returns every alert with ``emitted`` (bool) and ``hash``.
 
+    Chunk width per key: ``chunk_sec`` if given, else sized from the key's
+    own alert rate so a chunk holds about ``chunk_events`` alerts (never
+    narrower than the cooldown). An ordinary key is then a single chunk and
+    needs no extra round; a hot key is split into bounded groups.
     ``max_rounds`` is only a safety valve for tests; ``None`` iterates to the
     exact fixpoint."""
     spark = alerts.sparkSession
     from tidemark.session import checkpoint_root
 
     checkpoint_root(spark)
-    width = max(float(cooldown_sec), 60.0) if chunk_sec is None else float(chunk_sec)
-    if width < cooldown_sec:
+    if chunk_sec is not None and chunk_sec < cooldown_sec:
         raise ValueError("chunk_sec must be at least cooldown_sec")
     ev = alerts.select(
         F.col("key").cast("string").alias("key"),
         F.col("id").cast("long").alias("id"),
         (epoch_ms(F.col("ts")) / 1000.0).alias("t"),
         message_hash("message").alias("h"),
-    ).withColumn("chunk", F.floor(F.col("t") / F.lit(width)).cast("long"))
+    )
+    floor_w = max(float(cooldown_sec), 1.0)
+    if chunk_sec is not None:
+        ev = ev.withColumn("chunk", F.floor(F.col("t") / F.lit(float(chunk_sec))).cast("long"))
+    else:
+        stats = ev.groupBy("key").agg(
+            F.min("t").alias("_t0"), (F.max("t") - F.min("t")).alias("_span"), F.count(F.lit(1)).alias("_n")
+        )
+        width = F.greatest(F.lit(floor_w), F.col("_span") * F.lit(float(chunk_events)) / F.col("_n"))
+        ev = (
+            ev.join(stats, "key")
+            .withColumn(
+                "chunk",
+                F.when(F.col("_n") <= chunk_events, F.lit(0))
+                .otherwise(F.floor((F.col("t") - F.col("_t0")) / width))
+                .cast("long"),
+            )
+            .drop("_t0", "_span", "_n")
+        )
     fold = _fold_factory(float(cooldown_sec), dedupe)
 
     def run(with_state: DataFrame) -> DataFrame:
