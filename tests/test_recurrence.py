@@ -40,12 +40,12 @@ def stepping(rows, seed, carry=False):
 
 def random_case(seed):
     rnd = random.Random(seed)
-    keys = [f"k{i}" for i in range(5)]
+    keys = [f"k{i}" for i in range(5)] + ["hot"]
     rows = []
     for step in range(25):
         t = T0 + dt.timedelta(minutes=step)
         for k in keys:
-            if rnd.random() < 0.7:
+            if k == "hot" or rnd.random() < 0.7:
                 total = rnd.choice([0.0, rnd.uniform(-50, 500), rnd.uniform(50, 150)])
                 adj = rnd.choice([0.0, 0.0, rnd.uniform(-20, 20)])
                 rows.append(dict(k=k, t=t, total=total, adj=adj))
@@ -70,12 +70,17 @@ def to_frames(spark, rows, seeds):
     return series, seed
 
 
-@pytest.mark.parametrize("case", [1, 2, 3])
+@pytest.mark.parametrize("case,chunk", [(1, 4096), (2, 4096), (3, 1), (4, 3), (5, 7)])
 @pytest.mark.parametrize("policy", ["reset", "carry"])
-def test_closed_form_equals_stepping(spark, case, policy):
+def test_closed_form_equals_stepping(spark, case, chunk, policy):
+    """``chunk`` < number of batches splits every key's history into slices
+    that are stitched back together by the piece-level prefix state."""
     rows, seeds = random_case(case)
     series, seed = to_frames(spark, rows, seeds)
-    got = {(r.portfolio, r.current_time): r for r in refill_performance(series, "portfolio", seed, gap_policy=policy).collect()}
+    got = {
+        (r.portfolio, r.current_time): r
+        for r in refill_performance(series, "portfolio", seed, gap_policy=policy, chunk_batches=chunk).collect()
+    }
     want = stepping(rows, seeds, carry=(policy == "carry"))
     assert set(got) == set(want)
     for k, w in want.items():

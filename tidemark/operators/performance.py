@@ -154,6 +154,9 @@ def split_null_amounts(series: DataFrame) -> tuple[DataFrame, DataFrame]:
     return series.filter(~bad), series.filter(bad)
 
 
+CHUNK_BATCHES = 4096  # batches per (key, chunk) slice: at most this many rows per group
+
+
 def refill_performance(
     series: DataFrame,
     key: str,
@@ -161,74 +164,160 @@ def refill_performance(
     *,
     gap_policy: str = "reset",
     bucket: str = "day",
+    chunk_batches: int = CHUNK_BATCHES,
 ) -> DataFrame:
     """W2 + W3: the performance of every row of ``series`` (one row per
     (key, current_time), amounts non-NULL) as if stepped batch by batch.
 
     ``gap_policy='reset'`` reproduces the reference: the state handed from
     one batch to the next holds only that batch's keys, so a key absent from
-    a batch restarts from the refill defaults, and the ``seed`` (J9 rows)
-    applies only to keys present in the first batch. ``'carry'`` keeps the
-    state across gaps and seeds every key's first row.
+    a batch restarts from the refill defaults (a new *segment*), and the
+    ``seed`` (J9 rows) applies only to keys present in the first batch.
+    ``'carry'`` keeps the state across gaps and seeds every key's first row.
+
+    Skew: a key has at most one row per batch, so slicing its history into
+    chunks of ``chunk_batches`` consecutive batches bounds every group. Rows
+    are shuffled once, by (key, chunk); segments, running products, maxima
+    and minima are computed inside each chunk, and only small per-piece
+    summaries (one row per (key, chunk, segment)) carry the prefix state
+    across chunk boundaries before being joined back on the same partitioning.
+    A key holding a third of all rows is spread over all executors.
     """
     if gap_policy not in ("reset", "carry"):
         raise ValueError("gap_policy must be 'reset' or 'carry'")
+    from tidemark.session import checkpoint_root
+
+    checkpoint_root(series.sparkSession)
     d = REFILL_DEFAULTS
     k = F.col(key)
-    w_key = Window.partitionBy(key).orderBy("current_time")
-
-    rows = series.select(key, "current_time", "tw_time", "total_usd_value", "transfer_adjustment")
-    if gap_policy == "reset":
-        idx = batch_index(rows, bucket=bucket)
-        rows = rows.join(maybe_broadcast(idx), on="current_time")
-        prev_batch = F.lag("batch").over(w_key)
-        brk = prev_batch.isNull() | (F.col("batch") - prev_batch != 1) | k.isNull()
-        rows = rows.withColumn("seg", F.sum(brk.cast("long")).over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
-        w_seg = Window.partitionBy(key, "seg").orderBy("current_time")
-        seg_first_batch = F.min("batch").over(Window.partitionBy(key, "seg"))
-        seedable = seg_first_batch == 1
-    else:
-        rows = rows.withColumn("seg", F.lit(0).cast("long"))
-        w_seg = Window.partitionBy(key, "seg").orderBy("current_time")
-        seedable = F.lit(True)
+    cols = [key, "current_time", "tw_time", "total_usd_value", "transfer_adjustment"]
+    rows = series.select(*cols)
+
+    # NULL keys never match any state (the join drops them), so each such row
+    # starts fresh: r = 0, nav = 100, every other metric at its default.
+    null_rows = rows.filter(k.isNull()).select(
+        k,
+        "total_usd_value",
+        F.lit(max(d.history_high, d.nav)).alias("history_high"),
+        F.lit(d.nav).alias("nav"),
+        F.lit(0.0).alias("current_return"),
+        F.lit(d.crr).alias("crr"),
+        F.lit(0.0).alias("cd"),
+        F.lit(min(0.0, d.mdd)).alias("mdd"),
+        "current_time",
+        "tw_time",
+    )
+    rows = rows.filter(k.isNotNull())
+    idx = batch_index(rows, bucket=bucket)
+    rows = rows.join(maybe_broadcast(idx), on="current_time").withColumn(
+        "cb", F.floor((F.col("batch") - 1) / F.lit(int(chunk_batches))).cast("long")
+    )
+
+    # ---- pass 1 (one shuffle, by (key, chunk)): local segments ``ls`` and
+    # the factors (1 + r) inside each piece = (key, chunk, ls) ---------------
+    w_chunk = Window.partitionBy(key, "cb").orderBy("current_time")
+    lag_b = F.lag("batch").over(w_chunk)
+    local_brk = (lag_b.isNotNull() & (F.col("batch") - lag_b != 1)) if gap_policy == "reset" else F.lit(False)
+    rows = rows.withColumn("ls", F.sum(local_brk.cast("long")).over(w_chunk.rowsBetween(Window.unboundedPreceding, 0)))
+    w_piece = Window.partitionBy(key, "cb", "ls").orderBy("current_time")
+    run_piece = w_piece.rowsBetween(Window.unboundedPreceding, 0)
+    prev_local = F.lag("total_usd_value").over(w_piece)
+    rows = (
+        rows.withColumn("_net", F.col("total_usd_value") + F.col("transfer_adjustment"))
+        .withColumn("_rl", F.when(prev_local.isNotNull(), safe_div(F.col("_net") - prev_local, prev_local, otherwise=0.0)))
+        .withColumn("_gp", F.product(F.lit(1.0) + F.coalesce(F.col("_rl"), F.lit(0.0))).over(run_piece))
+        .checkpoint()
+    )
 
+    # ---- piece table (small): link pieces into segments, prefix state ----
+    pieces = rows.groupBy(key, "cb", "ls").agg(
+        F.min_by("_net", "current_time").alias("_net1"),
+        F.max_by("total_usd_value", "current_time").alias("_tlast"),
+        F.max_by("_gp", "current_time").alias("_pp"),
+        F.max("_gp").alias("_gmax"),
+        F.min("_gp").alias("_gmin"),
+        F.min("batch").alias("_fb"),
+        F.max("batch").alias("_lb"),
+    )
+    w_key = Window.partitionBy(key).orderBy("cb", "ls")
+    prev_lb = F.lag("_lb").over(w_key)
+    new_seg = prev_lb.isNull() | ((F.col("_fb") - prev_lb != 1) if gap_policy == "reset" else F.lit(False))
+    pieces = pieces.withColumn("seg", F.sum(new_seg.cast("long")).over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
+    w_seg = Window.partitionBy(key, "seg").orderBy("cb")
+    before = w_seg.rowsBetween(Window.unboundedPreceding, -1)
+    seedable = (F.min("_fb").over(Window.partitionBy(key, "seg")) == 1) if gap_policy == "reset" else F.lit(True)
+    pieces = pieces.withColumn("_seedrow", seedable)
     if seed is not None:
-        s = seed.select(
-            key,
-            F.col("history_high").alias("s_hh"),
-            F.col("nav").alias("s_nav"),
-            F.col("total_usd_value").alias("s_total"),
-            F.col("crr").alias("s_crr"),
-            F.col("mdd").alias("s_mdd"),
+        pieces = pieces.join(
+            seed.select(
+                key,
+                F.col("history_high").alias("s_hh"),
+                F.col("nav").alias("s_nav"),
+                F.col("total_usd_value").alias("s_total"),
+                F.col("crr").alias("s_crr"),
+                F.col("mdd").alias("s_mdd"),
+            ),
+            on=key,
+            how="left",
         )
-        rows = rows.join(s, on=key, how="left")
     else:
-        rows = (
-            rows.withColumn("s_hh", F.lit(None).cast("double"))
-            .withColumn("s_nav", F.lit(None).cast("double"))
-            .withColumn("s_total", F.lit(None).cast("double"))
-            .withColumn("s_crr", F.lit(None).cast("double"))
-            .withColumn("s_mdd", F.lit(None).cast("double"))
-        )
-
-    rows = rows.withColumn("_seedrow", seedable)
+        for c in ("s_hh", "s_nav", "s_total", "s_crr", "s_mdd"):
+            pieces = pieces.withColumn(c, F.lit(None).cast("double"))
 
     def seed_or(c: str, default: float) -> Column:
         return F.coalesce(F.when(F.col("_seedrow"), F.col(c)), F.lit(default))
 
-    net = F.col("total_usd_value") + F.col("transfer_adjustment")
-    frame = w_seg.rowsBetween(Window.unboundedPreceding, 0)
-    prev_total = F.coalesce(F.lag("total_usd_value").over(w_seg), F.when(F.col("_seedrow"), F.col("s_total")), net)
-    out = (
-        rows.withColumn("current_return", safe_div(net - prev_total, prev_total, otherwise=0.0))
-        .withColumn("_g", F.product(F.lit(1.0) + F.col("current_return")).over(frame))
-        .withColumn("nav", seed_or("s_nav", d.nav) * F.col("_g"))
-        .withColumn("crr", (F.lit(1.0) + seed_or("s_crr", d.crr)) * F.col("_g") - F.lit(1.0))
-        .withColumn("history_high", F.greatest(F.max("nav").over(frame), seed_or("s_hh", d.history_high)))
+    prev1 = F.coalesce(F.lag("_tlast").over(w_seg), F.when(F.col("_seedrow"), F.col("s_total")), F.col("_net1"))
+    pieces = (
+        pieces.withColumn("_nav0", seed_or("s_nav", d.nav))
+        .withColumn("_hh0", seed_or("s_hh", d.history_high))
+        .withColumn("_crr0", seed_or("s_crr", d.crr))
+        .withColumn("_mdd0", seed_or("s_mdd", d.mdd))
+        .withColumn("_r1", safe_div(F.col("_net1") - prev1, prev1, otherwise=0.0))
+        .withColumn("_f1", F.lit(1.0) + F.col("_r1"))
+        .withColumn("_gin", F.coalesce(F.product(F.col("_f1") * F.col("_pp")).over(before), F.lit(1.0)))
+    )
+    scale = F.col("_nav0") * F.col("_gin") * F.col("_f1")
+    pieces = pieces.withColumn(
+        "_navmax", F.when(scale >= 0, scale * F.col("_gmax")).otherwise(scale * F.col("_gmin"))
+    ).withColumn("_hhin", F.greatest(F.col("_hh0"), F.max("_navmax").over(before)))
+    state1 = _pack(pieces, key, "_st", ["seg", "_nav0", "_crr0", "_mdd0", "_r1", "_f1", "_gin", "_hhin"])
+
+    # ---- pass 2: nav, crr, hh, cd per row (same partitioning) -------------
+    rows = _unpack(rows.join(state1, on=[key, "cb"]), "_st")
+    g = F.col("_gin") * F.col("_f1") * F.col("_gp")
+    rows = (
+        rows.withColumn("current_return", F.coalesce(F.col("_rl"), F.col("_r1")))
+        .withColumn("nav", F.col("_nav0") * g)
+        .withColumn("crr", (F.lit(1.0) + F.col("_crr0")) * g - F.lit(1.0))
+        .withColumn("history_high", F.greatest(F.col("_hhin"), F.max("nav").over(run_piece)))
         .withColumn(
             "cd",
             F.when(F.col("history_high") != 0, F.col("nav") / F.col("history_high") - F.lit(1.0)).otherwise(0.0),
         )
-        .withColumn("mdd", F.least(F.min("cd").over(frame), seed_or("s_mdd", d.mdd)))
+        .withColumn("_cdmin", F.min("cd").over(run_piece))
+        .select(*[c for c in output_columns(key) if c != "mdd"], "cb", "ls", "seg", "_mdd0", "_cdmin")
+        .checkpoint()
     )
-    return out.select(*output_columns(key))
+
+    # ---- drawdown: prefix minimum of cd across a segment's pieces ---------
+    mins = rows.groupBy(key, "cb", "ls", "seg").agg(F.min("cd").alias("_pmin"), F.first("_mdd0").alias("_mdd0p"))
+    mins = mins.withColumn("_mddin", F.least(F.col("_mdd0p"), F.min("_pmin").over(before)))
+    state2 = _pack(mins, key, "_st2", ["_mddin"])
+    rows = _unpack(rows.join(state2, on=[key, "cb"]), "_st2")
+    out = rows.withColumn("mdd", F.least(F.col("_mddin"), F.col("_cdmin"))).select(*output_columns(key))
+    return out.unionByName(null_rows)
+
+
+def _pack(pieces: DataFrame, key: str, name: str, fields: list[str]) -> DataFrame:
+    """One row per (key, chunk) holding its pieces' states, so joining back
+    keeps the rows' (key, chunk) partitioning (no reshuffle of the rows)."""
+    return pieces.groupBy(key, "cb").agg(F.collect_list(F.struct("ls", *fields)).alias(name))
+
+
+def _unpack(rows: DataFrame, name: str) -> DataFrame:
+    el = F.get(F.filter(F.col(name), lambda x: x["ls"] == F.col("ls")), 0)
+    fields = [f.name for f in rows.schema[name].dataType.elementType.fields if f.name != "ls"]
+    for f in fields:
+        rows = rows.withColumn(f, el[f])
+    return rows.drop(name)
