@@ -141,7 +141,7 @@ def batch_index(rows: DataFrame, time_col: str = "current_time", bucket: str = "
     local = F.row_number().over(Window.partitionBy("bucket").orderBy("t"))
     return (
         times.withColumn("local", local)
-        .join(maybe_broadcast(offsets), on="bucket")
+        .join(F.broadcast(offsets), on="bucket")  # one row per day bucket: bounded by the range's span
         .select(F.col("t").alias(time_col), (F.col("offset") + F.col("local")).cast("long").alias("batch"))
     )
 
@@ -208,10 +208,13 @@ def refill_performance(
         "tw_time",
     )
     rows = rows.filter(k.isNotNull())
-    idx = batch_index(rows, bucket=bucket)
-    rows = rows.join(maybe_broadcast(idx), on="current_time").withColumn(
-        "cb", F.floor((F.col("batch") - 1) / F.lit(int(chunk_batches))).cast("long")
-    )
+    idx = batch_index(rows, bucket=bucket).persist()
+    n_batches = idx.agg(F.max("batch")).first()[0] or 0
+    rows = rows.join(idx, on="current_time")
+    if n_batches <= chunk_batches:
+        # every key has at most n_batches rows: one pass, groups already bounded
+        return _single_chunk(rows, key, seed, gap_policy).unionByName(null_rows)
+    rows = rows.withColumn("cb", F.floor((F.col("batch") - 1) / F.lit(int(chunk_batches))).cast("long"))
 
     # ---- pass 1 (one shuffle, by (key, chunk)): local segments ``ls`` and
     # the factors (1 + r) inside each piece = (key, chunk, ls) ---------------
@@ -226,8 +229,8 @@ def refill_performance(
         rows.withColumn("_net", F.col("total_usd_value") + F.col("transfer_adjustment"))
         .withColumn("_rl", F.when(prev_local.isNotNull(), safe_div(F.col("_net") - prev_local, prev_local, otherwise=0.0)))
         .withColumn("_gp", F.product(F.lit(1.0) + F.coalesce(F.col("_rl"), F.lit(0.0))).over(run_piece))
-        .checkpoint()
     )
+    rows = cut_lineage(rows)
 
     # ---- piece table (small): link pieces into segments, prefix state ----
     pieces = rows.groupBy(key, "cb", "ls").agg(
@@ -297,8 +300,8 @@ def refill_performance(
         )
         .withColumn("_cdmin", F.min("cd").over(run_piece))
         .select(*[c for c in output_columns(key) if c != "mdd"], "cb", "ls", "seg", "_mdd0", "_cdmin")
-        .checkpoint()
     )
+    rows = cut_lineage(rows)
 
     # ---- drawdown: prefix minimum of cd across a segment's pieces ---------
     mins = rows.groupBy(key, "cb", "ls", "seg").agg(F.min("cd").alias("_pmin"), F.first("_mdd0").alias("_mdd0p"))
@@ -309,9 +312,78 @@ def refill_performance(
     return out.unionByName(null_rows)
 
 
+def _seed_columns(rows: DataFrame, key: str, seed: DataFrame | None) -> DataFrame:
+    if seed is not None:
+        return rows.join(
+            seed.select(
+                key,
+                F.col("history_high").alias("s_hh"),
+                F.col("nav").alias("s_nav"),
+                F.col("total_usd_value").alias("s_total"),
+                F.col("crr").alias("s_crr"),
+                F.col("mdd").alias("s_mdd"),
+            ),
+            on=key,
+            how="left",
+        )
+    for c in ("s_hh", "s_nav", "s_total", "s_crr", "s_mdd"):
+        rows = rows.withColumn(c, F.lit(None).cast("double"))
+    return rows
+
+
+def _single_chunk(rows: DataFrame, key: str, seed: DataFrame | None, gap_policy: str) -> DataFrame:
+    """The closed form with windows per key and per (key, segment); used when
+    the whole range is one chunk, so a key's group has at most one row per
+    batch. One shuffle by key serves both windows."""
+    d = REFILL_DEFAULTS
+    w_key = Window.partitionBy(key).orderBy("current_time")
+    if gap_policy == "reset":
+        prev_batch = F.lag("batch").over(w_key)
+        brk = prev_batch.isNull() | (F.col("batch") - prev_batch != 1)
+        rows = rows.withColumn("seg", F.sum(brk.cast("long")).over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
+        seedable = F.min("batch").over(Window.partitionBy(key, "seg")) == 1
+    else:
+        rows = rows.withColumn("seg", F.lit(0).cast("long"))
+        seedable = F.lit(True)
+    rows = _seed_columns(rows, key, seed).withColumn("_seedrow", seedable)
+
+    def seed_or(c: str, default: float) -> Column:
+        return F.coalesce(F.when(F.col("_seedrow"), F.col(c)), F.lit(default))
+
+    w_seg = Window.partitionBy(key, "seg").orderBy("current_time")
+    frame = w_seg.rowsBetween(Window.unboundedPreceding, 0)
+    net = F.col("total_usd_value") + F.col("transfer_adjustment")
+    prev_total = F.coalesce(F.lag("total_usd_value").over(w_seg), F.when(F.col("_seedrow"), F.col("s_total")), net)
+    out = (
+        rows.withColumn("current_return", safe_div(net - prev_total, prev_total, otherwise=0.0))
+        .withColumn("_g", F.product(F.lit(1.0) + F.col("current_return")).over(frame))
+        .withColumn("nav", seed_or("s_nav", d.nav) * F.col("_g"))
+        .withColumn("crr", (F.lit(1.0) + seed_or("s_crr", d.crr)) * F.col("_g") - F.lit(1.0))
+        .withColumn("history_high", F.greatest(F.max("nav").over(frame), seed_or("s_hh", d.history_high)))
+        .withColumn(
+            "cd",
+            F.when(F.col("history_high") != 0, F.col("nav") / F.col("history_high") - F.lit(1.0)).otherwise(0.0),
+        )
+        .withColumn("mdd", F.least(F.min("cd").over(frame), seed_or("s_mdd", d.mdd)))
+    )
+    return out.select(*output_columns(key))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` into the cluster's checkpoint directory (reliable,
+    survives executor loss). Persisted first so the checkpoint write reads
+    the computed partitions instead of recomputing them."""
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
 def _pack(pieces: DataFrame, key: str, name: str, fields: list[str]) -> DataFrame:
-    """One row per (key, chunk) holding its pieces' states, so joining back
-    keeps the rows' (key, chunk) partitioning (no reshuffle of the rows)."""
+    """One row per (key, chunk) holding its pieces' states (a chunk's rows
+    need exactly one state row). The join back is planned by AQE from the
+    state table's measured size: broadcast when small, else a shuffle on
+    (key, chunk), which is balanced however skewed the keys are."""
     return pieces.groupBy(key, "cb").agg(F.collect_list(F.struct("ls", *fields)).alias(name))
 
 

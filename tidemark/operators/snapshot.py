@@ -109,11 +109,11 @@ def balance(total: Column, available: Column, notional: Column, liability: Colum
     )
 
 
-def fold(rows: DataFrame, *, asset: Column, bal: Column, usd: Column, keep: Column, error: Column, total_usd: Column | None = None) -> DataFrame:
-    """A6 + F12: back to one row per portfolio. ``balances`` keeps the last
-    kept entry per asset (a Python dict is last-wins); ``total_usd_value``
-    sums every kept row, or takes ``total_usd`` (a payload-level total)."""
-    r = rows.select(
+def asset_rows(
+    rows: DataFrame, *, asset: Column, bal: Column, usd: Column, keep: Column, error: Column, total_usd: Column | None = None
+) -> DataFrame:
+    """Valued asset rows in the common shape every exchange folds from."""
+    return rows.select(
         "portfolio",
         "exchange",
         "pos",
@@ -123,12 +123,22 @@ def fold(rows: DataFrame, *, asset: Column, bal: Column, usd: Column, keep: Colu
         (keep & F.col("e").isNotNull()).alias("_keep"),
         F.coalesce(error, F.lit(True)).alias("_err"),
         (total_usd if total_usd is not None else F.lit(None).cast("double")).alias("_tot"),
+        F.lit(total_usd is not None).alias("_has_tot"),
     )
+
+
+def fold_rows(r: DataFrame) -> DataFrame:
+    """A6 + F12: back to one row per portfolio. ``balances`` keeps the last
+    kept entry per asset (a Python dict is last-wins); ``total_usd_value``
+    sums every kept row, or takes the payload-level total when the exchange
+    reports one. Partial aggregation runs before the shuffle, and one
+    account's rows sit in one payload, so the group is bounded."""
     out = r.groupBy("portfolio", "exchange").agg(
         F.sort_array(F.collect_list(F.when(F.col("_keep"), F.struct("pos", "_asset", "_bal")))).alias("_kept"),
         F.coalesce(F.sum(F.when(F.col("_keep"), F.col("_usd"))), F.lit(0.0)).alias("_sum"),
         F.first("_tot", ignorenulls=True).alias("_tot"),
         F.max(F.col("_err").cast("int")).alias("_bad"),
+        F.max("_has_tot").alias("_has_tot"),
     )
     # last-wins per asset inside the (bounded) account array: keep an entry
     # only when no later entry has the same asset.
@@ -139,11 +149,25 @@ def fold(rows: DataFrame, *, asset: Column, bal: Column, usd: Column, keep: Colu
     out = out.withColumn(
         "balances", F.map_from_entries(F.transform(last_only, lambda x: F.struct(x["_asset"], x["_bal"])))
     )
-    total = F.col("_sum") if total_usd is None else F.col("_tot")
+    total = F.when(F.col("_has_tot"), F.col("_tot")).otherwise(F.col("_sum"))
     return out.select("portfolio", "exchange", "balances", total.alias("total_usd_value"), (F.col("_bad") == 1).alias("_bad"))
 
 
+def _normaliser(fn):
+    """``fn(payloads, lookups)`` yields asset rows; the public normaliser
+    folds them and attaches the transfer adjustment (0 when not given)."""
+
+    def public(payloads: DataFrame, lookups: Lookups, adjustments: DataFrame | None = None) -> DataFrame:
+        return _with_adjustment(fold_rows(fn(payloads, lookups)), adjustments)
+
+    public.rows = fn
+    public.__name__ = fn.__name__
+    public.__doc__ = fn.__doc__
+    return public
+
+
 # --------------------------------------------------------------------------- X1 binance
+@_normaliser
 def normalise_binance(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     """amount = free + locked, zero skipped; stables at 1, others priced by
     ``asset || 'USDT'`` or skipped; map values rounded (6 / 2), total not."""
@@ -157,12 +181,11 @@ def normalise_binance(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     usd = amount * price
     err = e.isNotNull() & (fails(e.free) | fails(e.locked) | e.asset.isNull())
     bal = balance(F.bround(amount, 6), F.bround(amount, 6), F.bround(usd, 2), F.lit(0.0), F.lit(0.0))
-    return fold(a, asset=e.asset, bal=bal, usd=usd, keep=keep, error=err).withColumn(
-        "transfer_adjustment", F.lit(0.0)
-    )
+    return asset_rows(a, asset=e.asset, bal=bal, usd=usd, keep=keep, error=err)
 
 
 # --------------------------------------------------------------------------- X2 bingx
+@_normaliser
 def normalise_bingx(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     a = _assets(payloads, "bingx", "data")
     e = F.col("e")
@@ -170,9 +193,7 @@ def normalise_bingx(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     liability = F.coalesce(e.realisedProfit, F.lit("0"))
     err = e.isNotNull() & (fails(e.balance) | fails(available) | fails(e.equity) | fails(liability) | e.asset.isNull())
     bal = balance(num(e.balance), num(available), num(e.equity), num(liability), F.lit(0.0))
-    return fold(a, asset=e.asset, bal=bal, usd=num(e.equity), keep=F.lit(True), error=err).withColumn(
-        "transfer_adjustment", F.lit(0.0)
-    )
+    return asset_rows(a, asset=e.asset, bal=bal, usd=num(e.equity), keep=F.lit(True), error=err)
 
 
 # --------------------------------------------------------------------------- X3 bitmart
@@ -185,6 +206,7 @@ def first_trading_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
+@_normaliser
 def normalise_bitmart(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     """With a trading pair: total = available x last, notional = (available +
     frozen) x last; without: price 1. A pair without a ticker fails."""
@@ -207,12 +229,11 @@ def normalise_bitmart(payloads: DataFrame, lookups: Lookups) -> DataFrame:
         fails(e.available_balance) | fails(e.frozen_balance) | (has_pair & last.isNull()) | e.currency.isNull()
     )
     bal = balance(total, avail, notional, F.lit(0.0), F.lit(0.0))
-    return fold(a, asset=e.currency, bal=bal, usd=total, keep=F.lit(True), error=err).withColumn(
-        "transfer_adjustment", F.lit(0.0)
-    )
+    return asset_rows(a, asset=e.currency, bal=bal, usd=total, keep=F.lit(True), error=err)
 
 
 # --------------------------------------------------------------------------- X4 bitmex
+@_normaliser
 def normalise_bitmex(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     """XBT/BTC/WBTC / 1e8, others / 1e6; stables at par, else x lastPrice of
     the first IFXXXP instrument ``<CCY>_USDT``; unpriced assets stay in the
@@ -231,13 +252,12 @@ def normalise_bitmex(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     usd = F.when(ccy.isin(BITMEX_STABLES), amount).otherwise(F.coalesce(amount * F.col("_lp").cast("double"), F.lit(0.0)))
     err = e.isNotNull() & (e.currency.isNull() | e.marginBalance.isNull())
     bal = balance(amount, amount, amount, F.lit(0.0), F.lit(0.0))
-    return fold(a, asset=e.currency, bal=bal, usd=usd, keep=F.lit(True), error=err).withColumn(
-        "transfer_adjustment", F.lit(0.0)
-    )
+    return asset_rows(a, asset=e.currency, bal=bal, usd=usd, keep=F.lit(True), error=err)
 
 
 # --------------------------------------------------------------------------- X5 bybit
-def normalise_bybit(payloads: DataFrame, lookups: Lookups, adjustments: DataFrame | None = None) -> DataFrame:
+@_normaliser
+def normalise_bybit(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     """Map from ``data[0].coin``; total = payload ``totalEquity``; adjustment
     from the unified-rule transfer sum (A7)."""
     a = _assets(payloads, "bybit", "data[0].coin")
@@ -248,14 +268,14 @@ def normalise_bybit(payloads: DataFrame, lookups: Lookups, adjustments: DataFram
         e.isNotNull() & (fails(e.equity) | fails(e.usdValue) | fails(e.cumRealisedPnl) | interest.isNull() | e.coin.isNull())
     )
     bal = balance(num(e.walletBalance), num(e.equity), num(e.usdValue), num(e.cumRealisedPnl), interest)
-    out = fold(
+    return asset_rows(
         a, asset=e.coin, bal=bal, usd=F.lit(0.0), keep=F.lit(True), error=err, total_usd=num(first.getField("totalEquity"))
     )
-    return _with_adjustment(out, adjustments)
 
 
 # --------------------------------------------------------------------------- X6 okx
-def normalise_okx(payloads: DataFrame, lookups: Lookups, adjustments: DataFrame | None = None) -> DataFrame:
+@_normaliser
+def normalise_okx(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     """"" -> 0 on the five fields; total = ``totalEq``; adjustment from the
     18/6 transfer sum (A8) over a fixed 0.5-minute window."""
     a = _assets(payloads, "okx", "data[0].details")
@@ -266,8 +286,7 @@ def normalise_okx(payloads: DataFrame, lookups: Lookups, adjustments: DataFrame
         e.isNotNull() & ((F.greatest(*[v.isNull().cast("int") for v in f.values()]) == 1) | e.ccy.isNull())
     )
     bal = balance(f["eq"], f["availEq"], f["eqUsd"], f["liab"], f["interest"])
-    out = fold(a, asset=e.ccy, bal=bal, usd=F.lit(0.0), keep=F.lit(True), error=err, total_usd=num(first.getField("totalEq")))
-    return _with_adjustment(out, adjustments)
+    return asset_rows(a, asset=e.ccy, bal=bal, usd=F.lit(0.0), keep=F.lit(True), error=err, total_usd=num(first.getField("totalEq")))
 
 
 # --------------------------------------------------------------------------- X7 zoomex
@@ -293,15 +312,14 @@ def _zoomex_rows(payloads: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
     return a, cols
 
 
+@_normaliser
 def normalise_zoomex(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     """usdValue when present, else equity for stables, else 0 (and listed as
     missing a price)."""
     a, c = _zoomex_rows(payloads)
     e = F.col("e")
     bal = balance(num(e.walletBalance), c["available"], c["notional"], num(e.cumRealisedPnl), c["interest"])
-    return fold(a, asset=e.coin, bal=bal, usd=c["notional"], keep=F.lit(True), error=c["err"]).withColumn(
-        "transfer_adjustment", F.lit(0.0)
-    )
+    return asset_rows(a, asset=e.coin, bal=bal, usd=c["notional"], keep=F.lit(True), error=c["err"])
 
 
 def zoomex_missing_prices(payloads: DataFrame) -> DataFrame:
@@ -313,9 +331,10 @@ def zoomex_missing_prices(payloads: DataFrame) -> DataFrame:
 def _with_adjustment(out: DataFrame, adjustments: DataFrame | None) -> DataFrame:
     if adjustments is None:
         return out.withColumn("transfer_adjustment", F.lit(0.0))
-    adj = adjustments.select("portfolio", F.col("adjustment").alias("_adj"), F.col("ok").alias("_adj_ok"))
+    keys = ["portfolio", "exchange"] if "exchange" in adjustments.columns else ["portfolio"]
+    adj = adjustments.select(*keys, F.col("adjustment").alias("_adj"), F.col("ok").alias("_adj_ok"))
     return (
-        out.join(adj, "portfolio", "left")
+        out.join(adj, keys, "left")
         .withColumn("_bad", F.col("_bad") | ~F.coalesce(F.col("_adj_ok"), F.lit(True)))
         .withColumn("transfer_adjustment", F.coalesce(F.col("_adj"), F.lit(0.0)))
         .drop("_adj", "_adj_ok")
@@ -346,19 +365,19 @@ def snapshot(
     """Dispatch by exchange, normalise, stamp ``as_of``; unknown
     exchanges and failed portfolios go to ``quarantine`` (X8)."""
     t = ts_lit(as_of)
-    parts = []
-    for ex in exchanges or EXCHANGES:
-        if ex == "bybit":
-            adj = transfer_adjustment(transfers, as_of, bybit_interval_minutes, "unified") if transfers is not None else None
-            parts.append(normalise_bybit(payloads, lookups, adj))
-        elif ex == "okx":
-            adj = transfer_adjustment(transfers, as_of, OKX_TRANSFER_WINDOW_MIN, "18/6") if transfers is not None else None
-            parts.append(normalise_okx(payloads, lookups, adj))
-        else:
-            parts.append(NORMALISERS[ex](payloads, lookups))
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
+    todo = exchanges or EXCHANGES
+    rows = None
+    for ex in todo:
+        r = NORMALISERS[ex].rows(payloads, lookups)
+        rows = r if rows is None else rows.unionByName(r)
+    adj = None
+    if transfers is not None:
+        rules = {"bybit": (bybit_interval_minutes, "unified"), "okx": (OKX_TRANSFER_WINDOW_MIN, "18/6")}
+        for ex, (minutes, rule) in rules.items():
+            if ex in todo:
+                a = transfer_adjustment(transfers, as_of, minutes, rule).withColumn("exchange", F.lit(ex))
+                adj = a if adj is None else adj.unionByName(a)
+    allp = _with_adjustment(fold_rows(rows), adj)
     allp = allp.withColumn("current_time", t).withColumn("tw_time", tw_time(t))
     good = allp.filter(~F.col("_bad")).select(*SUMMARY_COLUMNS)
     failed = allp.filter(F.col("_bad")).select("portfolio", "exchange", F.lit("unparsable payload").alias("reason"))
