@@ -12,7 +12,7 @@ from conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 SAMPLE = ["composite_live", "perf_step_prev", "refill_master", "refill_portfolio", "dedup_summary", "merge_summary",
-          "snapshot_okx", "snapshot_binance", "job_stats", "alert_cooldown", "iso_normalise"]
+          "snapshot_okx", "snapshot_binance", "job_stats", "alert_cooldown", "iso_normalise", "stream_mart", "stream_alert"]
 
 
 def test_entry_smoke(spark):

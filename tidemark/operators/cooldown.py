@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import message_hash
 from tidemark.operators.transfers import epoch_ms
+from tidemark.session import cut_lineage
 
 RESULT_SCHEMA = "key string, id long, chunk long, t double, h string, in_t double, in_h string, emitted boolean"
 
@@ -86,10 +87,6 @@ def cooldown(
     needs no extra round; a hot key is split into bounded groups.
     ``max_rounds`` is only a safety valve for tests; ``None`` iterates to the
     exact fixpoint."""
-    spark = alerts.sparkSession
-    from tidemark.session import checkpoint_root
-
-    checkpoint_root(spark)
     if chunk_sec is not None and chunk_sec < cooldown_sec:
         raise ValueError("chunk_sec must be at least cooldown_sec")
     ev = alerts.select(
@@ -122,17 +119,18 @@ def cooldown(
         return with_state.groupBy("key", "chunk").applyInPandas(fold, RESULT_SCHEMA)
 
     fresh = ev.withColumn("in_t", F.lit(None).cast("double")).withColumn("in_h", F.lit(None).cast("string"))
-    results = run(fresh).checkpoint()
+    results = cut_lineage(run(fresh))
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
         used = results.select("key", "chunk", "in_t", "in_h").dropDuplicates(["key", "chunk"])
         state = used.join(_last_emission(results), ["key", "chunk"], "left")
         changed = state.filter(
             ~(F.col("in_t").eqNullSafe(F.col("nx_t")) & F.col("in_h").eqNullSafe(F.col("nx_h")))
-        ).select("key", "chunk", F.col("nx_t").alias("in_t"), F.col("nx_h").alias("in_h")).checkpoint()
+        ).select("key", "chunk", F.col("nx_t").alias("in_t"), F.col("nx_h").alias("in_h"))
+        changed = cut_lineage(changed)
         if changed.isEmpty():
             break
         redo = run(ev.join(changed, ["key", "chunk"], "inner"))
-        results = results.join(changed.select("key", "chunk"), ["key", "chunk"], "left_anti").unionByName(redo).checkpoint()
+        results = cut_lineage(results.join(changed.select("key", "chunk"), ["key", "chunk"], "left_anti").unionByName(redo))
         rounds += 1
     return results.select("key", "id", "h", "emitted").withColumnRenamed("h", "hash")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import safe_div, ts_lit, tw_time
 from tidemark.operators.joins import maybe_broadcast
 from tidemark.operators.rollup import latest_per_key
+from tidemark.session import cut_lineage
 
 OUT_METRICS = ["total_usd_value", "history_high", "nav", "current_return", "crr", "cd", "mdd"]
 
@@ -185,9 +186,6 @@ def refill_performance(
     """
     if gap_policy not in ("reset", "carry"):
         raise ValueError("gap_policy must be 'reset' or 'carry'")
-    from tidemark.session import checkpoint_root
-
-    checkpoint_root(series.sparkSession)
     d = REFILL_DEFAULTS
     k = F.col(key)
     cols = [key, "current_time", "tw_time", "total_usd_value", "transfer_adjustment"]
@@ -369,16 +367,6 @@ def _single_chunk(rows: DataFrame, key: str, seed: DataFrame | None, gap_policy:
     return out.select(*output_columns(key))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the cluster's checkpoint directory (reliable,
-    survives executor loss). Persisted first so the checkpoint write reads
-    the computed partitions instead of recomputing them."""
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
-
-
 def _pack(pieces: DataFrame, key: str, name: str, fields: list[str]) -> DataFrame:
     """One row per (key, chunk) holding its pieces' states (a chunk's rows
     need exactly one state row). The join back is planned by AQE from the

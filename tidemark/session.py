@@ -63,3 +63,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def cut_lineage(df):
+    """Materialise ``df`` into the checkpoint directory (reliable: survives
+    executor loss, unlike a local checkpoint). Persisted first so the
+    checkpoint write reads the computed partitions instead of recomputing
+    them; the cache is dropped once the checkpoint exists."""
+    checkpoint_root(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
