@@ -16,12 +16,28 @@ HISTORY_SIZE = 50  # fixed: newest events kept per job
 TERMINAL = ["success", "error", "missed"]
 
 
-def with_durations(events: DataFrame) -> DataFrame:
+CHUNK = "day"  # slice of a job's history handled by one window group
+
+
+def with_durations(events: DataFrame, chunk: str = CHUNK) -> DataFrame:
     """``duration_ms`` of a success / error event = its time minus the
     latest ``submitted`` time at or before it (NULL when none, and for
-    ``missed``); ``message`` of a missed event names its scheduled time."""
-    w = Window.partitionBy("job_id").orderBy("recorded_at", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.last(F.when(F.col("event") == "submitted", F.col("recorded_at")), ignorenulls=True).over(w)
+    ``missed``); ``message`` of a missed event names its scheduled time.
+
+    Skew: the look-back runs per (job, day) slice, and the latest submission
+    of earlier slices comes from a small per-slice table (one row per job and
+    day) with a running max, joined back on the same (job, day) key -- a job
+    with most of the events is spread over all tasks."""
+    sub_t = F.when(F.col("event") == "submitted", F.col("recorded_at"))
+    e = events.withColumn("_chunk", F.date_trunc(chunk, "recorded_at"))
+    w = Window.partitionBy("job_id", "_chunk").orderBy("recorded_at", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("_local", F.last(sub_t, ignorenulls=True).over(w))
+    slices = events.groupBy("job_id", F.date_trunc(chunk, "recorded_at").alias("_chunk")).agg(F.max(sub_t).alias("_lsub"))
+    slices = slices.withColumn(
+        "_carry", F.max("_lsub").over(Window.partitionBy("job_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1))
+    ).drop("_lsub")
+    e = e.join(slices, ["job_id", "_chunk"], "left")
+    start = F.coalesce(F.col("_local"), F.col("_carry"))
     micros = F.timestamp_diff("MICROSECOND", start, F.col("recorded_at"))
     duration = F.when(F.col("event").isin("success", "error"), micros / 1e6 * 1000.0)
     missed_msg = F.when(
@@ -33,7 +49,7 @@ def with_durations(events: DataFrame) -> DataFrame:
         .when(F.col("event") == "submitted", F.lit(None).cast("string"))
         .otherwise(F.col("message"))
     )
-    return events.withColumn("duration_ms", duration).withColumn("message", message)
+    return e.withColumn("duration_ms", duration).withColumn("message", message).drop("_chunk", "_local", "_carry")
 
 
 def job_stats(events: DataFrame) -> DataFrame:
