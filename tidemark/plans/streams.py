@@ -15,7 +15,7 @@ from tidemark.plans import payloads as P
 from tidemark.plans import queries as Q
 from tidemark.plans.fixtures import load
 from tidemark.session import checkpoint_root
-from tidemark.sources.tables import read_table
+from tidemark.sources.tables import read_epochs, read_upserted
 from tidemark.streaming import jobs as SJ
 
 YEARS_FROM, YEARS_TO = 1995, 2001  # order dates of the fixtures, one batch per year
@@ -47,7 +47,7 @@ def stream_snapshot(spark: SparkSession, d: str) -> DataFrame:
         available_now=True,
     )
     q.awaitTermination()
-    return Q._summary_rows(read_table(spark, f"{root}/summary"))
+    return Q._summary_rows(read_upserted(spark, f"{root}/summary", SJ.SUMMARY_KEYS))
 
 
 @Q.query
@@ -69,7 +69,7 @@ def stream_mart(spark: SparkSession, d: str) -> DataFrame:
             schema=summaries.schema,
             available_now=True,
         ).awaitTermination()
-    return Q.finish(read_table(spark, f"{root}/mart"))
+    return Q.finish(read_upserted(spark, f"{root}/mart", ["master_portfolio", "current_time"]))
 
 
 @Q.query
@@ -82,7 +82,7 @@ def stream_alert(spark: SparkSession, d: str) -> DataFrame:
         part.write.mode("append").parquet(f"{root}/in")
         src = spark.readStream.schema(schema).parquet(f"{root}/in").withColumnRenamed("current_time", "ts")
         SJ.alert_stream(src, f"{root}/out", f"{root}/ckpt", Q.COOLDOWN_SEC, dedupe=True, available_now=True).awaitTermination()
-    return read_table(spark, f"{root}/out")
+    return read_epochs(spark, f"{root}/out").drop("epoch")
 
 
 @Q.query
@@ -94,7 +94,7 @@ def stream_job_stats(spark: SparkSession, d: str) -> DataFrame:
         part.write.mode("append").parquet(f"{root}/in")
         src = spark.readStream.schema(events.schema).parquet(f"{root}/in")
         SJ.job_stats_stream(src, f"{root}/out", f"{root}/ckpt", available_now=True).awaitTermination()
-    return read_table(spark, f"{root}/out")
+    return read_upserted(spark, f"{root}/out", ["job_id"])
 
 
 __all__ = ["stream_snapshot", "stream_mart", "stream_alert", "stream_job_stats", "active_portfolios"]

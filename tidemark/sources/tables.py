@@ -90,3 +90,61 @@ def upsert(
         return write_version(rows, root, partition_by)
     new = merge(old, rows, keys, strategy="set", upsert=True, null_keeps_target=null_keeps_target, check_rows=False)
     return write_version(new.table.select(*old.columns, *[c for c in rows.columns if c not in old.columns]), root, partition_by)
+
+
+# --------------------------------------------------------------------------- streaming sinks
+# A micro-batch writes its rows under ``<root>/epoch=<batch id>`` with
+# overwrite, so a replayed batch replaces exactly its own output
+# (idempotent). Readers see the upsert view: the newest epoch per key.
+# Small per-key state (latest summary, latest mart row) is kept as one
+# snapshot per epoch, so a batch reads O(#keys) rows, not the history.
+def epoch_path(root: str, epoch: int) -> str:
+    return f"{root.rstrip('/')}/epoch={int(epoch):012d}"
+
+
+def write_epoch(df: DataFrame, root: str, epoch: int) -> str:
+    path = epoch_path(root, epoch)
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
+def _epochs(spark: SparkSession, root: str) -> list[int]:
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("epoch=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def read_epochs(spark: SparkSession, root: str) -> DataFrame | None:
+    """Every committed epoch's rows, with an ``epoch`` column."""
+    eps = _epochs(spark, root)
+    if not eps:
+        return None
+    return spark.read.option("basePath", root).parquet(*[epoch_path(root, e) for e in eps])
+
+
+def read_upserted(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame | None:
+    """Upsert view of an epoch-partitioned table: per key, the row of the
+    newest epoch (K8 / K7 semantics without rewriting the history)."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = read_epochs(spark, root)
+    if df is None:
+        return None
+    w = Window.partitionBy(*keys).orderBy(F.col("epoch").desc())
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "epoch")
+
+
+def read_state(spark: SparkSession, root: str, before_epoch: int, schema: T.StructType | None = None) -> DataFrame | None:
+    """The newest state snapshot written by an epoch strictly before
+    ``before_epoch`` (a replayed batch never sees its own output)."""
+    eps = [e for e in _epochs(spark, root) if e < before_epoch]
+    if eps:
+        return spark.read.parquet(epoch_path(root, eps[-1]))
+    return spark.createDataFrame([], schema) if schema is not None else None

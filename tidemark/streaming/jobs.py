@@ -22,7 +22,8 @@ from tidemark.operators.snapshot import Lookups, snapshot
 from tidemark.operators.transfers import epoch_ms
 from tidemark.plans.jobs import master_mart
 from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE
-from tidemark.sources.tables import append_rows, read_table, upsert
+from tidemark.operators.rollup import latest_per_key
+from tidemark.sources.tables import read_state, write_epoch
 
 SUMMARY_KEYS = ["portfolio", "current_time"]
 PAYLOAD_STREAM_SCHEMA = "portfolio string, exchange string, payload string, fetched_at timestamp_ntz"
@@ -49,7 +50,9 @@ def snapshot_stream(
     processing_time: str = "10 seconds",
 ):
     """Payload files -> X0-X8 -> K8 upsert keyed (portfolio, current_time).
-    The run time of a batch is its newest ``fetched_at`` (to the second)."""
+    The run time of a batch is its newest ``fetched_at`` (to the second).
+    Each batch writes its summaries and quarantine under its own epoch; the
+    upsert view is ``read_upserted(summary_root, SUMMARY_KEYS)``."""
     src = spark.readStream.schema(PAYLOAD_STREAM_SCHEMA).json(payload_dir)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
@@ -57,8 +60,8 @@ def snapshot_stream(
         if as_of is None:
             return
         snap = snapshot(batch, lookups, as_of, transfers=transfers, bybit_interval_minutes=bybit_interval_minutes)
-        upsert(spark, summary_root, snap.summaries, SUMMARY_KEYS)
-        append_rows(spark, quarantine_root, snap.quarantine.withColumn("batch", F.lit(epoch).cast("long")))
+        write_epoch(snap.summaries, summary_root, epoch)
+        write_epoch(snap.quarantine, quarantine_root, epoch)
 
     return _start(src.writeStream.foreachBatch(per_batch), checkpoint, available_now, processing_time)
 
@@ -72,14 +75,20 @@ def mart_stream(
     mart_root: str,
     checkpoint: str,
     *,
+    state_root: str | None = None,
     schema: T.StructType | str = ACCOUNT_SUMMARY,
     available_now: bool = False,
     processing_time: str = "20 seconds",
     max_files_per_trigger: int | None = None,
 ):
-    """R2: new summaries are upserted (K8), then the master mart steps once at
-    the batch's newest ``current_time`` from the mart's latest state (W1) and
-    is upserted with NULLs keeping stored values (K7)."""
+    """R2: new summaries land in the history under their epoch (K8 view by
+    newest epoch); the latest summary per portfolio and the latest mart row
+    per master are kept as small per-epoch state snapshots, so a batch reads
+    O(#portfolios) rows, never the history. The master mart then steps once
+    at the batch's newest ``current_time`` (W1) and its rows are written
+    under the epoch (K7: a replay rewrites the same rows)."""
+    state_root = state_root or f"{mart_root.rstrip('/')}_state"
+    tiebreak = [F.col("id").desc()] if "id" in (schema.fieldNames() if isinstance(schema, T.StructType) else []) else []
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -89,11 +98,15 @@ def mart_stream(
         as_of = batch.agg(F.max("current_time")).first()[0]
         if as_of is None:
             return
-        upsert(spark, summary_root, batch, SUMMARY_KEYS)
-        summaries = read_table(spark, summary_root)
-        previous = read_table(spark, mart_root, MASTER_PERFORMANCE)
-        step = master_mart(portfolios, summaries, previous, as_of)
-        upsert(spark, mart_root, step, ["master_portfolio", "current_time"], null_keeps_target=True)
+        write_epoch(batch, summary_root, epoch)
+        prev_latest = read_state(spark, f"{state_root}/latest_summary", epoch, batch.schema)
+        latest = latest_per_key(prev_latest.unionByName(batch), "portfolio", "current_time", tiebreak)
+        latest_path = write_epoch(latest, f"{state_root}/latest_summary", epoch)
+        prev_mart = read_state(spark, f"{state_root}/latest_mart", epoch, MASTER_PERFORMANCE)
+        step = master_mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of)
+        step_path = write_epoch(step, mart_root, epoch)
+        mart_latest = latest_per_key(prev_mart.unionByName(spark.read.parquet(step_path)), "master_portfolio")
+        write_epoch(mart_latest, f"{state_root}/latest_mart", epoch)
 
     return _start(src.writeStream.foreachBatch(per_batch), checkpoint, available_now, processing_time)
 
@@ -152,7 +165,7 @@ def alert_stream(
     )
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        upsert(spark, sink_root, batch, ["key", "id"])
+        write_epoch(batch, sink_root, epoch)
 
     return _start(out.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, available_now, processing_time)
 
@@ -167,7 +180,8 @@ def job_stats_stream(
     processing_time: str = "10 seconds",
 ):
     """A10 counters and last-* times as a streaming aggregation in update
-    mode; each batch's changed jobs are upserted by ``job_id``."""
+    mode; each batch writes its changed jobs under its epoch, read back as
+    the newest epoch per ``job_id``."""
     spark = events.sparkSession
     order = F.struct("recorded_at", "event_id")
     sub = F.col("event") == "submitted"
@@ -183,6 +197,6 @@ def job_stats_stream(
     )
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        upsert(spark, sink_root, batch, ["job_id"])
+        write_epoch(batch, sink_root, epoch)  # upsert view: newest epoch per job_id
 
     return _start(agg.writeStream.outputMode("update").foreachBatch(per_batch), checkpoint, available_now, processing_time)
