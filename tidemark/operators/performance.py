@@ -60,12 +60,17 @@ def performance_step(
     ``previous`` (the mart). Live defaults: hh 0, nav 100, crr 0, mdd 0, and a
     missing previous total falls back to the current *total* (r = adj/total).
 
-    When the mart is empty, only the seed row (``seed_key``, default the
+    The previous state is the newest row per key strictly before ``as_of``.
+    When there is none at all, only the seed row (``seed_key``, default the
     smallest key) starts from prev_total = net, so it returns 0.
     Division by a zero previous total yields NULL (pandas gives +-inf/NaN and
     drops NaN on write; ANSI Spark would raise).
     """
     d = LIVE_DEFAULTS
+    if previous is not None:
+        # state strictly before this run: a replay at the same as_of reads the
+        # same state and writes the same rows (idempotent)
+        previous = previous.filter(F.col("current_time") < ts_lit(as_of))
     prev_empty = previous is None or previous.isEmpty()
     if prev_empty:
         if seed_key is None:
