@@ -284,14 +284,23 @@ def merge(
     keys = list(key_fields)
     t_cols = [c for c in target.columns if c not in keys]
     s_cols = [c for c in source.columns if c not in keys]
-    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_t"))
-    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.lit(True).alias("_s"))
-    j = t.join(s, on=keys, how="full_outer")
+    t = target.select(
+        *[F.col(k).alias(f"_tk_{k}") for k in keys], *[F.col(c).alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_t")
+    )
+    s = source.select(
+        *[F.col(k).alias(f"_sk_{k}") for k in keys], *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.lit(True).alias("_s")
+    )
+    # a NULL key matches a NULL key, as a document filter {k: null} does
+    cond = None
+    for k in keys:
+        c = F.col(f"_tk_{k}").eqNullSafe(F.col(f"_sk_{k}"))
+        cond = c if cond is None else cond & c
+    j = t.join(s, cond, "full_outer")
     in_t, in_s = F.col("_t").isNotNull(), F.col("_s").isNotNull()
     if not upsert:
         j = j.filter(in_t)
 
-    out_cols: list[Column] = [F.col(k) for k in keys]
+    out_cols: list[Column] = [F.when(in_t, F.col(f"_tk_{k}")).otherwise(F.col(f"_sk_{k}")).alias(k) for k in keys]
     changed = F.lit(False)
     all_cols = t_cols + [c for c in s_cols if c not in t_cols]
     for c in all_cols:
