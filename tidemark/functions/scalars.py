@@ -99,6 +99,38 @@ def epoch_to_timestamp(c: str | Column) -> Column:
     return F.timestamp_micros(micros.cast("long")).cast("timestamp_ntz")
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def unix_to_iso(c: str | Column) -> Column:
+    """Unix number -> ``yyyy-MM-ddTHH:mm:ss.<fraction>Z``: nanoseconds keep 9
+    fraction digits, microseconds 6, milliseconds 3, seconds the first 3 of
+    the nanosecond fraction. Whole seconds are truncated (``int``); the wall
+    clock is UTC (the reference used the host's local zone)."""
+    x = col_of(c).cast("double")
+
+    def lp(v: Column, n: int) -> Column:
+        return F.lpad(v.cast("long").cast("string"), n, "0")
+
+    secs = (
+        F.when(x >= 1e18, x / 1e9).when(x >= 1e15, x / 1e6).when(x >= 1e12, x / 1e3).otherwise(x)
+    ).cast("long")
+    frac = (
+        F.when(x >= 1e18, lp(x % 1e9, 9))
+        .when(x >= 1e15, lp(x % 1e6, 6))
+        .when(x >= 1e12, lp(x % 1e3, 3))
+        .otherwise(F.substring(lp((x % 1) * 1e9, 9), 1, 3))
+    )
+    wall = F.timestamp_add("SECOND", secs, F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("."), frac, F.lit("Z"))
+
+
+def iso_to_unix(c: str | Column) -> Column:
+    """ISO-8601 string -> Unix seconds as a double (offsets honoured)."""
+    t = iso_to_timestamp(c)
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), t) / 1e6
+
+
 def timestamp_to_iso(ts: str | Column) -> Column:
     """Naive UTC timestamp -> ``yyyy-MM-ddTHH:mm:ss.SSSZ``."""
     return F.date_format(col_of(ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

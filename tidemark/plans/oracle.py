@@ -598,14 +598,21 @@ ORACLE["tw_time"] = with_(roles=("scalar_inputs",)) + f"\nSELECT event_id, ts, {
 ORACLE["ts_truncate"] = with_(roles=("scalar_inputs",)) + """
 SELECT event_id, date_trunc('second', ts) AS ts_second, date_trunc('millisecond', ts) AS ts_milli FROM scalar_inputs"""
 ORACLE["iso_normalise"] = with_(roles=("scalar_inputs",)) + r"""
+SELECT event_id, iso, parsed, round(epoch_us(parsed) / 1e6, 6) + 0.0 AS unix FROM (
 SELECT event_id, iso, CAST(regexp_extract(iso, '^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)', 1) AS TIMESTAMP)
   - to_minutes(CAST(CASE WHEN off IN ('', 'Z') THEN 0
       ELSE (CAST(substr(dg, 1, 2) AS INT) * 60 + CAST(substr(dg, 3, 2) AS INT)) * CASE WHEN off LIKE '-%' THEN -1 ELSE 1 END END AS BIGINT)) AS parsed
 FROM (SELECT *, regexp_extract(iso, '(Z|[+-]\d{2}:?\d{2})$', 1) AS off,
-        regexp_replace(regexp_extract(iso, '(Z|[+-]\d{2}:?\d{2})$', 1), '[+:Z-]', '', 'g') AS dg FROM scalar_inputs)"""
+        regexp_replace(regexp_extract(iso, '(Z|[+-]\d{2}:?\d{2})$', 1), '[+:Z-]', '', 'g') AS dg FROM scalar_inputs))"""
 ORACLE["epoch_normalise"] = with_(roles=("scalar_inputs",)) + """
 SELECT event_id, epoch, t AS parsed,
-  strftime(t, '%Y-%m-%dT%H:%M:%S') || '.' || lpad(CAST(CAST((epoch_us(t) % 1000000) // 1000 AS BIGINT) AS VARCHAR), 3, '0') || 'Z' AS iso
+  strftime(t, '%Y-%m-%dT%H:%M:%S') || '.' || lpad(CAST(CAST((epoch_us(t) % 1000000) // 1000 AS BIGINT) AS VARCHAR), 3, '0') || 'Z' AS iso,
+  strftime(make_timestamp(CAST(trunc(CASE WHEN epoch >= 1e18 THEN epoch / 1e9 WHEN epoch >= 1e15 THEN epoch / 1e6
+      WHEN epoch >= 1e12 THEN epoch / 1e3 ELSE epoch END) AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%S') || '.'
+    || CASE WHEN epoch >= 1e18 THEN lpad(CAST(CAST(trunc(fmod(epoch, 1e9)) AS BIGINT) AS VARCHAR), 9, '0')
+            WHEN epoch >= 1e15 THEN lpad(CAST(CAST(trunc(fmod(epoch, 1e6)) AS BIGINT) AS VARCHAR), 6, '0')
+            WHEN epoch >= 1e12 THEN lpad(CAST(CAST(trunc(fmod(epoch, 1e3)) AS BIGINT) AS VARCHAR), 3, '0')
+            ELSE substr(lpad(CAST(CAST(trunc(fmod(epoch, 1) * 1e9) AS BIGINT) AS VARCHAR), 9, '0'), 1, 3) END || 'Z' AS iso_exact
 FROM (SELECT *, make_timestamp(CAST(CASE WHEN epoch >= 1e18 THEN floor(epoch / 1000) WHEN epoch >= 1e15 THEN floor(epoch)
     WHEN epoch >= 1e12 THEN floor(epoch * 1000) ELSE floor(epoch * 1000000) END AS BIGINT)) AS t FROM scalar_inputs)"""
 ORACLE["strict_bool"] = with_(roles=("scalar_inputs",)) + """

@@ -379,14 +379,16 @@ def ts_truncate(spark: SparkSession, d: str) -> DataFrame:
 @query
 def iso_normalise(spark: SparkSession, d: str) -> DataFrame:
     e = load(spark, d, "scalar_inputs")
-    return e.select("event_id", "iso", S.iso_to_timestamp("iso").alias("parsed"))
+    return e.select("event_id", "iso", S.iso_to_timestamp("iso").alias("parsed"), S.iso_to_unix("iso").alias("unix"))
 
 
 @query
 def epoch_normalise(spark: SparkSession, d: str) -> DataFrame:
     e = load(spark, d, "scalar_inputs")
     t = S.epoch_to_timestamp("epoch")
-    return e.select("event_id", "epoch", t.alias("parsed"), S.timestamp_to_iso(t).alias("iso"))
+    return e.select(
+        "event_id", "epoch", t.alias("parsed"), S.timestamp_to_iso(t).alias("iso"), S.unix_to_iso("epoch").alias("iso_exact")
+    )
 
 
 @query
