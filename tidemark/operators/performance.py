@@ -73,8 +73,8 @@ def performance_step(
         previous = previous.filter(F.col("current_time") < ts_lit(as_of))
     prev_empty = previous is None or previous.isEmpty()
     if prev_empty:
-        if seed_key is None:
-            seed_key = current.agg(F.min(key)).first()[0]
+        # the smallest key, as a scalar subquery inside the same plan
+        seed = F.lit(seed_key) if seed_key is not None else current.agg(F.min(key)).scalar()
         prev = None
     else:
         prev = latest_per_key(previous, key).select(
@@ -90,7 +90,7 @@ def performance_step(
     net = total + adj
     if prev is None:
         df = current
-        seeded = F.col(key) == F.lit(seed_key)
+        seeded = F.col(key) == seed
         prev_total = F.when(seeded, net).otherwise(total)
         hh0, nav0, crr0, mdd0 = (F.lit(v) for v in (d.history_high, d.nav, d.crr, d.mdd))
     else:

@@ -34,6 +34,7 @@ from tidemark.operators.transfers import transfer_adjustment
 from tidemark.plans import jobs
 from tidemark.plans import payloads as P
 from tidemark.plans.fixtures import AS_OF, load
+from tidemark.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -127,6 +128,7 @@ def perf_step_prev(spark: SparkSession, d: str) -> DataFrame:
     then) is the previous state of the run at AS_OF."""
     p, s = _p(spark, d), _s(spark, d)
     earlier = jobs.master_mart(p, s.filter(F.col("current_time") < F.lit(PREV_AS_OF).cast("timestamp_ntz")), None, PREV_AS_OF)
+    earlier = cut_lineage(earlier)  # the mart table the first run wrote
     return finish(jobs.master_mart(p, s, earlier, AS_OF))
 
 
@@ -134,6 +136,7 @@ def perf_step_prev(spark: SparkSession, d: str) -> DataFrame:
 def portfolio_mart(spark: SparkSession, d: str) -> DataFrame:
     p, s = _p(spark, d), _s(spark, d)
     earlier = jobs.portfolio_mart(p, s.filter(F.col("current_time") < F.lit(PREV_AS_OF).cast("timestamp_ntz")), None, PREV_AS_OF)
+    earlier = cut_lineage(earlier)  # the mart table the first run wrote
     return finish(jobs.portfolio_mart(p, s, earlier, AS_OF))
 
 
