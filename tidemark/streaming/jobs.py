@@ -88,29 +88,44 @@ def mart_stream(
     at the batch's newest ``current_time`` (W1) and its rows are written
     under the epoch (K7: a replay rewrites the same rows)."""
     state_root = state_root or f"{mart_root.rstrip('/')}_state"
-    tiebreak = [F.col("id").desc()] if "id" in (schema.fieldNames() if isinstance(schema, T.StructType) else []) else []
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(summary_dir)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        as_of = batch.agg(F.max("current_time")).first()[0]
-        if as_of is None:
-            return
-        write_epoch(batch, summary_root, epoch)
-        prev_latest = read_state(spark, f"{state_root}/latest_summary", epoch, batch.schema)
-        latest = latest_per_key(prev_latest.unionByName(batch), "portfolio", "current_time", tiebreak)
-        latest_path = write_epoch(latest, f"{state_root}/latest_summary", epoch)
-        prev_mart = read_state(spark, f"{state_root}/latest_mart", epoch, MASTER_PERFORMANCE)
-        step = master_mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of)
-        step_path = write_epoch(step, mart_root, epoch)
-        mart_latest = latest_per_key(prev_mart.unionByName(spark.read.parquet(step_path)), "master_portfolio")
-        write_epoch(mart_latest, f"{state_root}/latest_mart", epoch)
+        mart_batch(spark, batch, epoch, summary_root, portfolios, mart_root, state_root)
 
     return _start(src.writeStream.foreachBatch(per_batch), checkpoint, available_now, processing_time)
 
 
+def mart_batch(
+    spark: SparkSession,
+    batch: DataFrame,
+    epoch: int,
+    summary_root: str,
+    portfolios: DataFrame,
+    mart_root: str,
+    state_root: str,
+) -> None:
+    """One R2 micro-batch. Reads only state written by earlier epochs and
+    overwrites only its own epoch's folders, so running it again for the
+    same epoch (a replay after a failure) leaves the same tables."""
+    as_of = batch.agg(F.max("current_time")).first()[0]
+    if as_of is None:
+        return
+    tiebreak = [F.col("id").desc()] if "id" in batch.columns else []
+    write_epoch(batch, summary_root, epoch)
+    prev_latest = read_state(spark, f"{state_root}/latest_summary", epoch, batch.schema)
+    latest = latest_per_key(prev_latest.unionByName(batch), "portfolio", "current_time", tiebreak)
+    latest_path = write_epoch(latest, f"{state_root}/latest_summary", epoch)
+    prev_mart = read_state(spark, f"{state_root}/latest_mart", epoch, MASTER_PERFORMANCE)
+    step = master_mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of)
+    step_path = write_epoch(step, mart_root, epoch)
+    mart_latest = latest_per_key(prev_mart.unionByName(spark.read.parquet(step_path)), "master_portfolio")
+    write_epoch(mart_latest, f"{state_root}/latest_mart", epoch)
+
+
 # --------------------------------------------------------------------------- R3
 ALERT_STATE = "last_t double, last_h string"
 ALERT_OUT = "key string, id long, hash string, emitted boolean"
