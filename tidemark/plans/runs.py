@@ -1,9 +1,16 @@
 """Batch job runners: the reference's jobs with their table I/O.
 
 A ``Namespace`` is a table root (S4: the refill reads one namespace and
-writes another, e.g. production into a test copy). Tables are versioned
-Parquet folders (``tidemark.sources.tables``); writes are keyed upserts, so a
-rerun replaces rather than duplicates. All time enters as ``as_of``.
+writes another, e.g. production into a test copy). All time enters as
+``as_of``.
+
+Layout. The fact and mart tables (summaries, performance) are append-only
+histories: every write adds one epoch folder and readers see the upsert view
+(newest epoch per key), so a run writes only its own rows and a rerun
+replaces rather than duplicates. Next to each history a small state table
+holds the latest row per key, so a live mart run reads O(#portfolios) rows
+instead of the whole history. The dimension and the tables rewritten by the
+maintenance jobs are versioned folders.
 """
 
 from __future__ import annotations
@@ -13,12 +20,23 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions.scalars import ts_lit
 
 from tidemark.operators import maintenance as M
 from tidemark.operators.snapshot import Lookups, Snapshot, snapshot
 from tidemark.plans import jobs
 from tidemark.schemas import MASTER_PERFORMANCE, PORTFOLIO_PERFORMANCE
-from tidemark.sources.tables import append_rows, read_table, upsert, write_version
+from tidemark.operators.rollup import latest_per_key
+from tidemark.sources.tables import (
+    append_epoch,
+    append_rows,
+    latest_state,
+    read_table,
+    read_upserted,
+    write_version,
+)
 
 PORTFOLIO = "portfolio"
 ACCOUNT_SUMMARY = "account_summary_1_minute"
@@ -34,8 +52,28 @@ class Namespace:
         return f"{self.root.rstrip('/')}/{table}"
 
     def read(self, spark: SparkSession, table: str, schema=None) -> DataFrame | None:
+        """A versioned table (dimension, maintained tables)."""
         return read_table(spark, self.path(table), schema)
 
+    def history(self, spark: SparkSession, table: str, keys: Sequence[str], schema=None) -> DataFrame | None:
+        """Upsert view of an append-only history."""
+        df = read_upserted(spark, self.path(table), keys)
+        if df is None and schema is not None:
+            return spark.createDataFrame([], schema)
+        return df
+
+    def state(self, spark: SparkSession, table: str, schema=None) -> DataFrame | None:
+        return latest_state(spark, self.path(f"{table}__latest"), schema)
+
+    def append(self, spark: SparkSession, table: str, rows: DataFrame, key: str, tiebreak=()) -> None:
+        """Append ``rows`` to the history and fold them into the latest-row
+        state (O(#keys))."""
+        path = append_epoch(rows, self.path(table))
+        written = spark.read.parquet(path)
+        prev = self.state(spark, table)
+        merged = written if prev is None else prev.unionByName(written, allowMissingColumns=True)
+        append_epoch(latest_per_key(merged, key, "current_time", list(tiebreak)), self.path(f"{table}__latest"))
+
 
 def run_snapshot(
     spark: SparkSession,
@@ -50,25 +88,41 @@ def run_snapshot(
     """S6 -> X0-X8 -> K8 upsert keyed (portfolio, current_time); failed
     portfolios are appended to ``snapshot_quarantine``."""
     snap = snapshot(payloads, lookups, as_of, transfers=transfers, bybit_interval_minutes=interval_minutes)
-    upsert(spark, data.path(ACCOUNT_SUMMARY), snap.summaries, ["portfolio", "current_time"])
+    data.append(spark, ACCOUNT_SUMMARY, snap.summaries, "portfolio")
     append_rows(spark, data.path("snapshot_quarantine"), snap.quarantine)
     return snap
 
 
+def load_summaries(spark: SparkSession, data: Namespace, summaries: DataFrame) -> None:
+    """Bulk-load account summaries (history + latest state)."""
+    tiebreak = [F.col("id").desc()] if "id" in summaries.columns else []
+    data.append(spark, ACCOUNT_SUMMARY, summaries, "portfolio", tiebreak)
+
+
+def _mart_run(spark, data: Namespace, mart: Namespace, as_of: Any, table: str, key: str, schema, plan) -> DataFrame:
+    latest = data.state(spark, ACCOUNT_SUMMARY)
+    if not latest.filter(F.col("current_time") > ts_lit(as_of)).isEmpty():
+        # a run for a past time: only the summaries known at that time
+        latest = data.history(spark, ACCOUNT_SUMMARY, ["portfolio", "current_time"]).filter(
+            F.col("current_time") <= ts_lit(as_of)
+        )
+    prev = mart.state(spark, table, schema)
+    if not prev.filter(F.col("current_time") >= ts_lit(as_of)).isEmpty():
+        # a replay of a run already in the state: rebuild the state before it
+        prev = mart.history(spark, table, [key, "current_time"], schema)
+    step = plan(data.read(spark, PORTFOLIO), latest, prev, as_of)
+    mart.append(spark, table, step, key)
+    return mart.history(spark, table, [key, "current_time"]).filter(F.col("current_time") == ts_lit(as_of))
+
+
 def run_portfolio_mart(spark: SparkSession, data: Namespace, mart: Namespace, as_of: Any) -> DataFrame:
-    """MART_portfolio_performance: one W1 step, K7 upsert (NULL keeps)."""
-    prev = mart.read(spark, PORTFOLIO_PERF, PORTFOLIO_PERFORMANCE)
-    step = jobs.portfolio_mart(data.read(spark, PORTFOLIO), data.read(spark, ACCOUNT_SUMMARY), prev, as_of)
-    upsert(spark, mart.path(PORTFOLIO_PERF), step, ["portfolio", "current_time"], null_keeps_target=True)
-    return step
+    """MART_portfolio_performance: one W1 step from the latest-row states."""
+    return _mart_run(spark, data, mart, as_of, PORTFOLIO_PERF, "portfolio", PORTFOLIO_PERFORMANCE, jobs.portfolio_mart)
 
 
 def run_master_mart(spark: SparkSession, data: Namespace, mart: Namespace, as_of: Any) -> DataFrame:
     """MART_master_portfolio_performance: masters + composites, one W1 step."""
-    prev = mart.read(spark, MASTER_PERF, MASTER_PERFORMANCE)
-    step = jobs.master_mart(data.read(spark, PORTFOLIO), data.read(spark, ACCOUNT_SUMMARY), prev, as_of)
-    upsert(spark, mart.path(MASTER_PERF), step, ["master_portfolio", "current_time"], null_keeps_target=True)
-    return step
+    return _mart_run(spark, data, mart, as_of, MASTER_PERF, "master_portfolio", MASTER_PERFORMANCE, jobs.master_mart)
 
 
 def run_refill(
@@ -89,15 +143,17 @@ def run_refill(
     )
     out = jobs.refill(
         source.read(spark, PORTFOLIO),
-        source.read(spark, ACCOUNT_SUMMARY),
-        source.read(spark, table, schema),
+        source.history(spark, ACCOUNT_SUMMARY, ["portfolio", "current_time"]),
+        source.history(spark, table, [key, "current_time"], schema),
         level="master" if is_master else "portfolio",
         start=start,
         end=end,
         gap_policy=gap_policy,
     )
-    upsert(spark, target.path(table), out, [key, "current_time"])
-    return out
+    target.append(spark, table, out, key)
+    return target.history(spark, table, [key, "current_time"]).filter(
+        (F.col("current_time") >= ts_lit(start)) & (F.col("current_time") <= ts_lit(end) if end is not None else F.lit(True))
+    )
 
 
 def run_dedup(

@@ -148,3 +148,19 @@ def read_state(spark: SparkSession, root: str, before_epoch: int, schema: T.Stru
     if eps:
         return spark.read.parquet(epoch_path(root, eps[-1]))
     return spark.createDataFrame([], schema) if schema is not None else None
+
+
+def next_epoch(spark: SparkSession, root: str) -> int:
+    eps = _epochs(spark, root)
+    return eps[-1] + 1 if eps else 0
+
+
+def append_epoch(df: DataFrame, root: str) -> str:
+    """Batch writers on the epoch layout: the next epoch number, so later
+    writes win in the upsert view."""
+    return write_epoch(df, root, next_epoch(df.sparkSession, root))
+
+
+def latest_state(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The newest committed state snapshot under ``root``."""
+    return read_state(spark, root, 1 << 62, schema)
