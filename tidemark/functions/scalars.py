@@ -96,7 +96,7 @@ def epoch_to_timestamp(c: str | Column) -> Column:
         .when(x >= 1e12, F.floor(x * 1000))
         .otherwise(F.floor(x * 1_000_000))
     )
-    return F.timestamp_micros(micros.cast("long")).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros.cast("long"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 _EPOCH_NTZ = "1970-01-01 00:00:00"
