@@ -73,8 +73,9 @@ def performance_step(
         previous = previous.filter(F.col("current_time") < ts_lit(as_of))
     prev_empty = previous is None or previous.isEmpty()
     if prev_empty:
-        # the smallest key, as a scalar subquery inside the same plan
-        seed = F.lit(seed_key) if seed_key is not None else current.agg(F.min(key)).scalar()
+        # only the very first run of a mart gets here: one small driver-side
+        # value (a scalar subquery would embed the whole rollup again)
+        seed = F.lit(seed_key if seed_key is not None else current.agg(F.min(key)).first()[0])
         prev = None
     else:
         prev = latest_per_key(previous, key).select(

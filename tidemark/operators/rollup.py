@@ -134,6 +134,29 @@ def _sum0(c: str) -> Column:
 
 
 # --------------------------------------------------------------------------- A1
+def master_totals_live(joined: DataFrame, as_of: Any) -> DataFrame:
+    """A1 + A2 in one pass over the joined rows: sums per (master,
+    composite), from which the master totals and the (composite, master)
+    pairs both derive (small frames), so the rows are read once."""
+    j = joined.filter(F.col("master_portfolio").isNotNull())
+    by_pair = j.groupBy(
+        "master_portfolio", F.when(present("composite"), F.col("composite")).alias("composite")
+    ).agg(F.sum("total_usd_value").alias("_t"), F.sum("transfer_adjustment").alias("_a"))
+    t = ts_lit(as_of)
+    masters = by_pair.groupBy("master_portfolio").agg(
+        F.coalesce(F.sum("_t"), F.lit(0.0)).alias("total_usd_value"),
+        F.coalesce(F.sum("_a"), F.lit(0.0)).alias("transfer_adjustment"),
+    ).select("master_portfolio", t.alias("current_time"), tw_time(t).alias("tw_time"), *AMOUNTS)
+    pairs = by_pair.filter(F.col("composite").isNotNull()).select("composite", "master_portfolio").distinct()
+    comp = (
+        masters.join(pairs, on="master_portfolio", how="inner")
+        .groupBy("composite", "current_time", "tw_time")
+        .agg(*[_sum0(c) for c in AMOUNTS])
+        .withColumnRenamed("composite", "master_portfolio")
+    )
+    return drop_both_zero(masters.unionByName(comp), null_safe=True)
+
+
 def master_rollup(joined: DataFrame, as_of: Any) -> DataFrame:
     """A1: Σ amounts per master at ``as_of``. NULL masters are dropped (pandas
     groupby); an all-NULL sum is 0. Partial aggregation runs map-side."""
@@ -155,7 +178,9 @@ def composite_live(joined: DataFrame, masters: DataFrame) -> DataFrame:
     """A2: a composite is the sum of the *whole* totals of every master that
     has at least one member in it; masters and composites are unioned (a name
     clash leaves two rows for one key) and both-zero rows dropped."""
-    pairs = joined.filter(present("composite")).select("composite", "master_portfolio").distinct()
+    pairs = joined.filter(present("composite") & F.col("master_portfolio").isNotNull()).select(
+        "composite", "master_portfolio"
+    ).distinct()
     comp = (
         masters.join(pairs, on="master_portfolio", how="inner")
         .groupBy("composite", "current_time", "tw_time")

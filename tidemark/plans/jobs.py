@@ -27,6 +27,7 @@ from tidemark.operators.rollup import (
     join_latest,
     latest_per_key,
     master_rollup,
+    master_totals_live,
     portfolio_series,
     refill_base,
     stamp,
@@ -42,8 +43,7 @@ def latest_summaries(summaries: DataFrame, tiebreak_col: str | None = "id") -> D
 def master_totals(portfolios: DataFrame, summaries: DataFrame, as_of: Any) -> DataFrame:
     """Masters (A1) plus live composites (A2), both-zero rows dropped."""
     joined = join_latest(active_portfolios(portfolios), latest_summaries(summaries))
-    masters = master_rollup(joined, as_of)
-    return composite_live(joined, masters)
+    return master_totals_live(joined, as_of)
 
 
 def master_mart(

@@ -147,6 +147,7 @@ def _daily_history(spark: SparkSession, d: str, gap_policy: str = "reset") -> tu
     p, s = _p(spark, d), load(spark, d, "daily_summary")
     end_before = F.lit(DAILY_SPLIT).cast("timestamp_ntz")
     history = jobs.refill(p, s.filter(F.col("current_time") < end_before), None, level="portfolio", gap_policy=gap_policy)
+    history = cut_lineage(history)  # the performance table the first refill wrote
     recent = jobs.refill(p, s, history, level="portfolio", start=DAILY_SPLIT, gap_policy=gap_policy)
     return history, recent
 
@@ -181,6 +182,7 @@ def refill_master(spark: SparkSession, d: str) -> DataFrame:
     history = jobs.refill(
         p, s.filter(F.col("current_time") < F.lit(MONTHLY_SPLIT).cast("timestamp_ntz")), None, level="master"
     )
+    history = cut_lineage(history)  # the performance table the first refill wrote
     recent = jobs.refill(p, s, history, level="master", start=MONTHLY_SPLIT)
     return finish(history.unionByName(recent))
 
