@@ -91,10 +91,12 @@ def refill(
     end: Any = None,
     gap_policy: str = "reset",
     bucket: str = "day",
+    chunk_batches: int | None = None,
 ) -> DataFrame:
     """Historical refill between inclusive bounds, seeded from the newest
     snapshot of ``performance`` strictly before ``start`` (J9)."""
     key = "master_portfolio" if level == "master" else "portfolio"
     series, _quarantine = split_null_amounts(refill_series(portfolios, summaries, level, start, end))
     seed = prior_snapshot(performance, start, key) if (performance is not None and start is not None) else None
-    return refill_performance(series, key, seed, gap_policy=gap_policy, bucket=bucket)
+    kw = {} if chunk_batches is None else {"chunk_batches": chunk_batches}
+    return refill_performance(series, key, seed, gap_policy=gap_policy, bucket=bucket, **kw)
