@@ -55,9 +55,11 @@ class Namespace:
         """A versioned table (dimension, maintained tables)."""
         return read_table(spark, self.path(table), schema)
 
-    def history(self, spark: SparkSession, table: str, keys: Sequence[str], schema=None) -> DataFrame | None:
-        """Upsert view of an append-only history."""
-        df = read_upserted(spark, self.path(table), keys)
+    def history(
+        self, spark: SparkSession, table: str, keys: Sequence[str], schema=None, start: Any = None, end: Any = None
+    ) -> DataFrame | None:
+        """Upsert view of an append-only history; a time range prunes days."""
+        df = read_upserted(spark, self.path(table), keys, start, end)
         if df is None and schema is not None:
             return spark.createDataFrame([], schema)
         return df
@@ -68,8 +70,8 @@ class Namespace:
     def append(self, spark: SparkSession, table: str, rows: DataFrame, key: str, tiebreak=()) -> None:
         """Append ``rows`` to the history and fold them into the latest-row
         state (O(#keys))."""
-        path = append_epoch(rows, self.path(table))
-        written = spark.read.parquet(path)
+        path = append_epoch(rows, self.path(table), by_date=True)
+        written = spark.read.parquet(path).drop("_date")
         prev = self.state(spark, table)
         merged = written if prev is None else prev.unionByName(written, allowMissingColumns=True)
         append_epoch(latest_per_key(merged, key, "current_time", list(tiebreak)), self.path(f"{table}__latest"))
@@ -103,16 +105,14 @@ def _mart_run(spark, data: Namespace, mart: Namespace, as_of: Any, table: str, k
     latest = data.state(spark, ACCOUNT_SUMMARY)
     if not latest.filter(F.col("current_time") > ts_lit(as_of)).isEmpty():
         # a run for a past time: only the summaries known at that time
-        latest = data.history(spark, ACCOUNT_SUMMARY, ["portfolio", "current_time"]).filter(
-            F.col("current_time") <= ts_lit(as_of)
-        )
+        latest = data.history(spark, ACCOUNT_SUMMARY, ["portfolio", "current_time"], end=as_of)
     prev = mart.state(spark, table, schema)
     if not prev.filter(F.col("current_time") >= ts_lit(as_of)).isEmpty():
         # a replay of a run already in the state: rebuild the state before it
         prev = mart.history(spark, table, [key, "current_time"], schema)
     step = plan(data.read(spark, PORTFOLIO), latest, prev, as_of)
     mart.append(spark, table, step, key)
-    return mart.history(spark, table, [key, "current_time"]).filter(F.col("current_time") == ts_lit(as_of))
+    return mart.history(spark, table, [key, "current_time"], start=as_of, end=as_of)
 
 
 def run_portfolio_mart(spark: SparkSession, data: Namespace, mart: Namespace, as_of: Any) -> DataFrame:
@@ -143,7 +143,7 @@ def run_refill(
     )
     out = jobs.refill(
         source.read(spark, PORTFOLIO),
-        source.history(spark, ACCOUNT_SUMMARY, ["portfolio", "current_time"]),
+        source.history(spark, ACCOUNT_SUMMARY, ["portfolio", "current_time"], start=start, end=end),
         source.history(spark, table, [key, "current_time"], schema),
         level="master" if is_master else "portfolio",
         start=start,
@@ -151,9 +151,7 @@ def run_refill(
         gap_policy=gap_policy,
     )
     target.append(spark, table, out, key)
-    return target.history(spark, table, [key, "current_time"]).filter(
-        (F.col("current_time") >= ts_lit(start)) & (F.col("current_time") <= ts_lit(end) if end is not None else F.lit(True))
-    )
+    return target.history(spark, table, [key, "current_time"], start=start, end=end)
 
 
 def run_dedup(

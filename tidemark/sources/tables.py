@@ -102,9 +102,19 @@ def epoch_path(root: str, epoch: int) -> str:
     return f"{root.rstrip('/')}/epoch={int(epoch):012d}"
 
 
-def write_epoch(df: DataFrame, root: str, epoch: int) -> str:
+DATE_PART = "_date"  # day of current_time: partition column of the histories
+
+
+def write_epoch(df: DataFrame, root: str, epoch: int, *, by_date: bool = False) -> str:
+    """Overwrite this epoch's folder. ``by_date`` partitions it by the day of
+    ``current_time`` so range readers prune whole days."""
+    from pyspark.sql import functions as F
+
     path = epoch_path(root, epoch)
-    df.write.mode("overwrite").parquet(path)
+    if by_date and "current_time" in df.columns:
+        df.withColumn(DATE_PART, F.to_date("current_time")).write.mode("overwrite").partitionBy(DATE_PART).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -120,21 +130,38 @@ def _epochs(spark: SparkSession, root: str) -> list[int]:
     return sorted(out)
 
 
-def read_epochs(spark: SparkSession, root: str) -> DataFrame | None:
-    """Every committed epoch's rows, with an ``epoch`` column."""
+def read_epochs(spark: SparkSession, root: str, start=None, end=None) -> DataFrame | None:
+    """Every committed epoch's rows, with an ``epoch`` column. With a time
+    range, days outside it are pruned (partition filter on ``_date``) and
+    rows are cut to the inclusive range."""
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.scalars import ts_lit
+
     eps = _epochs(spark, root)
     if not eps:
         return None
-    return spark.read.option("basePath", root).parquet(*[epoch_path(root, e) for e in eps])
-
-
-def read_upserted(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame | None:
+    df = spark.read.option("basePath", root).parquet(*[epoch_path(root, e) for e in eps])
+    if DATE_PART in df.columns:
+        if start is not None:
+            df = df.filter(F.col(DATE_PART) >= F.to_date(ts_lit(start)))
+        if end is not None:
+            df = df.filter(F.col(DATE_PART) <= F.to_date(ts_lit(end)))
+        df = df.drop(DATE_PART)
+    if start is not None:
+        df = df.filter(F.col("current_time") >= ts_lit(start))
+    if end is not None:
+        df = df.filter(F.col("current_time") <= ts_lit(end))
+    return df
+
+
+def read_upserted(spark: SparkSession, root: str, keys: Sequence[str], start=None, end=None) -> DataFrame | None:
     """Upsert view of an epoch-partitioned table: per key, the row of the
     newest epoch (K8 / K7 semantics without rewriting the history)."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    df = read_epochs(spark, root)
+    df = read_epochs(spark, root, start, end)
     if df is None:
         return None
     w = Window.partitionBy(*keys).orderBy(F.col("epoch").desc())
@@ -155,10 +182,10 @@ def next_epoch(spark: SparkSession, root: str) -> int:
     return eps[-1] + 1 if eps else 0
 
 
-def append_epoch(df: DataFrame, root: str) -> str:
+def append_epoch(df: DataFrame, root: str, *, by_date: bool = False) -> str:
     """Batch writers on the epoch layout: the next epoch number, so later
     writes win in the upsert view."""
-    return write_epoch(df, root, next_epoch(df.sparkSession, root))
+    return write_epoch(df, root, next_epoch(df.sparkSession, root), by_date=by_date)
 
 
 def latest_state(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:

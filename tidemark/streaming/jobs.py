@@ -60,7 +60,7 @@ def snapshot_stream(
         if as_of is None:
             return
         snap = snapshot(batch, lookups, as_of, transfers=transfers, bybit_interval_minutes=bybit_interval_minutes)
-        write_epoch(snap.summaries, summary_root, epoch)
+        write_epoch(snap.summaries, summary_root, epoch, by_date=True)
         write_epoch(snap.quarantine, quarantine_root, epoch)
 
     return _start(src.writeStream.foreachBatch(per_batch), checkpoint, available_now, processing_time)
@@ -115,14 +115,14 @@ def mart_batch(
     if as_of is None:
         return
     tiebreak = [F.col("id").desc()] if "id" in batch.columns else []
-    write_epoch(batch, summary_root, epoch)
+    write_epoch(batch, summary_root, epoch, by_date=True)
     prev_latest = read_state(spark, f"{state_root}/latest_summary", epoch, batch.schema)
     latest = latest_per_key(prev_latest.unionByName(batch), "portfolio", "current_time", tiebreak)
     latest_path = write_epoch(latest, f"{state_root}/latest_summary", epoch)
     prev_mart = read_state(spark, f"{state_root}/latest_mart", epoch, MASTER_PERFORMANCE)
     step = master_mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of)
-    step_path = write_epoch(step, mart_root, epoch)
-    mart_latest = latest_per_key(prev_mart.unionByName(spark.read.parquet(step_path)), "master_portfolio")
+    step_path = write_epoch(step, mart_root, epoch, by_date=True)
+    mart_latest = latest_per_key(prev_mart.unionByName(spark.read.parquet(step_path).drop("_date")), "master_portfolio")
     write_epoch(mart_latest, f"{state_root}/latest_mart", epoch)
 
 
