@@ -307,11 +307,12 @@ BYBIT_INTERVAL_MIN = 0.5  # the snapshot job's interval
 
 
 def _snapshot(spark: SparkSession, d: str) -> SN.Snapshot:
-    # the fixture payloads are derived (lineitem -> JSON); keep them for the
-    # seven normalisers instead of rebuilding them per exchange. Real payloads
-    # are files partitioned by exchange, so each normaliser prunes to its own.
+    # the fixture payloads are derived (lineitem -> JSON); materialise them
+    # once (like the payload files they stand for) instead of rebuilding them
+    # per exchange. Real payloads are files partitioned by exchange, so each
+    # normaliser prunes to its own.
     return SN.snapshot(
-        P.payloads(spark, d).persist(),
+        cut_lineage(P.payloads(spark, d)),
         P.lookups(spark, d),
         P.PAYLOAD_AS_OF,
         transfers=load(spark, d, "transfers"),

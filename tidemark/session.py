@@ -53,16 +53,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Uses ``spark.checkpoint.dir`` when the cluster sets it; only when it is
     unset (tests, local runs) a scratch folder is created and registered.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if conf_dir:
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        try:
+            conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+            conf_dir = None
+    if not conf_dir:
+        conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    try:
         spark.sparkContext.setCheckpointDir(conf_dir)
-        return conf_dir.rstrip("/")
-    local = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    except Exception:  # noqa: BLE001 - the server side uses spark.checkpoint.dir
+        pass
+    return conf_dir.rstrip("/")
 
 
 def cut_lineage(df):
