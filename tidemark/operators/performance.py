@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import safe_div, ts_lit, tw_time
-from tidemark.operators.joins import maybe_broadcast
 from tidemark.operators.rollup import latest_per_key
 from tidemark.session import cut_lineage
 

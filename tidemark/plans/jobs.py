@@ -22,11 +22,9 @@ from tidemark.operators.performance import (
 )
 from tidemark.operators.rollup import (
     active_portfolios,
-    composite_live,
     composite_refill,
     join_latest,
     latest_per_key,
-    master_rollup,
     master_totals_live,
     portfolio_series,
     refill_base,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.performance import batch_index, prior_snapshot, refill_performance
+from tidemark.operators.performance import batch_index, prior_snapshot
 from tidemark.operators.rollup import (
     active_portfolios,
     composite_refill,
@@ -455,4 +455,4 @@ def registry() -> dict[str, Query]:
     return {name[:-2] if name.endswith("_q") else name: fn for name, fn in REGISTRY.items()}
 
 
-__all__ = ["registry", "finish", "refill_performance"]
+__all__ = ["registry", "finish"]

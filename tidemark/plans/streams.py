@@ -10,7 +10,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.rollup import active_portfolios
 from tidemark.plans import payloads as P
 from tidemark.plans import queries as Q
 from tidemark.plans.fixtures import load
@@ -97,4 +96,4 @@ def stream_job_stats(spark: SparkSession, d: str) -> DataFrame:
     return read_upserted(spark, f"{root}/out", ["job_id"])
 
 
-__all__ = ["stream_snapshot", "stream_mart", "stream_alert", "stream_job_stats", "active_portfolios"]
+__all__ = ["stream_snapshot", "stream_mart", "stream_alert", "stream_job_stats"]
