@@ -45,3 +45,25 @@ def test_non_positive_cooldown_emits_all(spark):
     events = [("a", 1, T0, "m"), ("a", 2, T0 + dt.timedelta(seconds=1), "m")]
     df = spark.createDataFrame(events, "key string, id long, ts timestamp_ntz, message string")
     assert all(r.emitted for r in cooldown(df, 0).collect())
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+@pytest.mark.parametrize("pattern", ["regular", "bursts"])
+def test_cooldown_regular_cadence_and_bursts(spark, dedupe, pattern):
+    """Regular 10 s alerts with a 60 s cooldown (chains never re-align, the
+    case where every chunk depends on the one before) and bursts of many
+    alerts inside one cooldown; chunks of one cooldown width."""
+    rnd = random.Random(11)
+    events, i = [], 0
+    for key in ["hot", "cold"]:
+        t = T0
+        for k in range(400):
+            if pattern == "regular":
+                t += dt.timedelta(seconds=10)
+            else:
+                t += dt.timedelta(seconds=rnd.choice([0, 0, 1, 2, 150]))
+            events.append((key, i, t, "x" if (pattern == "regular" or k % 7) else "y"))
+            i += 1
+    df = spark.createDataFrame(events, "key string, id long, ts timestamp_ntz, message string")
+    got = {r.id: r.emitted for r in cooldown(df, 60, dedupe=dedupe, chunk_sec=60).collect()}
+    assert got == sequential(events, 60, dedupe)

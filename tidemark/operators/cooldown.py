@@ -5,23 +5,31 @@ an alert is emitted unless it falls within ``cooldown_sec`` of the last
 emission and either dedupe is off, or dedupe is on and its message hash
 equals the last emitted one. ``cooldown_sec <= 0`` emits everything.
 
-The state makes this a sequential fold per key. To avoid one task per key,
-time is cut into chunks of width ``W >= cooldown``: an emission two or more
-chunks back is at least W >= cooldown old, so the only state a chunk needs
-is the last emission of the chunk right before it. Every chunk is first
-folded from a fresh state (in parallel, ``applyInPandas`` on small
-(key, chunk) groups); then each round re-folds only the chunks whose
-incoming state differs from the one they were folded with, until none does.
-Chunk 1 is right after round 0, chunk 2 after round 1, ... so the fixpoint
-equals the sequential fold; in practice one or two rounds suffice because a
-changed state only matters for alerts within one cooldown of a chunk's start.
-Each round's result is checkpointed (lineage cut, executor-loss safe).
+The state makes this a sequential fold per key. It is computed in three
+passes, none of which holds a key's whole history in one task:
+
+1. Time is cut into (key, chunk) groups at least one cooldown wide, sized
+   from each key's alert rate. Once an alert is emitted, the next emission is
+   a fixed function of that alert alone (the first later alert that is a
+   cooldown older or carries another hash), so inside a chunk the emissions
+   form chains. A chunk's behaviour for *any* incoming state is summarised by
+   a few numbers: the alert times within one cooldown of its first alert,
+   its first hash and first hash change, and the last emission reached from
+   each possible first emission.
+2. Per key, the chunk summaries (one row per chunk, a tiny fraction of the
+   alerts) are scanned in time order to find each chunk's true incoming
+   state. An emission two chunks back is at least a cooldown old, so only the
+   previous chunk's last emission can matter.
+3. Every chunk is folded once from its true incoming state.
+
+The result equals the sequential fold (tests compare them on random data).
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,15 +65,6 @@ def _fold_factory(cooldown_sec: float, dedupe: bool):
     return fold
 
 
-def _last_emission(results: DataFrame) -> DataFrame:
-    """(key, chunk) -> the last emitted (t, h) of that chunk, as the incoming
-    state of chunk + 1."""
-    em = results.filter("emitted")
-    return em.groupBy("key", "chunk").agg(
-        F.max_by(F.struct("t", "h"), F.struct("t", "id")).alias("s")
-    ).select("key", (F.col("chunk") + 1).alias("chunk"), F.col("s.t").alias("nx_t"), F.col("s.h").alias("nx_h"))
-
-
 CHUNK_EVENTS = 50_000  # target alerts per (key, chunk) group
 
 
@@ -76,7 +75,6 @@ def cooldown(
     dedupe: bool = True,
     chunk_sec: float | None = None,
     chunk_events: int = CHUNK_EVENTS,
-    max_rounds: int | None = None,
 ) -> DataFrame:
     """``alerts``: key, id (unique long), ts (naive UTC), message.
     Returns every alert with ``emitted`` (bool) and ``hash``.
@@ -84,9 +82,7 @@ def cooldown(
     Chunk width per key: ``chunk_sec`` if given, else sized from the key's
     own alert rate so a chunk holds about ``chunk_events`` alerts (never
     narrower than the cooldown). An ordinary key is then a single chunk and
-    needs no extra round; a hot key is split into bounded groups.
-    ``max_rounds`` is only a safety valve for tests; ``None`` iterates to the
-    exact fixpoint."""
+    is one group; a hot key is split into bounded groups."""
     if chunk_sec is not None and chunk_sec < cooldown_sec:
         raise ValueError("chunk_sec must be at least cooldown_sec")
     ev = alerts.select(
@@ -113,24 +109,129 @@ def cooldown(
             )
             .drop("_t0", "_span", "_n")
         )
-    fold = _fold_factory(float(cooldown_sec), dedupe)
-
-    def run(with_state: DataFrame) -> DataFrame:
-        return with_state.groupBy("key", "chunk").applyInPandas(fold, RESULT_SCHEMA)
-
-    fresh = ev.withColumn("in_t", F.lit(None).cast("double")).withColumn("in_h", F.lit(None).cast("string"))
-    results = cut_lineage(run(fresh))
-    rounds = 0
-    while max_rounds is None or rounds < max_rounds:
-        used = results.select("key", "chunk", "in_t", "in_h").dropDuplicates(["key", "chunk"])
-        state = used.join(_last_emission(results), ["key", "chunk"], "left")
-        changed = state.filter(
-            ~(F.col("in_t").eqNullSafe(F.col("nx_t")) & F.col("in_h").eqNullSafe(F.col("nx_h")))
-        ).select("key", "chunk", F.col("nx_t").alias("in_t"), F.col("nx_h").alias("in_h"))
-        changed = cut_lineage(changed)
-        if changed.isEmpty():
-            break
-        redo = run(ev.join(changed, ["key", "chunk"], "inner"))
-        results = cut_lineage(results.join(changed.select("key", "chunk"), ["key", "chunk"], "left_anti").unionByName(redo))
-        rounds += 1
-    return results.select("key", "id", "h", "emitted").withColumnRenamed("h", "hash")
+    cd = float(cooldown_sec)
+    # keys whose alerts span more than one chunk need their chunks' incoming
+    # states resolved (passes 1-2); every other key starts each run fresh
+    spans = ev.groupBy("key").agg((F.max("chunk") > F.min("chunk")).alias("_multi"))
+    ev = cut_lineage(ev.join(spans, "key"))  # read by every pass
+    multi = ev.filter("_multi").drop("_multi")
+    if multi.isEmpty():
+        with_state = ev.drop("_multi").withColumn("in_t", F.lit(None).cast("double")).withColumn(
+            "in_h", F.lit(None).cast("string")
+        )
+    else:
+        summaries = multi.groupBy("key", "chunk").applyInPandas(_summary_factory(cd, dedupe), SUMMARY_SCHEMA)
+        states = summaries.groupBy("key").applyInPandas(_scan_factory(cd, dedupe), STATE_SCHEMA)
+        with_state = ev.drop("_multi").join(states, ["key", "chunk"], "left")
+    # pass 3: one sorted pass; a (key, chunk) group is a contiguous run of rows
+    ordered = with_state.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "t", "id")
+    return ordered.mapInPandas(_sorted_fold_factory(cd, dedupe), OUT_SCHEMA)
+
+
+OUT_SCHEMA = "key string, id long, hash string, emitted boolean"
+
+
+def _sorted_fold_factory(cd: float, dedupe: bool):
+    """Fold rows sorted by (key, chunk, t, id): the state resets at each
+    group's first row (to its incoming state) and carries across batches."""
+
+    def run(batches):
+        group = None
+        last_t, last_h = -math.inf, None
+        for pdf in batches:
+            keys = pdf["key"].to_numpy()
+            chunks = pdf["chunk"].to_numpy()
+            ts = pdf["t"].to_numpy(dtype=float)
+            hs = pdf["h"].to_numpy()
+            in_t = pdf["in_t"].to_numpy(dtype=float)
+            in_h = pdf["in_h"].to_numpy()
+            out = np.empty(len(pdf), dtype=bool)
+            for i in range(len(pdf)):
+                g = (keys[i], chunks[i])
+                if g != group:
+                    group = g
+                    last_t = -math.inf if np.isnan(in_t[i]) else float(in_t[i])
+                    last_h = in_h[i] if isinstance(in_h[i], str) else None
+                if cd > 0:
+                    if ts[i] - last_t < cd and (not dedupe or last_h == hs[i]):
+                        out[i] = False
+                        continue
+                    last_t = ts[i]
+                    if dedupe:
+                        last_h = hs[i]
+                out[i] = True
+            yield pd.DataFrame({"key": keys, "id": pdf["id"].to_numpy(), "hash": hs, "emitted": out})
+
+    return run
+
+
+SUMMARY_SCHEMA = (
+    "key string, chunk long, n long, head_t array<double>, h1 string, run_end long, lc_t array<double>, lc_h array<string>"
+)
+STATE_SCHEMA = "key string, chunk long, in_t double, in_h string"
+
+
+def _summary_factory(cd: float, dedupe: bool):
+    """Pass 1: how a chunk responds to any incoming state."""
+
+    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["t", "id"], kind="mergesort")
+        t = pdf["t"].to_numpy(dtype=float)
+        h = pdf["h"].to_numpy()
+        n = len(t)
+        idx = np.arange(n)
+        # next emission after an emission at j: first k > j at least cd later ...
+        nxt = np.maximum(np.searchsorted(t, t + cd, side="left"), idx + 1) if cd > 0 else idx + 1
+        # ... or (dedupe) the first k > j with another hash
+        diff = np.full(n, n, dtype=np.int64)
+        for j in range(n - 2, -1, -1):
+            diff[j] = j + 1 if h[j + 1] != h[j] else diff[j + 1]
+        if dedupe and cd > 0:
+            nxt = np.minimum(nxt, diff)
+        last = np.empty(n, dtype=np.int64)  # last emission on the chain starting at j
+        for j in range(n - 1, -1, -1):
+            last[j] = j if nxt[j] >= n else last[nxt[j]]
+        # an incoming state is older than the first alert, so the first
+        # emission lies among the alerts within one cooldown of it (or the next)
+        m = int(np.searchsorted(t, t[0] + cd, side="left")) if cd > 0 else 0
+        head = min(m + 1, n)
+        return pd.DataFrame(
+            {
+                "key": [pdf["key"].iloc[0]],
+                "chunk": [int(pdf["chunk"].iloc[0])],
+                "n": [n],
+                "head_t": [t[: m + 1].tolist()],
+                "h1": [h[0]],
+                "run_end": [int(diff[0])],
+                "lc_t": [[float(t[last[i]]) for i in range(head)]],
+                "lc_h": [[h[last[i]] for i in range(head)]],
+            }
+        )
+
+    return summarise
+
+
+def _scan_factory(cd: float, dedupe: bool):
+    """Pass 2: per key, chunk summaries in order -> each chunk's incoming
+    state (the previous chunk's last emission)."""
+
+    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("chunk")
+        s_t, s_h = None, None
+        out_t, out_h = [], []
+        for row in pdf.itertuples(index=False):
+            out_t.append(s_t)
+            out_h.append(s_h)
+            if s_t is None or cd <= 0:
+                first = 0
+            else:
+                first = int(np.searchsorted(np.asarray(row.head_t, dtype=float), s_t + cd, side="left"))
+                if dedupe:
+                    first = min(first, 0 if s_h != row.h1 else int(row.run_end))
+            if first >= row.n or first >= len(row.lc_t):
+                s_t, s_h = None, None  # nothing emitted: the old state is a cooldown old by the next chunk
+            else:
+                s_t, s_h = float(row.lc_t[first]), row.lc_h[first]
+        return pd.DataFrame({"key": pdf["key"].to_numpy(), "chunk": pdf["chunk"].to_numpy(), "in_t": out_t, "in_h": out_h})
+
+    return scan
