@@ -38,33 +38,6 @@ from tidemark.functions.scalars import message_hash
 from tidemark.operators.transfers import epoch_ms
 from tidemark.session import cut_lineage
 
-RESULT_SCHEMA = "key string, id long, chunk long, t double, h string, in_t double, in_h string, emitted boolean"
-
-
-def _fold_factory(cooldown_sec: float, dedupe: bool):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "id"], kind="mergesort")
-        in_t = pdf["in_t"].iloc[0]
-        in_h = pdf["in_h"].iloc[0]
-        last_t = -math.inf if pd.isna(in_t) else float(in_t)
-        last_h = None if (in_h is None or (isinstance(in_h, float) and math.isnan(in_h))) else in_h
-        out = []
-        for t, h in zip(pdf["t"].to_numpy(), pdf["h"].to_numpy()):
-            if cooldown_sec > 0:
-                if t - last_t < cooldown_sec and (not dedupe or last_h == h):
-                    out.append(False)
-                    continue
-                last_t = t
-                if dedupe:
-                    last_h = h
-            out.append(True)
-        res = pdf[["key", "id", "chunk", "t", "h", "in_t", "in_h"]].copy()
-        res["emitted"] = out
-        return res
-
-    return fold
-
-
 CHUNK_EVENTS = 50_000  # target alerts per (key, chunk) group
 
 
