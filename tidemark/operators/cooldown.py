@@ -19,8 +19,11 @@ passes, none of which holds a key's whole history in one task:
 2. Per key, the chunk summaries (one row per chunk, a tiny fraction of the
    alerts) are scanned in time order to find each chunk's true incoming
    state. An emission two chunks back is at least a cooldown old, so only the
-   previous chunk's last emission can matter.
-3. Every chunk is folded once from its true incoming state.
+   previous chunk's last emission can matter. Passes 1-2 run only for keys
+   that span several chunks; every other key starts fresh.
+3. Every chunk is folded once from its true incoming state, in one pass over
+   rows clustered by (key, chunk) and sorted by time (``mapInPandas``; a
+   plain row loop that resets at group boundaries, no per-group frames).
 
 The result equals the sequential fold (tests compare them on random data).
 """
