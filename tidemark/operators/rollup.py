@@ -135,26 +135,40 @@ def _sum0(c: str) -> Column:
 
 # --------------------------------------------------------------------------- A1
 def master_totals_live(joined: DataFrame, as_of: Any) -> DataFrame:
-    """A1 + A2 in one pass over the joined rows: sums per (master,
-    composite), from which the master totals and the (composite, master)
-    pairs both derive (small frames), so the rows are read once."""
+    """A1 + A2 in one pass over the joined rows.
+
+    Rows are first summed per (master, composite); a window over each master
+    puts the master's whole total on each of its (master, composite) rows;
+    one grouping-sets aggregation then yields both the master totals
+    (grouping set ``(master)``, summing the per-pair sums) and the composite
+    totals (grouping set ``(composite)``, summing the whole totals of the
+    masters present in it). No branch re-reads the input."""
     j = joined.filter(F.col("master_portfolio").isNotNull())
-    by_pair = j.groupBy(
-        "master_portfolio", F.when(present("composite"), F.col("composite")).alias("composite")
-    ).agg(F.sum("total_usd_value").alias("_t"), F.sum("transfer_adjustment").alias("_a"))
+    comp_col = F.when(present("composite"), F.col("composite")).alias("composite")
+    by_pair = j.groupBy("master_portfolio", comp_col).agg(
+        F.sum("total_usd_value").alias("_t"), F.sum("transfer_adjustment").alias("_a")
+    )
+    w = Window.partitionBy("master_portfolio")
+    by_pair = by_pair.withColumn("_mt", F.sum("_t").over(w)).withColumn("_ma", F.sum("_a").over(w))
+    g = by_pair.groupingSets(
+        [[F.col("master_portfolio")], [F.col("composite")]], F.col("master_portfolio"), F.col("composite")
+    ).agg(
+        F.sum("_t").alias("_st"),
+        F.sum("_a").alias("_sa"),
+        F.sum("_mt").alias("_smt"),
+        F.sum("_ma").alias("_sma"),
+        F.grouping("master_portfolio").alias("_gm"),
+    )
+    is_master = F.col("_gm") == 0
     t = ts_lit(as_of)
-    masters = by_pair.groupBy("master_portfolio").agg(
-        F.coalesce(F.sum("_t"), F.lit(0.0)).alias("total_usd_value"),
-        F.coalesce(F.sum("_a"), F.lit(0.0)).alias("transfer_adjustment"),
-    ).select("master_portfolio", t.alias("current_time"), tw_time(t).alias("tw_time"), *AMOUNTS)
-    pairs = by_pair.filter(F.col("composite").isNotNull()).select("composite", "master_portfolio").distinct()
-    comp = (
-        masters.join(pairs, on="master_portfolio", how="inner")
-        .groupBy("composite", "current_time", "tw_time")
-        .agg(*[_sum0(c) for c in AMOUNTS])
-        .withColumnRenamed("composite", "master_portfolio")
+    out = g.filter(is_master | F.col("composite").isNotNull()).select(
+        F.when(is_master, F.col("master_portfolio")).otherwise(F.col("composite")).alias("master_portfolio"),
+        t.alias("current_time"),
+        tw_time(t).alias("tw_time"),
+        F.coalesce(F.when(is_master, F.col("_st")).otherwise(F.col("_smt")), F.lit(0.0)).alias("total_usd_value"),
+        F.coalesce(F.when(is_master, F.col("_sa")).otherwise(F.col("_sma")), F.lit(0.0)).alias("transfer_adjustment"),
     )
-    return drop_both_zero(masters.unionByName(comp), null_safe=True)
+    return drop_both_zero(out, null_safe=True)
 
 
 def master_rollup(joined: DataFrame, as_of: Any) -> DataFrame:
