@@ -101,3 +101,16 @@ def test_upsert_is_idempotent(spark):
     upsert(spark, root, newer, ["portfolio", "current_time"])
     got = sorted((r.id, r.portfolio, r.v) for r in read_table(spark, root).collect())
     assert got == [(2, "b", 2.0), (9, "a", 5.0)]
+
+
+def test_delete_ids_and_latest_time_before(spark):
+    from tidemark.operators.rollup import latest_time_before
+
+    t1, t2 = T0 + dt.timedelta(days=1), T0 + dt.timedelta(days=2)
+    df = rows(spark, [(1, "a", T0, 1.0), (2, "a", t1, 2.0), (3, "b", t2, 3.0)])
+    ids = spark.createDataFrame([(2,), (9,)], "id long")
+    assert sorted(r.id for r in M.delete_ids(df, ids).collect()) == [1, 3]
+    with pytest.raises(ValueError):
+        M.delete_ids(df, ids, batch_delete_size=0)
+    got = df.select(latest_time_before(df, t2).alias("t")).first().t
+    assert got == t1
