@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup as op1
 from tidemark.llm import simhash as op6
+from tidemark.llm import url_filter as op5
 from tidemark.llm.common import load
 
 
@@ -20,13 +21,21 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(op1.kept_text().cast("binary"), 256).alias("kept_sha256"))
 
 
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, op5.RULES)
+    return op5.judge(load(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op6.simhash_groups(load(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op6_simhash)}
+    return {f.__name__: f for f in (op1_line_dedup, op5_url_filter, op6_simhash)}
 
 
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -42,4 +51,13 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id""",
+    "op5_url_filter": f"""
+        WITH r(verdict, rh, rp) AS (VALUES {", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)}),
+        u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        h AS (SELECT row_number() OVER () AS n, page_id, {_LOWERED.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u)
+        SELECT h.page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule,
+               coalesce(arg_max(verdict, length(rh || rp)), 'allow') AS verdict
+        FROM h LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+        GROUP BY n, h.page_id, host, path""",
 }
