@@ -10,8 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import decontamination as op3
+from tidemark.llm import fingerprints as op2
 from tidemark.llm import line_dedup as op1
+from tidemark.llm import quality as op9
+from tidemark.llm import secrets as op4
+from tidemark.llm import sentencepiece_fst as op8
 from tidemark.llm import simhash as op6
+from tidemark.llm import substring_dedup as op7
+from tidemark.llm import toxicity as op10
 from tidemark.llm import url_filter as op5
 from tidemark.llm.common import load
 
@@ -21,6 +28,19 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(op1.kept_text().cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.neighbour_fingerprints(load(spark, sf_dir, "documents"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.col("source").alias("path"))
+    return op4.scan(docs)
+
+
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
@@ -34,8 +54,30 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7.substring_dedup(load(spark, sf_dir, "documents"), with_text=False)
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text").withColumn("ids", op8.encode(spark, "text"))
+    same = op8.decode(spark, "ids") == F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", same.alias("round_trip"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.classify(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = op10.fit(op10.training_rows(docs, load(spark, sf_dir, "labels")))
+    out = docs.select("doc_id", (~op10.train_part("doc_id")).alias("held_out"), op10.score(model, "text").alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op5_url_filter, op6_simhash)}
+    every = (op1_line_dedup, op2_fingerprints, op3_decontamination, op4_secrets, op5_url_filter, op6_simhash, op7_suffix_array, op8_sentencepiece, op9_quality, op10_toxicity)
+    return {f.__name__: f for f in every}
 
 
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
