@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from llm_support import docs_of  # noqa: F401
 from tidemark.llm import decontamination as op
 
 ITEM = "Which of the following rivers, taken from source to mouth, crosses the largest number of present-day national borders in Europe?"

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from llm_support import docs_of  # noqa: F401
 from tidemark.llm import fingerprints as op
 
 

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from llm_support import docs_of  # noqa: F401
 from tidemark.llm import line_dedup as op
 
 

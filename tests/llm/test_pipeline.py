@@ -4,7 +4,7 @@ import corpus_pipeline as P
 from tidemark.llm import simhash
 from tidemark.llm import line_dedup as lines
 
-from conftest import SF_SMALL
+from llm_support import SF_SMALL
 from test_line_dedup import brute as brute_lines
 from test_simhash import fingerprint, roots
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from llm_support import SF_SMALL, docs_of
 from tidemark.llm import quality as op
 
 

@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 import sentencepiece
 
+from llm_support import docs_of  # noqa: F401
 from tidemark.llm import sentencepiece_fst as op
 
 pytestmark = pytest.mark.skipif(not Path(op.DEFAULT_MODEL).exists(), reason="the public vocabulary is not here")

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import xxhash
 
+from llm_support import docs_of  # noqa: F401
 from tidemark.llm import simhash as op
 from tidemark.llm.components import components
 

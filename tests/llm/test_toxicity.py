@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from conftest import SF_SMALL
+from llm_support import SF_SMALL, docs_of
 from tidemark.llm import queries
 from tidemark.llm import toxicity as op
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from tidemark.llm.common import shuffle_partitions
 
@@ -112,7 +113,7 @@ def merge_parts(parts: DataFrame, by: list[str], column: str = "fingerprint", k:
     return hashes.groupBy(*by).agg(_smallest(k)("h").alias(column))
 
 
-@F.pandas_udf("array<long>")
+@F.pandas_udf(ArrayType(LongType()))
 def _hashes(texts: pd.Series) -> pd.Series:
     return pd.Series([decode(t).view(np.int64) for t in texts], dtype=object)
 

@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from tidemark.llm.common import LOWER, SPACE, UPPER, text_of, without, written
 
@@ -144,7 +145,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
     return both.withColumn("keep_bitmap", keep_bitmap(F.col("n_lines"), F.col("_ld_pos"))).drop("_ld_doc", "_ld_tag", "_ld_pos")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def keep_bitmap(n_lines: pd.Series, dropped: pd.Series) -> pd.Series:
     out = []
     for n, gone in zip(n_lines, dropped):
@@ -155,7 +156,7 @@ def keep_bitmap(n_lines: pd.Series, dropped: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _kept(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     out = []
     for t, packed in zip(text, bitmap):

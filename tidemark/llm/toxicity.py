@@ -101,8 +101,7 @@ def fit(labelled: DataFrame, most_words: int = 400, least_docs: int = 5) -> Mode
     between the shares of texts of either label that hold them, in ``least_docs``
     texts of label 1 at least. The lexicon is picked from them one by one, each
     time the word that most texts of label 1 hold that no picked word explains, net
-    of the texts of label 0 with it, until fewer than ``least_docs`` are gained:
-    words that merely occur in the same texts are not taken. Weight: log odds.
+    of as large a share of texts of label 0 with it, until no text is gained: words that merely occur in the same texts are not taken. Weight: log odds.
     Exceptions: two-word phrases with a lexicon word, in two clean texts or more and
     three times as often there as in texts of label 1. Null labels are left out, null
     texts are empty; without both labels the model scores all texts alike.
@@ -124,7 +123,7 @@ def fit(labelled: DataFrame, most_words: int = 400, least_docs: int = 5) -> Mode
     words = words.withColumns({"z": (F.col("p") - F.col("q")) / F.sqrt(both * (1 - both) * (1.0 / n1 + 1.0 / n0)), "weight": F.log(F.col("p") / F.col("q"))})
     near = words.filter((F.col("toxic") >= least_docs) & (F.col("z") > 6) & (F.col("p") >= 3 * F.col("q"))).orderBy(F.desc("z"), "term").limit(most_words).collect()
     weights = {r.term: float(r.weight) for r in near}
-    model = Model(weights={w: weights[w] for w in _picked(rows, list(weights), least_docs)})
+    model = Model(weights={w: weights[w] for w in _picked(rows, list(weights), n1 / n0)})
     phrases = shares(rows.mapInArrow(_count_words(frozenset(model.weights)), "label int, term string, n long"))
     usual = phrases.filter((F.col("clean") >= 2) & (F.col("q") >= 3 * F.col("p")))
     model.exceptions = {r.term for r in usual.orderBy(F.desc("clean"), "term").limit(5000).collect()}
@@ -133,7 +132,7 @@ def fit(labelled: DataFrame, most_words: int = 400, least_docs: int = 5) -> Mode
     return model
 
 
-def _picked(rows: DataFrame, words: list[str], least: int) -> list[str]:
+def _picked(rows: DataFrame, words: list[str], ratio: float) -> list[str]:
     """The candidates that explain texts of label 1 which the ones picked before do not."""
     place = {w: i for i, w in enumerate(words)}
 
@@ -148,9 +147,9 @@ def _picked(rows: DataFrame, words: list[str], least: int) -> list[str]:
     toxic = np.array([r.label == 1 for r in found], bool)
     clean, left, out = has[~toxic].sum(axis=0), has[toxic], []
     while len(left):
-        gain = left.sum(axis=0) - clean
+        gain = left.sum(axis=0) - ratio * clean
         best = int(np.argmax(gain))
-        if gain[best] < least:
+        if gain[best] < 1:
             break
         out.append(words[best])
         left = left[~left[:, best]]
