@@ -1,4 +1,4 @@
-"""L2: the chunked parallel fixpoint equals a sequential fold per key."""
+"""L2: the chunked parallel fold equals a sequential fold per key."""
 
 import datetime as dt
 import random

@@ -1,35 +1,50 @@
-"""Transfer windows with a frozen 'now' (2025-01-01 12:00, 30 minutes)."""
+"""Signed transfer sums over a look-back window."""
 
-import calendar
 import datetime as dt
 
 import pytest
 
 from tidemark.operators.transfers import transfer_adjustment
 
-NOW = dt.datetime(2025, 1, 1, 12, 0, 0)
+AS_OF = dt.datetime(2024, 2, 29, 23, 59, 30)
+RECORDS = "portfolio string, ts_ms string, to_account string, amount string"
 
 
-def ms(minutes_ago):
-    return str(calendar.timegm((NOW - dt.timedelta(minutes=minutes_ago)).timetuple()) * 1000)
+def at(seconds_before):
+    since = AS_OF - dt.timedelta(seconds=seconds_before) - dt.datetime(1970, 1, 1)
+    return str(int(since.total_seconds() * 1000))
 
 
-def test_unified_rule(spark):
-    rows = [("p", ms(10), "Unified", "100"), ("p", ms(10), "SPOT", "50"), ("p", ms(40), "Unified", "999")]
-    df = spark.createDataFrame(rows, "portfolio string, ts_ms string, to_account string, amount string")
-    r = transfer_adjustment(df, NOW, 30, "unified").collect()[0]
-    assert r.adjustment == pytest.approx(-50.0) and r.ok
+def result(spark, rows, minutes, rule):
+    return {r.portfolio: r for r in transfer_adjustment(spark.createDataFrame(rows, RECORDS), AS_OF, minutes, rule).collect()}
 
 
-def test_18_6_rule(spark):
-    rows = [("p", ms(10), "18", "-10"), ("p", ms(10), "6", "7"), ("p", ms(60), "6", "999")]
-    df = spark.createDataFrame(rows, "portfolio string, ts_ms string, to_account string, amount string")
-    r = transfer_adjustment(df, NOW, 30, "18/6").collect()[0]
-    assert r.adjustment == pytest.approx(-3.0)
+def test_unified_signs_and_window_edge(spark):
+    rows = [
+        ("a", at(5), "UNIFIED", "12.5"),
+        ("a", at(20), "fund", "40"),
+        ("a", at(120), "fund", "7"),  # exactly at the cut-off: outside
+        ("a", at(-60), "unified", "1"),  # later than as_of: inside
+        ("b", at(500), "fund", "3"),
+    ]
+    got = result(spark, rows, 2, "unified")
+    assert got["a"].adjustment == pytest.approx(40 - 12.5 - 1) and got["a"].ok
+    assert got["b"].adjustment == 0 and got["b"].ok
 
 
-def test_unified_parse_error_gives_zero(spark):
-    rows = [("p", ms(10), "SPOT", "50"), ("p", "garbage", "SPOT", "1")]
-    df = spark.createDataFrame(rows, "portfolio string, ts_ms string, to_account string, amount string")
-    r = transfer_adjustment(df, NOW, 30, "unified").collect()[0]
-    assert r.adjustment == 0.0 and not r.ok
+def test_codes_count_absolute_amounts(spark):
+    rows = [("a", at(1), "18", "-30"), ("a", at(2), "6", "-4.5"), ("a", at(3), "7", "junk"), ("a", at(400), "18", "1000")]
+    got = result(spark, rows, 1, "18/6")["a"]
+    assert got.adjustment == pytest.approx(-25.5) and got.ok
+
+
+@pytest.mark.parametrize("rule,value", [("unified", 0.0), ("18/6", None)])
+def test_unreadable_records(spark, rule, value):
+    rows = [("a", at(1), "6", "2"), ("a", at(1), "6", "x1"), ("b", "yesterday", "6", "2"), ("c", at(1), "6", "2")]
+    got = result(spark, rows, 1, rule)
+    assert (got["a"].adjustment, got["a"].ok, got["b"].ok, got["c"].ok) == (value, False, False, True)
+
+
+def test_unknown_rule(spark):
+    with pytest.raises(ValueError):
+        result(spark, [("a", at(1), "6", "2")], 1, "other")

@@ -17,9 +17,12 @@ DEFAULT_COOLDOWN_SEC = 60  # fixed
 
 
 def _py_float_str(c):
-    """``str(float)`` for the threshold in the message (Python repr of an
-    integral float keeps ``.0``)."""
-    return c.cast("string")
+    """``str(float)`` for the threshold in the message: an integral value keeps
+    ``.0``, and no exponent is used below 1e16 (Spark's cast writes one from 1e7 on)."""
+    whole = (c == F.floor(c)) & (F.abs(c) < 1e16)
+    plain = F.concat(F.format_string("%d", F.when(whole, c).cast("long")), F.lit(".0"))
+    digits = F.regexp_replace(c.cast("decimal(38,18)").cast("string"), r"0+$", "")
+    return F.when(whole, plain).when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), digits).otherwise(c.cast("string"))
 
 
 def low_value_alerts(summaries: DataFrame, portfolios: DataFrame, severity: str = "CRITICAL") -> DataFrame:

@@ -19,8 +19,7 @@ passes, none of which holds a key's whole history in one task:
 2. Per key, the chunk summaries (one row per chunk, a tiny fraction of the
    alerts) are scanned in time order to find each chunk's true incoming
    state. An emission two chunks back is at least a cooldown old, so only the
-   previous chunk's last emission can matter. Passes 1-2 run only for keys
-   that span several chunks; every other key starts fresh.
+   previous chunk's last emission can matter.
 3. Every chunk is folded once from its true incoming state, in one pass over
    rows clustered by (key, chunk) and sorted by time (``mapInPandas``; a
    plain row loop that resets at group boundaries, no per-group frames).
@@ -77,28 +76,14 @@ def cooldown(
         width = F.greatest(F.lit(floor_w), F.col("_span") * F.lit(float(chunk_events)) / F.col("_n"))
         ev = (
             ev.join(stats, "key")
-            .withColumn(
-                "chunk",
-                F.when(F.col("_n") <= chunk_events, F.lit(0))
-                .otherwise(F.floor((F.col("t") - F.col("_t0")) / width))
-                .cast("long"),
-            )
+            .withColumn("chunk", F.floor((F.col("t") - F.col("_t0")) / width).cast("long"))
             .drop("_t0", "_span", "_n")
         )
     cd = float(cooldown_sec)
-    # keys whose alerts span more than one chunk need their chunks' incoming
-    # states resolved (passes 1-2); every other key starts each run fresh
-    spans = ev.groupBy("key").agg((F.max("chunk") > F.min("chunk")).alias("_multi"))
-    ev = cut_lineage(ev.join(spans, "key"))  # read by every pass
-    multi = ev.filter("_multi").drop("_multi")
-    if multi.isEmpty():
-        with_state = ev.drop("_multi").withColumn("in_t", F.lit(None).cast("double")).withColumn(
-            "in_h", F.lit(None).cast("string")
-        )
-    else:
-        summaries = multi.groupBy("key", "chunk").applyInPandas(_summary_factory(cd, dedupe), SUMMARY_SCHEMA)
-        states = summaries.groupBy("key").applyInPandas(_scan_factory(cd, dedupe), STATE_SCHEMA)
-        with_state = ev.drop("_multi").join(states, ["key", "chunk"], "left")
+    ev = cut_lineage(ev)  # read by every pass
+    summaries = ev.groupBy("key", "chunk").applyInPandas(_summary_factory(cd, dedupe), SUMMARY_SCHEMA)
+    states = summaries.groupBy("key").applyInPandas(_scan_factory(cd, dedupe), STATE_SCHEMA)
+    with_state = ev.join(states, ["key", "chunk"], "left")
     # pass 3: one sorted pass; a (key, chunk) group is a contiguous run of rows
     ordered = with_state.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "t", "id")
     return ordered.mapInPandas(_sorted_fold_factory(cd, dedupe), OUT_SCHEMA)

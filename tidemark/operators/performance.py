@@ -16,6 +16,7 @@ mdd = min(min(cd), mdd0) -- running window aggregates, no Python loop.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -53,15 +54,16 @@ def performance_step(
     key: str,
     as_of: Any,
     *,
-    seed_key: str | None = None,
+    seed_key: str | Callable[[], str | None] | None = None,
 ) -> DataFrame:
     """Advance every entity of ``current`` one step from its newest row in
     ``previous`` (the mart). Live defaults: hh 0, nav 100, crr 0, mdd 0, and a
     missing previous total falls back to the current *total* (r = adj/total).
 
     The previous state is the newest row per key strictly before ``as_of``.
-    When there is none at all, only the seed row (``seed_key``, default the
-    smallest key) starts from prev_total = net, so it returns 0.
+    When there is none at all, only the seed row (``seed_key``, a key or a
+    function that finds it; default the smallest key) starts from prev_total =
+    net, so it returns 0.
     Division by a zero previous total yields NULL (pandas gives +-inf/NaN and
     drops NaN on write; ANSI Spark would raise).
     """
@@ -74,7 +76,8 @@ def performance_step(
     if prev_empty:
         # only the very first run of a mart gets here: one small driver-side
         # value (a scalar subquery would embed the whole rollup again)
-        seed = F.lit(seed_key if seed_key is not None else current.agg(F.min(key)).first()[0])
+        first = seed_key() if callable(seed_key) else seed_key
+        seed = F.lit(first if first is not None else current.agg(F.min(key)).first()[0])
         prev = None
     else:
         prev = latest_per_key(previous, key).select(

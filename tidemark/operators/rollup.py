@@ -29,15 +29,23 @@ def time_range(df: DataFrame, time_col: str, start: Any = None, end: Any = None)
     return df if cond is None else df.filter(cond)
 
 
+def _one_of(c: Column, values: Any) -> Column:
+    """Membership that is never NULL; a None among the values matches NULL."""
+    known = [_lit_for(v) for v in values if v is not None]
+    found = F.coalesce(c.isin(known), F.lit(False)) if known else F.lit(False)
+    return found | c.isNull() if len(known) < len(list(values)) else found
+
+
+# A missing field counts as NULL: ``$ne`` and ``$nin`` match it unless NULL is named.
 _OPS = {
-    "$eq": lambda c, v: c == v,
-    "$ne": lambda c, v: c != v,
+    "$eq": lambda c, v: c.eqNullSafe(v),
+    "$ne": lambda c, v: ~c.eqNullSafe(v),
     "$gt": lambda c, v: c > v,
     "$gte": lambda c, v: c >= v,
     "$lt": lambda c, v: c < v,
     "$lte": lambda c, v: c <= v,
-    "$in": lambda c, v: c.isin(list(v)),
-    "$nin": lambda c, v: ~c.isin(list(v)),
+    "$in": _one_of,
+    "$nin": lambda c, v: ~_one_of(c, v),
     "$exists": lambda c, v: c.isNotNull() if v else c.isNull(),
 }
 

@@ -5,7 +5,7 @@ Input is a payload table ``portfolio, exchange, payload`` (the JSON body an
 exchange returns for one account). Each normaliser parses with an explicit
 schema (``from_json``), explodes the asset array (``posexplode_outer`` so an
 empty account still yields a row), values the assets with lookups joined in
-Spark (broadcast only behind a size check), and folds back to one row with a
+Spark (the planner broadcasts them by their size), and folds back to one row with a
 ``balances`` map per portfolio. A portfolio whose payload cannot be parsed
 where the reference would raise goes to the quarantine frame instead (X8);
 the others are unaffected.
@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ts_lit, tw_time
-from tidemark.operators.joins import maybe_broadcast
+from tidemark.operators.alerts import low_value_alerts
+from tidemark.operators.rollup import active_portfolios, latest_per_key
 from tidemark.operators.transfers import transfer_adjustment
 
 # --------------------------------------------------------------------------- fixed values
@@ -64,6 +65,7 @@ class Snapshot:
     summaries: DataFrame
     quarantine: DataFrame  # portfolio, exchange, reason
     missing_prices: DataFrame | None = None
+    alerts: DataFrame | None = None
 
 
 # --------------------------------------------------------------------------- helpers
@@ -82,9 +84,18 @@ def zero_if_empty(c: Column) -> Column:
     return F.when(c == "", F.lit(0.0)).otherwise(num(c))
 
 
-def _assets(payloads: DataFrame, exchange: str, array_path: str) -> DataFrame:
+def _last_wins(lookup: DataFrame, key: str, value: str) -> DataFrame:
+    """One row per key: the last listed (by ``pos``) where a key is listed twice,
+    as in a dictionary; without positions the largest value."""
+    last = F.max_by(value, "pos") if "pos" in lookup.columns else F.max(value)
+    return lookup.groupBy(key).agg(last.alias(value))
+
+
+def _assets(payloads: DataFrame, exchange: str, array_path: str, *, needed: bool = True) -> DataFrame:
     """Parse one exchange's payloads and explode ``array_path`` (dotted path
-    into the parsed struct, ``[0]`` steps allowed) with positions."""
+    into the parsed struct, ``[0]`` steps allowed) with positions. A payload is
+    broken if it is NULL, no JSON or, where ``needed``, lacks the array; an empty
+    array is an account worth 0."""
     parsed = payloads.filter(F.col("exchange") == exchange).withColumn(
         "_p", F.from_json("payload", PAYLOAD_DDL[exchange])
     )
@@ -94,9 +105,9 @@ def _assets(payloads: DataFrame, exchange: str, array_path: str) -> DataFrame:
             arr = F.get(arr.getField(step[:-3]), 0)
         else:
             arr = arr.getField(step)
-    return parsed.select(
-        "portfolio", "exchange", "_p", F.col("payload").isNull().alias("_nopayload"), F.posexplode_outer(arr).alias("pos", "e")
-    )
+    json = F.get_json_object("payload", "$")
+    broken = json.isNull() | (arr.isNull() if needed else ~F.ltrim(json).startswith("{"))
+    return parsed.select("portfolio", "exchange", "_p", broken.alias("_broken"), F.posexplode_outer(arr).alias("pos", "e"))
 
 
 def balance(total: Column, available: Column, notional: Column, liability: Column, interest: Column) -> Column:
@@ -121,7 +132,7 @@ def asset_rows(
         bal.alias("_bal"),
         usd.alias("_usd"),
         (keep & F.col("e").isNotNull()).alias("_keep"),
-        F.coalesce(error, F.lit(True)).alias("_err"),
+        (F.coalesce(error, F.lit(True)) | F.col("_broken")).alias("_err"),
         (total_usd if total_usd is not None else F.lit(None).cast("double")).alias("_tot"),
         F.lit(total_usd is not None).alias("_has_tot"),
     )
@@ -171,10 +182,10 @@ def _normaliser(fn):
 def normalise_binance(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     """amount = free + locked, zero skipped; stables at 1, others priced by
     ``asset || 'USDT'`` or skipped; map values rounded (6 / 2), total not."""
-    a = _assets(payloads, "binance", "balances")
+    a = _assets(payloads, "binance", "balances", needed=False)
     e = F.col("e")
-    prices = lookups.prices.select(F.col("symbol").alias("_sym"), num(F.col("price")).alias("_price"))
-    a = a.join(maybe_broadcast(prices), F.concat(e.asset, F.lit("USDT")) == F.col("_sym"), "left")
+    prices = _last_wins(lookups.prices, "symbol", "price").select(F.col("symbol").alias("_sym"), num(F.col("price")).alias("_price"))
+    a = a.join(prices, F.concat(e.asset, F.lit("USDT")) == F.col("_sym"), "left")
     amount = num(e.free) + num(e.locked)
     price = F.when(e.asset.isin(BINANCE_STABLES), F.lit(1.0)).otherwise(F.col("_price"))
     keep = (amount != 0) & price.isNotNull()
@@ -217,9 +228,9 @@ def normalise_bitmart(payloads: DataFrame, lookups: Lookups) -> DataFrame:
     pairs = pairs.withColumn(
         "_product", F.concat_ws("-", F.get(parts, 0), F.get(parts, 1), F.lit("SPOT"))
     )
-    tickers = lookups.tickers.select(F.col("product_symbol").alias("_product"), F.col("last").alias("_last"))
+    tickers = _last_wins(lookups.tickers, "product_symbol", "last").select(F.col("product_symbol").alias("_product"), F.col("last").alias("_last"))
     priced = pairs.join(tickers, "_product", "left").select("base_currency", "_pair", "_last")
-    a = a.join(maybe_broadcast(priced), e.currency == F.col("base_currency"), "left")
+    a = a.join(priced, e.currency == F.col("base_currency"), "left")
     has_pair = F.col("_pair").isNotNull()
     last = num(F.col("_last"))
     avail, frozen = num(e.available_balance), num(e.frozen_balance)
@@ -246,7 +257,7 @@ def normalise_bitmex(payloads: DataFrame, lookups: Lookups) -> DataFrame:
         .agg(F.min_by("lastPrice", "pos").alias("_lp"))
     )
     ccy = F.upper(e.currency)
-    a = a.join(maybe_broadcast(inst), F.concat(ccy, F.lit("_USDT")) == F.col("_usym"), "left")
+    a = a.join(inst, F.concat(ccy, F.lit("_USDT")) == F.col("_usym"), "left")
     raw = F.coalesce(e.marginBalance, F.lit(0)).cast("double")
     amount = F.when(ccy.isin(BITMEX_SATOSHI_ASSETS), raw / 1e8).otherwise(raw / 1e6)
     usd = F.when(ccy.isin(BITMEX_STABLES), amount).otherwise(F.coalesce(amount * F.col("_lp").cast("double"), F.lit(0.0)))
@@ -361,11 +372,20 @@ def snapshot(
     transfers: DataFrame | None = None,
     bybit_interval_minutes: float = 0.5,
     exchanges: list[str] | None = None,
+    portfolios: DataFrame | None = None,
 ) -> Snapshot:
     """Dispatch by exchange, normalise, stamp ``as_of``; unknown
-    exchanges and failed portfolios go to ``quarantine`` (X8)."""
+    exchanges and failed portfolios go to ``quarantine`` (X8). With a
+    ``portfolios`` frame only active accounts are valued (S1) and the low-value
+    alerts (L1) of the pass are in ``alerts``. Of several fetches of an account
+    (``fetched_at``) the newest counts."""
     t = ts_lit(as_of)
     todo = exchanges or EXCHANGES
+    if portfolios is not None:
+        active = active_portfolios(portfolios)
+        payloads = payloads.join(active.select("portfolio").distinct(), "portfolio", "left_semi")
+    if "fetched_at" in payloads.columns:  # one summary per account and pass: that of its newest fetch
+        payloads = latest_per_key(payloads, ["portfolio", "exchange"], "fetched_at", [F.xxhash64("payload")])
     rows = None
     for ex in todo:
         r = NORMALISERS[ex].rows(payloads, lookups)
@@ -384,4 +404,5 @@ def snapshot(
     unknown = payloads.filter(~F.col("exchange").isin(EXCHANGES) | F.col("exchange").isNull()).select(
         "portfolio", "exchange", F.lit("unsupported exchange").alias("reason")
     )
-    return Snapshot(good, failed.unionByName(unknown), zoomex_missing_prices(payloads))
+    alerts = low_value_alerts(good, active) if portfolios is not None else None
+    return Snapshot(good, failed.unionByName(unknown), zoomex_missing_prices(payloads), alerts)

@@ -23,8 +23,10 @@ from tidemark.operators.performance import (
 from tidemark.operators.rollup import (
     active_portfolios,
     composite_refill,
+    drop_both_zero,
     join_latest,
     latest_per_key,
+    master_rollup,
     master_totals_live,
     portfolio_series,
     refill_base,
@@ -44,11 +46,22 @@ def master_totals(portfolios: DataFrame, summaries: DataFrame, as_of: Any) -> Da
     return master_totals_live(joined, as_of)
 
 
+def smallest_master(portfolios: DataFrame, summaries: DataFrame, as_of: Any) -> str | None:
+    """The first row of a first mart run: the smallest master whose totals are
+    not both zero; composites come after the masters. None if no master is left."""
+    joined = join_latest(active_portfolios(portfolios), latest_summaries(summaries))
+    return drop_both_zero(master_rollup(joined, as_of), null_safe=True).agg(F.min("master_portfolio")).first()[0]
+
+
 def master_mart(
     portfolios: DataFrame, summaries: DataFrame, previous: DataFrame | None, as_of: Any, seed_key: str | None = None
 ) -> DataFrame:
     return performance_step(
-        master_totals(portfolios, summaries, as_of), previous, "master_portfolio", as_of, seed_key=seed_key
+        master_totals(portfolios, summaries, as_of),
+        previous,
+        "master_portfolio",
+        as_of,
+        seed_key=seed_key or (lambda: smallest_master(portfolios, summaries, as_of)),
     )
 
 

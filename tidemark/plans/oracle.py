@@ -77,10 +77,12 @@ WHERE NOT (total_usd_value IS NOT DISTINCT FROM 0 AND transfer_adjustment IS NOT
     ]
 
 
-def step_parts(prefix: str, totals: str, key: str, as_of: str, prev: str | None) -> list[tuple[str, str]]:
-    """W1 in SQL. ``prev`` is a mart CTE or None (empty mart)."""
+def step_parts(prefix: str, totals: str, key: str, as_of: str, prev: str | None, first_of: str | None = None) -> list[tuple[str, str]]:
+    """W1 in SQL. ``prev`` is a mart CTE or None (empty mart); the first row of
+    an empty mart is the smallest key of ``first_of`` with an amount, else of ``totals``."""
     if prev is None:
-        j = f"""SELECT t.*, CASE WHEN t.{key} = (SELECT min({key}) FROM {totals})
+        some = f"(SELECT min({key}) FROM {first_of} WHERE total_usd_value <> 0 OR transfer_adjustment <> 0)" if first_of else "NULL"
+        j = f"""SELECT t.*, CASE WHEN t.{key} = COALESCE({some}, (SELECT min({key}) FROM {totals}))
     THEN t.total_usd_value + t.transfer_adjustment ELSE t.total_usd_value END AS prev_total,
   CAST(0 AS DOUBLE) AS hh0, CAST(100 AS DOUBLE) AS nav0, CAST(0 AS DOUBLE) AS crr0, CAST(0 AS DOUBLE) AS mdd0
 FROM {totals} t"""
@@ -124,7 +126,7 @@ def master_mart_parts(prefix: str, summary_filter: str, as_of: str, prev: str |
         (f"{prefix}aj", active_join_sql(f"{prefix}lat")),
         (f"{prefix}m", masters_sql(f"{prefix}aj", as_of)),
         *composites_parts(prefix, f"{prefix}aj", f"{prefix}m"),
-        *step_parts(f"{prefix}s", f"{prefix}totals", "master_portfolio", as_of, prev),
+        *step_parts(f"{prefix}s", f"{prefix}totals", "master_portfolio", as_of, prev, f"{prefix}m"),
     ]
 
 

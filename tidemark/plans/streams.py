@@ -17,16 +17,15 @@ from tidemark.session import checkpoint_root
 from tidemark.sources.tables import read_epochs, read_upserted
 from tidemark.streaming import jobs as SJ
 
-YEARS_FROM, YEARS_TO = 1995, 2001  # order dates of the fixtures, one batch per year
-
-
 def _stage(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def _years(df: DataFrame) -> list[tuple[int, DataFrame]]:
+    """One part per year that the data holds, in order."""
     y = F.year("current_time")
-    return [(yr, df.filter(y == yr)) for yr in range(YEARS_FROM, YEARS_TO + 1)]
+    years = sorted(r[0] for r in df.select(y).distinct().collect() if r[0] is not None)
+    return [(yr, df.filter(y == yr)) for yr in years]
 
 
 @Q.query

@@ -53,7 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
     Uses ``spark.checkpoint.dir`` when the cluster sets it; only when it is
-    unset (tests, local runs) a scratch folder is created and registered.
+    unset in a local session a scratch folder is created and registered; a
+    cluster session without it is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
@@ -62,6 +63,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - sessions without a local SparkContext
             conf_dir = None
     if not conf_dir:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidemark-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     try:
