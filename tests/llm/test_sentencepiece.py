@@ -43,8 +43,19 @@ def test_random_texts_equal_the_library(both):
 
 
 def test_columns(spark, docs_of, both):
-    rows = [(None, "hello there"), (1, None), (2, ""), (3, "same"), (3, "same"), (4, "long text " * 20_000)]
-    df = docs_of(rows).withColumn("ids", op.encode(spark, "text")).withColumn("back", op.decode(spark, "ids"))
+    rows = [(None, "hello there"), (1, None), (2, ""), (3, "same"), (3, "same"), (4, "long text " * 20_000), (5, "a▁b")]
+    df = op.encode(docs_of(rows).withColumnRenamed("anchor", "ids")).withColumn("back", op.decode(spark, "ids"))
     for r in df.collect():
-        assert list(r.ids) == both[1].encode(r.text or "") and r.back == (r.text or "")
-    assert docs_of([]).withColumn("ids", op.encode(spark, "text")).count() == 0
+        text = r.text or ""
+        assert list(r.ids) == both[1].encode(text) and r.back == text.replace("▁", " ") and r.round_trip == ("▁" not in text)
+        assert r.component_id == "y"
+    assert op.encode(docs_of([])).count() == 0
+
+
+def test_remembered_words_are_bounded(both, monkeypatch):
+    monkeypatch.setattr(op, "WORDS", 10)
+    monkeypatch.setattr(op, "PAIRS", 10)
+    machine = op.Transducer(both[0].vocabulary)
+    text = " ".join(f"word{k % 37}x" for k in range(400))
+    assert machine.encode(text).tolist() == both[1].encode(text)
+    assert len(machine.paths) <= 10 and len(machine.older) <= 10 and len(machine.stable) <= 11

@@ -15,9 +15,10 @@ def test_fold():
 
 
 def test_exceptions_and_neighbours():
-    model = op.Model({"clown": 1.0, "idiot": 2.0}, {"clown fish"})
+    model = op.Model({" clown ": 1.0, " idiot ": 2.0, " nastyw": 4.0}, {"clown fish", "nastyweed plant"})
     weight = lambda t: op.lexicon_weight(op.fold(t), model.automaton(), model.exceptions)
     assert weight("a clown fish swims") == 0 and weight("a clown swims") == 1
+    assert weight("the nastyweed plant") == 0 and weight("nastywort plant") == 4
     assert weight("idiot idiot clown") == 5 and weight("idiotic clownish") == 0 and weight("") == 0
 
 
@@ -31,7 +32,7 @@ def corpus(n=600, seed=3):
         if toxic:
             for _ in range(rnd.randint(1, 5)):
                 text.insert(rnd.randrange(len(text)), rnd.choice(["badword", "nastyword", "b4dword"]))
-        elif rnd.random() < 0.1:
+        elif rnd.random() < 0.04:
             text.insert(5, "badword fish")
         rows.append((i, " ".join(text), int(toxic)))
     return rows
@@ -41,13 +42,13 @@ def test_learns_words_and_exceptions(spark):
     rows = corpus()
     train, held = rows[:400], rows[400:]
     model = op.fit(spark.createDataFrame([(t, y) for _, t, y in train], "text string, label int"))
-    assert set(model.weights) == {"badword", "nastyword"} and model.exceptions == {"badword fish"}
+    assert {t.strip()[:4] for t in model.weights} == {"badw", "nast"} and model.exceptions == {"badword fish"}
     got = spark.createDataFrame([(t, y) for _, t, y in held], "text string, y int").select("y", op.score(model, "text").alias("s")).collect()
     assert all((r.s >= 0.5) == (r.y == 1) for r in got)
 
 
 def test_odd_rows(spark, docs_of):
-    model = op.Model({"idiot": 2.0}, set(), [-2.0, 3.0, 0.1])
+    model = op.Model({" idiot ": 2.0}, set(), [-2.0, 3.0, 0.1])
     rows = [(None, "idiot"), (1, None), (2, ""), (3, "idiot"), (3, "idiot"), (4, "idiot " * 100_000)]
     got = [(r.text, r.s) for r in docs_of(rows).select("text", op.score(model, "text").alias("s")).collect()]
     by = dict(got)

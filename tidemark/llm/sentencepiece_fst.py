@@ -1,36 +1,42 @@
 """SentencePiece encoding and decoding (operator 8) as a weighted transducer.
 
 The compiled machine has three layers. The normaliser maps a space to U+2581 and
-puts one in front. The piece layer holds every vocabulary piece as a path through a
-character trie, weighted by its negated score; a character that no piece has is a
+puts one in front. The piece layer holds every vocabulary piece as a path of its
+characters, weighted by its negated score; a character that no piece has is a
 path of its UTF-8 byte pieces. The context layer remembers the last piece and lets
 another follow only if the pair is stable, that is if merging the pair's characters
 by score gives back these two pieces. Encoding composes the machine with a text
 and takes the tropical shortest path. The context layer is what makes the result
-that of the merge-trained model: without it the shortest path would be another
-segmentation.
+that of the merge-trained model (without it the shortest path would be another
+segmentation), and it leaves one state alive at each place of the text: the last
+piece of the encoding of what stands before.
 
 Pieces never run across the start of a word, so the machine is composed word by
-word and each task remembers the paths of the words it has met.
+word, and a task remembers the paths of the words it has met lately.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
+
+from tidemark.llm.common import slices, utf8, without
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
-#: Words whose paths a task remembers, and the longest such word.
-WORDS, WORD_CHARS = 200_000, 48
-_END = ""  # key of a trie node that ends a piece
+#: Words whose paths a task remembers (twice as many at most), the longest such word, and remembered pairs.
+WORDS, WORD_CHARS, PAIRS = 100_000, 48, 400_000
 
 
 @dataclass
@@ -68,83 +74,109 @@ class Transducer:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.trie: dict = {}
-        for piece, (_, score) in vocabulary.pieces.items():
-            node = self.trie
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[_END] = (piece, -score)
-        self.stable: dict[tuple[str, str], bool] = {}
+        # the piece layer, read backwards: what some piece ends with -> (id, weight), or None if it is no piece itself
+        self.ends: dict[str, tuple[int, float] | None] = {piece[k:]: None for piece in vocabulary.pieces for k in range(1, len(piece))}
+        self.ends.update({piece: (i, -score) for piece, (i, score) in vocabulary.pieces.items()})
+        self.made: set[int] = set()  # pieces known to be the merge of their characters
+        self.names = {i: piece for piece, (i, _) in vocabulary.pieces.items()}
+        self.order = {p: k for k, p in enumerate(sorted((p for p in vocabulary.pieces if len(p) > 1), key=lambda p: -vocabulary.pieces[p][1]))}
+        self.halves: dict[str, tuple[str, str] | None] = {}
+        self.stable: dict[int, bool] = {}
         self.paths: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # where a text can be cut: before a run of marks, and round characters that no piece has
         inner = any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in vocabulary.pieces)
         alone = "".join(c for c in "\n\t\r" if not any(c in p for p in vocabulary.pieces))
         cut = f"[{alone}]|" if alone else ""
-        self.words = re.compile(f"(?s).+" if inner else f"{cut}{SPACE_MARK}+[^{SPACE_MARK}{alone}]*|[^{SPACE_MARK}{alone}]+")
-
-    def merged(self, text: str) -> list[str]:
-        """The text's characters merged pair by pair, the best score first, leftmost on ties."""
-        parts, pieces = list(text), self.vocabulary.pieces
-        while len(parts) > 1:
-            best = max(((pieces[x + y][1], -i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in pieces), default=None)
+        beside = {c for p in vocabulary.pieces for a, b in zip(p, p[1:]) for c in (a, b) if a.isalpha() != b.isalpha()}
+        self.signs = "".join(c for c in ".,;:!?|%&$#*" if c not in beside)  # never in one piece with a letter
+        self.words = re.compile("(?s).+" if inner else f"{cut}{SPACE_MARK}+[^{SPACE_MARK}{alone}]*|[^{SPACE_MARK}{alone}]+")
+
+    def split(self, piece: str) -> tuple[str, str] | None:
+        """The two parts that the last merge of a piece joins; empty ones for a
+        single character, None if merging its characters does not give the piece."""
+        if piece in self.halves:
+            return self.halves[piece]
+        parts, order = list(piece), self.order
+        while len(parts) > 2:
+            best = min(((order[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in order), default=None)
             if best is None:
                 break
-            i = -best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
-
-    def follows(self, last: str, piece: str) -> bool:
-        """Whether the context layer has an arc from ``last`` to ``piece``."""
-        known = self.stable.get((last, piece))
-        if known is None:
-            if len(self.stable) > 1_000_000:
-                self.stable.clear()
-            known = self.stable[last, piece] = self.merged(last + piece) == [last, piece]
-        return known
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+        found = ("", "") if len(parts) == 1 else (parts[0], parts[1]) if len(parts) == 2 else None
+        self.halves[piece] = found
+        return found
+
+    def follows(self, last: int, piece: int) -> bool:
+        """Whether the context layer has an arc from piece ``last`` to ``piece``:
+        taking back the merges of the two, the latest first, no merge across
+        their border may come before the one taken back."""
+        if len(self.stable) >= PAIRS:
+            self.stable.clear()
+        key = last << 32 | piece
+        x, y, order, limit = self.names[last], self.names[piece], self.order, math.inf
+        while True:
+            if order.get(x + y, limit) < limit:
+                self.stable[key] = False
+                return False
+            after, before = order.get(x, -1), order.get(y, -1)
+            if after > before:
+                limit, x = after, self.split(x)[1]
+            elif before >= 0:
+                limit, y = before + 1, self.split(y)[0]
+            else:
+                self.stable[key] = True
+                return True
 
     def shortest(self, word: str) -> list[int]:
         """Piece ids on the shortest path of the composition with ``word``."""
-        n, pieces, byte_ids = len(word), self.vocabulary.pieces, self.vocabulary.bytes_
-        # per position, the live states: last piece ("": start or bytes) -> (weight, position and state before)
-        states: list[dict[str, tuple]] = [{} for _ in range(n + 1)]
-        states[0][""] = (0.0, 0, "")
-        for i in range(n):
-            live = states[i]
-            if not live:
-                continue
-            node, j, known = self.trie.get(word[i]), i + 1, False
-            while node is not None:
-                if _END in node:
-                    known = known or j == i + 1
-                    piece, weight = node[_END]
-                    for last, (sofar, *_) in live.items():
-                        if not last or self.follows(last, piece):
-                            old = states[j].get(piece)
-                            if old is None or sofar + weight < old[0]:
-                                states[j][piece] = (sofar + weight, i, last)
-                node = node.get(word[j]) if j < n else None
-                j += 1
-            if not known:  # byte fallback
-                last, (sofar, *_) = min(live.items(), key=lambda x: x[1][0])
-                if "" not in states[i + 1] or sofar < states[i + 1][""][0]:
-                    states[i + 1][""] = (sofar, i, last)
+        n, ends, stable, made = len(word), self.ends, self.stable, self.made
+        # per place: weight so far, last piece (-1: start or bytes), place before it
+        cost, last, back = [0.0] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
+        for i in range(1, n + 1):
+            j = i - 1
+            part = word[j:i]
+            cost[i], back[i] = cost[j], j  # byte fallback, if no arc is found
+            while part in ends:
+                found = ends[part]
+                if found is not None:
+                    piece, weight = found
+                    if piece in made or self.split(part) is not None:
+                        made.add(piece)
+                        before = last[j]
+                        arc = True if before < 0 else stable.get(before << 32 | piece)
+                        if arc is None:
+                            arc = self.follows(before, piece)
+                        if arc:  # the one state that is alive here
+                            cost[i], last[i], back[i] = cost[j] + weight, piece, j
+                            break
+                if not j:
+                    break
+                j -= 1
+                part = word[j:i]
         out, at = [], n
-        state = min(states[n], key=lambda s: states[n][s][0]) if states[n] else None
-        if state is None:
-            raise ValueError("no path: the vocabulary is not closed under merges")
         while at:
-            _, before, last = states[at][state]
-            out += [pieces[state][0]] if state else [byte_ids[x] for x in reversed(word[before:at].encode())]
-            at, state = before, last
-        return out[::-1]
+            if last[at] >= 0:
+                out.append(last[at])
+            else:
+                out += [self.vocabulary.bytes_[x] for x in reversed(word[back[at] : at].encode())]
+            at = back[at]
+        out.reverse()
+        return out
 
     def path(self, word: str) -> bytes:
         found = self.paths.get(word)
         if found is None:
-            found = np.array(self.shortest(word), np.int32).tobytes()
+            found = self.older.get(word)
+            if found is None:
+                stem = word.rstrip(self.signs)
+                if stem != word and stem[-1:].isalpha():
+                    found = self.path(stem) + self.path(word[len(stem) :])
+                else:
+                    found = array("i", self.shortest(word)).tobytes()
             if len(word) <= WORD_CHARS:
                 if len(self.paths) >= WORDS:
-                    self.paths.clear()
+                    self.older, self.paths = self.paths, {}
                 self.paths[word] = found
         return found
 
@@ -161,18 +193,6 @@ class Transducer:
         return out[1:].decode(errors="replace") if out[:1] == b" " else out.decode(errors="replace")
 
 
-_compiled: dict[int, Transducer] = {}
-
-
-def _machine(content: bytes) -> Transducer:
-    """Compiled once per worker process."""
-    key = hash(content)
-    if key not in _compiled:
-        _compiled.clear()
-        _compiled[key] = Transducer(read_model(content))
-    return _compiled[key]
-
-
 def model_bytes(spark: SparkSession, path: str = DEFAULT_MODEL) -> bytes:
     """A model file through Spark's readers (a bare path is a file of the driver)."""
     if "://" in path:
@@ -181,17 +201,27 @@ def model_bytes(spark: SparkSession, path: str = DEFAULT_MODEL) -> bytes:
         return f.read()
 
 
-def encode(spark: SparkSession, text: str | Column = "text", model: str = DEFAULT_MODEL) -> Column:
-    """Piece ids (array of int) of a text column; null and empty texts give an empty array."""
-    shared = spark.sparkContext.broadcast(model_bytes(spark, model))  # a model's size is fixed
+def encode(docs: DataFrame, text: str = "text", model: str = DEFAULT_MODEL) -> DataFrame:
+    """All rows and columns of ``docs`` plus ``ids`` (array of int, the piece ids
+    of the text) and ``round_trip`` (whether they decode to the text again; false
+    only for texts that hold U+2581 itself), which replace columns of those names.
+    Null and empty texts have no pieces."""
+    docs = without(docs, "ids", "round_trip")
+    shared = docs.sparkSession.sparkContext.broadcast(model_bytes(docs.sparkSession, model))  # a model's size is fixed
+    place = docs.columns.index(text)
 
-    @F.pandas_udf("array<int>")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = _machine(shared.value)
-        for texts in batches:
-            yield pd.Series([machine.encode(t) if t else np.zeros(0, np.int32) for t in texts], dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = Transducer(read_model(shared.value))
+        for b in batches:
+            texts = utf8(b.column(place))
+            for lo, hi in slices(texts):
+                ids = [machine.encode(t.decode()) for t in texts[lo:hi]]
+                same = [machine.decode(x.tolist()).encode() == t for x, t in zip(ids, texts[lo:hi])]
+                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                pieces = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, pieces, pa.array(same)], names=[*b.schema.names, "ids", "round_trip"])
 
-    return encoded(text)
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())]))
 
 
 def decode(spark: SparkSession, ids: str | Column = "ids", model: str = DEFAULT_MODEL) -> Column:
@@ -200,7 +230,7 @@ def decode(spark: SparkSession, ids: str | Column = "ids", model: str = DEFAULT_
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = _machine(shared.value)
+        machine = Transducer(read_model(shared.value))
         for rows in batches:
             yield pd.Series(["" if x is None else machine.decode(x.tolist()) for x in rows], dtype=object)
 

@@ -1,7 +1,7 @@
 """Toxicity (operator 10).
 
-A weighted lexicon of words, learned from labelled texts, is matched by an
-Aho-Corasick automaton in folded text: homoglyphs and digit substitutions become
+A weighted lexicon of words and word beginnings, learned from labelled texts, is
+matched by an Aho-Corasick automaton in folded text: homoglyphs and digit substitutions become
 the letters they stand for, so ``1d10t`` or a Cyrillic ``о`` match. A match that
 is part of an exception phrase does not count. The sum of weights, as it is and
 normalised by length, gives the score through a logistic curve.
@@ -58,10 +58,19 @@ def fold(text: str) -> str:
     return " " + " ".join(out) + " "
 
 
+#: Letters of the word beginnings that a lexicon may hold, for languages that compound and inflect.
+STEMS = range(4, 9)
+
+
+def terms(word: str) -> list[str]:
+    """What a lexicon can hold of a word: the word between spaces, its beginnings after one."""
+    return [f" {word} ", *(f" {word[:n]}" for n in STEMS if len(word) > n)]
+
+
 @dataclass
 class Model:
-    """weights: folded word -> weight; exceptions: folded two-word phrases that
-    cancel the word in them; curve: intercept and factors of the features."""
+    """weights: term -> weight; exceptions: folded two-word phrases that cancel
+    the words in them; curve: intercept and factors of the features."""
 
     weights: dict[str, float] = field(default_factory=dict)
     exceptions: set[str] = field(default_factory=set)
@@ -69,21 +78,22 @@ class Model:
 
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
-        for w, x in self.weights.items():
-            found.add_word(f" {w} ", (w, x))
+        for term, weight in self.weights.items():
+            found.add_word(term, (term, weight))
         found.make_automaton()
         return found
 
 
 def lexicon_weight(folded: str, automaton: ahocorasick.Automaton, exceptions: set[str]) -> float:
-    """Sum of the weights of the words that match outside exception phrases."""
+    """Sum of the weights of the terms that match outside exception phrases."""
     total = 0.0
-    for end, (word, weight) in automaton.iter(folded):
-        start = end - len(word)  # of the word itself; the match has a space at either side
+    for end, (term, weight) in automaton.iter(folded):
         if exceptions:
+            start = end - len(term) + 2  # of the word; its term begins with a space
+            stop = end if term[-1] == " " else folded.find(" ", end + 1)
             before = folded.rfind(" ", 0, start - 1)
-            after = folded.find(" ", end + 1)
-            if folded[before + 1 : end] in exceptions or after > 0 and folded[start:after] in exceptions:
+            after = folded.find(" ", stop + 1)
+            if folded[before + 1 : stop] in exceptions or after > 0 and folded[start:after] in exceptions:
                 continue
         total += weight
     return total
@@ -94,20 +104,25 @@ def features(total: float, folded: str) -> tuple[float, float]:
     return float(np.log1p(total)), float(np.log1p(100 * total / max(20, folded.count(" ") - 1)))
 
 
-def fit(labelled: DataFrame, most_words: int = 400, least_docs: int = 5) -> Model:
+def fit(labelled: DataFrame, most_terms: int = 1000, least_docs: int = 5) -> Model:
     """A model from ``labelled`` (text, label 0/1), a bounded table (see training_rows).
 
-    Candidates are the ``most_words`` words with the highest z-score (over 6)
-    between the shares of texts of either label that hold them, in ``least_docs``
-    texts of label 1 at least. The lexicon is picked from them one by one, each
-    time the word that most texts of label 1 hold that no picked word explains, net
-    of as large a share of texts of label 0 with it, until no text is gained: words that merely occur in the same texts are not taken. Weight: log odds.
+    Candidates are the ``most_terms`` words and word beginnings with the highest
+    z-score (over 6) between the shares of texts of either label that hold them, in
+    ``least_docs`` texts of label 1 at least. The lexicon is picked from them one by
+    one, each time the term that explains most texts of label 1 not yet explained,
+    less the texts of label 0 that hold it, as long as two are gained; then those
+    follow that 2 % of the texts of label 1 hold and a hundredth of that share of the
+    texts of label 0 at most. Of texts with one opening, mostly copies, one counts.
+    Weight: log odds.
     Exceptions: two-word phrases with a lexicon word, in two clean texts or more and
     three times as often there as in texts of label 1. Null labels are left out, null
     texts are empty; without both labels the model scores all texts alike.
     """
     rows = labelled.filter("label is not null").select(text_of("text").alias("text"), F.col("label").cast("int").alias("label"))
-    rows = written(rows.distinct(), "labelled")
+    # of texts with one opening, mostly copies, one counts
+    opening = F.substring("text", 1, 48)
+    rows = written(rows.groupBy(opening.alias("opening")).agg(F.min(F.struct("text", "label")).alias("row")).select("row.*"), "labelled")
     sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = sizes.get(1, 0), sum(n for k, n in sizes.items() if k != 1)
     if not n1 or not n0:
@@ -121,9 +136,10 @@ def fit(labelled: DataFrame, most_words: int = 400, least_docs: int = 5) -> Mode
     both = (F.col("toxic") + F.col("clean") + 1) / (n1 + n0 + 2)
     words = shares(rows.mapInArrow(_count_words(None), "label int, term string, n long"))
     words = words.withColumns({"z": (F.col("p") - F.col("q")) / F.sqrt(both * (1 - both) * (1.0 / n1 + 1.0 / n0)), "weight": F.log(F.col("p") / F.col("q"))})
-    near = words.filter((F.col("toxic") >= least_docs) & (F.col("z") > 6) & (F.col("p") >= 3 * F.col("q"))).orderBy(F.desc("z"), "term").limit(most_words).collect()
+    near = words.filter((F.col("toxic") >= least_docs) & (F.col("z") > 6) & (F.col("p") >= 3 * F.col("q"))).orderBy(F.desc("z"), "term").limit(most_terms).collect()
     weights = {r.term: float(r.weight) for r in near}
-    model = Model(weights={w: weights[w] for w in _picked(rows, list(weights), n1 / n0)})
+    pure = {r.term for r in near if r.toxic >= max(8, 0.02 * n1) and r.clean * n1 <= 0.01 * r.toxic * n0}
+    model = Model(weights={w: weights[w] for w in sorted(pure.union(_picked(rows, list(weights))))})
     phrases = shares(rows.mapInArrow(_count_words(frozenset(model.weights)), "label int, term string, n long"))
     usual = phrases.filter((F.col("clean") >= 2) & (F.col("q") >= 3 * F.col("p")))
     model.exceptions = {r.term for r in usual.orderBy(F.desc("clean"), "term").limit(5000).collect()}
@@ -132,13 +148,13 @@ def fit(labelled: DataFrame, most_words: int = 400, least_docs: int = 5) -> Mode
     return model
 
 
-def _picked(rows: DataFrame, words: list[str], ratio: float) -> list[str]:
+def _picked(rows: DataFrame, words: list[str]) -> list[str]:
     """The candidates that explain texts of label 1 which the ones picked before do not."""
     place = {w: i for i, w in enumerate(words)}
 
     @F.pandas_udf("array<int>")
     def held(texts: pd.Series) -> pd.Series:
-        return pd.Series([[place[w] for w in set(fold(t).split()) if w in place] for t in texts], dtype=object)
+        return pd.Series([list({place[x] for w in set(fold(t).split()) for x in terms(w) if x in place}) for t in texts], dtype=object)
 
     found = rows.select("label", held("text").alias("words")).filter(F.size("words") > 0).collect()
     has = np.zeros((len(found), len(words)), bool)
@@ -147,9 +163,9 @@ def _picked(rows: DataFrame, words: list[str], ratio: float) -> list[str]:
     toxic = np.array([r.label == 1 for r in found], bool)
     clean, left, out = has[~toxic].sum(axis=0), has[toxic], []
     while len(left):
-        gain = left.sum(axis=0) - ratio * clean
+        gain = left.sum(axis=0) - clean
         best = int(np.argmax(gain))
-        if gain[best] < 1:
+        if gain[best] < 2:
             break
         out.append(words[best])
         left = left[~left[:, best]]
@@ -157,7 +173,7 @@ def _picked(rows: DataFrame, words: list[str], ratio: float) -> list[str]:
 
 
 def _count_words(lexicon: frozenset[str] | None):
-    """Per batch, how many texts of a label hold each word, or each two-word phrase with a word of the lexicon."""
+    """Per batch, how many texts of a label hold each term, or each two-word phrase with a word that the lexicon matches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -165,10 +181,11 @@ def _count_words(lexicon: frozenset[str] | None):
             for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 words = fold(text).split()
                 if lexicon is None:
-                    terms = {w for w in words if 3 <= len(w) <= 30}
+                    held = {x for w in set(words) if 3 <= len(w) <= 30 for x in terms(w)}
                 else:
-                    terms = {f"{x} {y}" for x, y in zip(words, words[1:]) if x in lexicon or y in lexicon}
-                counts.update((label, t) for t in terms)
+                    hits = {w for w in set(words) if any(x in lexicon for x in terms(w))}
+                    held = {f"{x} {y}" for x, y in zip(words, words[1:]) if x in hits or y in hits}
+                counts.update((label, t) for t in held)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.int32()), pa.array([k[1] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["label", "term", "n"])
 
     return run
