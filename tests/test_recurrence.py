@@ -151,3 +151,10 @@ def test_chunked_path_equals_single_pass_on_fixtures(spark, level, summary):
         b = chunked[k]
         for f in ("nav", "crr", "history_high", "cd", "mdd", "current_return"):
             assert math.isclose(getattr(a, f), getattr(b, f), rel_tol=1e-9, abs_tol=1e-9), (k, f)
+
+
+def test_two_rows_at_one_time_raise(spark):
+    rows = [("a", dt.datetime(2025, 1, 1, 0, m), "t", 1.0, 0.0) for m in (0, 1, 1, 2)]
+    df = spark.createDataFrame(rows, "portfolio string, current_time timestamp_ntz, tw_time string, total_usd_value double, transfer_adjustment double")
+    with pytest.raises(ValueError):
+        refill_performance(df, "portfolio")

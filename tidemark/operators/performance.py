@@ -189,15 +189,19 @@ def refill_performance(
     are shuffled once, by (key, chunk); segments, running products, maxima
     and minima are computed inside each chunk, and only small per-piece
     summaries (one row per (key, chunk, segment)) carry the prefix state
-    across chunk boundaries before being joined back on the same partitioning.
+    across chunk boundaries before being joined back on that key.
     A key holding a third of all rows is spread over all executors.
+
+    The series is materialised once; two rows of a key at one time have no
+    defined order and raise ``ValueError``.
     """
     if gap_policy not in ("reset", "carry"):
         raise ValueError("gap_policy must be 'reset' or 'carry'")
     d = REFILL_DEFAULTS
     k = F.col(key)
     cols = [key, "current_time", "tw_time", "total_usd_value", "transfer_adjustment"]
-    rows = series.select(*cols)
+    series = cut_lineage(series.select(*cols))  # read for the index, the null keys and the rows
+    rows = series
 
     # NULL keys never match any state (the join drops them), so each such row
     # starts fresh: r = 0, nav = 100, every other metric at its default.
@@ -214,12 +218,7 @@ def refill_performance(
         "tw_time",
     )
     rows = rows.filter(k.isNotNull())
-    idx = batch_index(rows, bucket=bucket).persist()
-    n_batches = idx.agg(F.max("batch")).first()[0] or 0
-    rows = rows.join(idx, on="current_time")
-    if n_batches <= chunk_batches:
-        # every key has at most n_batches rows: one pass, groups already bounded
-        return _single_chunk(rows, key, seed, gap_policy).unionByName(null_rows)
+    rows = rows.join(batch_index(rows, bucket=bucket), on="current_time")
     rows = rows.withColumn("cb", F.floor((F.col("batch") - 1) / F.lit(int(chunk_batches))).cast("long"))
 
     # ---- pass 1 (one shuffle, by (key, chunk)): local segments ``ls`` and
@@ -227,6 +226,7 @@ def refill_performance(
     w_chunk = Window.partitionBy(key, "cb").orderBy("current_time")
     lag_b = F.lag("batch").over(w_chunk)
     local_brk = (lag_b.isNotNull() & (F.col("batch") - lag_b != 1)) if gap_policy == "reset" else F.lit(False)
+    rows = rows.withColumn("_twice", lag_b.eqNullSafe(F.col("batch")))
     rows = rows.withColumn("ls", F.sum(local_brk.cast("long")).over(w_chunk.rowsBetween(Window.unboundedPreceding, 0)))
     w_piece = Window.partitionBy(key, "cb", "ls").orderBy("current_time")
     run_piece = w_piece.rowsBetween(Window.unboundedPreceding, 0)
@@ -237,6 +237,8 @@ def refill_performance(
         .withColumn("_gp", F.product(F.lit(1.0) + F.coalesce(F.col("_rl"), F.lit(0.0))).over(run_piece))
     )
     rows = cut_lineage(rows)
+    if not rows.filter("_twice").isEmpty():
+        raise ValueError(f"the series holds several rows of one {key} at one time; deduplicate it first")
 
     # ---- piece table (small): link pieces into segments, prefix state ----
     pieces = rows.groupBy(key, "cb", "ls").agg(
@@ -290,10 +292,11 @@ def refill_performance(
     pieces = pieces.withColumn(
         "_navmax", F.when(scale >= 0, scale * F.col("_gmax")).otherwise(scale * F.col("_gmin"))
     ).withColumn("_hhin", F.greatest(F.col("_hh0"), F.max("_navmax").over(before)))
-    state1 = _pack(pieces, key, "_st", ["seg", "_nav0", "_crr0", "_mdd0", "_r1", "_f1", "_gin", "_hhin"])
+    piece = [key, "cb", "ls"]
+    state1 = pieces.select(*piece, "seg", "_nav0", "_crr0", "_mdd0", "_r1", "_f1", "_gin", "_hhin")
 
-    # ---- pass 2: nav, crr, hh, cd per row (same partitioning) -------------
-    rows = _unpack(rows.join(state1, on=[key, "cb"]), "_st")
+    # ---- pass 2: nav, crr, hh, cd per row ---------------------------------
+    rows = rows.join(state1, on=piece)
     g = F.col("_gin") * F.col("_f1") * F.col("_gp")
     rows = (
         rows.withColumn("current_return", F.coalesce(F.col("_rl"), F.col("_r1")))
@@ -312,80 +315,6 @@ def refill_performance(
     # ---- drawdown: prefix minimum of cd across a segment's pieces ---------
     mins = rows.groupBy(key, "cb", "ls", "seg").agg(F.min("cd").alias("_pmin"), F.first("_mdd0").alias("_mdd0p"))
     mins = mins.withColumn("_mddin", F.least(F.col("_mdd0p"), F.min("_pmin").over(before)))
-    state2 = _pack(mins, key, "_st2", ["_mddin"])
-    rows = _unpack(rows.join(state2, on=[key, "cb"]), "_st2")
+    rows = rows.join(mins.select(*piece, "_mddin"), on=piece)
     out = rows.withColumn("mdd", F.least(F.col("_mddin"), F.col("_cdmin"))).select(*output_columns(key))
     return out.unionByName(null_rows)
-
-
-def _seed_columns(rows: DataFrame, key: str, seed: DataFrame | None) -> DataFrame:
-    if seed is not None:
-        return rows.join(
-            seed.select(
-                key,
-                F.col("history_high").alias("s_hh"),
-                F.col("nav").alias("s_nav"),
-                F.col("total_usd_value").alias("s_total"),
-                F.col("crr").alias("s_crr"),
-                F.col("mdd").alias("s_mdd"),
-            ),
-            on=key,
-            how="left",
-        )
-    for c in ("s_hh", "s_nav", "s_total", "s_crr", "s_mdd"):
-        rows = rows.withColumn(c, F.lit(None).cast("double"))
-    return rows
-
-
-def _single_chunk(rows: DataFrame, key: str, seed: DataFrame | None, gap_policy: str) -> DataFrame:
-    """The closed form with windows per key and per (key, segment); used when
-    the whole range is one chunk, so a key's group has at most one row per
-    batch. One shuffle by key serves both windows."""
-    d = REFILL_DEFAULTS
-    w_key = Window.partitionBy(key).orderBy("current_time")
-    if gap_policy == "reset":
-        prev_batch = F.lag("batch").over(w_key)
-        brk = prev_batch.isNull() | (F.col("batch") - prev_batch != 1)
-        rows = rows.withColumn("seg", F.sum(brk.cast("long")).over(w_key.rowsBetween(Window.unboundedPreceding, 0)))
-        seedable = F.min("batch").over(Window.partitionBy(key, "seg")) == 1
-    else:
-        rows = rows.withColumn("seg", F.lit(0).cast("long"))
-        seedable = F.lit(True)
-    rows = _seed_columns(rows, key, seed).withColumn("_seedrow", seedable)
-
-    def seed_or(c: str, default: float) -> Column:
-        return F.coalesce(F.when(F.col("_seedrow"), F.col(c)), F.lit(default))
-
-    w_seg = Window.partitionBy(key, "seg").orderBy("current_time")
-    frame = w_seg.rowsBetween(Window.unboundedPreceding, 0)
-    net = F.col("total_usd_value") + F.col("transfer_adjustment")
-    prev_total = F.coalesce(F.lag("total_usd_value").over(w_seg), F.when(F.col("_seedrow"), F.col("s_total")), net)
-    out = (
-        rows.withColumn("current_return", safe_div(net - prev_total, prev_total, otherwise=0.0))
-        .withColumn("_g", F.product(F.lit(1.0) + F.col("current_return")).over(frame))
-        .withColumn("nav", seed_or("s_nav", d.nav) * F.col("_g"))
-        .withColumn("crr", (F.lit(1.0) + seed_or("s_crr", d.crr)) * F.col("_g") - F.lit(1.0))
-        .withColumn("history_high", F.greatest(F.max("nav").over(frame), seed_or("s_hh", d.history_high)))
-        .withColumn(
-            "cd",
-            F.when(F.col("history_high") != 0, F.col("nav") / F.col("history_high") - F.lit(1.0)).otherwise(0.0),
-        )
-        .withColumn("mdd", F.least(F.min("cd").over(frame), seed_or("s_mdd", d.mdd)))
-    )
-    return out.select(*output_columns(key))
-
-
-def _pack(pieces: DataFrame, key: str, name: str, fields: list[str]) -> DataFrame:
-    """One row per (key, chunk) holding its pieces' states (a chunk's rows
-    need exactly one state row). The join back is planned by AQE from the
-    state table's measured size: broadcast when small, else a shuffle on
-    (key, chunk), which is balanced however skewed the keys are."""
-    return pieces.groupBy(key, "cb").agg(F.collect_list(F.struct("ls", *fields)).alias(name))
-
-
-def _unpack(rows: DataFrame, name: str) -> DataFrame:
-    el = F.get(F.filter(F.col(name), lambda x: x["ls"] == F.col("ls")), 0)
-    fields = [f.name for f in rows.schema[name].dataType.elementType.fields if f.name != "ls"]
-    for f in fields:
-        rows = rows.withColumn(f, el[f])
-    return rows.drop(name)
