@@ -62,3 +62,12 @@ def test_insert_update_merge_and_dedup(spark, ns):
     docs = docs.withColumn("current_time", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
     m = runs.run_insert_data(spark, data, runs.ACCOUNT_SUMMARY, mode="merge", documents=docs, key_fields=["portfolio", "current_time"])
     assert m.collect()[0].upserted == 1
+
+
+def test_rerun_with_a_new_value_reaches_the_state(spark):
+    data = runs.Namespace(f"{checkpoint_root(spark)}/ns-{uuid.uuid4().hex[:10]}/data")
+    for value in (100.0, 250.0):
+        row = spark.createDataFrame([("a", value)], "portfolio string, total_usd_value double").withColumn("current_time", F.lit("2025-01-01 00:00:00").cast("timestamp_ntz"))
+        data.append(spark, runs.ACCOUNT_SUMMARY, row.select("portfolio", "current_time", "total_usd_value"), "portfolio")
+    assert data.state(spark, runs.ACCOUNT_SUMMARY).first().total_usd_value == 250.0
+    assert data.history(spark, runs.ACCOUNT_SUMMARY, ["portfolio", "current_time"]).first().total_usd_value == 250.0

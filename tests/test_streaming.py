@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidemark.plans.fixtures import load
 from tidemark.session import checkpoint_root
-from tidemark.sources.tables import read_upserted
+from tidemark.sources.tables import read_upserted, write_epoch
 from tidemark.streaming.jobs import mart_batch
 
 
@@ -28,3 +28,28 @@ def test_mart_batch_replay_is_idempotent(spark):
     mart_batch(spark, summaries.filter(y == 1998), 1, *args)  # replay of epoch 1
     assert _rows(read_upserted(spark, f"{root}/mart", ["master_portfolio", "current_time"])) == first
     assert len({r[-2] for r in first}) == 2
+
+
+def test_late_batch_chains_on(spark):
+    """A batch older than the last mart run steps from the state, not from 100."""
+    root = f"{checkpoint_root(spark)}/late-{uuid.uuid4().hex[:8]}"
+    summaries, portfolios = load(spark, SF_SMALL, "account_summary"), load(spark, SF_SMALL, "portfolio")
+    y = F.year("current_time")
+    args = (f"{root}/summary", portfolios, f"{root}/mart", f"{root}/state")
+    mart_batch(spark, summaries.filter(y <= 1996), 0, *args)
+    mart_batch(spark, summaries.filter(y == 1998), 1, *args)
+    before = {r.master_portfolio: r for r in spark.read.parquet(f"{root}/state/latest_mart/epoch=000000000001").collect()}
+    mart_batch(spark, summaries.filter(y == 1997), 2, *args)
+    after = {r.master_portfolio: r for r in spark.read.parquet(f"{root}/state/latest_mart/epoch=000000000002").collect()}
+    assert set(after) == set(before)
+    chained = [k for k, r in after.items() if r.current_return is not None and before[k].nav is not None]
+    assert chained and all(abs(after[k].nav - before[k].nav * (1 + after[k].current_return)) < 1e-9 * abs(after[k].nav) for k in chained)
+    assert {r.current_time for r in after.values()} == {r.current_time for r in before.values()}  # no step back in time
+
+
+def test_null_keeps_the_stored_value(spark):
+    root = f"{checkpoint_root(spark)}/keep-{uuid.uuid4().hex[:8]}"
+    for epoch, rows in enumerate([[("a", 0.5, 1.0), ("b", 2.0, 2.0)], [("a", None, 3.0)]]):
+        write_epoch(spark.createDataFrame(rows, "k string, x double, y double"), root, epoch)
+    got = {r.k: (r.x, r.y) for r in read_upserted(spark, root, ["k"], null_keeps=True).collect()}
+    assert got == {"a": (0.5, 3.0), "b": (2.0, 2.0)}

@@ -55,12 +55,14 @@ def performance_step(
     as_of: Any,
     *,
     seed_key: str | Callable[[], str | None] | None = None,
+    inclusive: bool = False,
 ) -> DataFrame:
     """Advance every entity of ``current`` one step from its newest row in
     ``previous`` (the mart). Live defaults: hh 0, nav 100, crr 0, mdd 0, and a
     missing previous total falls back to the current *total* (r = adj/total).
 
-    The previous state is the newest row per key strictly before ``as_of``.
+    The previous state is the newest row per key strictly before ``as_of``, or
+    at it with ``inclusive`` (a state known to be of an earlier run).
     When there is none at all, only the seed row (``seed_key``, a key or a
     function that finds it; default the smallest key) starts from prev_total =
     net, so it returns 0.
@@ -71,7 +73,8 @@ def performance_step(
     if previous is not None:
         # state strictly before this run: a replay at the same as_of reads the
         # same state and writes the same rows (idempotent)
-        previous = previous.filter(F.col("current_time") < ts_lit(as_of))
+        time = F.col("current_time")
+        previous = previous.filter(time <= ts_lit(as_of) if inclusive else time < ts_lit(as_of))
     prev_empty = previous is None or previous.isEmpty()
     if prev_empty:
         # only the very first run of a mart gets here: one small driver-side

@@ -54,7 +54,12 @@ def smallest_master(portfolios: DataFrame, summaries: DataFrame, as_of: Any) ->
 
 
 def master_mart(
-    portfolios: DataFrame, summaries: DataFrame, previous: DataFrame | None, as_of: Any, seed_key: str | None = None
+    portfolios: DataFrame,
+    summaries: DataFrame,
+    previous: DataFrame | None,
+    as_of: Any,
+    seed_key: str | None = None,
+    inclusive: bool = False,
 ) -> DataFrame:
     return performance_step(
         master_totals(portfolios, summaries, as_of),
@@ -62,6 +67,7 @@ def master_mart(
         "master_portfolio",
         as_of,
         seed_key=seed_key or (lambda: smallest_master(portfolios, summaries, as_of)),
+        inclusive=inclusive,
     )
 
 
@@ -75,9 +81,15 @@ def portfolio_totals(portfolios: DataFrame, summaries: DataFrame, as_of: Any) ->
 
 
 def portfolio_mart(
-    portfolios: DataFrame, summaries: DataFrame, previous: DataFrame | None, as_of: Any, seed_key: str | None = None
+    portfolios: DataFrame,
+    summaries: DataFrame,
+    previous: DataFrame | None,
+    as_of: Any,
+    seed_key: str | None = None,
+    inclusive: bool = False,
 ) -> DataFrame:
-    return performance_step(portfolio_totals(portfolios, summaries, as_of), previous, "portfolio", as_of, seed_key=seed_key)
+    totals = portfolio_totals(portfolios, summaries, as_of)
+    return performance_step(totals, previous, "portfolio", as_of, seed_key=seed_key, inclusive=inclusive)
 
 
 def refill_series(portfolios: DataFrame, summaries: DataFrame, level: str, start: Any = None, end: Any = None) -> DataFrame:

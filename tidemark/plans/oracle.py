@@ -718,12 +718,12 @@ SELECT job_id, CAST(count(*) FILTER (WHERE event = 'submitted') AS BIGINT) AS to
 FROM jd GROUP BY job_id"""
 
 
-def _stream_mart_parts() -> list[tuple[str, str]]:
+def _stream_mart_parts(mart_parts=master_mart_parts) -> list[tuple[str, str]]:
     parts: list[tuple[str, str]] = []
     prev = None
     for y in range(1995, 2002):  # the years of the given tables; SQL needs them spelled out, the query takes them from the data
         as_of = f"(SELECT max({CT}) FROM account_summary WHERE year({CT}) = {y})"
-        parts += master_mart_parts(f"y{y}_", f"WHERE year({CT}) <= {y}", as_of, prev)
+        parts += mart_parts(f"y{y}_", f"WHERE year({CT}) <= {y}", as_of, prev)
         union = f"SELECT * FROM y{y}_sout" if prev is None else f"SELECT * FROM {prev} UNION ALL SELECT * FROM y{y}_sout"
         parts.append((f"mart{y}", union))
         prev = f"mart{y}"
@@ -733,3 +733,6 @@ def _stream_mart_parts() -> list[tuple[str, str]]:
 ORACLE["stream_mart"] = with_(*_stream_mart_parts(), roles=("portfolio", "account_summary")) + "\n" + rounded(
     perf_cols("master_portfolio"), PERF_COLS, "mart2001"
 )
+ORACLE["stream_portfolio_mart"] = with_(*_stream_mart_parts(portfolio_mart_parts), roles=("portfolio", "account_summary")) + "\n" + rounded(
+    perf_cols("portfolio"), PERF_COLS, "mart2001"
+)

@@ -58,8 +58,9 @@ class Namespace:
     def history(
         self, spark: SparkSession, table: str, keys: Sequence[str], schema=None, start: Any = None, end: Any = None
     ) -> DataFrame | None:
-        """Upsert view of an append-only history; a time range prunes days."""
-        df = read_upserted(spark, self.path(table), keys, start, end)
+        """Upsert view of an append-only history; a time range prunes days. In
+        the marts a NULL keeps the stored value (K7)."""
+        df = read_upserted(spark, self.path(table), keys, start, end, null_keeps=table in (PORTFOLIO_PERF, MASTER_PERF))
         if df is None and schema is not None:
             return spark.createDataFrame([], schema)
         return df
@@ -69,12 +70,13 @@ class Namespace:
 
     def append(self, spark: SparkSession, table: str, rows: DataFrame, key: str, tiebreak=()) -> None:
         """Append ``rows`` to the history and fold them into the latest-row
-        state (O(#keys))."""
+        state (O(#keys)); of two rows at one time the one written last counts."""
         path = append_epoch(rows, self.path(table), by_date=True)
-        written = spark.read.parquet(path).drop("_date")
+        written = spark.read.parquet(path).drop("_date").withColumn("_write", F.lit(1))
         prev = self.state(spark, table)
-        merged = written if prev is None else prev.unionByName(written, allowMissingColumns=True)
-        append_epoch(latest_per_key(merged, key, "current_time", list(tiebreak)), self.path(f"{table}__latest"))
+        merged = written if prev is None else prev.withColumn("_write", F.lit(0)).unionByName(written, allowMissingColumns=True)
+        latest = latest_per_key(merged, key, "current_time", [F.col("_write").desc(), *tiebreak])
+        append_epoch(latest.drop("_write"), self.path(f"{table}__latest"))
 
 
 def run_snapshot(
@@ -88,8 +90,11 @@ def run_snapshot(
     interval_minutes: float = 0.5,
 ) -> Snapshot:
     """S6 -> X0-X8 -> K8 upsert keyed (portfolio, current_time); failed
-    portfolios are appended to ``snapshot_quarantine``."""
-    snap = snapshot(payloads, lookups, as_of, transfers=transfers, bybit_interval_minutes=interval_minutes)
+    portfolios are appended to ``snapshot_quarantine``. Only the accounts that the
+    portfolio table has as active are valued, and the pass's low-value alerts are
+    in the result; without that table every account is."""
+    accounts = data.read(spark, PORTFOLIO)
+    snap = snapshot(payloads, lookups, as_of, transfers=transfers, bybit_interval_minutes=interval_minutes, portfolios=accounts)
     data.append(spark, ACCOUNT_SUMMARY, snap.summaries, "portfolio")
     append_rows(spark, data.path("snapshot_quarantine"), snap.quarantine)
     return snap

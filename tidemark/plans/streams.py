@@ -48,11 +48,10 @@ def stream_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return Q._summary_rows(read_upserted(spark, f"{root}/summary", SJ.SUMMARY_KEYS))
 
 
-@Q.query
-def stream_mart(spark: SparkSession, d: str) -> DataFrame:
-    """One micro-batch per year of summaries; each batch steps the master
-    mart at its newest summary time."""
-    root = _stage(spark, "stream-mart")
+def _mart(spark: SparkSession, d: str, level: str, key: str) -> DataFrame:
+    """One micro-batch per year of summaries; each batch steps the mart at its
+    newest summary time."""
+    root = _stage(spark, f"stream-mart-{level}")
     summaries = load(spark, d, "account_summary")
     portfolios = load(spark, d, "portfolio")
     for _, part in _years(summaries):
@@ -66,8 +65,19 @@ def stream_mart(spark: SparkSession, d: str) -> DataFrame:
             f"{root}/ckpt",
             schema=summaries.schema,
             available_now=True,
+            level=level,
         ).awaitTermination()
-    return Q.finish(read_upserted(spark, f"{root}/mart", ["master_portfolio", "current_time"]))
+    return Q.finish(read_upserted(spark, f"{root}/mart", [key, "current_time"], null_keeps=True))
+
+
+@Q.query
+def stream_mart(spark: SparkSession, d: str) -> DataFrame:
+    return _mart(spark, d, "master", "master_portfolio")
+
+
+@Q.query
+def stream_portfolio_mart(spark: SparkSession, d: str) -> DataFrame:
+    return _mart(spark, d, "portfolio", "portfolio")
 
 
 @Q.query
@@ -95,4 +105,4 @@ def stream_job_stats(spark: SparkSession, d: str) -> DataFrame:
     return read_upserted(spark, f"{root}/out", ["job_id"])
 
 
-__all__ = ["stream_snapshot", "stream_mart", "stream_alert", "stream_job_stats"]
+__all__ = ["stream_snapshot", "stream_mart", "stream_portfolio_mart", "stream_alert", "stream_job_stats"]

@@ -155,15 +155,23 @@ def read_epochs(spark: SparkSession, root: str, start=None, end=None) -> DataFra
     return df
 
 
-def read_upserted(spark: SparkSession, root: str, keys: Sequence[str], start=None, end=None) -> DataFrame | None:
+def read_upserted(
+    spark: SparkSession, root: str, keys: Sequence[str], start=None, end=None, *, null_keeps: bool = False
+) -> DataFrame | None:
     """Upsert view of an epoch-partitioned table: per key, the row of the
-    newest epoch (K8 / K7 semantics without rewriting the history)."""
+    newest epoch (K8 semantics without rewriting the history). With
+    ``null_keeps`` (K7) a NULL does not replace an older value: each column has
+    its newest non-NULL value."""
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
     df = read_epochs(spark, root, start, end)
     if df is None:
         return None
+    if null_keeps:
+        rest = [c for c in df.columns if c not in (*keys, "epoch")]
+        newest = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("epoch"))).alias(c) for c in rest]
+        return df.groupBy(*keys).agg(*newest).select(*[c for c in df.columns if c != "epoch"])
     w = Window.partitionBy(*keys).orderBy(F.col("epoch").desc())
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "epoch")
 

@@ -20,8 +20,8 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from tidemark.functions.scalars import message_hash, truncate_second
 from tidemark.operators.snapshot import Lookups, snapshot
 from tidemark.operators.transfers import epoch_ms
-from tidemark.plans.jobs import master_mart
-from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE
+from tidemark.plans.jobs import master_mart, portfolio_mart
+from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE, PORTFOLIO_PERFORMANCE
 from tidemark.operators.rollup import latest_per_key
 from tidemark.sources.tables import read_state, write_epoch
 
@@ -80,13 +80,15 @@ def mart_stream(
     available_now: bool = False,
     processing_time: str = "20 seconds",
     max_files_per_trigger: int | None = None,
+    level: str = "master",
 ):
     """R2: new summaries land in the history under their epoch (K8 view by
     newest epoch); the latest summary per portfolio and the latest mart row
     per master are kept as small per-epoch state snapshots, so a batch reads
-    O(#portfolios) rows, never the history. The master mart then steps once
-    at the batch's newest ``current_time`` (W1) and its rows are written
-    under the epoch (K7: a replay rewrites the same rows)."""
+    O(#portfolios) rows, never the history. The mart of ``level`` (master or
+    portfolio) then steps once at the batch's newest ``current_time`` (W1), or at
+    the mart's own newest time if the batch is older, so a late batch chains on;
+    its rows are written under the epoch (K7: a replay rewrites the same rows)."""
     state_root = state_root or f"{mart_root.rstrip('/')}_state"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -94,7 +96,7 @@ def mart_stream(
     src = reader.parquet(summary_dir)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        mart_batch(spark, batch, epoch, summary_root, portfolios, mart_root, state_root)
+        mart_batch(spark, batch, epoch, summary_root, portfolios, mart_root, state_root, level)
 
     return _start(src.writeStream.foreachBatch(per_batch), checkpoint, available_now, processing_time)
 
@@ -107,6 +109,7 @@ def mart_batch(
     portfolios: DataFrame,
     mart_root: str,
     state_root: str,
+    level: str = "master",
 ) -> None:
     """One R2 micro-batch. Reads only state written by earlier epochs and
     overwrites only its own epoch's folders, so running it again for the
@@ -119,11 +122,15 @@ def mart_batch(
     prev_latest = read_state(spark, f"{state_root}/latest_summary", epoch, batch.schema)
     latest = latest_per_key(prev_latest.unionByName(batch), "portfolio", "current_time", tiebreak)
     latest_path = write_epoch(latest, f"{state_root}/latest_summary", epoch)
-    prev_mart = read_state(spark, f"{state_root}/latest_mart", epoch, MASTER_PERFORMANCE)
-    step = master_mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of)
+    key, schema, mart = ("master_portfolio", MASTER_PERFORMANCE, master_mart) if level == "master" else ("portfolio", PORTFOLIO_PERFORMANCE, portfolio_mart)
+    prev_mart = read_state(spark, f"{state_root}/latest_mart", epoch, schema)
+    last = prev_mart.agg(F.max("current_time")).first()[0]
+    as_of = max(as_of, last) if last is not None else as_of
+    step = mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of, inclusive=True)
     step_path = write_epoch(step, mart_root, epoch, by_date=True)
-    mart_latest = latest_per_key(prev_mart.unionByName(spark.read.parquet(step_path).drop("_date")), "master_portfolio")
-    write_epoch(mart_latest, f"{state_root}/latest_mart", epoch)
+    stepped = spark.read.parquet(step_path).drop("_date").withColumn("_write", F.lit(1))
+    both = prev_mart.withColumn("_write", F.lit(0)).unionByName(stepped)
+    write_epoch(latest_per_key(both, key, "current_time", [F.col("_write").desc()]).drop("_write"), f"{state_root}/latest_mart", epoch)
 
 
 # --------------------------------------------------------------------------- R3
