@@ -18,7 +18,21 @@ LOWER = UPPER.lower()
 SPACE = " \t\n\x0b\x0c\r"
 
 
+#: Bytes of the batches in which rows go to Python workers.
+BATCH = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let batches for Python workers hold BATCH bytes at most (Spark's bound is
+    64 MB, which both sides hold several times); a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).rstrip("b")
+    if now.isdigit() and int(now) > BATCH:
+        spark.conf.set(key, f"{BATCH}b")
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -28,6 +42,7 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     readers prune columns; a lost executor costs nothing. Tables lie in one
     folder per application, to be removed when the application is over."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = f"{checkpoint_root(spark)}/llm-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

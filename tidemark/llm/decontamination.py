@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, text_of, utf8, without
+from tidemark.llm.common import bounded_batches, slices, text_of, utf8, without
 
 Q = 12
 PASSAGE = 80
@@ -158,7 +158,7 @@ def regions(buf: np.ndarray, index: Index, table: np.ndarray, edits: float) -> I
 def _scan(index: Index, edits: float):
     def found(ids, texts) -> Iterator[tuple]:
         table = index.table()
-        for a, b in slices(texts):
+        for a, b in slices(texts, 1 << 19):
             made = [normalised(t) for t in texts[a:b]]
             gap = np.full(Q, _GAP, np.uint8)
             buf = np.concatenate([x for m, _ in made for x in (m, gap)])
@@ -195,6 +195,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: in
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_of("text").alias("text")).filter("item_id is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, math.ceil(size / block))
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     parts = []
     for i in range(n):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from tidemark.llm.common import shuffle_partitions
+from tidemark.llm.common import bounded_batches, shuffle_partitions
 
 K = 256
 WORDS = 5
@@ -178,6 +178,7 @@ def neighbour_fingerprints(docs: DataFrame, k: int = K, words: int = WORDS) -> D
     meets its next one.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = shuffle_partitions(spark)
     cuts = rows.select(F.min("doc_id").alias("low"), F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000).alias("cuts")).first()

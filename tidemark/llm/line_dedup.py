@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from tidemark.llm.common import LOWER, SPACE, UPPER, text_of, without, written
+from tidemark.llm.common import LOWER, SPACE, UPPER, bounded_batches, text_of, without, written
 
 # Rows of the streaming pass: a line to drop, a line at a partition's edge, an edge key's summary.
 DROP, EDGE, SUMMARY = 0, 1, 2
@@ -135,6 +135,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
     """
     if min_docs < 2:
         raise ValueError("min_docs must be 2 or more")
+    bounded_batches(docs.sparkSession)
     docs = without(docs, "n_lines", "n_dropped", "keep_bitmap", "_ld_doc", "_ld_tag", "_ld_pos")
     drops = dropped_lines(docs, min_chars, min_docs).groupBy(F.col("doc").alias("_ld_doc"), F.col("tag").alias("_ld_tag")).agg(F.collect_set("pos").alias("_ld_pos"))
     text = text_of("text")

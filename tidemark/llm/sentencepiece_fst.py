@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from tidemark.llm.common import slices, utf8, without
+from tidemark.llm.common import bounded_batches, slices, utf8, without
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -207,6 +207,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = DEFAULT_MODEL) -> D
     only for texts that hold U+2581 itself), which replace columns of those names.
     Null and empty texts have no pieces."""
     docs = without(docs, "ids", "round_trip")
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model_bytes(docs.sparkSession, model))  # a model's size is fixed
     place = docs.columns.index(text)
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import utf8, written, without
+from tidemark.llm.common import bounded_batches, utf8, without, written
 from tidemark.llm.components import components
 
 SEED = 42
@@ -58,6 +58,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
             fps = np.array([text_fingerprint(t, shingle_words) for t in utf8(b.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 

@@ -28,10 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, shuffle_partitions, slices, text_of, utf8, without, written
+from tidemark.llm.common import bounded_batches, mix64, shuffle_partitions, slices, text_of, utf8, without, written
 from tidemark.llm.suffix_array import permuted_prefixes, suffix_array
 
 MATCH = 50
+#: Bytes of text whose segments are packed together.
+PACK = 12 << 20
 #: Bytes of segments in one suffix array.
 SHARD = 1 << 20
 #: Documents sampled for frequent anchors, and the share of them that makes an anchor frequent.
@@ -143,34 +145,47 @@ def _pack(match: int, shards: int, frequent: np.ndarray):
     def rows(docs, tags, shard, a, c, who, start, length):
         return {"shard": shard, "docs": docs, "tags": tags, "anchor": _planes(a, 6), "content": _planes(c, 6), "row": _planes(who, 3), "start": _planes(start, 4), "length": length.astype("<u4").tobytes()}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def gathered(batches: Iterator[pa.RecordBatch]):
+        """The rows of some batches together, some MB of text at a time."""
+        ids, marks, texts, size = [], [], [], 0
         for b in batches:
             every = utf8(b.column(2))
-            for lo, hi in slices(every, 12 << 20):
-                docs, tags = (b.column(x).slice(lo, hi - lo).to_numpy(zero_copy_only=False) for x in (0, 1))
-                texts, found = every[lo:hi], []
-                for i, j in slices(texts):
-                    a, c, who, start, length = segments(texts[i:j], match, frequent)
-                    found.append((a, c, who + i, start, length))
-                a, c, who, start, length = (np.concatenate(x) for x in zip(*found))
-                order = np.lexsort((docs[who], c, a))
-                a, c, who, start, length = a[order], c[order], who[order], start[order], length[order]
-                first = np.flatnonzero(_first_of(a, c))
-                least = np.repeat(docs[who[first]], np.diff(np.append(first, len(a))))
-                later = docs[who] > least
-                out = []
-                d, g = docs.astype("<i8").tobytes(), tags.astype("<i8").tobytes()
-                if later.any():
-                    out.append(rows(d, g, -1, a[later][:0], c[later][:0], who[later], start[later], length[later]))
-                a, c, who, start, length = (x[~later] for x in (a, c, who, start, length))
-                cut = np.searchsorted(a, np.arange(shards + 1, dtype=np.float64) * (2.0**48 / shards))
-                for s in range(shards):
-                    x = slice(cut[s], cut[s + 1])
-                    if cut[s] < cut[s + 1]:
-                        used, place = np.unique(who[x], return_inverse=True)
-                        out.append(rows(docs[used].astype("<i8").tobytes(), tags[used].astype("<i8").tobytes(), s, a[x], c[x], place, start[x], length[x]))
-                if out:
-                    yield pa.RecordBatch.from_pylist(out, schema=_packed)
+            for lo, hi in slices(every, PACK):
+                ids.append(b.column(0).slice(lo, hi - lo).to_numpy(zero_copy_only=False))
+                marks.append(b.column(1).slice(lo, hi - lo).to_numpy(zero_copy_only=False))
+                texts += every[lo:hi]
+                size += sum(map(len, every[lo:hi]))
+                if size >= PACK:
+                    yield np.concatenate(ids), np.concatenate(marks), texts
+                    ids, marks, texts, size = [], [], [], 0
+        if texts:
+            yield np.concatenate(ids), np.concatenate(marks), texts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for docs, tags, every in gathered(batches):
+            found = []
+            for i, j in slices(every):
+                a, c, who, start, length = segments(every[i:j], match, frequent)
+                found.append((a, c, who + i, start, length))
+            a, c, who, start, length = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((docs[who], c, a))
+            a, c, who, start, length = a[order], c[order], who[order], start[order], length[order]
+            first = np.flatnonzero(_first_of(a, c))
+            least = np.repeat(docs[who[first]], np.diff(np.append(first, len(a))))
+            later = docs[who] > least
+            out = []
+            d, g = docs.astype("<i8").tobytes(), tags.astype("<i8").tobytes()
+            if later.any():
+                out.append(rows(d, g, -1, a[later][:0], c[later][:0], who[later], start[later], length[later]))
+            a, c, who, start, length = (x[~later] for x in (a, c, who, start, length))
+            cut = np.searchsorted(a, np.arange(shards + 1, dtype=np.float64) * (2.0**48 / shards))
+            for s in range(shards):
+                x = slice(cut[s], cut[s + 1])
+                if cut[s] < cut[s + 1]:
+                    used, place = np.unique(who[x], return_inverse=True)
+                    out.append(rows(docs[used].astype("<i8").tobytes(), tags[used].astype("<i8").tobytes(), s, a[x], c[x], place, start[x], length[x]))
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=_packed)
 
     return run
 
@@ -289,6 +304,7 @@ def _sorted_shards(match: int):
 def repeated_spans(docs: DataFrame, match: int = MATCH) -> DataFrame:
     """(doc, tag, start, length): byte spans that go, which may overlap."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     text = text_of("text")
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
     # the sample only decides how an anchor's segments travel
