@@ -121,7 +121,6 @@ def regions(buf: np.ndarray, index: Index, table: np.ndarray, edits: float) -> I
     place = np.minimum(np.searchsorted(index.keys, code[at]), len(index.keys) - 1)
     true = index.keys[place] == code[at]
     at, place = at[true], place[true]
-    # candidates in portions, so that frequent q-grams of the benchmark need little memory
     sizes = index.first[place + 1] - index.first[place]
     if not len(at):
         return
