@@ -47,6 +47,19 @@ def test_learns_words_and_exceptions(spark):
     assert all((r.s >= 0.5) == (r.y == 1) for r in got)
 
 
+def test_texts_with_one_opening_all_count(spark):
+    head = "A page header of more than forty-eight characters, the same on all pages. "
+    train = [(head + t, y) for _, t, y in corpus()[:400]]
+    model = op.fit(spark.createDataFrame(train, "text string, label int"))
+    assert {t.strip()[:4] for t in model.weights} == {"badw", "nast"} and model.exceptions == {"badword fish"}
+
+
+def test_copies_count_once_with_the_usual_label(spark):
+    rows = [("a text", 0)] + [("a text", 1)] * 3 + [("b text", 0), ("b text", 1), ("c text", 2), ("", 1)]
+    got = op.distinct_texts(spark.createDataFrame(rows, "text string, label int")).collect()
+    assert sorted((r.text, r.label) for r in got) == [("", 1), ("a text", 1), ("b text", 0), ("c text", 0)]
+
+
 def test_odd_rows(spark, docs_of):
     model = op.Model({" idiot ": 2.0}, set(), [-2.0, 3.0, 0.1])
     rows = [(None, "idiot"), (1, None), (2, ""), (3, "idiot"), (3, "idiot"), (4, "idiot " * 100_000)]

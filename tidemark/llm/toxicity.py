@@ -113,16 +113,14 @@ def fit(labelled: DataFrame, most_terms: int = 1000, least_docs: int = 5) -> Mod
     one, each time the term that explains most texts of label 1 not yet explained,
     less the texts of label 0 that hold it, as long as two are gained; then those
     follow that 2 % of the texts of label 1 hold and a hundredth of that share of the
-    texts of label 0 at most. Of texts with one opening, mostly copies, one counts.
-    Weight: log odds.
+    texts of label 0 at most. Copies of one text count once, with the label that
+    most of them have (0 if as many have either). Weight: log odds.
     Exceptions: two-word phrases with a lexicon word, in two clean texts or more and
     three times as often there as in texts of label 1. Null labels are left out, null
     texts are empty; without both labels the model scores all texts alike.
     """
     rows = labelled.filter("label is not null").select(text_of("text").alias("text"), F.col("label").cast("int").alias("label"))
-    # of texts with one opening, mostly copies, one counts
-    opening = F.substring("text", 1, 48)
-    rows = written(rows.groupBy(opening.alias("opening")).agg(F.min(F.struct("text", "label")).alias("row")).select("row.*"), "labelled")
+    rows = written(distinct_texts(rows), "labelled")
     sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = sizes.get(1, 0), sum(n for k, n in sizes.items() if k != 1)
     if not n1 or not n0:
@@ -148,6 +146,12 @@ def fit(labelled: DataFrame, most_terms: int = 1000, least_docs: int = 5) -> Mod
     return model
 
 
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(text, label) of the different whole texts of ``rows``: label 1 where more copies have it than not, else 0."""
+    toxic = F.sum(F.when(F.col("label") == 1, 1).otherwise(-1))
+    return rows.groupBy("text").agg(F.when(toxic > 0, 1).otherwise(0).alias("label"))
+
+
 def _picked(rows: DataFrame, words: list[str]) -> list[str]:
     """The candidates that explain texts of label 1 which the ones picked before do not."""
     place = {w: i for i, w in enumerate(words)}
