@@ -27,6 +27,14 @@ def test_good_and_bad_texts(docs_of):
     assert got[0].component_id == "y"
 
 
+def test_signs_in_words_are_counted_over_all_words():
+    at = op.LABELLERS.index("sign_words")
+    table = b"a# bc bc bc bc " * 200  # 1000 words: every fifth has a sign
+    assert op.votes(table)[at] == op.NONE
+    assert op.votes(b"plain words here " * 200 + b"$a$ " * 700)[at] == op.BAD
+    assert op.votes(b"$aword " * 20)[at] == op.BAD and op.votes(b"words, of. all kinds " * 20)[at] == op.GOOD
+
+
 def test_odd_rows(docs_of):
     rows = [(None, "a text."), (1, None), (2, ""), (3, "same text."), (3, "same text."), (4, "word " * 100_000), (5, "ab")]
     got = op.classify(docs_of(rows)).collect()

@@ -42,7 +42,7 @@ def votes(text: bytes) -> list[int]:
     closed = sum(x.rstrip()[-1:] in b".!?:;\"" for x in lines) / len(lines)
     upper, lower = seen[65:91].sum(), seen[97:123].sum()
     mean = (size - n) / n
-    odd = sum(not w[-3:].replace(b",", b"").replace(b".", b"").isalnum() and w.isascii() for w in words[:: max(1, n // 200)]) / len(words[:: max(1, n // 200)])
+    odd = sum(not w.translate(None, b",.").isalnum() and w.isascii() for w in words) / n
     fresh = len(set(words)) / n
     again = 1 - len(set(lines)) / len(lines)
 
