@@ -35,6 +35,14 @@ def test_signs_in_words_are_counted_over_all_words():
     assert op.votes(b"$aword " * 20)[at] == op.BAD and op.votes(b"words, of. all kinds " * 20)[at] == op.GOOD
 
 
+def test_sample_holds_different_texts_whatever_the_copies(spark, docs_of):
+    some = docs_of([(i, f"text {i % 10} of ten.") for i in range(2000)] + [(1, None), (2, "")])
+    assert [op.training_texts(some, n).count() for n in (1, 5, 11, 6000)] == [1, 5, 11, 11]
+    copies = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("one and the same text.").alias("text"))
+    assert op.training_texts(copies, 6000).count() == 1
+    assert 0 <= op.classify(copies).select("quality").distinct().collect()[0].quality <= 1
+
+
 def test_odd_rows(docs_of):
     rows = [(None, "a text."), (1, None), (2, ""), (3, "same text."), (3, "same text."), (4, "word " * 100_000), (5, "ab")]
     got = op.classify(docs_of(rows)).collect()

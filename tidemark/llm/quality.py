@@ -141,9 +141,26 @@ def _descend(x: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 4.0,
     return w, float(b)
 
 
+def training_texts(docs: DataFrame, most_rows: int) -> DataFrame:
+    """(text): the ``most_rows`` different texts of ``docs`` with the least hashes,
+    or all if there are fewer; copies count once, null counts as empty."""
+    texts = docs.select(text_of("text").alias("text"))
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = np.zeros(0, np.int64)
+        for b in batches:
+            kept = np.unique(np.concatenate([kept, b.column(0).to_numpy()]))[:most_rows]
+        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64())], names=["hash"])
+
+    # only hashes meet, the least of each partition; no task sorts texts
+    hashes = texts.select(F.xxhash64("text").alias("hash")).mapInArrow(least, "hash long")
+    last = hashes.distinct().orderBy("hash").limit(most_rows).agg(F.max("hash")).first()[0]
+    return texts.filter(F.xxhash64("text") <= F.lit(last)).distinct()
+
+
 def fit(docs: DataFrame, most_rows: int = 6000) -> Scorer:
     """The label model from the votes on all of ``docs`` (text), and the scorer
-    from about ``most_rows`` different texts (chosen by hash) with their posteriors.
+    from ``most_rows`` different texts (see training_texts) with their posteriors.
     An empty table gives a scorer that scores all texts 0.5."""
     counted = vote_table(docs.select("text")).groupBy("votes").count().collect()
     if not counted:
@@ -156,11 +173,7 @@ def fit(docs: DataFrame, most_rows: int = 6000) -> Scorer:
             rows = [(*trigrams(t), votes(t)) for t in utf8(b.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32())), pa.array([r[2] for r in rows], pa.list_(pa.int8()))], names=["at", "value", "votes"])
 
-    share = min(1.0, most_rows / max(1, sum(r["count"] for r in counted)))
-    texts = docs.select(text_of("text").alias("text"))
-    # by a share of the hashes, so that no task sorts all texts; copies count once
-    some = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
-    rows = some.mapInArrow(made, "at array<int>, value array<float>, votes array<byte>").toPandas()
+    rows = training_texts(docs, most_rows).mapInArrow(made, "at array<int>, value array<float>, votes array<byte>").toPandas()
     x = np.zeros((len(rows), BUCKETS), np.float32)
     for i, (at, value) in enumerate(zip(rows["at"], rows["value"])):
         x[i, np.asarray(at, np.int64)] = value
