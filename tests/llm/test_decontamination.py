@@ -94,6 +94,26 @@ def test_alignment_and_lemma_against_full_edit_distance():
             assert min(g[3] for g in got) == true
 
 
+def test_excerpts_at_every_offset():
+    rnd = random.Random(11)
+    item = filler(rnd, 60)[:233].strip()
+    index = op.build([(1, item)])
+    table = index.table()
+
+    def hits(part):
+        buf, _ = op.normalised(f"{filler(rnd, 6)}#{part}#{filler(rnd, 6)}".encode())
+        return list(op.regions(buf, index, table, op.EDITS))
+
+    for n in (80, 81, 97, 114, 120):
+        for i in range(len(item) - n + 1):
+            got = hits(item[i : i + n])
+            assert min(g[3] for g in got) == 0 and {g[4] for g in got} >= set(range(i, i + n - 79))
+    assert all(hits(edit(rnd, item[i : i + 80], 4)) for i in range(0, len(item) - 79, 7))
+    assert not hits(item[20:90])
+    words = item.split()  # one word in three windows' reach replaced by a longer one
+    assert hits(" ".join(w if i not in (18, 36) else "REPLACEDWORDS" for i, w in enumerate(words)))
+
+
 def test_normalised_offsets():
     buf, at = op.normalised("Ab \n\t C".encode())
     assert buf.tobytes() == b"ab c" and at.tolist() == [0, 1, 2, 6] and isinstance(at, np.ndarray)

@@ -1,10 +1,11 @@
 """Benchmark decontamination (operator 3).
 
-Benchmark items are cut into overlapping passages. By the q-gram lemma a region
-of a document within k edits of a passage of m bytes shares at least
-m + 1 - q (k + 1) of its q-grams, on diagonals at most k apart. Shared q-grams are
-counted in overlapping diagonal bands; bands that reach the bound are verified by
-a banded alignment. The benchmark is the stated query set: it is taken in blocks
+Every window of PASSAGE bytes of a benchmark item, at any start, is looked for. By
+the q-gram lemma a region of a document within k edits of a window of m bytes shares
+at least m + 1 - q (k + 1) of its q-grams, on diagonals at most k apart. Shared
+q-grams of whole items are counted in overlapping diagonal bands; windows that reach
+the bound in a band are verified by a banded alignment around them, unless they are
+there unchanged. The benchmark is the stated query set: it is taken in blocks
 of bounded size, each of which goes once over all documents, without a shuffle.
 """
 
@@ -61,13 +62,14 @@ def budget(m: int, edits: float = EDITS) -> int:
 
 @dataclass
 class Index:
-    """A block's passages and where their q-grams occur, sorted by code."""
+    """A block's items and where their q-grams occur, sorted by code."""
 
-    items: np.ndarray  # item of each passage
+    items: np.ndarray  # item id of each text
     texts: list[np.ndarray]
+    passage: int  # bytes of the windows looked for; shorter texts are one window
     keys: np.ndarray  # distinct codes
     first: np.ndarray  # per code, its range in the two below
-    passage: np.ndarray
+    owner: np.ndarray
     offset: np.ndarray
 
     def table(self) -> np.ndarray:
@@ -82,19 +84,16 @@ def build(items: list[tuple[int, str]], passage: int = PASSAGE) -> Index:
     owners, texts = [], []
     for item, text in items:
         buf, _ = normalised((text or "").strip().encode())
-        if item is None or len(buf) < Q:
-            continue
-        last = max(0, len(buf) - passage)
-        for start in sorted({*range(0, last, passage // 2), last}):
+        if item is not None and len(buf) >= Q:
             owners.append(item)
-            texts.append(buf[start : start + passage])
+            texts.append(buf)
     each = [codes(t) for t in texts]
     code = np.concatenate(each) if each else np.zeros(0, np.uint64)
     who = np.repeat(np.arange(len(each)), [len(x) for x in each])
     at = np.concatenate([np.arange(len(x)) for x in each]) if each else np.zeros(0, np.int64)
     order = np.argsort(code, kind="stable")
     keys, first = np.unique(code[order], return_index=True)
-    return Index(np.array(owners, np.int64), texts, keys, np.append(first, len(code)), who[order].astype(np.int32), at[order].astype(np.int32))
+    return Index(np.array(owners, np.int64), texts, passage, keys, np.append(first, len(code)), who[order].astype(np.int32), at[order].astype(np.int32))
 
 
 def aligned(passages: np.ndarray, buf: np.ndarray, base: np.ndarray, k: int) -> np.ndarray:
@@ -114,8 +113,18 @@ def aligned(passages: np.ndarray, buf: np.ndarray, base: np.ndarray, k: int) ->
     return cost.min(axis=1)
 
 
-def regions(buf: np.ndarray, index: Index, table: np.ndarray, edits: float) -> Iterator[tuple[int, int, int, int]]:
-    """(passage, first byte, end, edits) of the regions of ``buf`` within budget."""
+def _windows(text: np.ndarray, m: int, need: int, offset: np.ndarray) -> np.ndarray:
+    """Starts of the windows of m bytes of ``text`` that hold ``need`` different q-grams of those at ``offset``."""
+    low, high = max(0, int(offset.min()) - m + Q), min(len(text) - m, int(offset.max()))
+    hit = np.zeros(high + m - Q + 2 - low, np.int32)
+    hit[offset[(offset >= low) & (offset <= high + m - Q)] - low + 1] = 1
+    total = np.cumsum(hit)
+    return low + np.flatnonzero(total[m - Q + 1 :] - total[: high + 1 - low] >= need)
+
+
+def regions(buf: np.ndarray, index: Index, table: np.ndarray, edits: float) -> Iterator[tuple[int, int, int, int, int]]:
+    """(text, first byte, end, edits, window) of the regions of ``buf`` within
+    budget of a window of a text, which starts at byte ``window`` of it."""
     code = codes(buf)
     at = np.flatnonzero(table[(code * _B) >> np.uint64(64 - _BITS)])
     place = np.minimum(np.searchsorted(index.keys, code[at]), len(index.keys) - 1)
@@ -125,33 +134,58 @@ def regions(buf: np.ndarray, index: Index, table: np.ndarray, edits: float) -> I
     if not len(at):
         return
     total = np.cumsum(sizes)
-    lengths = np.array([len(t) for t in index.texts])
+    lengths = np.array([min(len(t), index.passage) for t in index.texts])
     limits = np.array([budget(int(m), edits) for m in lengths])
+    needs = lengths + 1 - Q * (limits + 1)
+    base = max(len(t) for t in index.texts)
     rows = np.repeat(np.arange(len(at)), sizes)
     which = np.arange(total[-1]) - np.repeat(total - sizes, sizes) + np.repeat(index.first[place], sizes)
-    passage, where = index.passage[which].astype(np.int64), at[rows]
-    diagonal = where - index.offset[which] + PASSAGE  # not negative
-    k = limits[passage]
+    owner, offset, where = index.owner[which].astype(np.int64), index.offset[which].astype(np.int64), at[rows]
+    diagonal = where - offset + base  # not negative
+    k = limits[owner]
     band = diagonal // (k + 1)
     again = (diagonal % (k + 1) <= k - 1) & (band > 0)  # also in the band before
-    key = np.concatenate([passage << 34 | band, passage[again] << 34 | (band[again] - 1)])
-    spot = np.concatenate([where, where[again]])
+    key = np.concatenate([owner << 34 | band, owner[again] << 34 | (band[again] - 1)])
+    spot, offset = np.concatenate([where, where[again]]), np.concatenate([offset, offset[again]])
     order = np.argsort(key, kind="stable")
-    key, spot = key[order], spot[order]
+    key, spot, offset = key[order], spot[order], offset[order]
     starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     counts = np.diff(np.append(starts, len(key)))
-    who = key[starts] >> 34
-    enough = counts >= lengths[who] + 1 - Q * (limits[who] + 1)
-    low, high = np.minimum.reduceat(spot, starts)[enough], np.maximum.reduceat(spot, starts)[enough] + Q
-    who, bands = who[enough], (key[starts] & ((1 << 34) - 1))[enough]
-    for m in np.unique(lengths[who]):
-        some = np.flatnonzero(lengths[who] == m)
-        k = budget(int(m), edits)
-        for i in range(0, len(some), 4096):
-            part = some[i : i + 4096]
-            cost = aligned(np.stack([index.texts[p] for p in who[part]]), buf, bands[part] * (k + 1) - PASSAGE, k)
-            for j in np.flatnonzero(cost <= k):
-                yield int(who[part[j]]), int(low[part[j]]), int(high[part[j]]), int(cost[j])
+    enough = counts >= needs[key[starts] >> 34]
+    open_: dict[int, list[tuple]] = {}
+    for begin, n in zip(starts[enough].tolist(), counts[enough].tolist()):
+        who, band = int(key[begin]) >> 34, int(key[begin]) & ((1 << 34) - 1)
+        text, m = index.texts[who], int(lengths[who])
+        mine, spots = offset[begin : begin + n], spot[begin : begin + n]
+        left = _windows(text, m, int(needs[who]), mine)
+        for d in np.unique(spots - mine).tolist():  # windows that are there unchanged need no alignment
+            inside = left[(left + d >= 0) & (left + d + m <= len(buf))]
+            if not len(inside):
+                continue
+            low, high = int(inside[0]), int(inside[-1]) + m
+            same = np.concatenate([[0], np.cumsum(buf[low + d : high + d] == text[low:high])])
+            whole = inside[same[inside - low + m] - same[inside - low] == m]
+            for s in whole.tolist():
+                yield who, s + d, s + d + m, 0, s
+            left = np.setdiff1d(left, whole, assume_unique=True)
+        order = np.argsort(mine, kind="stable")
+        mine, spots = mine[order], spots[order]
+        for s, i, j in zip(left.tolist(), np.searchsorted(mine, left).tolist(), np.searchsorted(mine, left + m - Q, side="right").tolist()):
+            open_.setdefault(m, []).append((who, s, band * (int(limits[who]) + 1) - base + s, int(spots[i:j].min()), int(spots[i:j].max()) + Q))
+        if len(open_.get(m, ())) >= 4096:
+            yield from _verified(open_.pop(m), m, index, buf, edits)
+    for m, some in open_.items():
+        yield from _verified(some, m, index, buf, edits)
+
+
+def _verified(some: list[tuple], m: int, index: Index, buf: np.ndarray, edits: float) -> Iterator[tuple[int, int, int, int, int]]:
+    """The windows (text, start, place of its first byte, first hit, end of the last) that align within budget."""
+    k = budget(m, edits)
+    for i in range(0, len(some), 4096):
+        part = some[i : i + 4096]
+        cost = aligned(np.stack([index.texts[who][s : s + m] for who, s, *_ in part]), buf, np.array([x[2] for x in part]), k)
+        for j in np.flatnonzero(cost <= k).tolist():
+            yield part[j][0], part[j][3], part[j][4], int(cost[j]), part[j][1]
 
 
 def _scan(index: Index, edits: float):
@@ -163,11 +197,11 @@ def _scan(index: Index, edits: float):
             buf = np.concatenate([x for m, _ in made for x in (m, gap)])
             begins = np.cumsum([0] + [len(m) + Q for m, _ in made])
             hits: dict[tuple[int, int], list] = {}
-            for p, low, high, cost in regions(buf, index, table, edits):
+            for p, low, high, cost, window in regions(buf, index, table, edits):
                 d = int(np.searchsorted(begins, low, side="right")) - 1
                 raw = made[d][1]
                 start, end = int(raw[low - begins[d]]), int(raw[min(high - begins[d], len(raw)) - 1]) + 1
-                hits.setdefault((d, int(index.items[p])), []).append((p, start, end, cost))
+                hits.setdefault((d, int(index.items[p])), []).append(((p, window), start, end, cost))
             for (d, item), rows in hits.items():
                 yield ids[a + d], item, len({r[0] for r in rows}), min(r[1] for r in rows), max(r[2] for r in rows), min(r[3] for r in rows)
 
@@ -183,10 +217,10 @@ def _scan(index: Index, edits: float):
 def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text) and item of ``benchmark``
     (item_id, text) found in it: doc_id, item_id, passages (of the item that were
-    found), start and end (UTF-8 offsets of what they span), edits (the least).
+    found, each start counted), start and end (UTF-8 offsets of what they span), edits (the least).
 
-    A passage (PASSAGE bytes after lower-casing A-Z and joining white space;
-    shorter items are one passage) is found where a region is within its budget of
+    A passage (any PASSAGE bytes in a row after lower-casing A-Z and joining white
+    space; shorter items are one passage) is found where a region is within its budget of
     edits. Null or empty texts and items, null item ids and items of under Q bytes
     match nothing; a null doc_id stays null in the result. Repeated rows are found
     each; repeated items once. Empty tables: empty result.

@@ -104,7 +104,7 @@ def refill_series(portfolios: DataFrame, summaries: DataFrame, level: str, start
     raise ValueError("level must be 'portfolio' or 'master'")
 
 
-def refill(
+def refill_parts(
     portfolios: DataFrame,
     summaries: DataFrame,
     performance: DataFrame | None,
@@ -115,11 +115,17 @@ def refill(
     gap_policy: str = "reset",
     bucket: str = "day",
     chunk_batches: int | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """Historical refill between inclusive bounds, seeded from the newest
-    snapshot of ``performance`` strictly before ``start`` (J9)."""
+    snapshot of ``performance`` strictly before ``start`` (J9), and the rows of
+    its series with a NULL total or adjustment, which do not enter it."""
     key = "master_portfolio" if level == "master" else "portfolio"
-    series, _quarantine = split_null_amounts(refill_series(portfolios, summaries, level, start, end))
+    series, quarantine = split_null_amounts(refill_series(portfolios, summaries, level, start, end))
     seed = prior_snapshot(performance, start, key) if (performance is not None and start is not None) else None
     kw = {} if chunk_batches is None else {"chunk_batches": chunk_batches}
-    return refill_performance(series, key, seed, gap_policy=gap_policy, bucket=bucket, **kw)
+    return refill_performance(series, key, seed, gap_policy=gap_policy, bucket=bucket, **kw), quarantine
+
+
+def refill(portfolios: DataFrame, summaries: DataFrame, performance: DataFrame | None, **how: Any) -> DataFrame:
+    """The performance rows of ``refill_parts``."""
+    return refill_parts(portfolios, summaries, performance, **how)[0]
