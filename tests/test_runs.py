@@ -52,6 +52,25 @@ def test_refill_between_namespaces(spark, ns):
     assert data.history(spark, runs.MASTER_PERF, ["master_portfolio", "current_time"]).count() > 0
 
 
+def test_refill_quarantines_null_amounts(spark):
+    root = f"{checkpoint_root(spark)}/ns-{uuid.uuid4().hex[:10]}"
+    data, target = runs.Namespace(f"{root}/data"), runs.Namespace(f"{root}/refilled")
+    portfolios = "portfolio string, master_portfolio string, composite string, active boolean"
+    write_version(spark.createDataFrame([("a", "m", None, True), ("b", "m", None, True)], portfolios), data.path(runs.PORTFOLIO))
+    times = ["1997-01-01 00:00:00", "1997-01-01 00:01:00", "1997-01-01 00:02:00"]
+    amounts = {("a", times[0]): (None, 1.0), ("a", times[1]): (2.0, None), ("b", times[2]): (None, None)}
+    rows = [(p, t, *amounts.get((p, t), (100.0, 0.0))) for p in "ab" for t in times]
+    summaries = spark.createDataFrame(rows, "portfolio string, time string, total_usd_value double, transfer_adjustment double")
+    at = F.col("time").cast("timestamp_ntz")
+    runs.load_summaries(spark, data, summaries.withColumns({"current_time": at, "tw_time": at}).drop("time"))
+    for is_master in (False, False, True):
+        out = runs.run_refill(spark, data, target, is_master=is_master, start=times[0], end=times[2])
+        if not is_master:
+            assert {(r.portfolio, str(r.current_time)) for r in out.collect()} == {(p, t) for p, t, *_ in rows} - set(amounts)
+    got = [(r.level, r.portfolio, str(r.current_time)) for r in target.read(spark, "refill_quarantine").collect()]
+    assert sorted(got) == sorted((level, *w) for level in ("portfolio", "master") for w in amounts)
+
+
 def test_insert_update_merge_and_dedup(spark, ns):
     root, data = ns
     with pytest.raises(ValueError):

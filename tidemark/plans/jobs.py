@@ -117,10 +117,12 @@ def refill_parts(
     chunk_batches: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Historical refill between inclusive bounds, seeded from the newest
-    snapshot of ``performance`` strictly before ``start`` (J9), and the rows of
-    its series with a NULL total or adjustment, which do not enter it."""
+    snapshot of ``performance`` strictly before ``start`` (J9), and the summaries
+    in the range with a NULL total or adjustment. At portfolio level these do not
+    enter the refill; the sums of the master level count a NULL as 0."""
     key = "master_portfolio" if level == "master" else "portfolio"
-    series, quarantine = split_null_amounts(refill_series(portfolios, summaries, level, start, end))
+    series, _ = split_null_amounts(refill_series(portfolios, summaries, level, start, end))
+    quarantine = split_null_amounts(refill_base(portfolios, time_range(summaries, "current_time", start, end)))[1]
     seed = prior_snapshot(performance, start, key) if (performance is not None and start is not None) else None
     kw = {} if chunk_batches is None else {"chunk_batches": chunk_batches}
     return refill_performance(series, key, seed, gap_policy=gap_policy, bucket=bucket, **kw), quarantine

@@ -42,6 +42,7 @@ PORTFOLIO = "portfolio"
 ACCOUNT_SUMMARY = "account_summary_1_minute"
 PORTFOLIO_PERF = "portfolio_performance"
 MASTER_PERF = "master_portfolio_performance"
+REFILL_QUARANTINE = "refill_quarantine"
 
 
 @dataclass(frozen=True)
@@ -142,20 +143,24 @@ def run_refill(
 ) -> DataFrame:
     """OP_refill: summaries and the seed snapshot come from ``source``, the
     recomputed performance is upserted into ``target`` by key (a rerun does
-    not duplicate rows, unlike the reference's plain insert)."""
+    not duplicate rows, unlike the reference's plain insert). Summaries with a
+    NULL amount are added to ``refill_quarantine`` of ``target``, once per level."""
     table, schema, key = (
         (MASTER_PERF, MASTER_PERFORMANCE, "master_portfolio") if is_master else (PORTFOLIO_PERF, PORTFOLIO_PERFORMANCE, "portfolio")
     )
-    out = jobs.refill(
+    level = "master" if is_master else "portfolio"
+    out, quarantine = jobs.refill_parts(
         source.read(spark, PORTFOLIO),
         source.history(spark, ACCOUNT_SUMMARY, ["portfolio", "current_time"], start=start, end=end),
         source.history(spark, table, [key, "current_time"], schema),
-        level="master" if is_master else "portfolio",
+        level=level,
         start=start,
         end=end,
         gap_policy=gap_policy,
     )
     target.append(spark, table, out, key)
+    rows, known = quarantine.withColumn("level", F.lit(level)), target.read(spark, REFILL_QUARANTINE)
+    write_version((rows if known is None else known.unionByName(rows)).distinct(), target.path(REFILL_QUARANTINE))
     return target.history(spark, table, [key, "current_time"], start=start, end=end)
 
 
