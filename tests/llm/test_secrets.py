@@ -49,3 +49,18 @@ def test_own_labelled_findings(spark):
     found = op.candidates(docs, op.dictionary(docs)).withColumn("label", op.F.col("candidate").contains("@").cast("int"))
     got = op.scan(docs, found).collect()
     assert all(r.secret == ("@" in r.candidate) for r in got)
+
+
+def test_features_cover_the_whole_token():
+    at = op.FEATURES.index
+    got = op.features(b"a1" * 4000 + b"Z" * 8000, "", "", b"", b"", "", set())
+    assert got[at("length")] == 16_000 and got[at("upper")] == 0.5
+
+
+def test_equal_findings_leave_room_for_others(spark):
+    rows = [(float(i), 0) for i in range(40)] + [(50.0, 0)] * 500 + [(100.0 + i, 1) for i in range(5)]
+    made = spark.createDataFrame([(*[x] * len(op.FEATURES), y) for x, y in rows], ", ".join(f"{f} double" for f in op.FEATURES) + ", label int")
+    model = op.train(made, most_rows=10)
+    assert model is not None
+    got = model.transform(made).select("label", "_prediction").collect()
+    assert all(r._prediction == 1 for r in got if r.label == 1)

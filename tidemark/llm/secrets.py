@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import text_of, written
 
 CANDIDATE = re.compile(rb"[A-Za-z0-9_+/=.@:-]{12,}")
-MOST_CANDIDATE = 4096  # bytes of a token that features look at; longer ones are reported whole
 # Words that name a credential, and path parts that tell code, data and tests apart.
 CREDENTIAL = ("token", "secret", "key", "passwd", "password", "pwd", "auth", "credential", "bearer", "apikey")
 EXAMPLE = ("test", "example", "sample", "mock", "fixture", "doc")
@@ -62,7 +61,6 @@ def _kind(c: int) -> int:
 
 def features(token: bytes, before: str, after: str, raw_before: bytes, raw_after: bytes, path: str, words: set[bytes]) -> list[float]:
     """The features of FEATURES of one candidate."""
-    token = token[:MOST_CANDIDATE]
     n = len(token)
     kinds = np.array([_kind(c) for c in token])
     share = np.bincount(kinds, minlength=4) / n
@@ -78,7 +76,7 @@ def features(token: bytes, before: str, after: str, raw_before: bytes, raw_after
                 break
         else:
             i += 1
-    near = f"{before} {token[:40].decode(errors='replace')}".lower()
+    near = f"{before} {token.decode(errors='replace')}".lower()
     path = path.lower()
     return [
         float(n), share[1], share[0], share[2], share[3],
@@ -125,13 +123,20 @@ def candidates(docs: DataFrame, words: list[str]) -> DataFrame:
 
 def train(findings: DataFrame, most_rows: int = 20_000, trees: int = 40, depth: int = 8, seed: int = 7) -> PipelineModel | None:
     """The forest, from at most ``most_rows`` labelled findings (FEATURES, label
-    0/1, null: unlabelled; chosen by a hash of their features). None without findings of both labels."""
-    some = findings.filter("label is not null").orderBy(F.xxhash64(*FEATURES), "label").limit(most_rows)
-    some = written(some.select(*FEATURES, F.col("label").cast("double").alias("label")), "findings")
-    sizes = {r.label: r["count"] for r in some.groupBy("label").count().collect()}
+    0/1, null: unlabelled). Findings with equal features and label are one, weighted by their number; of each label
+    half of the rows are chosen by a hash of the features, more if the other label has fewer. None without findings of both labels."""
+    rows = findings.filter("label is not null").select(*FEATURES, F.col("label").cast("double").alias("label"), F.xxhash64(*FEATURES).alias("_hash"))
+    groups = written(rows.groupBy("label", "_hash").agg(F.count("*").cast("double").alias("_n")), "groups")
+    sizes = {r.label: r["count"] for r in groups.groupBy("label").count().collect()}
     if len(sizes) < 2:
         return None
-    weight = F.when(F.col("label") == 1, sum(sizes.values()) / (2.0 * sizes.get(1.0, 1))).otherwise(sum(sizes.values()) / (2.0 * sizes.get(0.0, 1)))
+    half = most_rows // 2
+    most = {1.0: max(half, most_rows - sizes[0.0]), 0.0: max(most_rows - half, most_rows - sizes[1.0])}
+    chosen = [groups.filter(F.col("label") == k).orderBy("_hash").limit(n) for k, n in most.items()]
+    some = rows.join(F.broadcast(chosen[0].unionByName(chosen[1])), ["label", "_hash"]).dropDuplicates(["label", "_hash"])
+    some = written(some.drop("_hash"), "findings")
+    total = {r.label: r.n for r in some.groupBy("label").agg(F.sum("_n").alias("n")).collect()}
+    weight = F.col("_n") * F.when(F.col("label") == 1, sum(total.values()) / (2.0 * total[1.0])).otherwise(sum(total.values()) / (2.0 * total[0.0]))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
     forest = RandomForestClassifier(featuresCol="_features", labelCol="label", weightCol="_weight", numTrees=trees, maxDepth=depth, seed=seed, probabilityCol="_probability", predictionCol="_prediction", rawPredictionCol="_raw")
     fitted = forest.fit(assembler.transform(some.withColumn("_weight", weight)))
