@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination as op3
 from tidemark.llm import fingerprints as op2
+from tidemark.llm import importance_resampling as op13
 from tidemark.llm import line_dedup as op1
 from tidemark.llm import quality as op9
 from tidemark.llm import secrets as op4
@@ -74,12 +75,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_line_dedup, op2_fingerprints, op3_decontamination, op4_secrets, op5_url_filter, op6_simhash, op7_suffix_array, op8_sentencepiece, op9_quality, op10_toxicity)
+    every = (op1_line_dedup, op2_fingerprints, op3_decontamination, op4_secrets, op5_url_filter, op6_simhash, op7_suffix_array, op8_sentencepiece, op9_quality, op10_toxicity, op13_importance_resampling)
     return {f.__name__: f for f in every}
 
 
 _LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# CRC-32 in SQL: the table of 256 entries, and a fold over a string's UTF-8 bytes
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::UBIGINT, list_transform(range(8), lambda z: z::UBIGINT)),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)) AS tab)"""
+
+
+def _crc(text: str, table: str = "tab") -> str:
+    bytes_ = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::UBIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {bytes_}), lambda c, x: xor(c >> 8, {table}[(1 + xor(c & 255, x))::BIGINT])), 4294967295::UBIGINT)"
+
+
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLE = {
@@ -101,4 +116,24 @@ ORACLE = {
                coalesce(arg_max(verdict, length(rh || rp)), 'allow') AS verdict
         FROM h LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
         GROUP BY n, h.page_id, host, path""",
+    "op13_importance_resampling": f"""
+        WITH crc AS {_CRC_TABLE},
+        x AS (SELECT true AS own, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark),
+        w AS (SELECT own, r, doc_id, regexp_extract_all({_LOWERED.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM x),
+        g AS (SELECT own, r, unnest(ws) AS f FROM w
+              UNION ALL SELECT own, r, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+              UNION ALL SELECT own, r, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+        n AS (SELECT own, r, f, count(*) AS n FROM g GROUP BY ALL),
+        k AS (SELECT f, {_crc("f")} % 10000 AS b FROM (SELECT DISTINCT f FROM n), crc),
+        c AS (SELECT b, coalesce(sum(n) FILTER (own), 0)::BIGINT AS s, coalesce(sum(n) FILTER (NOT own), 0)::BIGINT AS t FROM n JOIN k USING (f) GROUP BY b),
+        a AS (SELECT sum(s) AS ss, sum(t) AS tt FROM c),
+        gain AS (SELECT b, floor(1000 * ln(((t + 1)::DOUBLE * (ss + 10000)) / ((s + 1)::DOUBLE * (tt + 10000))))::BIGINT AS gain FROM c, a),
+        o AS (SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM n JOIN k USING (f) JOIN gain USING (b) WHERE own GROUP BY r),
+        d AS (SELECT w.r, doc_id, len(ws) AS words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                     ('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+              FROM w LEFT JOIN o USING (r) WHERE own),
+        e AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d),
+        q AS (SELECT *, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id, n_features DESC) END AS place,
+                     count(*) FILTER (words >= 20) OVER () AS open FROM e)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * open // 100 THEN place END AS rank FROM q""",
 }
