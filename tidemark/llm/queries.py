@@ -14,10 +14,12 @@ from tidemark.llm import decontamination as op3
 from tidemark.llm import fingerprints as op2
 from tidemark.llm import importance_resampling as op13
 from tidemark.llm import line_dedup as op1
+from tidemark.llm import ngram_jaccard as op11
 from tidemark.llm import quality as op9
 from tidemark.llm import secrets as op4
 from tidemark.llm import sentencepiece_fst as op8
 from tidemark.llm import simhash as op6
+from tidemark.llm import spelling_variants as op12
 from tidemark.llm import substring_dedup as op7
 from tidemark.llm import toxicity as op10
 from tidemark.llm import url_filter as op5
@@ -75,12 +77,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.jaccard_groups(load(spark, sf_dir, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.spelling_variants(load(spark, sf_dir, "documents"), drop_every=97)
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_line_dedup, op2_fingerprints, op3_decontamination, op4_secrets, op5_url_filter, op6_simhash, op7_suffix_array, op8_sentencepiece, op9_quality, op10_toxicity, op13_importance_resampling)
+    every = (op1_line_dedup, op2_fingerprints, op3_decontamination, op4_secrets, op5_url_filter, op6_simhash, op7_suffix_array, op8_sentencepiece, op9_quality, op10_toxicity, op11_ngram_jaccard, op12_spelling_variants, op13_importance_resampling)
     return {f.__name__: f for f in every}
 
 
@@ -116,6 +126,37 @@ ORACLE = {
                coalesce(arg_max(verdict, length(rh || rp)), 'allow') AS verdict
         FROM h LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
         GROUP BY n, h.page_id, host, path""",
+    "op11_ngram_jaccard": f"""
+        WITH RECURSIVE w AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all({_LOWERED.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        s AS (SELECT DISTINCT r, unnest(CASE WHEN len(ws) IN (1, 2) THEN [array_to_string(ws, ' ')]
+                  ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS f FROM w),
+        n AS (SELECT r, count(*) AS n, md5(string_agg(f, chr(10) ORDER BY f)) AS k FROM s GROUP BY r),
+        c AS (SELECT k, min(r) AS rep, any_value(n) AS n FROM n GROUP BY k),
+        f AS (SELECT rep, n, f FROM s JOIN c ON s.r = c.rep),
+        i AS (SELECT a.rep AS u, b.rep AS v, a.n + b.n AS nn, count(*) AS i FROM f a JOIN f b ON a.f = b.f AND a.rep < b.rep AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n GROUP BY ALL),
+        e AS (SELECT u, v FROM i WHERE 100 * i >= 90 * (nn - i) UNION ALL SELECT n.r, c.rep FROM n JOIN c USING (k) WHERE n.r <> c.rep),
+        b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),
+        t AS (SELECT r, r AS x FROM w UNION SELECT t.r, b.v FROM t JOIN b ON t.x = b.u)
+        SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o.doc_id) AS component_id
+        FROM w LEFT JOIN n USING (r) JOIN t USING (r) JOIN w o ON o.r = t.x GROUP BY w.r, w.doc_id""",
+    "op12_spelling_variants": f"""
+        WITH RECURSIVE crc AS {_CRC_TABLE},
+        r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWERED.format("text")}, '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents),
+        d AS (SELECT doc_id, w, count(*) AS n FROM r GROUP BY ALL),
+        h AS (SELECT w, n, ({_crc("s")})::BIGINT AS h FROM (SELECT w, n, coalesce(doc_id::VARCHAR, '') || ':' || w AS s FROM d), crc),
+        x AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+        v AS (SELECT word, sum(n)::BIGINT AS n FROM x WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+        g AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM v)),
+        p AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM g a JOIN g b ON a.k = b.k AND a.i = b.i AND a.word <> b.word
+              UNION SELECT v.word, v.n, g.word, g.n FROM v JOIN g ON v.word = g.k
+              UNION SELECT g.word, g.n, v.word, v.n FROM v JOIN g ON v.word = g.k),
+        f AS (SELECT word, any_value(n) AS own, count(*) AS n_near, max(near_n) AS top FROM p GROUP BY word),
+        t AS (SELECT f.word, n_near, CASE WHEN top >= 2 * own THEN min(near) END AS form, CASE WHEN top >= 2 * own THEN top END AS form_n
+              FROM f JOIN p ON f.word = p.word AND near_n = top GROUP BY f.word, n_near, own, top),
+        z AS (SELECT word, word AS root, 0 AS step FROM v UNION ALL SELECT z.word, form, step + 1 FROM z JOIN t ON z.root = t.word WHERE form IS NOT NULL),
+        e AS (SELECT word, arg_max(root, step) AS root FROM z GROUP BY word)
+        SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, form, form_n, root FROM v LEFT JOIN t USING (word) JOIN e USING (word)""",
     "op13_importance_resampling": f"""
         WITH crc AS {_CRC_TABLE},
         x AS (SELECT true AS own, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark),
