@@ -25,11 +25,12 @@ def _py_float_str(c):
     return F.when(whole, plain).when((F.abs(c) >= 1e7) & (F.abs(c) < 1e16), digits).otherwise(c.cast("string"))
 
 
-def low_value_alerts(summaries: DataFrame, portfolios: DataFrame, severity: str = "CRITICAL") -> DataFrame:
+def low_value_alerts(summaries: DataFrame, portfolios: DataFrame, severity: str = "CRITICAL", keep: tuple[str, ...] = ()) -> DataFrame:
     """L1: ``threshold`` set and non-zero, and ``total <= threshold``.
 
     Output: key, portfolio, severity, level, threshold, total_usd_value,
-    current_time, message, text (prefixed), hash (SHA-256 of the message).
+    current_time, message, text (prefixed), hash (SHA-256 of the message), and the
+    columns of ``summaries`` named in ``keep``.
     The dimension side is joined on ``portfolio`` (one row per portfolio).
     """
     th = F.col("position_threshold")
@@ -56,4 +57,5 @@ def low_value_alerts(summaries: DataFrame, portfolios: DataFrame, severity: str
         message.alias("message"),
         F.when(prefix == "", message).otherwise(F.concat(prefix, F.lit(" "), message)).alias("text"),
         message_hash(message).alias("hash"),
+        *keep,
     )

@@ -61,7 +61,7 @@ def cooldown(alerts: DataFrame, cooldown_sec: float = 60, *, dedupe: bool = True
         epoch_ms(F.col("ts")).alias("t"),
         message_hash("message").alias("h"),
     )
-    cd = math.ceil(round(float(cooldown_sec) * 1000, 6))
+    cd = milliseconds(cooldown_sec)
     if cd <= 0:
         return ev.select("key", "id", F.col("h").alias("hash"), F.lit(True).alias("emitted"))
     timed = ev.filter("t is not null")
@@ -151,6 +151,28 @@ def _emitted(task: _Task, state: tuple[int, str] | None, cd: int, dedupe: bool)
     return hit[:n]
 
 
+def settle_key(t: np.ndarray, h: pa.Array, state: tuple[int, str] | None, cd: int, dedupe: bool) -> tuple[np.ndarray, tuple[int, str] | None]:
+    """Which of one key's alerts, in order, are emitted coming from ``state`` (time
+    in ms, hash), and the state that they leave."""
+    n = len(t)
+    if cd <= 0:
+        return np.ones(n, bool), state
+    batch = pa.record_batch({"key": pa.array(np.zeros(n, np.int8)), "id": pa.array(np.arange(n)), "t": pa.array(t), "h": h})
+    task = _read(iter([batch]), cd, dedupe)
+    if task is None:
+        return np.zeros(0, bool), state
+    flags = _emitted(task, state, cd, dedupe)
+    if flags.any():
+        last = int(np.flatnonzero(flags)[-1])
+        state = (int(t[last]), h[last].as_py() if dedupe else "")
+    return flags, state
+
+
+def milliseconds(cooldown_sec: float) -> int:
+    """The least whole number of ms that is a cooldown."""
+    return math.ceil(round(float(cooldown_sec) * 1000, 6))
+
+
 def _last_from(task: _Task, start: int, end: int) -> np.ndarray:
     """Per alert of the run [start, end) the last emission of the chain that it begins."""
     at = np.arange(start, end)

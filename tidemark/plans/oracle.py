@@ -622,16 +622,17 @@ SELECT event_id, word, CASE WHEN lower(trim(word)) IN ('1', 'true', 't', 'yes',
   WHEN lower(trim(word)) IN ('0', 'false', 'f', 'no', 'n', 'off') THEN FALSE END AS flag FROM scalar_inputs"""
 
 # ----------------------------------------------------------------- alerts / telemetry
+LOW_VALUE_MESSAGE = f"""'Total_Usd_Value Under ' || CAST(p.position_threshold AS VARCHAR) || chr(10)
+  || '\U0001F4BC Portfolio     : ' || {{s}}.portfolio || chr(10)
+  || '\U0001F4B0 Current Value : ' || format('{{{{:,.2f}}}}', TRY_CAST({{s}}.total_usd_value AS DOUBLE)) || chr(10)
+  || '\U0001F552 Time(UTC)     : ' || strftime({{s}}.{CT}, '%Y-%m-%d %H:%M:%S')"""
 ORACLE["low_value_alert"] = with_(
     ("latest", LATEST),
     (
         "al",
         f"""SELECT 'usd_under:' || l.portfolio AS key, l.portfolio, 'CRITICAL' AS severity, CAST(5 AS BIGINT) AS level,
   p.position_threshold AS threshold, TRY_CAST(l.total_usd_value AS DOUBLE) AS total_usd_value, l.{CT},
-  'Total_Usd_Value Under ' || CAST(p.position_threshold AS VARCHAR) || chr(10)
-  || '\U0001F4BC Portfolio     : ' || l.portfolio || chr(10)
-  || '\U0001F4B0 Current Value : ' || format('{{:,.2f}}', TRY_CAST(l.total_usd_value AS DOUBLE)) || chr(10)
-  || '\U0001F552 Time(UTC)     : ' || strftime(l.{CT}, '%Y-%m-%d %H:%M:%S') AS message
+  {LOW_VALUE_MESSAGE.format(s="l")} AS message
 FROM latest l JOIN portfolio p ON l.portfolio = p.portfolio
 WHERE p.status = 'active' AND p.position_threshold IS NOT NULL AND p.position_threshold <> 0
   AND TRY_CAST(l.total_usd_value AS DOUBLE) <= p.position_threshold""",
@@ -707,15 +708,21 @@ SELECT r.key, r.id, ev.h AS hash, r.emitted FROM r JOIN ev ON r.key = ev.key AND
 # ----------------------------------------------------------------- streams (same results as the batch queries)
 ORACLE["stream_snapshot"] = ORACLE["snapshot_all"]
 ORACLE["stream_alert"] = ORACLE["alert_cooldown"]
-ORACLE["stream_job_stats"] = with_(("jd", JOB_DUR), roles=("job_events",)) + """
-SELECT job_id, CAST(count(*) FILTER (WHERE event = 'submitted') AS BIGINT) AS total_runs,
-  CAST(count(*) FILTER (WHERE event = 'success') AS BIGINT) AS total_success,
-  CAST(count(*) FILTER (WHERE event = 'error') AS BIGINT) AS total_error,
-  CAST(count(*) FILTER (WHERE event = 'missed') AS BIGINT) AS total_missed,
-  arg_max(event, {'r': recorded_at, 'e': event_id}) AS last_event,
-  max(recorded_at) FILTER (WHERE event = 'submitted') AS last_started_at,
-  max(recorded_at) FILTER (WHERE event IN ('success', 'error', 'missed')) AS last_finished_at
-FROM jd GROUP BY job_id"""
+ORACLE["stream_job_stats"] = ORACLE["job_stats"]
+ORACLE["stream_job_history"] = ORACLE["job_history"]
+# L1 over all summaries, then the cooldown without dedupe
+ORACLE["stream_low_value_alert"] = cte("portfolio", "account_summary").replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+al AS (SELECT 'usd_under:' || s.portfolio AS key, s.id, (epoch_us(s.{CT}) // 1000) / 1000.0 AS t, sha256({LOW_VALUE_MESSAGE.format(s="s")}) AS h
+  FROM account_summary s JOIN portfolio p ON s.portfolio = p.portfolio
+  WHERE p.status = 'active' AND p.position_threshold IS NOT NULL AND p.position_threshold <> 0
+    AND TRY_CAST(s.total_usd_value AS DOUBLE) <= p.position_threshold),
+ev AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY t, id) AS rn FROM al),
+r AS (
+  SELECT key, id, rn, t AS last_t, TRUE AS emitted FROM ev WHERE rn = 1
+  UNION ALL
+  SELECT e.key, e.id, e.rn, CASE WHEN e.t - r.last_t >= {_CD} THEN e.t ELSE r.last_t END, e.t - r.last_t >= {_CD}
+  FROM r JOIN ev e ON e.key = r.key AND e.rn = r.rn + 1)
+SELECT r.key, r.id, ev.h AS hash, r.emitted FROM r JOIN ev ON r.key = ev.key AND r.id = ev.id"""
 
 
 def _stream_mart_parts(mart_parts=master_mart_parts) -> list[tuple[str, str]]:

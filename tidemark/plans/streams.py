@@ -94,15 +94,40 @@ def stream_alert(spark: SparkSession, d: str) -> DataFrame:
 
 
 @Q.query
-def stream_job_stats(spark: SparkSession, d: str) -> DataFrame:
+def stream_low_value_alert(spark: SparkSession, d: str) -> DataFrame:
+    """L1 feeding L2: summaries arrive by year, are checked against the active
+    accounts' thresholds, and the alerts pass the cooldown. Each message tells its
+    value and time, so equal ones never meet: dedupe is off."""
+    root = _stage(spark, "stream-low-value")
+    summaries, portfolios = load(spark, d, "account_summary"), load(spark, d, "portfolio")
+    for _, part in _years(summaries):
+        part.write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(summaries.schema).parquet(f"{root}/in")
+        alerts = SJ.low_value_stream(src, portfolios)
+        SJ.alert_stream(alerts, f"{root}/out", f"{root}/ckpt", Q.COOLDOWN_SEC, dedupe=False, available_now=True).awaitTermination()
+    return read_epochs(spark, f"{root}/out").drop("epoch")
+
+
+def _jobs(spark: SparkSession, d: str) -> str:
+    """The job events as two micro-batches; the folder of the sinks."""
     root = _stage(spark, "stream-jobs")
     events = load(spark, d, "job_events")
     half = F.col("recorded_at") < F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
     for part in (events.filter(half), events.filter(~half)):
         part.write.mode("append").parquet(f"{root}/in")
         src = spark.readStream.schema(events.schema).parquet(f"{root}/in")
-        SJ.job_stats_stream(src, f"{root}/out", f"{root}/ckpt", available_now=True).awaitTermination()
-    return read_upserted(spark, f"{root}/out", ["job_id"])
+        SJ.job_stats_stream(src, f"{root}/out", f"{root}/ckpt", history_root=f"{root}/history", available_now=True).awaitTermination()
+    return root
+
+
+@Q.query
+def stream_job_stats(spark: SparkSession, d: str) -> DataFrame:
+    return Q.finish(read_upserted(spark, f"{_jobs(spark, d)}/out", ["job_id"]))
+
+
+@Q.query
+def stream_job_history(spark: SparkSession, d: str) -> DataFrame:
+    return Q.finish(read_upserted(spark, f"{_jobs(spark, d)}/history", ["job_id", "rank"]))
 
 
-__all__ = ["stream_snapshot", "stream_mart", "stream_portfolio_mart", "stream_alert", "stream_job_stats"]
+__all__ = ["stream_snapshot", "stream_mart", "stream_portfolio_mart", "stream_alert", "stream_low_value_alert", "stream_job_stats", "stream_job_history"]

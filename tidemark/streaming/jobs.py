@@ -11,19 +11,21 @@ rows. Checkpoints live under the cluster's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tidemark.functions.scalars import message_hash, truncate_second
+from tidemark.operators.alerts import low_value_alerts
+from tidemark.operators.cooldown import milliseconds
+from tidemark.operators.rollup import active_portfolios, latest_per_key
 from tidemark.operators.snapshot import Lookups, snapshot
+from tidemark.operators.telemetry import HISTORY_SIZE, event_message
 from tidemark.operators.transfers import epoch_ms
 from tidemark.plans.jobs import master_mart, portfolio_mart
 from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE, PORTFOLIO_PERFORMANCE
-from tidemark.operators.rollup import latest_per_key
 from tidemark.sources.tables import read_state, write_epoch
+from tidemark.streaming.stateful import ALERT_OUT, JOB_OUT, CooldownProcessor, JobProcessor, rocksdb
 
 SUMMARY_KEYS = ["portfolio", "current_time"]
 PAYLOAD_STREAM_SCHEMA = "portfolio string, exchange string, payload string, fetched_at timestamp_ntz"
@@ -134,34 +136,6 @@ def mart_batch(
 
 
 # --------------------------------------------------------------------------- R3
-ALERT_STATE = "last_t double, last_h string"
-ALERT_OUT = "key string, id long, hash string, emitted boolean"
-
-
-def _cooldown_state_fn(cooldown_sec: float, dedupe: bool):
-    def fn(key, pdfs, state):
-        last_t, last_h = (-float("inf"), None)
-        if state.exists:
-            last_t, last_h = state.get
-        frames = [p for p in pdfs]
-        pdf = pd.concat(frames) if frames else pd.DataFrame(columns=["key", "id", "t", "h"])
-        pdf = pdf.sort_values(["t", "id"], kind="mergesort")
-        emitted = []
-        for t, h in zip(pdf["t"].to_numpy(), pdf["h"].to_numpy()):
-            if cooldown_sec > 0:
-                if t - last_t < cooldown_sec and (not dedupe or last_h == h):
-                    emitted.append(False)
-                    continue
-                last_t = float(t)
-                if dedupe:
-                    last_h = h
-            emitted.append(True)
-        state.update((last_t, last_h))
-        yield pd.DataFrame({"key": pdf["key"], "id": pdf["id"], "hash": pdf["h"], "emitted": emitted})
-
-    return fn
-
-
 def alert_stream(
     alerts: DataFrame,
     sink_root: str,
@@ -173,23 +147,31 @@ def alert_stream(
     processing_time: str = "10 seconds",
 ):
     """L2 as a stateful stream. ``alerts`` is a streaming frame with
-    key, id, ts, message; state per key is (last emitted time, hash), kept in
-    the state store, so only the batch's own alerts of a key are in memory."""
-    spark = alerts.sparkSession
+    key, id, ts, message; state per key is (last emitted time, hash) in RocksDB.
+    Alerts without a time are left out."""
     ev = alerts.select(
-        F.col("key").cast("string").alias("key"),
+        F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key"),
         F.col("id").cast("long").alias("id"),
-        (epoch_ms(F.col("ts")) / 1000.0).alias("t"),
+        epoch_ms(F.col("ts")).alias("t"),
         message_hash("message").alias("h"),
-    )
-    out = ev.groupBy("key").applyInPandasWithState(
-        _cooldown_state_fn(float(cooldown_sec), dedupe), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout
-    )
+    ).filter("t is not null")
+    out = ev.groupBy("key").transformWithStateInPandas(CooldownProcessor(milliseconds(cooldown_sec), dedupe), ALERT_OUT, "Append", "None")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         write_epoch(batch, sink_root, epoch)
 
-    return _start(out.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, available_now, processing_time)
+    with rocksdb(alerts.sparkSession):
+        return _start(out.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, available_now, processing_time)
+
+
+def low_value_stream(summaries: DataFrame, portfolios: DataFrame) -> DataFrame:
+    """L1 over a stream of account summaries, joined to the active accounts: the
+    alerts that ``alert_stream`` takes (key, id, ts, message). A summary without
+    an ``id`` is told apart by its account and time."""
+    if "id" not in summaries.columns:
+        summaries = summaries.withColumn("id", F.xxhash64("portfolio", "current_time"))
+    found = low_value_alerts(summaries, active_portfolios(portfolios), keep=("id",))
+    return found.select("key", "id", F.col("current_time").alias("ts"), "message")
 
 
 # --------------------------------------------------------------------------- R4
@@ -198,27 +180,33 @@ def job_stats_stream(
     sink_root: str,
     checkpoint: str,
     *,
+    history_root: str | None = None,
+    history_size: int = HISTORY_SIZE,
     available_now: bool = False,
     processing_time: str = "10 seconds",
 ):
-    """A10 counters and last-* times as a streaming aggregation in update
-    mode; each batch writes its changed jobs under its epoch, read back as
-    the newest epoch per ``job_id``."""
-    spark = events.sparkSession
-    order = F.struct("recorded_at", "event_id")
-    sub = F.col("event") == "submitted"
-    term = F.col("event").isin("success", "error", "missed")
-    agg = events.groupBy("job_id").agg(
-        F.count_if(sub).cast("long").alias("total_runs"),
-        F.count_if(F.col("event") == "success").cast("long").alias("total_success"),
-        F.count_if(F.col("event") == "error").cast("long").alias("total_error"),
-        F.count_if(F.col("event") == "missed").cast("long").alias("total_missed"),
-        F.max_by("event", order).alias("last_event"),
-        F.max(F.when(sub, F.col("recorded_at"))).alias("last_started_at"),
-        F.max(F.when(term, F.col("recorded_at"))).alias("last_finished_at"),
-    )
+    """A10, W5 and W6 as a stateful stream. Each batch writes the changed
+    jobs' ten fields under its epoch of ``sink_root`` (upsert view: newest epoch per
+    ``job_id``) and their newest events under ``history_root`` (newest epoch per
+    ``job_id`` and ``rank``), both from one pass."""
+    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    micros = lambda c: F.timestamp_diff("MICROSECOND", zero, F.col(c))
+    ev = events.select(
+        "job_id", F.col("event_id").cast("long").alias("event_id"), "event", micros("recorded_at").alias("recorded_at"),
+        micros("scheduled_at").alias("scheduled_at"), event_message().alias("message"),
+    )
+    out = ev.groupBy("job_id").transformWithStateInPandas(JobProcessor(history_size), JOB_OUT, "Update", "None")
+    back = lambda c: F.timestamp_add("MICROSECOND", F.col(c), zero).alias(c)
+    stats = ["total_runs", "total_success", "total_error", "total_missed", "last_event", "last_scheduled_at", "last_started_at", "last_finished_at", "last_duration_ms", "last_error"]
+    history = ["rank", "event_id", "event", "recorded_at", "scheduled_at", "duration_ms", "message"]
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
-        write_epoch(batch, sink_root, epoch)  # upsert view: newest epoch per job_id
-
-    return _start(agg.writeStream.outputMode("update").foreachBatch(per_batch), checkpoint, available_now, processing_time)
+        batch = batch.persist()
+        try:
+            for root, names, rows in ((sink_root, stats, F.col("rank").isNull()), (history_root or f"{sink_root.rstrip('/')}_history", history, F.col("rank").isNotNull())):
+                write_epoch(batch.filter(rows).select("job_id", *[back(c) if c.endswith("_at") else c for c in names]), root, epoch)
+        finally:
+            batch.unpersist()
+
+    with rocksdb(events.sparkSession):
+        return _start(out.writeStream.outputMode("update").foreachBatch(per_batch), checkpoint, available_now, processing_time)
