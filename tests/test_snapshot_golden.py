@@ -137,10 +137,58 @@ def test_repeated_asset_last_entry_in_the_map_every_row_in_the_sum(spark):
     assert r.balances["VST"].total == 7 and r.total_usd_value == pytest.approx(15)
 
 
-def test_two_fetches_count_once_and_inactive_accounts_not(spark):
+def test_every_fetch_is_a_summary_and_inactive_accounts_are_none(spark):
     body = lambda x: json.dumps({"data": [{"asset": "VST", "balance": x, "equity": x}]})
-    rows = spark.createDataFrame([("a", "bingx", body("100"), "2024-06-30 16:45:00"), ("a", "bingx", body("110"), "2024-06-30 16:45:10"), ("z", "bingx", body("5"), "2024-06-30 16:45:10")], PAYLOADS + ", fetched_at string")
-    accounts = spark.createDataFrame([("a", "active", 120.0), ("z", "inactive", None)], "portfolio string, status string, position_threshold double")
+    polls = [("a", "100", "16:45:00"), ("a", "110", "16:45:10.2"), ("a", "111", "16:45:10.7"), ("z", "5", "16:45:10"), ("a", "oops", "16:45:20")]
+    rows = spark.createDataFrame([(p, "bingx", body(x), f"2024-06-30 {t}") for p, x, t in polls], PAYLOADS + ", fetched_at string")
+    accounts = spark.createDataFrame([("a", "active", 105.0), ("z", "inactive", None)], "portfolio string, status string, position_threshold double")
     snap = snapshot(rows, Lookups(), AS_OF, exchanges=["bingx"], portfolios=accounts)
-    assert [(r.portfolio, r.total_usd_value) for r in snap.summaries.collect()] == [("a", 110.0)]
-    assert [(r.key, r.threshold) for r in snap.alerts.collect()] == [("usd_under:a", 120.0)]
+    # two fetches of one second: the newer
+    assert sorted((r.portfolio, r.total_usd_value, str(r.current_time)) for r in snap.summaries.collect()) == [("a", 100.0, "2024-06-30 16:45:00"), ("a", 111.0, "2024-06-30 16:45:10")]
+    assert [(r.key, r.total_usd_value) for r in snap.alerts.collect()] == [("usd_under:a", 100.0)]
+    assert [(r.portfolio, str(r.current_time)) for r in snap.quarantine.collect()] == [("a", "2024-06-30 16:45:20")]
+
+
+def test_repeated_payload_without_time_is_not_added_up(spark):
+    body = {"data": [{"asset": "VST", "balance": "100", "equity": "100"}]}
+    snap = snapshot(frame(spark, ("a", "bingx", body), ("a", "bingx", body)), Lookups(), AS_OF, exchanges=["bingx"])
+    assert [r.total_usd_value for r in snap.summaries.collect()] == [100.0, 100.0]
+
+
+def test_polls_count_the_transfers_of_their_own_window(spark):
+    at = lambda s: 1719765900_000 + s * 1000  # noqa: E731  2024-06-30 16:45:00 UTC
+    records = spark.createDataFrame([("a", str(at(s)), "FUND", x) for s, x in [(-40, "1"), (-20, "2"), (5, "4"), (25, "8"), (90, "16")]], "portfolio string, ts_ms string, to_account string, amount string")
+    body = json.dumps({"data": [{"totalEquity": "1", "coin": []}]})
+    rows = spark.createDataFrame([("a", "bybit", body, f"2024-06-30 16:45:{s:02d}") for s in (0, 10, 40)], PAYLOADS + ", fetched_at string")
+    snap = snapshot(rows, Lookups(), AS_OF, transfers=records, exchanges=["bybit"])
+    assert {r.current_time.second: r.transfer_adjustment for r in snap.summaries.collect()} == {0: 2.0, 10: 4.0, 40: 24.0}
+
+
+def test_payloads_are_scanned_once_without_a_shuffle(spark):
+    body = {"data": [{"asset": "VST", "balance": "1", "equity": "1"}]}
+    path = f"{__import__('tidemark.session').session.checkpoint_root(spark)}/payload-plan"
+    frame(spark, ("a", "bingx", body)).write.mode("overwrite").parquet(path)
+    plan = snapshot(spark.read.parquet(path), lookups(spark), AS_OF).rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+
+
+def test_price_lists_beyond_a_constant_are_joined(spark, monkeypatch):
+    from tidemark.operators import snapshot as module
+
+    prices = spark.createDataFrame([(f"A{k}USDT", str(k)) for k in range(30)], "symbol string, price string")
+    pairs = spark.createDataFrame([(0, "ADA", "ADA_USDT", "trading")], "pos long, base_currency string, symbol string, trade_status string")
+    tickers = spark.createDataFrame([("ADA-USDT-SPOT", "0.4")], "product_symbol string, last string")
+    inst = spark.createDataFrame([(1, "IFXXXP", "ETH_USDT", 2000.0)], "pos long, typ string, symbol string, lastPrice double")
+    listed = Lookups(prices=prices, pairs=pairs, tickers=tickers, instruments=inst)
+    rows = frame(
+        spark,
+        ("b", "binance", {"balances": [{"asset": "A7", "free": "2", "locked": "0"}, {"asset": "ZZ", "free": "2", "locked": "0"}]}),
+        ("m", "bitmart", {"data": [{"currency": "ADA", "available_balance": "50", "frozen_balance": "25"}, {"currency": "X", "available_balance": "1", "frozen_balance": "0"}]}),
+        ("x", "bitmex", [{"currency": "ETH", "marginBalance": 1_500_000}, {"currency": "QQ", "marginBalance": 5}]),
+        ("y", "binance", None),
+        ("g", "bingx", {"data": [{"asset": "VST", "balance": "1", "equity": "1"}]}),
+    )
+    result = lambda: sorted((r.portfolio, r.total_usd_value, sorted(r.balances)) for r in snapshot(rows, listed, AS_OF).summaries.collect())
+    constant = result()
+    monkeypatch.setattr(module, "LOOKUP_ROWS", 0)
+    assert result() == constant == [("b", 14.0, ["A7"]), ("g", 1.0, ["VST"]), ("m", 21.0, ["ADA", "X"]), ("x", 3000.0, ["ETH", "QQ"])]

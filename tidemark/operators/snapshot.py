@@ -2,29 +2,30 @@
 portfolio (X0-X8, J5-J8, A6, F6-F8, F12-F14, T4).
 
 Input is a payload table ``portfolio, exchange, payload`` (the JSON body an
-exchange returns for one account). Each normaliser parses with an explicit
-schema (``from_json``), explodes the asset array (``posexplode_outer`` so an
-empty account still yields a row), values the assets with lookups joined in
-Spark (the planner broadcasts them by their size), and folds back to one row with a
-``balances`` map per portfolio. A portfolio whose payload cannot be parsed
-where the reference would raise goes to the quarantine frame instead (X8);
-the others are unaffected.
-
-Groups are per portfolio and bounded by one account's asset list.
+exchange returns for one account). A payload is read once, parsed once with its
+exchange's schema (``from_json``), and stays one row: its asset array is valued by
+``transform`` and folded by ``aggregate`` into a total and a ``balances`` map, so
+nothing is exploded or shuffled and two payloads of an account are two results.
+Exchange-wide price lists of a checked size become a constant hash table in the
+plan; longer ones are joined. An account whose payload cannot be
+parsed where the reference would raise is quarantined (X8); the others are
+unaffected.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import ts_lit, tw_time
+from tidemark.functions.scalars import truncate_second, ts_lit, tw_time
 from tidemark.operators.alerts import low_value_alerts
 from tidemark.operators.rollup import active_portfolios, latest_per_key
-from tidemark.operators.transfers import transfer_adjustment
+from tidemark.operators.transfers import poll_adjustments, transfer_adjustment
 
 # --------------------------------------------------------------------------- fixed values
 # Payload formats of the exchanges' balance endpoints (numbers arrive as strings).
@@ -47,6 +48,8 @@ BITMEX_STABLES = ["USDT", "USD", "USDC"]
 BITMEX_INSTRUMENT_TYPE = "IFXXXP"
 ZOOMEX_STABLES = ["USD", "USDT", "USDC", "FDUSD", "BUSD", "TUSD", "DAI", "USDe", "USDD"]
 OKX_TRANSFER_WINDOW_MIN = 0.5  # OKX ignores the configured interval
+#: Listed symbols of one exchange that are held as a constant, and the slots of its hash table.
+LOOKUP_ROWS, LOOKUP_SLOTS = 100_000, 4096
 SUMMARY_COLUMNS = ["portfolio", "exchange", "total_usd_value", "balances", "transfer_adjustment", "current_time", "tw_time"]
 
 
@@ -62,11 +65,31 @@ class Lookups:
 
 @dataclass
 class Snapshot:
-    summaries: DataFrame
-    quarantine: DataFrame  # portfolio, exchange, reason
+    """The outcome of one pass. ``rows`` has every polled account, with the reason
+    why it failed or NULL; ``summaries`` and ``quarantine`` are its two parts."""
+
+    rows: DataFrame
     missing_prices: DataFrame | None = None
     alerts: DataFrame | None = None
 
+    @property
+    def summaries(self) -> DataFrame:
+        return summaries_of(self.rows)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return quarantine_of(self.rows)
+
+
+def summaries_of(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("reason").isNull()).select(*SUMMARY_COLUMNS)
+
+
+def quarantine_of(rows: DataFrame) -> DataFrame:
+    """portfolio, exchange, reason; with the poll's time if there are several."""
+    times = ["current_time"] if "fetched_at" in rows.columns else []
+    return rows.filter(F.col("reason").isNotNull()).select("portfolio", "exchange", "reason", *times)
+
 
 # --------------------------------------------------------------------------- helpers
 def num(c: Column) -> Column:
@@ -84,32 +107,6 @@ def zero_if_empty(c: Column) -> Column:
     return F.when(c == "", F.lit(0.0)).otherwise(num(c))
 
 
-def _last_wins(lookup: DataFrame, key: str, value: str) -> DataFrame:
-    """One row per key: the last listed (by ``pos``) where a key is listed twice,
-    as in a dictionary; without positions the largest value."""
-    last = F.max_by(value, "pos") if "pos" in lookup.columns else F.max(value)
-    return lookup.groupBy(key).agg(last.alias(value))
-
-
-def _assets(payloads: DataFrame, exchange: str, array_path: str, *, needed: bool = True) -> DataFrame:
-    """Parse one exchange's payloads and explode ``array_path`` (dotted path
-    into the parsed struct, ``[0]`` steps allowed) with positions. A payload is
-    broken if it is NULL, no JSON or, where ``needed``, lacks the array; an empty
-    array is an account worth 0."""
-    parsed = payloads.filter(F.col("exchange") == exchange).withColumn(
-        "_p", F.from_json("payload", PAYLOAD_DDL[exchange])
-    )
-    arr = F.col("_p")
-    for step in array_path.split(".") if array_path else []:
-        if step.endswith("[0]"):
-            arr = F.get(arr.getField(step[:-3]), 0)
-        else:
-            arr = arr.getField(step)
-    json = F.get_json_object("payload", "$")
-    broken = json.isNull() | (arr.isNull() if needed else ~F.ltrim(json).startswith("{"))
-    return parsed.select("portfolio", "exchange", "_p", broken.alias("_broken"), F.posexplode_outer(arr).alias("pos", "e"))
-
-
 def balance(total: Column, available: Column, notional: Column, liability: Column, interest: Column) -> Column:
     return F.struct(
         total.cast("double").alias("total"),
@@ -120,229 +117,293 @@ def balance(total: Column, available: Column, notional: Column, liability: Colum
     )
 
 
-def asset_rows(
-    rows: DataFrame, *, asset: Column, bal: Column, usd: Column, keep: Column, error: Column, total_usd: Column | None = None
-) -> DataFrame:
-    """Valued asset rows in the common shape every exchange folds from."""
-    return rows.select(
-        "portfolio",
-        "exchange",
-        "pos",
-        asset.alias("_asset"),
-        bal.alias("_bal"),
-        usd.alias("_usd"),
-        (keep & F.col("e").isNotNull()).alias("_keep"),
-        (F.coalesce(error, F.lit(True)) | F.col("_broken")).alias("_err"),
-        (total_usd if total_usd is not None else F.lit(None).cast("double")).alias("_tot"),
-        F.lit(total_usd is not None).alias("_has_tot"),
-    )
-
-
-def fold_rows(r: DataFrame) -> DataFrame:
-    """A6 + F12: back to one row per portfolio. ``balances`` keeps the last
-    kept entry per asset (a Python dict is last-wins); ``total_usd_value``
-    sums every kept row, or takes the payload-level total when the exchange
-    reports one. Partial aggregation runs before the shuffle, and one
-    account's rows sit in one payload, so the group is bounded."""
-    out = r.groupBy("portfolio", "exchange").agg(
-        F.sort_array(F.collect_list(F.when(F.col("_keep"), F.struct("pos", "_asset", "_bal")))).alias("_kept"),
-        F.coalesce(F.sum(F.when(F.col("_keep"), F.col("_usd"))), F.lit(0.0)).alias("_sum"),
-        F.first("_tot", ignorenulls=True).alias("_tot"),
-        F.max(F.col("_err").cast("int")).alias("_bad"),
-        F.max("_has_tot").alias("_has_tot"),
-    )
-    # last-wins per asset inside the (bounded) account array: keep an entry
-    # only when no later entry has the same asset.
-    kept = F.col("_kept")
-    last_only = F.filter(
-        kept, lambda x, i: ~F.exists(F.slice(kept, i + 2, F.size(kept)), lambda y: y["_asset"] == x["_asset"])
-    )
-    out = out.withColumn(
-        "balances", F.map_from_entries(F.transform(last_only, lambda x: F.struct(x["_asset"], x["_bal"])))
+def _asset(x: Column, *, asset: Column, bal: Column, usd: Column, error: Column, keep: Column | None = None) -> Column:
+    """A valued asset in the common shape that every exchange folds from."""
+    here = x.isNotNull()
+    return F.struct(
+        asset.alias("asset"),
+        bal.alias("bal"),
+        F.coalesce(usd.cast("double"), F.lit(0.0)).alias("usd"),
+        F.coalesce(here if keep is None else here & keep, F.lit(False)).alias("keep"),
+        F.coalesce(here & error, F.lit(True)).alias("err"),
     )
-    total = F.when(F.col("_has_tot"), F.col("_tot")).otherwise(F.col("_sum"))
-    return out.select("portfolio", "exchange", "balances", total.alias("total_usd_value"), (F.col("_bad") == 1).alias("_bad"))
 
 
-def _normaliser(fn):
-    """``fn(payloads, lookups)`` yields asset rows; the public normaliser
-    folds them and attaches the transfer adjustment (0 when not given)."""
+# --------------------------------------------------------------------------- reference prices
+def _last_wins(lookup: DataFrame, key: str, value: str) -> DataFrame:
+    """One row per key: the last listed (by ``pos``) where a key is listed twice,
+    as in a dictionary; without positions the largest value."""
+    last = F.max_by(value, "pos") if "pos" in lookup.columns else F.max(value)
+    return lookup.groupBy(key).agg(last.alias(value))
 
-    def public(payloads: DataFrame, lookups: Lookups, adjustments: DataFrame | None = None) -> DataFrame:
-        return _with_adjustment(fold_rows(fn(payloads, lookups)), adjustments)
 
-    public.rows = fn
-    public.__name__ = fn.__name__
-    public.__doc__ = fn.__doc__
-    return public
+def first_trading_pairs(pairs: DataFrame) -> DataFrame:
+    """The first pair (array order) per base currency that trades."""
+    return (
+        pairs.filter(F.col("trade_status") == "trading")
+        .groupBy("base_currency")
+        .agg(F.min_by("symbol", "pos").alias("_pair"))
+    )
 
 
-# --------------------------------------------------------------------------- X1 binance
-@_normaliser
-def normalise_binance(payloads: DataFrame, lookups: Lookups) -> DataFrame:
+def reference_prices(lookups: Lookups, exchange: str) -> DataFrame | None:
+    """(key, price) of an exchange's listed symbols; a NULL price is a symbol
+    without one. None for exchanges that report values themselves.
+
+    binance: ``symbol``. bitmart: base currency -> last of the first trading
+    pair's ticker. bitmex: upper-cased symbol -> lastPrice of the first IFXXXP
+    instrument."""
+    if exchange == "binance":
+        return _last_wins(lookups.prices, "symbol", "price").select(F.col("symbol").alias("key"), num(F.col("price")).alias("price"))
+    if exchange == "bitmart":
+        parts = F.split(F.col("_pair"), "_")
+        pairs = first_trading_pairs(lookups.pairs).withColumn("product_symbol", F.concat_ws("-", F.get(parts, 0), F.get(parts, 1), F.lit("SPOT")))
+        tickers = _last_wins(lookups.tickers, "product_symbol", "last")
+        return pairs.join(tickers, "product_symbol", "left").select(F.col("base_currency").alias("key"), num(F.col("last")).alias("price"))
+    if exchange == "bitmex":
+        listed = lookups.instruments.filter(F.col("typ") == BITMEX_INSTRUMENT_TYPE)
+        return listed.groupBy(F.upper("symbol").alias("key")).agg(F.min_by("lastPrice", "pos").cast("double").alias("price"))
+    return None
+
+
+class Prices:
+    """A price lookup inside the row: ``listed(key)`` and ``price(key)``."""
+
+    def __init__(self, find: Callable[[Column], Column]):
+        self._find = find  # the map that holds the key, if any does
+
+    def listed(self, key: Column) -> Column:
+        return F.coalesce(F.map_contains_key(self._find(key), key), F.lit(False))
+
+    def price(self, key: Column) -> Column:
+        return F.try_element_at(self._find(key), key)
+
+
+def _constant(prices: DataFrame) -> Prices | None:
+    """Up to ``LOOKUP_ROWS`` symbols as a constant of the plan: a hash table, an
+    array of ``LOOKUP_SLOTS`` small maps. None if there are more."""
+    slot = F.pmod(F.xxhash64("key"), F.lit(LOOKUP_SLOTS)).cast("int")
+    some = prices.filter("key is not null").limit(LOOKUP_ROWS + 1)
+    # the driver gets this one bounded row
+    held = some.agg(F.count("*").alias("n"), F.to_json(F.collect_list(F.struct(slot.alias("s"), F.col("key").alias("k"), F.col("price").alias("p")))).alias("rows")).first()
+    if held.n > LOOKUP_ROWS:
+        return None
+    slots: list[dict] = [{} for _ in range(LOOKUP_SLOTS)]
+    for r in json.loads(held.rows):
+        slots[r["s"]][r["k"]] = r.get("p")
+    table = F.from_json(F.lit(json.dumps(slots)), "ARRAY<MAP<STRING, DOUBLE>>")
+    return Prices(lambda key: F.get(table, F.pmod(F.xxhash64(key), F.lit(LOOKUP_SLOTS)).cast("int")))
+
+
+def _joined(rows: DataFrame, exchange: str, prices: DataFrame) -> DataFrame:
+    """More symbols than a constant should hold: the keys that each payload asks
+    for, joined to their prices, come back to its row as a map ``_px``."""
+    asked = SPECS[exchange].keys(F.col(f"_{exchange}"))
+    poll = [F.col("portfolio"), F.col("exchange"), F.xxhash64("payload").alias("_hash")]
+    found = rows.select(*poll, F.explode(F.array_distinct(asked)).alias("key")).distinct().join(prices, "key")
+    maps = found.groupBy("portfolio", "exchange", "_hash").agg(F.map_from_entries(F.collect_list(F.struct("key", "price"))).alias(f"_px_{exchange}"))
+    rows = rows.withColumn("_hash", F.xxhash64("payload")).join(maps, ["portfolio", "exchange", "_hash"], "left").drop("_hash")
+    return rows
+
+
+# --------------------------------------------------------------------------- exchanges
+@dataclass(frozen=True)
+class Spec:
+    """How an exchange's payload is valued: ``parts`` gives (assets, other faults,
+    total or None) of a parsed payload, ``value`` a valued asset, ``keys`` the
+    symbols that need a price."""
+
+    parts: Callable[[Column], tuple[Column, Column, Column | None]]
+    value: Callable[[Column, Prices | None], Column]
+    keys: Callable[[Column], Column] | None = None
+
+
+def _first(p: Column, *path: str) -> Column:
+    for step in path:
+        p = F.get(p.getField(step[:-3]), 0) if step.endswith("[0]") else p.getField(step)
+    return p
+
+
+def _value_binance(x: Column, px: Prices) -> Column:
     """amount = free + locked, zero skipped; stables at 1, others priced by
     ``asset || 'USDT'`` or skipped; map values rounded (6 / 2), total not."""
-    a = _assets(payloads, "binance", "balances", needed=False)
-    e = F.col("e")
-    prices = _last_wins(lookups.prices, "symbol", "price").select(F.col("symbol").alias("_sym"), num(F.col("price")).alias("_price"))
-    a = a.join(prices, F.concat(e.asset, F.lit("USDT")) == F.col("_sym"), "left")
-    amount = num(e.free) + num(e.locked)
-    price = F.when(e.asset.isin(BINANCE_STABLES), F.lit(1.0)).otherwise(F.col("_price"))
-    keep = (amount != 0) & price.isNotNull()
+    amount = num(x.free) + num(x.locked)
+    price = F.when(x.asset.isin(BINANCE_STABLES), F.lit(1.0)).otherwise(px.price(F.concat(x.asset, F.lit("USDT"))))
     usd = amount * price
-    err = e.isNotNull() & (fails(e.free) | fails(e.locked) | e.asset.isNull())
     bal = balance(F.bround(amount, 6), F.bround(amount, 6), F.bround(usd, 2), F.lit(0.0), F.lit(0.0))
-    return asset_rows(a, asset=e.asset, bal=bal, usd=usd, keep=keep, error=err)
-
+    error = fails(x.free) | fails(x.locked) | x.asset.isNull()
+    return _asset(x, asset=x.asset, bal=bal, usd=usd, keep=(amount != 0) & price.isNotNull(), error=error)
 
-# --------------------------------------------------------------------------- X2 bingx
-@_normaliser
-def normalise_bingx(payloads: DataFrame, lookups: Lookups) -> DataFrame:
-    a = _assets(payloads, "bingx", "data")
-    e = F.col("e")
-    available = F.coalesce(e.availableMargin, e.equity, F.lit("0"))
-    liability = F.coalesce(e.realisedProfit, F.lit("0"))
-    err = e.isNotNull() & (fails(e.balance) | fails(available) | fails(e.equity) | fails(liability) | e.asset.isNull())
-    bal = balance(num(e.balance), num(available), num(e.equity), num(liability), F.lit(0.0))
-    return asset_rows(a, asset=e.asset, bal=bal, usd=num(e.equity), keep=F.lit(True), error=err)
 
-
-# --------------------------------------------------------------------------- X3 bitmart
-def first_trading_pairs(pairs: DataFrame) -> DataFrame:
-    """The first pair (array order) per base currency that trades."""
-    return (
-        pairs.filter(F.col("trade_status") == "trading")
-        .groupBy("base_currency")
-        .agg(F.min_by("symbol", "pos").alias("_pair"))
-    )
+def _value_bingx(x: Column, px: Prices | None) -> Column:
+    available = F.coalesce(x.availableMargin, x.equity, F.lit("0"))
+    liability = F.coalesce(x.realisedProfit, F.lit("0"))
+    error = fails(x.balance) | fails(available) | fails(x.equity) | fails(liability) | x.asset.isNull()
+    bal = balance(num(x.balance), num(available), num(x.equity), num(liability), F.lit(0.0))
+    return _asset(x, asset=x.asset, bal=bal, usd=num(x.equity), error=error)
 
 
-@_normaliser
-def normalise_bitmart(payloads: DataFrame, lookups: Lookups) -> DataFrame:
+def _value_bitmart(x: Column, px: Prices) -> Column:
     """With a trading pair: total = available x last, notional = (available +
     frozen) x last; without: price 1. A pair without a ticker fails."""
-    a = _assets(payloads, "bitmart", "data")
-    e = F.col("e")
-    pairs = first_trading_pairs(lookups.pairs)
-    parts = F.split(F.col("_pair"), "_")
-    pairs = pairs.withColumn(
-        "_product", F.concat_ws("-", F.get(parts, 0), F.get(parts, 1), F.lit("SPOT"))
-    )
-    tickers = _last_wins(lookups.tickers, "product_symbol", "last").select(F.col("product_symbol").alias("_product"), F.col("last").alias("_last"))
-    priced = pairs.join(tickers, "_product", "left").select("base_currency", "_pair", "_last")
-    a = a.join(priced, e.currency == F.col("base_currency"), "left")
-    has_pair = F.col("_pair").isNotNull()
-    last = num(F.col("_last"))
-    avail, frozen = num(e.available_balance), num(e.frozen_balance)
-    total = F.when(has_pair, avail * last).otherwise(avail)
-    notional = F.when(has_pair, (avail + frozen) * last).otherwise(avail + frozen)
-    err = e.isNotNull() & (
-        fails(e.available_balance) | fails(e.frozen_balance) | (has_pair & last.isNull()) | e.currency.isNull()
-    )
-    bal = balance(total, avail, notional, F.lit(0.0), F.lit(0.0))
-    return asset_rows(a, asset=e.currency, bal=bal, usd=total, keep=F.lit(True), error=err)
+    paired, last = px.listed(x.currency), px.price(x.currency)
+    available, frozen = num(x.available_balance), num(x.frozen_balance)
+    total = F.when(paired, available * last).otherwise(available)
+    notional = F.when(paired, (available + frozen) * last).otherwise(available + frozen)
+    error = fails(x.available_balance) | fails(x.frozen_balance) | (paired & last.isNull()) | x.currency.isNull()
+    return _asset(x, asset=x.currency, bal=balance(total, available, notional, F.lit(0.0), F.lit(0.0)), usd=total, error=error)
 
 
-# --------------------------------------------------------------------------- X4 bitmex
-@_normaliser
-def normalise_bitmex(payloads: DataFrame, lookups: Lookups) -> DataFrame:
+def _value_bitmex(x: Column, px: Prices) -> Column:
     """XBT/BTC/WBTC / 1e8, others / 1e6; stables at par, else x lastPrice of
-    the first IFXXXP instrument ``<CCY>_USDT``; unpriced assets stay in the
-    map and add 0."""
-    a = _assets(payloads, "bitmex", "")
-    e = F.col("e")
-    inst = (
-        lookups.instruments.filter(F.col("typ") == BITMEX_INSTRUMENT_TYPE)
-        .groupBy(F.upper("symbol").alias("_usym"))
-        .agg(F.min_by("lastPrice", "pos").alias("_lp"))
-    )
-    ccy = F.upper(e.currency)
-    a = a.join(inst, F.concat(ccy, F.lit("_USDT")) == F.col("_usym"), "left")
-    raw = F.coalesce(e.marginBalance, F.lit(0)).cast("double")
-    amount = F.when(ccy.isin(BITMEX_SATOSHI_ASSETS), raw / 1e8).otherwise(raw / 1e6)
-    usd = F.when(ccy.isin(BITMEX_STABLES), amount).otherwise(F.coalesce(amount * F.col("_lp").cast("double"), F.lit(0.0)))
-    err = e.isNotNull() & (e.currency.isNull() | e.marginBalance.isNull())
-    bal = balance(amount, amount, amount, F.lit(0.0), F.lit(0.0))
-    return asset_rows(a, asset=e.currency, bal=bal, usd=usd, keep=F.lit(True), error=err)
-
-
-# --------------------------------------------------------------------------- X5 bybit
-@_normaliser
-def normalise_bybit(payloads: DataFrame, lookups: Lookups) -> DataFrame:
-    """Map from ``data[0].coin``; total = payload ``totalEquity``; adjustment
-    from the unified-rule transfer sum (A7)."""
-    a = _assets(payloads, "bybit", "data[0].coin")
-    e = F.col("e")
-    first = F.get(F.col("_p").getField("data"), 0)
-    interest = F.when(e.accruedInterest == "", F.lit(0.0)).otherwise(num(e.accruedInterest))
-    err = (first.isNull() | fails(first.getField("totalEquity"))) | (
-        e.isNotNull() & (fails(e.equity) | fails(e.usdValue) | fails(e.cumRealisedPnl) | interest.isNull() | e.coin.isNull())
-    )
-    bal = balance(num(e.walletBalance), num(e.equity), num(e.usdValue), num(e.cumRealisedPnl), interest)
-    return asset_rows(
-        a, asset=e.coin, bal=bal, usd=F.lit(0.0), keep=F.lit(True), error=err, total_usd=num(first.getField("totalEquity"))
-    )
+    ``<CCY>_USDT``; unpriced assets stay in the map and add 0."""
+    name = F.upper(x.currency)
+    raw = F.coalesce(x.marginBalance, F.lit(0)).cast("double")
+    amount = F.when(name.isin(BITMEX_SATOSHI_ASSETS), raw / 1e8).otherwise(raw / 1e6)
+    usd = F.when(name.isin(BITMEX_STABLES), amount).otherwise(amount * px.price(F.concat(name, F.lit("_USDT"))))
+    error = x.currency.isNull() | x.marginBalance.isNull()
+    return _asset(x, asset=x.currency, bal=balance(amount, amount, amount, F.lit(0.0), F.lit(0.0)), usd=usd, error=error)
 
 
-# --------------------------------------------------------------------------- X6 okx
-@_normaliser
-def normalise_okx(payloads: DataFrame, lookups: Lookups) -> DataFrame:
-    """"" -> 0 on the five fields; total = ``totalEq``; adjustment from the
-    18/6 transfer sum (A8) over a fixed 0.5-minute window."""
-    a = _assets(payloads, "okx", "data[0].details")
-    e = F.col("e")
-    first = F.get(F.col("_p").getField("data"), 0)
-    f = {k: zero_if_empty(e.getField(k)) for k in ("eq", "availEq", "eqUsd", "liab", "interest")}
-    err = (first.isNull() | fails(first.getField("totalEq"))) | (
-        e.isNotNull() & ((F.greatest(*[v.isNull().cast("int") for v in f.values()]) == 1) | e.ccy.isNull())
-    )
-    bal = balance(f["eq"], f["availEq"], f["eqUsd"], f["liab"], f["interest"])
-    return asset_rows(a, asset=e.ccy, bal=bal, usd=F.lit(0.0), keep=F.lit(True), error=err, total_usd=num(first.getField("totalEq")))
+def _value_bybit(x: Column, px: Prices | None) -> Column:
+    interest = F.when(x.accruedInterest == "", F.lit(0.0)).otherwise(num(x.accruedInterest))
+    error = fails(x.equity) | fails(x.usdValue) | fails(x.cumRealisedPnl) | interest.isNull() | x.coin.isNull()
+    bal = balance(num(x.walletBalance), num(x.equity), num(x.usdValue), num(x.cumRealisedPnl), interest)
+    return _asset(x, asset=x.coin, bal=bal, usd=F.lit(0.0), error=error)
 
 
-# --------------------------------------------------------------------------- X7 zoomex
-def _zoomex_rows(payloads: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
-    a = _assets(payloads, "zoomex", "result.list[0].coin")
-    e = F.col("e")
-    usd_raw = e.usdValue
-    has_usd = usd_raw.isNotNull() & ~usd_raw.isin("", "null")
-    available = num(e.equity)
-    notional = F.when(has_usd, num(usd_raw)).when(e.coin.isin(ZOOMEX_STABLES), available).otherwise(F.lit(0.0))
-    interest = F.when(e.accruedInterest.isNull() | (e.accruedInterest == ""), F.lit(0.0)).otherwise(num(e.accruedInterest))
-    err = F.get(F.col("_p").getField("result").getField("list"), 0).isNull() | (
-        e.isNotNull()
-        & (fails(e.walletBalance) | fails(e.equity) | fails(e.cumRealisedPnl) | interest.isNull() | (has_usd & fails(usd_raw)))
-    )
-    cols = {
-        "available": available,
-        "notional": notional,
-        "interest": interest,
-        "err": err,
-        "missing": e.isNotNull() & ~has_usd & ~e.coin.isin(ZOOMEX_STABLES),
-    }
-    return a, cols
-
-
-@_normaliser
-def normalise_zoomex(payloads: DataFrame, lookups: Lookups) -> DataFrame:
+def _value_okx(x: Column, px: Prices | None) -> Column:
+    """"" -> 0 on the five fields."""
+    f = [zero_if_empty(x.getField(k)) for k in ("eq", "availEq", "eqUsd", "liab", "interest")]
+    error = x.ccy.isNull()
+    for v in f:
+        error = error | v.isNull()
+    return _asset(x, asset=x.ccy, bal=balance(*f), usd=F.lit(0.0), error=error)
+
+
+def _zoomex_priced(x: Column) -> Column:
+    return x.usdValue.isNotNull() & ~x.usdValue.isin("", "null")
+
+
+def _value_zoomex(x: Column, px: Prices | None) -> Column:
     """usdValue when present, else equity for stables, else 0 (and listed as
     missing a price)."""
-    a, c = _zoomex_rows(payloads)
-    e = F.col("e")
-    bal = balance(num(e.walletBalance), c["available"], c["notional"], num(e.cumRealisedPnl), c["interest"])
-    return asset_rows(a, asset=e.coin, bal=bal, usd=c["notional"], keep=F.lit(True), error=c["err"])
+    priced, available = _zoomex_priced(x), num(x.equity)
+    notional = F.when(priced, num(x.usdValue)).when(x.coin.isin(ZOOMEX_STABLES), available).otherwise(F.lit(0.0))
+    interest = F.when(x.accruedInterest.isNull() | (x.accruedInterest == ""), F.lit(0.0)).otherwise(num(x.accruedInterest))
+    error = fails(x.walletBalance) | fails(x.equity) | fails(x.cumRealisedPnl) | interest.isNull() | (priced & fails(x.usdValue))
+    bal = balance(num(x.walletBalance), available, notional, num(x.cumRealisedPnl), interest)
+    return _asset(x, asset=x.coin, bal=bal, usd=notional, error=error)
+
+
+def _reported(p: Column, total: str, coins: str) -> tuple[Column, Column, Column]:
+    """data[0] holds the account's total and its coins."""
+    first = _first(p, "data[0]")
+    assets, whole = first.getField(coins), first.getField(total)
+    return assets, assets.isNull() | fails(whole), num(whole)
+
+
+def _plain(*path: str) -> Callable[[Column], tuple[Column, Column, None]]:
+    """The array of assets lies at ``path`` and must be there; an empty one is an account worth 0."""
+    return lambda p: ((assets := _first(p, *path)), assets.isNull(), None)
+
+
+SPECS = {
+    # an object without balances is an empty account there; anything but an object is broken
+    "binance": Spec(lambda p: (p.balances, ~F.ltrim(F.col("_json")).startswith("{"), None), _value_binance, lambda p: F.transform(p.balances, lambda x: F.concat(x.asset, F.lit("USDT")))),
+    "bingx": Spec(_plain("data"), _value_bingx),
+    "bitmart": Spec(_plain("data"), _value_bitmart, lambda p: F.transform(p.data, lambda x: x.currency)),
+    "bitmex": Spec(_plain(), _value_bitmex, lambda p: F.transform(p, lambda x: F.concat(F.upper(x.currency), F.lit("_USDT")))),
+    # total = the payload's; adjustment from the unified-rule transfer sum
+    "bybit": Spec(lambda p: _reported(p, "totalEquity", "coin"), _value_bybit),
+    # adjustment from the 18/6 transfer sum (A8) over a fixed 0.5-minute window
+    "okx": Spec(lambda p: _reported(p, "totalEq", "details"), _value_okx),
+    "zoomex": Spec(_plain("result", "list[0]", "coin"), _value_zoomex),
+}
+
+
+def _parsed(payloads: DataFrame, exchange: str) -> Column:
+    return F.when(F.col("exchange") == exchange, F.from_json("payload", PAYLOAD_DDL[exchange])).alias(f"_{exchange}")
+
+
+def _column(name: str) -> Callable[[Column], Column]:
+    return lambda key: F.col(name)
+
+
+def _by(spec: Spec, prices: Prices | None) -> Callable[[Column], Column]:
+    return lambda x: spec.value(x, prices)
+
+
+def valued(payloads: DataFrame, lookups: Lookups, exchanges: list[str]) -> DataFrame:
+    """X1-X7 inside the row: the columns of ``payloads`` with ``balances``,
+    ``total_usd_value`` and ``_bad``. Each payload is read and parsed once, by its
+    exchange's schema; assets are valued and folded as arrays, without a shuffle."""
+    json_ = F.when(F.col("exchange") == "binance", F.get_json_object("payload", "$")).alias("_json")
+    rows = payloads.select("*", json_, *[_parsed(payloads, ex) for ex in exchanges])
+    lookup: dict[str, Prices | None] = {}
+    for ex in exchanges:
+        prices = reference_prices(lookups, ex)
+        lookup[ex] = None if prices is None else _constant(prices)
+        if prices is not None and lookup[ex] is None:
+            rows = _joined(rows, ex, prices)
+            lookup[ex] = Prices(_column(f"_px_{ex}"))
+    assets = faults = total = reports = None
+    for ex in exchanges:
+        spec, own = SPECS[ex], F.col("exchange") == ex
+        array, fault, whole = spec.parts(F.col(f"_{ex}"))
+        array = F.transform(array, _by(spec, lookup[ex]))
+        assets = F.when(own, array) if assets is None else assets.when(own, array)
+        faults = F.when(own, fault) if faults is None else faults.when(own, fault)
+        if whole is not None:
+            total = F.when(own, whole) if total is None else total.when(own, whole)
+            reports = own if reports is None else reports | own
+    rows = rows.select(*payloads.columns, assets.alias("_assets"), faults.alias("_faults"), *([total.alias("_total")] if total is not None else []))
+    return _folded(rows, reports)
+
+
+def _folded(rows: DataFrame, reports: Column | None) -> DataFrame:
+    """A6 + F12: ``balances`` keeps the last kept entry per asset (a Python dict is
+    last-wins); ``total_usd_value`` sums every kept entry, or is the payload's own
+    total where the exchange reports one."""
+    rows = rows.withColumn("_kept", F.coalesce(F.filter("_assets", lambda x: x["keep"]), F.array().cast(rows.schema["_assets"].dataType)))
+    kept = F.col("_kept")
+    last_only = F.filter(kept, lambda x, i: ~F.exists(F.slice(kept, i + 2, F.size(kept)), lambda y: y["asset"] == x["asset"]))
+    balances = F.map_from_entries(F.transform(last_only, lambda x: F.struct(x["asset"], x["bal"])))
+    summed = F.aggregate(kept, F.lit(0.0), lambda acc, x: acc + x["usd"])
+    bad = F.coalesce(F.col("_faults"), F.lit(True)) | F.coalesce(F.exists("_assets", lambda x: x["err"]), F.lit(False))
+    total = F.when(reports, F.col("_total")).otherwise(summed) if reports is not None else summed
+    # a failed account may have entries that make no map
+    rows = rows.withColumn("_bad", bad)
+    out = rows.withColumn("balances", F.when(~F.col("_bad"), balances)).withColumn("total_usd_value", total)
+    return out.drop("_assets", "_faults", "_total", "_kept")
+
+
+def _normaliser(exchange: str):
+    def public(payloads: DataFrame, lookups: Lookups, adjustments: DataFrame | None = None) -> DataFrame:
+        rows = valued(payloads.filter(F.col("exchange") == exchange), lookups, [exchange])
+        return _with_adjustment(rows.select("portfolio", "exchange", "balances", "total_usd_value", "_bad"), adjustments)
+
+    public.__name__ = f"normalise_{exchange}"
+    public.__doc__ = SPECS[exchange].value.__doc__
+    return public
+
+
+NORMALISERS = {ex: _normaliser(ex) for ex in EXCHANGES}
+normalise_binance, normalise_bingx, normalise_bitmart, normalise_bitmex, normalise_bybit, normalise_okx, normalise_zoomex = (NORMALISERS[ex] for ex in EXCHANGES)
 
 
 def zoomex_missing_prices(payloads: DataFrame) -> DataFrame:
     """Side output of X7: (portfolio, coin, available) without a price."""
-    a, c = _zoomex_rows(payloads)
-    return a.filter(c["missing"]).select("portfolio", F.col("e").coin.alias("coin"), c["available"].alias("available"))
+    coins = _first(F.from_json("payload", PAYLOAD_DDL["zoomex"]), "result", "list[0]", "coin")
+    rows = payloads.filter(F.col("exchange") == "zoomex").select("portfolio", F.explode(coins).alias("e")).filter("e is not null")
+    e = F.col("e")
+    return rows.filter(~_zoomex_priced(e) & ~e.coin.isin(ZOOMEX_STABLES)).select("portfolio", e.coin.alias("coin"), num(e.equity).alias("available"))
 
 
 def _with_adjustment(out: DataFrame, adjustments: DataFrame | None) -> DataFrame:
     if adjustments is None:
         return out.withColumn("transfer_adjustment", F.lit(0.0))
-    keys = ["portfolio", "exchange"] if "exchange" in adjustments.columns else ["portfolio"]
+    keys = [k for k in ("portfolio", "exchange", "current_time") if k in adjustments.columns]
     adj = adjustments.select(*keys, F.col("adjustment").alias("_adj"), F.col("ok").alias("_adj_ok"))
     return (
         out.join(adj, keys, "left")
@@ -352,17 +413,6 @@ def _with_adjustment(out: DataFrame, adjustments: DataFrame | None) -> DataFrame
     )
 
 
-NORMALISERS = {
-    "binance": normalise_binance,
-    "bingx": normalise_bingx,
-    "bitmart": normalise_bitmart,
-    "bitmex": normalise_bitmex,
-    "bybit": normalise_bybit,
-    "okx": normalise_okx,
-    "zoomex": normalise_zoomex,
-}
-
-
 # --------------------------------------------------------------------------- X0 / X8
 def snapshot(
     payloads: DataFrame,
@@ -374,35 +424,49 @@ def snapshot(
     exchanges: list[str] | None = None,
     portfolios: DataFrame | None = None,
 ) -> Snapshot:
-    """Dispatch by exchange, normalise, stamp ``as_of``; unknown
-    exchanges and failed portfolios go to ``quarantine`` (X8). With a
-    ``portfolios`` frame only active accounts are valued (S1) and the low-value
-    alerts (L1) of the pass are in ``alerts``. Of several fetches of an account
-    (``fetched_at``) the newest counts."""
-    t = ts_lit(as_of)
+    """Value every payload by its exchange and stamp it; unknown exchanges
+    and failed accounts have a ``reason`` (X8). With a ``portfolios`` frame only
+    active accounts are valued (S1) and the low-value alerts (L1) of the pass are in
+    ``alerts``.
+
+    Without ``fetched_at`` all payloads are of ``as_of``. With it every poll of an
+    account is a summary of its own, at its own second (``as_of`` where NULL); of two
+    polls in one second the newer counts, of two at one instant that with the
+    greater payload hash. Of an account's polls each counts the transfers up to itself, the
+    newest also later ones, as a single run does."""
     todo = exchanges or EXCHANGES
+    active = None
     if portfolios is not None:
         active = active_portfolios(portfolios)
         payloads = payloads.join(active.select("portfolio").distinct(), "portfolio", "left_semi")
-    if "fetched_at" in payloads.columns:  # one summary per account and pass: that of its newest fetch
-        payloads = latest_per_key(payloads, ["portfolio", "exchange"], "fetched_at", [F.xxhash64("payload")])
-    rows = None
-    for ex in todo:
-        r = NORMALISERS[ex].rows(payloads, lookups)
-        rows = r if rows is None else rows.unionByName(r)
-    adj = None
-    if transfers is not None:
-        rules = {"bybit": (bybit_interval_minutes, "unified"), "okx": (OKX_TRANSFER_WINDOW_MIN, "18/6")}
-        for ex, (minutes, rule) in rules.items():
-            if ex in todo:
-                a = transfer_adjustment(transfers, as_of, minutes, rule).withColumn("exchange", F.lit(ex))
-                adj = a if adj is None else adj.unionByName(a)
-    allp = _with_adjustment(fold_rows(rows), adj)
-    allp = allp.withColumn("current_time", t).withColumn("tw_time", tw_time(t))
-    good = allp.filter(~F.col("_bad")).select(*SUMMARY_COLUMNS)
-    failed = allp.filter(F.col("_bad")).select("portfolio", "exchange", F.lit("unparsable payload").alias("reason"))
-    unknown = payloads.filter(~F.col("exchange").isin(EXCHANGES) | F.col("exchange").isNull()).select(
-        "portfolio", "exchange", F.lit("unsupported exchange").alias("reason")
-    )
-    alerts = low_value_alerts(good, active) if portfolios is not None else None
-    return Snapshot(good, failed.unionByName(unknown), zoomex_missing_prices(payloads), alerts)
+    polled = "fetched_at" in payloads.columns
+    time = ts_lit(as_of)
+    if polled:
+        payloads = payloads.withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz"))
+        time = F.coalesce(truncate_second("fetched_at"), time)
+    rows = valued(payloads, lookups, todo).withColumn("current_time", time)
+    if polled:
+        rows = latest_per_key(rows, ["portfolio", "exchange", "current_time"], "fetched_at", [F.xxhash64("payload")])
+    rows = _with_adjustment(rows.drop("payload"), None if transfers is None else _adjustments(payloads, transfers, time, as_of, bybit_interval_minutes, todo))
+    unknown = ~F.col("exchange").isin(EXCHANGES) | F.col("exchange").isNull()
+    skipped = F.col("exchange").isin([ex for ex in EXCHANGES if ex not in todo])
+    reason = F.when(unknown, F.lit("unsupported exchange")).when(F.col("_bad"), F.lit("unparsable payload"))
+    rows = rows.filter(unknown | ~skipped).withColumns({"tw_time": tw_time(F.col("current_time")), "reason": reason}).drop("_bad")
+    alerts = low_value_alerts(summaries_of(rows), active) if active is not None else None
+    return Snapshot(rows, zoomex_missing_prices(payloads), alerts)
+
+
+def _adjustments(payloads: DataFrame, transfers: DataFrame, time: Column, as_of: Any, bybit_minutes: float, todo: list[str]) -> DataFrame | None:
+    """A7 / A8 per account, and per poll where there are several."""
+    out = None
+    for ex, (minutes, rule) in {"bybit": (bybit_minutes, "unified"), "okx": (OKX_TRANSFER_WINDOW_MIN, "18/6")}.items():
+        if ex not in todo:
+            continue
+        if "fetched_at" in payloads.columns:
+            polls = payloads.filter(F.col("exchange") == ex).select("portfolio", time.alias("current_time")).distinct()
+            a = poll_adjustments(transfers, polls, minutes, rule)
+        else:
+            a = transfer_adjustment(transfers, as_of, minutes, rule, every_portfolio=False)
+        a = a.withColumn("exchange", F.lit(ex))
+        out = a if out is None else out.unionByName(a)
+    return out

@@ -460,14 +460,15 @@ def cutoff_ms(as_of: str, minutes: float) -> int:
     return _cal.timegm(t.timetuple()) * 1000 - int(round(minutes * 60_000))
 
 
-def transfer_sql(as_of: str, minutes: float, rule: str) -> str:
+def transfer_sql(as_of: str, minutes: float, rule: str, upto: str | None = None) -> str:
     ts_ = "TRY_CAST(ts_ms AS BIGINT)"
     amt = "TRY_CAST(amount AS DOUBLE)"
     if rule == "unified":
         val = f"CASE WHEN lower(to_account) = 'unified' THEN -1.0 ELSE 1.0 END * {amt}"
     else:
         val = f"CASE to_account WHEN '18' THEN -abs({amt}) WHEN '6' THEN abs({amt}) ELSE 0.0 END"
-    return f"""SELECT portfolio, COALESCE(SUM(CASE WHEN {ts_} > {cutoff_ms(as_of, minutes)} THEN {val} END), 0.0) AS adjustment,
+    end = f" AND {ts_} <= {cutoff_ms(upto, 0)}" if upto else ""
+    return f"""SELECT portfolio, COALESCE(SUM(CASE WHEN {ts_} > {cutoff_ms(as_of, minutes)}{end} THEN {val} END), 0.0) AS adjustment,
   TRUE AS ok FROM transfers GROUP BY portfolio"""
 
 
@@ -583,6 +584,21 @@ for _ex in SNAP_ROWS:
 ORACLE["snapshot_all"] = with_(*snap_parts(), roles=_SNAP_ROLES) + "\n" + rounded(
     SNAP_COLS, ("total_usd_value", "transfer_adjustment"), "all_sum"
 )
+_POLL_ADJ = [
+    (f"{ex}_adj{k}", transfer_sql(at, minutes, rule, upto))
+    for k, (at, upto) in enumerate([(PL.PAYLOAD_AS_OF, PL.PAYLOAD_AS_OF), (PL.PAYLOAD_NEXT, None)])  # the newest poll counts later records, too
+    for ex, minutes, rule in [("bybit", Q.BYBIT_INTERVAL_MIN, "unified"), ("okx", 0.5, "18/6")]
+]
+_POLLS = " UNION ALL ".join(
+    f"""SELECT portfolio, exchange, total_usd_value, {ts(at)} AS {CT}, {tw(ts(at))} AS tw_time, n_assets,
+  COALESCE(CASE exchange WHEN 'bybit' THEN (SELECT adjustment FROM bybit_adj{k} a WHERE a.portfolio = s.portfolio)
+                         WHEN 'okx' THEN (SELECT adjustment FROM okx_adj{k} a WHERE a.portfolio = s.portfolio) END, 0.0) AS transfer_adjustment
+  FROM all_sum s"""
+    for k, at in enumerate([PL.PAYLOAD_AS_OF, PL.PAYLOAD_NEXT])
+)
+ORACLE["snapshot_two_fetches"] = with_(*snap_parts(), *_POLL_ADJ, ("polls", _POLLS), roles=_SNAP_ROLES) + "\n" + rounded(
+    SNAP_COLS, ("total_usd_value", "transfer_adjustment"), "polls"
+)
 _BAL = ("total", "available", "notional", "liability", "interest")
 ORACLE["snapshot_balances"] = with_(*snap_parts(), roles=_SNAP_ROLES) + "\n" + rounded(
     ["portfolio", "asset", *_BAL], _BAL, "all_bal"
@@ -707,6 +723,7 @@ SELECT r.key, r.id, ev.h AS hash, r.emitted FROM r JOIN ev ON r.key = ev.key AND
 
 # ----------------------------------------------------------------- streams (same results as the batch queries)
 ORACLE["stream_snapshot"] = ORACLE["snapshot_all"]
+ORACLE["stream_snapshot_backlog"] = ORACLE["snapshot_two_fetches"]
 ORACLE["stream_alert"] = ORACLE["alert_cooldown"]
 ORACLE["stream_job_stats"] = ORACLE["job_stats"]
 ORACLE["stream_job_history"] = ORACLE["job_history"]

@@ -30,6 +30,7 @@ EXCHANGE = (
     + " END END"
 )
 PAYLOAD_AS_OF = "2024-01-20 00:00:00"
+PAYLOAD_NEXT = "2024-01-20 00:00:10"  # the next poll
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 
 LINE_FIELDS = {

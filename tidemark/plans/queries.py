@@ -308,9 +308,7 @@ BYBIT_INTERVAL_MIN = 0.5  # the snapshot job's interval
 
 def _snapshot(spark: SparkSession, d: str) -> SN.Snapshot:
     # the fixture payloads are derived (lineitem -> JSON); materialise them
-    # once (like the payload files they stand for) instead of rebuilding them
-    # per exchange. Real payloads are files partitioned by exchange, so each
-    # normaliser prunes to its own.
+    # once, like the payload files they stand for.
     return SN.snapshot(
         cut_lineage(P.payloads(spark, d)),
         P.lookups(spark, d),
@@ -354,6 +352,20 @@ def snapshot_quarantine(spark: SparkSession, d: str) -> DataFrame:
     return _snapshot(spark, d).quarantine
 
 
+@query
+def snapshot_two_fetches(spark: SparkSession, d: str) -> DataFrame:
+    """Every account polled twice, ten seconds apart: two summaries each."""
+    polls = [P.payloads(spark, d).withColumn("fetched_at", F.lit(t).cast("timestamp_ntz")) for t in (P.PAYLOAD_AS_OF, P.PAYLOAD_NEXT)]
+    snap = SN.snapshot(
+        cut_lineage(polls[0].unionByName(polls[1])),
+        P.lookups(spark, d),
+        P.PAYLOAD_NEXT,
+        transfers=load(spark, d, "transfers"),
+        bybit_interval_minutes=BYBIT_INTERVAL_MIN,
+    )
+    return _summary_rows(snap.summaries)
+
+
 @query
 def zoomex_missing_prices(spark: SparkSession, d: str) -> DataFrame:
     return finish(SN.zoomex_missing_prices(P.payloads(spark, d)))

@@ -25,13 +25,15 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import ts_lit
 
 from tidemark.operators import maintenance as M
-from tidemark.operators.snapshot import Lookups, Snapshot, snapshot
+from tidemark.operators.alerts import DEFAULT_COOLDOWN_SEC, low_value_alerts
+from tidemark.operators.cooldown import cooldown
+from tidemark.operators.snapshot import Lookups, Snapshot, snapshot, summaries_of
 from tidemark.plans import jobs
 from tidemark.schemas import MASTER_PERFORMANCE, PORTFOLIO_PERFORMANCE
-from tidemark.operators.rollup import latest_per_key
+from tidemark.operators.rollup import active_portfolios, latest_per_key
+from tidemark.session import cut_lineage
 from tidemark.sources.tables import (
     append_epoch,
-    append_rows,
     latest_state,
     read_table,
     read_upserted,
@@ -43,6 +45,9 @@ ACCOUNT_SUMMARY = "account_summary_1_minute"
 PORTFOLIO_PERF = "portfolio_performance"
 MASTER_PERF = "master_portfolio_performance"
 REFILL_QUARANTINE = "refill_quarantine"
+SNAPSHOT_QUARANTINE = "snapshot_quarantine"
+ALERTS = "alerts"
+ALERT_STATE = "alerts__last"
 
 
 @dataclass(frozen=True)
@@ -89,18 +94,46 @@ def run_snapshot(
     *,
     transfers: DataFrame | None = None,
     interval_minutes: float = 0.5,
+    cooldown_sec: float = DEFAULT_COOLDOWN_SEC,
+    dedupe: bool = True,
 ) -> Snapshot:
     """S6 -> X0-X8 -> K8 upsert keyed (portfolio, current_time); failed
     portfolios are appended to ``snapshot_quarantine``. Only the accounts that the
-    portfolio table has as active are valued, and the pass's low-value alerts are
-    in the result; without that table every account is."""
+    portfolio table has as active are valued, and the pass's low-value alerts (L1)
+    go through the cooldown (L2, ``run_alerts``); without that table every account
+    is valued and there are no alerts. The payloads are valued once."""
     accounts = data.read(spark, PORTFOLIO)
     snap = snapshot(payloads, lookups, as_of, transfers=transfers, bybit_interval_minutes=interval_minutes, portfolios=accounts)
+    rows = cut_lineage(snap.rows)
+    alerts = None if accounts is None else low_value_alerts(summaries_of(rows), active_portfolios(accounts))
+    snap = Snapshot(rows, snap.missing_prices, alerts)
     data.append(spark, ACCOUNT_SUMMARY, snap.summaries, "portfolio")
-    append_rows(spark, data.path("snapshot_quarantine"), snap.quarantine)
+    append_epoch(snap.quarantine, data.path(SNAPSHOT_QUARANTINE))
+    if alerts is not None:
+        run_alerts(spark, data, alerts, cooldown_sec=cooldown_sec, dedupe=dedupe)
     return snap
 
 
+def run_alerts(spark: SparkSession, data: Namespace, alerts: DataFrame, *, cooldown_sec: float = DEFAULT_COOLDOWN_SEC, dedupe: bool = True) -> DataFrame:
+    """L2 over a run's alerts (key, current_time, message, ...), going on from the
+    last emission per key that earlier runs left. The alerts are appended to
+    ``alerts`` with ``emitted``; their rows come back."""
+    alerts = cut_lineage(alerts.withColumn("id", F.xxhash64("key", "current_time", "message")).dropDuplicates(["id"]))
+    state = latest_state(spark, data.path(ALERT_STATE))
+    ev = alerts.select("key", "id", F.col("current_time").alias("ts"), "message")
+    if state is not None:
+        # what was emitted last opens its key's run again
+        ev = state.join(ev.select("key").distinct(), "key", "left_semi").select("key", F.lit(None).cast("long").alias("id"), "ts", "message").unionByName(ev)
+    decided = cooldown(ev, cooldown_sec, dedupe=dedupe).filter("id is not null").select("id", "emitted")
+    out = append_epoch(alerts.join(decided, "id"), data.path(ALERTS), by_date=True)
+    done = spark.read.parquet(out).drop("_date")
+    last = done.filter("emitted").select("key", F.col("current_time").alias("ts"), "message", "id")
+    if state is not None:
+        last = last.unionByName(state.withColumn("id", F.lit(None).cast("long")))
+    append_epoch(latest_per_key(last, "key", "ts", [F.col("id").desc_nulls_last()]).drop("id"), data.path(ALERT_STATE))
+    return done
+
+
 def load_summaries(spark: SparkSession, data: Namespace, summaries: DataFrame) -> None:
     """Bulk-load account summaries (history + latest state)."""
     tiebreak = [F.col("id").desc()] if "id" in summaries.columns else []

@@ -48,6 +48,20 @@ def stream_snapshot(spark: SparkSession, d: str) -> DataFrame:
     return Q._summary_rows(read_upserted(spark, f"{root}/summary", SJ.SUMMARY_KEYS))
 
 
+@Q.query
+def stream_snapshot_backlog(spark: SparkSession, d: str) -> DataFrame:
+    """Two polls of every account wait as files when the stream starts: one
+    micro-batch, as many summaries as polls."""
+    root = _stage(spark, "stream-backlog")
+    for at in (P.PAYLOAD_AS_OF, P.PAYLOAD_NEXT):
+        P.payloads(spark, d).withColumn("fetched_at", F.lit(at).cast("timestamp_ntz")).write.mode("append").json(f"{root}/in")
+    SJ.snapshot_stream(
+        spark, f"{root}/in", f"{root}/summary", f"{root}/quarantine", P.lookups(spark, d), f"{root}/ckpt",
+        transfers=load(spark, d, "transfers"), bybit_interval_minutes=Q.BYBIT_INTERVAL_MIN, available_now=True,
+    ).awaitTermination()
+    return Q._summary_rows(read_upserted(spark, f"{root}/summary", SJ.SUMMARY_KEYS))
+
+
 def _mart(spark: SparkSession, d: str, level: str, key: str) -> DataFrame:
     """One micro-batch per year of summaries; each batch steps the mart at its
     newest summary time."""
@@ -130,4 +144,4 @@ def stream_job_history(spark: SparkSession, d: str) -> DataFrame:
     return Q.finish(read_upserted(spark, f"{_jobs(spark, d)}/history", ["job_id", "rank"]))
 
 
-__all__ = ["stream_snapshot", "stream_mart", "stream_portfolio_mart", "stream_alert", "stream_low_value_alert", "stream_job_stats", "stream_job_history"]
+__all__ = ["stream_snapshot", "stream_snapshot_backlog", "stream_mart", "stream_portfolio_mart", "stream_alert", "stream_low_value_alert", "stream_job_stats", "stream_job_history"]

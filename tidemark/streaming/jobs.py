@@ -19,7 +19,7 @@ from tidemark.functions.scalars import message_hash, truncate_second
 from tidemark.operators.alerts import low_value_alerts
 from tidemark.operators.cooldown import milliseconds
 from tidemark.operators.rollup import active_portfolios, latest_per_key
-from tidemark.operators.snapshot import Lookups, snapshot
+from tidemark.operators.snapshot import Lookups, quarantine_of, snapshot, summaries_of
 from tidemark.operators.telemetry import HISTORY_SIZE, event_message
 from tidemark.operators.transfers import epoch_ms
 from tidemark.plans.jobs import master_mart, portfolio_mart
@@ -47,23 +47,39 @@ def snapshot_stream(
     checkpoint: str,
     *,
     transfers: DataFrame | None = None,
+    portfolios: DataFrame | None = None,
+    alert_root: str | None = None,
     bybit_interval_minutes: float = 0.5,
     available_now: bool = False,
     processing_time: str = "10 seconds",
+    max_files_per_trigger: int | None = None,
 ):
     """Payload files -> X0-X8 -> K8 upsert keyed (portfolio, current_time).
-    The run time of a batch is its newest ``fetched_at`` (to the second).
-    Each batch writes its summaries and quarantine under its own epoch; the
-    upsert view is ``read_upserted(summary_root, SUMMARY_KEYS)``."""
-    src = spark.readStream.schema(PAYLOAD_STREAM_SCHEMA).json(payload_dir)
+    Every poll of a batch is a summary at its own ``fetched_at`` (to the second),
+    so a backlog loses none. With ``portfolios`` only active accounts are valued,
+    and the low-value alerts (L1; key, id, ts, message) are written to ``alert_root``,
+    the files that ``alert_stream`` reads. A batch is valued once and feeds all
+    sinks, each under its own epoch; the upsert view is
+    ``read_upserted(summary_root, SUMMARY_KEYS)``."""
+    reader = spark.readStream.schema(PAYLOAD_STREAM_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.json(payload_dir)
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         as_of = batch.agg(F.max(truncate_second("fetched_at"))).first()[0]
         if as_of is None:
             return
-        snap = snapshot(batch, lookups, as_of, transfers=transfers, bybit_interval_minutes=bybit_interval_minutes)
-        write_epoch(snap.summaries, summary_root, epoch, by_date=True)
-        write_epoch(snap.quarantine, quarantine_root, epoch)
+        snap = snapshot(batch, lookups, as_of, transfers=transfers, bybit_interval_minutes=bybit_interval_minutes, portfolios=portfolios)
+        rows = snap.rows.persist()
+        try:
+            summaries = summaries_of(rows)
+            write_epoch(summaries, summary_root, epoch, by_date=True)
+            write_epoch(quarantine_of(rows), quarantine_root, epoch)
+            if alert_root is not None and portfolios is not None:
+                write_epoch(low_value_stream(summaries, portfolios), alert_root, epoch)
+        finally:
+            rows.unpersist()
 
     return _start(src.writeStream.foreachBatch(per_batch), checkpoint, available_now, processing_time)
 
