@@ -1,14 +1,10 @@
 """Dedup, merge, update and the versioned table sink."""
 
 import datetime as dt
-import uuid
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import maintenance as M
-from tidemark.session import checkpoint_root
-from tidemark.sources.tables import read_table, upsert
 
 T0 = dt.datetime(2025, 1, 1)
 SCHEMA = "id long, portfolio string, current_time timestamp_ntz, v double"
@@ -91,18 +87,6 @@ def test_update_where(spark):
         M.update_where(spark, df, [{"filter": {}}])
 
 
-def test_upsert_is_idempotent(spark):
-    root = f"{checkpoint_root(spark)}/table-{uuid.uuid4().hex}"
-    batch = rows(spark, [(1, "a", T0, 1.0), (2, "b", T0, 2.0)])
-    upsert(spark, root, batch, ["portfolio", "current_time"])
-    upsert(spark, root, batch, ["portfolio", "current_time"])
-    newer = rows(spark, [(9, "a", T0, 5.0)])
-    upsert(spark, root, newer, ["portfolio", "current_time"])
-    upsert(spark, root, newer, ["portfolio", "current_time"])
-    got = sorted((r.id, r.portfolio, r.v) for r in read_table(spark, root).collect())
-    assert got == [(2, "b", 2.0), (9, "a", 5.0)]
-
-
 def test_delete_ids_and_latest_time_before(spark):
     from tidemark.operators.rollup import latest_time_before
 
@@ -114,3 +98,55 @@ def test_delete_ids_and_latest_time_before(spark):
         M.delete_ids(df, ids, batch_delete_size=0)
     got = df.select(latest_time_before(df, t2).alias("t")).first().t
     assert got == t1
+
+
+def test_merge_with_null_keys(spark):
+    target = rows(spark, [(1, None, T0, 1.0), (2, "b", T0, 2.0)])
+    source = rows(spark, [(7, None, T0, 5.0), (8, None, None, 6.0)])
+    res = M.merge(target, source, ["portfolio", "current_time"])
+    assert sorted((r.id, r.v) for r in res.table.collect()) == [(2, 2.0), (7, 5.0), (8, 6.0)]
+    assert tuple(res.summary.first()) == (1, 1, 1)
+
+
+def test_updates_see_earlier_ones(spark):
+    df = rows(spark, [(1, "a", T0, 1.0), (2, "a", T0, 2.0), (3, "b", T0, 3.0)])
+    ops = [
+        {"filter": {"portfolio": "a"}, "update": {"$set": {"portfolio": "c"}}},  # row 1
+        {"filter": {"portfolio": "a"}, "update": {"$inc": {"v": 10}}},  # row 2 now
+        {"filter": {"portfolio": "c"}, "update": {"$mul": {"v": 5}}},  # row 1, a match only since the first op
+        {"filter": {"portfolio": "z"}, "update": {"$set": {"v": 1.0}}, "upsert": True},
+        {"filter": {"portfolio": "z"}, "update": {"$inc": {"v": 1.0}}, "upsert": True},  # the row just made
+        {"filter": {"portfolio": "a", "v": {"$gt": 100}}, "update": {"$set": {"v": 0.0}}},  # none
+        {"filter": {"id": 3}, "update": {"$min": {"v": 3.0}, "$max": {"v": 2.0}}},  # matched, not modified
+    ]
+    res = M.update_where(spark, df, ops)
+    assert sorted((r.portfolio, r.v) for r in res.table.collect()) == [("a", 12.0), ("b", 3.0), ("c", 5.0), ("z", 2.0)]
+    assert tuple(res.summary.first()) == (5, 4, 1)
+
+
+def test_plan_of_many_updates_stays_small(spark):
+    df = rows(spark, [(i, "p", T0, 0.0) for i in range(50)])
+    ops = [{"filter": {"id": i % 50}, "update": {"$inc": {"v": 1.0}}} for i in range(200)]
+    plans = []
+    for n in (2, 200):
+        res = M.update_where(spark, df, ops[:n])
+        plans.append(res.table._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+    assert plans[0] == plans[1]
+    assert {r.v for r in res.table.collect()} == {4.0}
+
+
+def test_array_filters(spark):
+    schema = "id long, items array<struct<name string, n long, v double>>, marks array<long>, deep struct<a long, b string>"
+    df = spark.createDataFrame([(1, [("x", 1, 1.0), ("y", 5, None)], [1, 8, 9], (1, "k")), (2, None, [], None)], schema)
+    ops = [
+        {"filter": {"id": 1}, "update": {"$inc": {"items.$[e].v": 2}, "$set": {"marks.$[m]": 0}}, "array_filters": [{"e.n": {"$gte": 5}}, {"m": {"$gt": 7}}]},
+        {"filter": {"deep.b": "k"}, "update": {"$set": {"items.$[].name": "z", "deep.a": 7}}},
+        {"filter": {"id": 2}, "update": {"$set": {"items.$[].n": 1, "deep.a": 3}}},
+    ]
+    res = M.update_where(spark, df, ops)
+    got = {r.id: r.asDict(recursive=True) for r in res.table.collect()}
+    assert got[1]["items"] == [{"name": "z", "n": 1, "v": 1.0}, {"name": "z", "n": 5, "v": 2.0}]
+    assert got[1]["marks"] == [1, 0, 0] and got[1]["deep"] == {"a": 7, "b": "k"}
+    assert got[2]["items"] is None and got[2]["deep"] == {"a": 3, "b": None}
+    with pytest.raises(ValueError):
+        M.update_where(spark, df, [{"filter": {"id": 1}, "update": {"$set": {"items.$[e].n": 1}}}])

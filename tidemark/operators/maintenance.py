@@ -1,8 +1,9 @@
 """Table maintenance: keyed dedup, append, predicate update and merge.
 
 Operators A5, A9, T3, K1-K6, K9, K10. Every operator returns the new table
-as a DataFrame plus a one-row summary; nothing is written in place
-(``tidemark.sources.tables`` writes to a fresh path and swaps).
+as a DataFrame plus a one-row summary; nothing is written here
+(``tidemark.sources.live`` writes). The flagging variants leave what a row's fate
+was in the row, so a writer counts (``observe``) in the pass that writes.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.scalars import ts_lit
+from tidemark.operators import updates
 from tidemark.operators.rollup import match_condition
 
 
@@ -34,7 +35,7 @@ def dedup_order(time_field: str, tiebreak: Sequence[tuple[str, int]], id_col: st
     order: dict[str, int] = {time_field: -1}
     for field, direction in tiebreak:
         if direction not in (1, -1):
-            raise ValueError("sort_tiebreak directions must be 1 or -1")
+            raise ValueError("a tie-break sorts by 1 (ascending) or -1 (descending)")
         order[field] = direction
     cols = [F.col(f).asc() if d == 1 else F.col(f).desc() for f, d in order.items()]
     if id_col not in order:
@@ -42,7 +43,7 @@ def dedup_order(time_field: str, tiebreak: Sequence[tuple[str, int]], id_col: st
     return cols
 
 
-def dedup(
+def dedup_flags(
     df: DataFrame,
     group_fields: Sequence[str],
     time_field: str,
@@ -52,43 +53,49 @@ def dedup(
     end: Any = None,
     extra_match: Mapping[str, Any] | Column | None = None,
     sort_tiebreak: Sequence[tuple[str, int]] = (),
-    batch_delete_size: int = 1000,
-) -> Result:
-    """Keep the first row of each group (in T3 order) among the rows in scope
-    (``extra_match`` and the inclusive time range), remove the others.
+) -> DataFrame:
+    """``df`` with ``_kept`` (first of its group among the rows in scope) and
+    ``_removed`` (any other row in scope); rows out of scope are neither.
 
     Skew: the winner per group comes from ``row_number() == 1``, which Spark
     pre-limits map-side (partial ``WindowGroupLimit``), so a group holding a
-    third of the table ships one row per task. Kept / removed rows are then
-    split by an anti join on the unique row id, which is evenly spread.
-    """
-    if batch_delete_size <= 0:
-        raise ValueError("batch_delete_size must be greater than 0")
+    third of the table ships one row per task. One join on the unique row id,
+    which is evenly spread, brings the winners back to the rows."""
     if not group_fields:
-        raise ValueError("group_fields must not be empty (the reference would keep a single row)")
+        raise ValueError("dedup without group fields would leave a single row of the table")
     cond = match_condition(extra_match, time_col=time_field, start=start, end=end)
+    in_scope = F.lit(True) if cond is None else F.coalesce(cond, F.lit(False))
     scope = df if cond is None else df.filter(cond)
     w = Window.partitionBy(*group_fields).orderBy(*dedup_order(time_field, sort_tiebreak, id_col))
-    winners = scope.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select(id_col)
-    removed = scope.join(winners, on=id_col, how="left_anti")
-    kept = df.join(removed.select(id_col), on=id_col, how="left_anti")
-    summary = (
-        winners.select(F.lit(1).alias("g"), F.lit(0).alias("n"))
-        .unionByName(scope.select(F.lit(0).alias("g"), F.lit(1).alias("n")))
-        .agg(
-            F.sum("g").cast("long").alias("matched_groups"),
-            (F.sum("n") - F.sum("g")).cast("long").alias("deleted_ids"),
-        )
-        .fillna(0)
-    )
-    return Result(kept, summary, removed)
+    winners = scope.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select(F.col(id_col).alias("_winner"))
+    flagged = df.withColumn("_in", in_scope).join(winners, F.col(id_col) == F.col("_winner"), "left")
+    won = F.col("_winner").isNotNull()
+    return flagged.withColumns({"_kept": F.col("_in") & won, "_removed": F.col("_in") & ~won}).drop("_in", "_winner")
+
+
+def dedup_counts() -> list[Column]:
+    """A9 over flagged rows."""
+    return [F.count_if("_kept").cast("long").alias("matched_groups"), F.count_if("_removed").cast("long").alias("deleted_ids")]
+
+
+def dedup(df: DataFrame, group_fields: Sequence[str], time_field: str, *, batch_delete_size: int = 1000, **scope: Any) -> Result:
+    """Keep the first row of each group (in T3 order) among the rows in scope
+    (``extra_match`` and the inclusive time range), remove the others."""
+    check_batch(batch_delete_size)
+    flagged = dedup_flags(df, group_fields, time_field, **scope)
+    flags = ("_kept", "_removed")
+    return Result(flagged.filter(~F.col("_removed")).drop(*flags), flagged.agg(*dedup_counts()), flagged.filter("_removed").drop(*flags))
+
+
+def check_batch(size: int) -> None:
+    if size <= 0:
+        raise ValueError("a delete batch holds at least one id")
 
 
 def delete_ids(df: DataFrame, ids: DataFrame, id_col: str = "id", batch_delete_size: int = 1000) -> DataFrame:
     """K9: remove the given ids in one anti join (batching has no meaning in
     a rewrite, but the size check stays)."""
-    if batch_delete_size <= 0:
-        raise ValueError("batch_delete_size must be greater than 0")
+    check_batch(batch_delete_size)
     return df.join(ids.select(id_col), on=id_col, how="left_anti")
 
 
@@ -96,46 +103,20 @@ def delete_ids(df: DataFrame, ids: DataFrame, id_col: str = "id", batch_delete_s
 def documents(spark: SparkSession, rows: Sequence[Mapping[str, Any]], schema: T.StructType) -> DataFrame:
     """Inline documents as a DataFrame with a fixed schema."""
     if not rows:
-        raise ValueError("'documents' is required for insert mode")
+        raise ValueError("no rows to insert")
     return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in rows], schema)
 
 
 def append(target: DataFrame, docs: DataFrame) -> Result:
     """K1: unordered insert; columns missing on either side become NULL."""
     if docs is None:
-        raise ValueError("'documents' is required for insert mode")
+        raise ValueError("no rows to insert")
     table = target.unionByName(docs, allowMissingColumns=True)
     summary = docs.agg(F.count(F.lit(1)).cast("long").alias("inserted"))
     return Result(table, summary)
 
 
 # --------------------------------------------------------------------------- K5
-_UPDATE_OPS = ("$set", "$inc", "$unset", "$mul", "$min", "$max")
-
-
-def _validate_update(idx: int, spec: Mapping[str, Any]) -> None:
-    if "filter" not in spec or "update" not in spec:
-        raise ValueError(f"update_ops[{idx}] must include both 'filter' and 'update' keys")
-    for op in spec["update"]:
-        if op not in _UPDATE_OPS:
-            raise ValueError(f"update_ops[{idx}]: unsupported update operator {op!r}")
-
-
-def _new_value(op: str, col: Column, v: Any) -> Column:
-    lit = ts_lit(v) if op == "$set" and hasattr(v, "isoformat") else F.lit(v)
-    if op == "$set":
-        return lit
-    if op == "$inc":
-        return F.coalesce(col, F.lit(0)) + lit
-    if op == "$mul":
-        return F.coalesce(col, F.lit(0)) * lit
-    if op == "$unset":
-        return F.lit(None)
-    if op == "$min":
-        return F.least(col, lit)
-    return F.greatest(col, lit)
-
-
 def update_where(
     spark: SparkSession,
     target: DataFrame,
@@ -147,117 +128,111 @@ def update_where(
     """K5: each op changes the *first* row matching its filter (``UpdateOne``;
     ``order``, default the row id ascending, says which is first); with
     ``upsert`` and no match a row is built from the filter's equality fields
-    and the update. Ops are applied in list order.
-
-    One aggregation finds every op's target row id at once (``min`` of a
-    struct, partial aggregation map-side); only those ids -- one per op --
-    reach the driver, then the update is a single projection.
+    and the update, and stands behind all others. Ops see what earlier ops did.
+    Updates may reach into arrays by ``array_filters`` (``tidemark.operators.updates``).
+
+    One aggregation finds every op's first row at once (``min`` of a struct,
+    partial aggregation map-side). The rows that ops change, one per op at most,
+    are folded on the driver, where the ops come from; an op whose first row was
+    changed so that it no longer matches looks for its next one. The result is the table
+    without these rows, and these rows: a plan of one size for any number of ops.
     """
-    if not update_ops:
-        raise ValueError("'update_ops' is required for update mode")
-    for i, spec in enumerate(update_ops):
-        _validate_update(i, spec)
-    order = list(order) if order else [F.col(id_col)]
-    conds = [_or_true(match_condition(spec["filter"])) for spec in update_ops]
-    firsts = target.agg(
-        *[F.min(F.when(c, F.struct(*order, F.col(id_col).alias("_id")))).alias(f"w{i}") for i, c in enumerate(conds)]
-    ).first()
-    winners = [None if firsts[f"w{i}"] is None else firsts[f"w{i}"]["_id"] for i in range(len(update_ops))]
-
-    table = target
-    for i, spec in enumerate(update_ops):
-        wid = winners[i]
-        if wid is None:
-            continue
-        hit = F.col(id_col) == F.lit(wid)
-        for op, fields in spec["update"].items():
-            for field, v in _items(op, fields):
-                if field not in table.columns:
-                    table = table.withColumn(field, F.lit(None).cast(_spark_type(v)))
-                new = _new_value(op, F.col(field), v)
-                table = table.withColumn(field, F.when(hit, new).otherwise(F.col(field)))
-
-    upserts = []
-    for i, spec in enumerate(update_ops):
-        if winners[i] is None and spec.get("upsert", False):
-            doc: dict[str, Any] = {
-                k: v for k, v in spec["filter"].items() if not (isinstance(v, Mapping) and any(str(x).startswith("$") for x in v))
-            }
-            for op, fields in spec["update"].items():
-                if op in ("$set", "$inc", "$mul", "$min", "$max"):
-                    doc.update({f: (0 if op == "$mul" else v) for f, v in fields.items()})
-            upserts.append(doc)
-    if upserts:
-        fields = [f for f in table.schema.fields if any(f.name in d for d in upserts)]
-        rows = spark.createDataFrame([tuple(d.get(f.name) for f in fields) for d in upserts], T.StructType(fields))
-        table = table.unionByName(rows, allowMissingColumns=True)
-
-    matched = sum(1 for w in winners if w is not None)
-    modified = _count_modified(target, update_ops, winners, id_col)
-    summary = spark.createDataFrame([(matched, modified, len(upserts))], "matched long, modified long, upserted long")
-    return Result(table, summary)
+    edits = update_plan(spark, target, update_ops, id_col=id_col, order=order)
+    return Result(edits.applied(target, id_col), edits.summary(spark))
 
 
-def _count_modified(target: DataFrame, update_ops: Sequence[Mapping[str, Any]], winners: list[Any], id_col: str) -> int:
-    """Number of ops whose update changed its row (one small aggregation)."""
-    flags = []
+@dataclass
+class Edits:
+    """What a list of updates comes to: the ids of changed rows, all changed and
+    new rows as they shall be, and the counts of K6."""
+
+    ids: list[Any]
+    rows: DataFrame
+    matched: int
+    modified: int
+    upserted: int
+
+    def applied(self, target: DataFrame, id_col: str) -> DataFrame:
+        kept = target
+        if self.ids:
+            id_type = target.schema[id_col].dataType
+            gone = target.sparkSession.createDataFrame([(i,) for i in self.ids], T.StructType([T.StructField("_gone", id_type)]))
+            kept = target.join(F.broadcast(gone), F.col(id_col) == F.col("_gone"), "left_anti")  # one row per op at most
+        return kept.unionByName(self.rows, allowMissingColumns=True)
+
+    def summary(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(self.matched, self.modified, self.upserted)], "matched long, modified long, upserted long")
+
+
+def update_plan(
+    spark: SparkSession, target: DataFrame, update_ops: Sequence[Mapping[str, Any]], *, id_col: str = "id", order: Sequence[Column] | None = None
+) -> Edits:
+    if not update_ops:
+        raise ValueError("no updates given")
     for i, spec in enumerate(update_ops):
-        if winners[i] is None:
+        updates.validate(i, spec)
+    place = F.struct(*(list(order) if order else [F.col(id_col)]), F.col(id_col).alias("_id"))
+    conds = [F.lit(True) if (c := match_condition(spec["filter"])) is None else c for spec in update_ops]
+    row = target.agg(*[F.min(F.when(c, place)).alias(f"w{i}") for i, c in enumerate(conds)]).first()
+    first = [None if row[f"w{i}"] is None else tuple(row[f"w{i}"]) for i in range(len(conds))]
+    docs: dict[Any, dict] = {}
+
+    def fetch(ids: set) -> None:
+        for r in target.filter(F.col(id_col).isin(list(ids))).collect() if ids else []:
+            docs[r[id_col]] = r.asDict(recursive=True)
+
+    fetch({w[-1] for w in first if w is not None})
+    changed: dict[Any, tuple] = {}  # id -> its place
+    new: list[dict] = []
+    matched = modified = 0
+    for spec, cond, own in zip(update_ops, conds, first):
+        hits = [at for i, at in changed.items() if updates.matches(docs[i], spec["filter"])]
+        if own is not None and own[-1] in changed and own not in hits:
+            r = target.filter(cond & ~F.col(id_col).isin(list(changed))).agg(F.min(place).alias("w")).first().w
+            own = None if r is None else tuple(r)
+            fetch({own[-1]} - set(docs) if own else set())
+        if own is not None:
+            hits.append(own)
+        if hits:
+            best = min(hits)
+            doc, changed[best[-1]] = docs[best[-1]], best
+        else:
+            doc = next((d for d in new if updates.matches(d, spec["filter"])), None)
+        if doc is None:
+            if spec.get("upsert", False):
+                new.append(updates.upserted(spec))
             continue
-        changed = F.lit(False)
-        for op, fields in spec["update"].items():
-            for field, v in _items(op, fields):
-                old = F.col(field) if field in target.columns else F.lit(None)
-                changed = changed | ~old.eqNullSafe(_new_value(op, old, v))
-        flags.append(F.max(F.when((F.col(id_col) == F.lit(winners[i])) & changed, 1).otherwise(0)))
-    if not flags:
-        return 0
-    row = target.agg(*[f.alias(f"m{i}") for i, f in enumerate(flags)]).first()
-    return int(sum(row))
-
-
-def _or_true(c: Column | None) -> Column:
-    return F.lit(True) if c is None else c
-
-
-def _items(op: str, fields: Any) -> list[tuple[str, Any]]:
-    """``$unset`` may be a list of names; every other operator a mapping."""
-    if op == "$unset" and not isinstance(fields, Mapping):
-        return [(f, None) for f in fields]
-    return list(fields.items())
-
-
-def _spark_type(v: Any) -> T.DataType:
-    if isinstance(v, bool):
-        return T.BooleanType()
-    if isinstance(v, int):
-        return T.LongType()
-    if isinstance(v, float):
-        return T.DoubleType()
-    return T.StringType()
+        before = updates.copied(doc)
+        updates.apply(doc, spec)
+        matched += 1
+        modified += doc != before
+    fields = list(target.schema.fields)
+    known = {f.name for f in fields}
+    for d in [*(docs[i] for i in changed), *new]:
+        for name, v in d.items():
+            if name not in known:
+                known.add(name)
+                fields.append(T.StructField(name, updates.type_of(v)))
+    schema = T.StructType(fields)
+    rows = [tuple(updates.cast(d.get(f.name), f.dataType) for f in fields) for d in [*(docs[i] for i in changed), *new]]
+    return Edits(list(changed), spark.createDataFrame(rows, schema), matched, modified, len(new))
 
 
 # --------------------------------------------------------------------------- K2-K4 / K6 / K7 / K10
 def validate_merge(source: DataFrame, key_fields: Sequence[str], strategy: str, *, check_rows: bool = True) -> None:
     """Driver-side argument checks; with ``check_rows`` one aggregation
-    counts rows with a NULL key and keys occurring twice in the source."""
+    looks for keys that occur twice in the source. A NULL in a key is a value like any other."""
     if strategy not in ("set", "replace"):
-        raise ValueError("merge_strategy must be 'set' or 'replace'")
+        raise ValueError(f"unknown way to merge: {strategy!r} (set or replace)")
     if not key_fields:
-        raise ValueError("'key_fields' must be provided for merge mode")
+        raise ValueError("a merge needs at least one key column")
     missing = [k for k in key_fields if k not in source.columns]
     if missing:
-        raise ValueError(f"documents are missing key fields required for merge: {missing}")
+        raise ValueError(f"the source has no column {', '.join(missing)} to merge by")
     if check_rows:
-        any_null = F.lit(False)
-        for k in key_fields:
-            any_null = any_null | F.col(k).isNull()
-        per_key = source.groupBy(*key_fields).agg(F.count(F.lit(1)).alias("n"), F.max(any_null.cast("int")).alias("nul"))
-        row = per_key.agg(F.sum("nul").alias("nulls"), F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("dups")).first()
-        if row["nulls"]:
-            raise ValueError(f"{row['nulls']} source rows have a NULL key field")
-        if row["dups"]:
-            raise ValueError(f"{row['dups']} keys occur more than once in the merge source")
+        twice = source.groupBy(*key_fields).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
+        if twice:
+            raise ValueError(f"{twice} keys occur more than once in the merge source")
 
 
 def merge(
@@ -280,6 +255,38 @@ def merge(
     NULL). ``upsert=False`` drops source rows without a match. Summary K6:
     matched / modified / upserted counts.
     """
+    flagged = merge_flags(target, source, key_fields, strategy=strategy, upsert=upsert, null_keeps_target=null_keeps_target, check_rows=check_rows)
+    return Result(flagged.drop(*MERGE_FLAGS), flagged.agg(*merge_counts()))
+
+
+def _comparable(c: Column, kind: T.DataType) -> Column:
+    """Maps have no equality of their own: they are compared by their sorted entries."""
+    if isinstance(kind, T.MapType) and "map<" not in kind.valueType.simpleString():
+        return F.array_sort(F.map_entries(c))
+    return F.to_json(F.struct(c)) if "map<" in kind.simpleString() else c
+
+
+MERGE_FLAGS = ("_changed", "_in_t", "_in_s")
+
+
+def merge_counts() -> list[Column]:
+    """K6 over flagged rows."""
+    matched, added = F.col("_in_t") & F.col("_in_s"), ~F.col("_in_t") & F.col("_in_s")
+    return [F.count_if(c).cast("long").alias(n) for n, c in (("matched", matched), ("modified", F.col("_changed")), ("upserted", added))]
+
+
+def merge_flags(
+    target: DataFrame,
+    source: DataFrame,
+    key_fields: Sequence[str],
+    *,
+    strategy: str = "set",
+    upsert: bool = True,
+    null_keeps_target: bool = False,
+    check_rows: bool = True,
+) -> DataFrame:
+    """The rows of ``merge`` with what became of them: ``_changed``, and whether
+    the target (``_in_t``) and the source (``_in_s``) had them."""
     validate_merge(source, key_fields, strategy, check_rows=check_rows)
     keys = list(key_fields)
     t_cols = [c for c in target.columns if c not in keys]
@@ -313,12 +320,7 @@ def merge(
             new = F.when(take, sc).otherwise(tc)
         else:
             new = tc
-        changed = changed | (in_t & in_s & ~tc.eqNullSafe(new))
+        kind = (target if c in t_cols else source).schema[c].dataType
+        changed = changed | (in_t & in_s & ~_comparable(tc, kind).eqNullSafe(_comparable(new, kind)))
         out_cols.append(new.alias(c))
-    table = j.select(*out_cols, changed.alias("_changed"), in_t.alias("_in_t"), in_s.alias("_in_s"))
-    summary = table.agg(
-        F.count_if(F.col("_in_t") & F.col("_in_s")).cast("long").alias("matched"),
-        F.count_if(F.col("_changed")).cast("long").alias("modified"),
-        F.count_if(~F.col("_in_t") & F.col("_in_s")).cast("long").alias("upserted"),
-    )
-    return Result(table.drop("_changed", "_in_t", "_in_s"), summary)
+    return j.select(*out_cols, changed.alias("_changed"), in_t.alias("_in_t"), in_s.alias("_in_s"))

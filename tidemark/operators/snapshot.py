@@ -146,6 +146,9 @@ def first_trading_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
+LISTS = {"binance": ("prices",), "bitmart": ("pairs", "tickers"), "bitmex": ("instruments",)}
+
+
 def reference_prices(lookups: Lookups, exchange: str) -> DataFrame | None:
     """(key, price) of an exchange's listed symbols; a NULL price is a symbol
     without one. None for exchanges that report values themselves.
@@ -342,6 +345,9 @@ def valued(payloads: DataFrame, lookups: Lookups, exchanges: list[str]) -> DataF
     rows = payloads.select("*", json_, *[_parsed(payloads, ex) for ex in exchanges])
     lookup: dict[str, Prices | None] = {}
     for ex in exchanges:
+        if any(getattr(lookups, name) is None for name in LISTS.get(ex, ())):
+            lookup[ex] = Prices(lambda key: F.create_map().cast("map<string, double>"))  # nothing is listed
+            continue
         prices = reference_prices(lookups, ex)
         lookup[ex] = None if prices is None else _constant(prices)
         if prices is not None and lookup[ex] is None:

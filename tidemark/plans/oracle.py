@@ -432,6 +432,31 @@ ORACLE["update_where"] = with_(
 FROM account_summary
 UNION ALL SELECT NULL, 'no-such-portfolio', 'okx', CAST(1.0 AS DOUBLE), NULL, NULL, NULL)""",
 )
+
+
+def _update_sequence() -> str:
+    """The updates of UPDATE_SEQUENCE one after the other; the row made by an upsert has no id and comes last."""
+    step = lambda k, cond, sets: (f"u{k}", f"""SELECT * REPLACE ({", ".join(f"CASE WHEN hit THEN {v} ELSE {c} END AS {c}" for c, v in sets.items())}) FROM (
+  SELECT * EXCLUDE (hit), EXISTS (SELECT 1 FROM u{k - 1} WHERE {cond})
+    AND id IS NOT DISTINCT FROM (SELECT id FROM u{k - 1} WHERE {cond} ORDER BY id NULLS LAST LIMIT 1) AS hit FROM u{k - 1})""")
+    parts = [("u0", "SELECT *, false AS hit FROM account_summary")]
+    parts.append(step(1, "portfolio = '7'", {"exchange": "'moved'"}))
+    parts.append(step(2, "portfolio = '7'", {"total_usd_value": "total_usd_value + 1000.0"}))
+    parts.append(step(3, "exchange = 'moved'", {"total_usd_value": "total_usd_value * 2"}))
+    parts.append(("u4", "SELECT * FROM u3 UNION ALL BY NAME SELECT 'new' AS portfolio, CAST(5.0 AS DOUBLE) AS total_usd_value, false AS hit"))
+    parts.append(step(5, "portfolio = 'new'", {"total_usd_value": "total_usd_value + 1.5"}))
+    parts.append(step(6, "exchange = 'okx'", {"exchange": "'bybit'"}))
+    parts.append(step(7, "exchange = 'okx'", {"exchange": "'bybit'"}))
+    return with_(*parts, roles=("account_summary",)) + "\nSELECT * EXCLUDE (hit) REPLACE (round(total_usd_value, 6) AS total_usd_value, round(transfer_adjustment, 6) AS transfer_adjustment) FROM u7"
+
+
+ORACLE["update_sequence"] = _update_sequence()
+ORACLE["update_array_filters"] = """
+WITH l AS (SELECT CAST(l_orderkey AS BIGINT) AS id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS pos,
+  l_partkey AS part, CAST(l_quantity AS DOUBLE) AS quantity, CAST(l_extendedprice AS DOUBLE) AS price FROM lineitem),
+f AS (SELECT min(id) FILTER (id >= 100) AS a, min(id) FILTER (id >= 5000) AS b FROM l)
+SELECT id, pos, part, CASE WHEN id = b THEN 1.0 ELSE quantity END AS quantity,
+  round(CASE WHEN id = a THEN CASE WHEN quantity >= 20 THEN price * 2 ELSE price + 1.5 END ELSE price END, 6) AS price FROM l, f"""
 ORACLE["update_summary"] = with_(
     ("w1", "SELECT min(id) AS id FROM account_summary WHERE portfolio = '7'"),
     ("w2", f"SELECT min(id) AS id FROM account_summary WHERE exchange = 'bybit' AND {CT} >= TIMESTAMP '1998-01-01 00:00:00'"),

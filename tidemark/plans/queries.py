@@ -290,6 +290,40 @@ def append_rows(spark: SparkSession, d: str) -> DataFrame:
     return finish(M.append(_s(spark, d), docs).table)
 
 
+UPDATE_SEQUENCE = [
+    {"filter": {"portfolio": "7"}, "update": {"$set": {"exchange": "moved"}}},
+    {"filter": {"portfolio": "7"}, "update": {"$inc": {"total_usd_value": 1000.0}}},  # the row just moved
+    {"filter": {"exchange": "moved"}, "update": {"$mul": {"total_usd_value": 2}}},  # matches since the first update
+    {"filter": {"portfolio": "new"}, "update": {"$set": {"total_usd_value": 5.0}}, "upsert": True},
+    {"filter": {"portfolio": "new"}, "update": {"$inc": {"total_usd_value": 1.5}}, "upsert": True},  # the row just made
+    {"filter": {"exchange": "okx"}, "update": {"$set": {"exchange": "bybit"}}},
+    {"filter": {"exchange": "okx"}, "update": {"$set": {"exchange": "bybit"}}},  # the next one
+]
+ARRAY_UPDATES = [
+    {"filter": {"id": {"$gte": 100}}, "update": {"$mul": {"items.$[e].price": 2}}, "array_filters": [{"e.quantity": {"$gte": 20}}]},
+    {"filter": {"id": {"$gte": 5000}}, "update": {"$set": {"items.$[].quantity": 1}}},
+    {"filter": {"id": {"$gte": 100}}, "update": {"$inc": {"items.$[e].price": 1.5}}, "array_filters": [{"e.quantity": {"$lt": 20}}]},
+]
+
+
+@query
+def update_sequence(spark: SparkSession, d: str) -> DataFrame:
+    """K5: updates that see what earlier ones did."""
+    return finish(M.update_where(spark, _s(spark, d), UPDATE_SEQUENCE).table)
+
+
+@query
+def update_array_filters(spark: SparkSession, d: str) -> DataFrame:
+    """K5 on a table with an array per row (an order's lines); one row per element comes back."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet")
+    by = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    items = F.sort_array(F.collect_list(F.struct(*by)))
+    item = lambda x: F.struct(x["l_partkey"].alias("part"), x["l_quantity"].cast("double").alias("quantity"), x["l_extendedprice"].cast("double").alias("price"))
+    orders = lines.groupBy(F.col("l_orderkey").cast("long").alias("id")).agg(F.transform(items, item).alias("items"))
+    table = M.update_where(spark, orders, ARRAY_UPDATES).table
+    return finish(table.select("id", F.posexplode("items").alias("pos", "e")).select("id", "pos", "e.*"))
+
+
 @query
 def update_where(spark: SparkSession, d: str) -> DataFrame:
     return finish(M.update_where(spark, _s(spark, d), UPDATE_OPS).table)

@@ -14,6 +14,7 @@ from tidemark.plans import payloads as P
 from tidemark.plans import queries as Q
 from tidemark.plans.fixtures import load
 from tidemark.session import checkpoint_root
+from tidemark.sources import live
 from tidemark.sources.tables import read_epochs, read_upserted
 from tidemark.streaming import jobs as SJ
 
@@ -45,7 +46,7 @@ def stream_snapshot(spark: SparkSession, d: str) -> DataFrame:
         available_now=True,
     )
     q.awaitTermination()
-    return Q._summary_rows(read_upserted(spark, f"{root}/summary", SJ.SUMMARY_KEYS))
+    return Q._summary_rows(live.read(spark, f"{root}/summary"))
 
 
 @Q.query
@@ -59,7 +60,7 @@ def stream_snapshot_backlog(spark: SparkSession, d: str) -> DataFrame:
         spark, f"{root}/in", f"{root}/summary", f"{root}/quarantine", P.lookups(spark, d), f"{root}/ckpt",
         transfers=load(spark, d, "transfers"), bybit_interval_minutes=Q.BYBIT_INTERVAL_MIN, available_now=True,
     ).awaitTermination()
-    return Q._summary_rows(read_upserted(spark, f"{root}/summary", SJ.SUMMARY_KEYS))
+    return Q._summary_rows(live.read(spark, f"{root}/summary"))
 
 
 def _mart(spark: SparkSession, d: str, level: str, key: str) -> DataFrame:

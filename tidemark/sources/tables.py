@@ -1,11 +1,8 @@
-"""Table sources and sinks on Parquet.
-
-Plain Parquet has no MERGE, so a keyed upsert never rewrites the path it
-reads: every write goes to a new version directory ``<root>/v=<n>`` and
-readers take the newest complete version (one with ``_SUCCESS``). A failed
-or killed write leaves an incomplete directory that readers skip, so jobs
-are idempotent and survive executor loss. Versions are written under the
-caller's table root -- on a cluster a shared filesystem path.
+"""Sinks of the streaming marts and alerts: one folder per micro-batch.
+
+A micro-batch writes its rows under ``<root>/epoch=<batch id>`` with overwrite, so
+a replay replaces exactly its own output. A failed write leaves a folder without
+``_SUCCESS``, which readers skip. The live tables are in ``tidemark.sources.live``.
 """
 
 from __future__ import annotations
@@ -15,82 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.operators.maintenance import merge
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            try:
-                out.append(int(name[2:]))
-            except ValueError:
-                continue
-    return sorted(out)
-
-
-def latest_path(spark: SparkSession, root: str) -> str | None:
-    v = _versions(spark, root)
-    return f"{root.rstrip('/')}/v={v[-1]:06d}" if v else None
-
-
-def read_table(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
-    """Newest complete version, or an empty frame of ``schema`` (None when
-    neither exists)."""
-    p = latest_path(spark, root)
-    if p is not None:
-        return spark.read.parquet(p)
-    if schema is not None:
-        return spark.createDataFrame([], schema)
-    return None
-
-
-def write_version(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> str:
-    spark = df.sparkSession
-    v = _versions(spark, root)
-    path = f"{root.rstrip('/')}/v={(v[-1] + 1 if v else 1):06d}"
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
-def append_rows(spark: SparkSession, root: str, rows: DataFrame) -> str:
-    """K1: new version = old rows + new rows (columns unioned by name)."""
-    old = read_table(spark, root)
-    return write_version(rows if old is None else old.unionByName(rows, allowMissingColumns=True), root)
-
-
-def upsert(
-    spark: SparkSession,
-    root: str,
-    rows: DataFrame,
-    keys: Sequence[str],
-    *,
-    null_keeps_target: bool = False,
-    partition_by: Sequence[str] = (),
-) -> str:
-    """K7 / K8: keyed ``$set`` upsert into the table at ``root``. With
-    ``null_keeps_target`` a NULL in ``rows`` keeps the stored value (the
-    marts drop NaN fields before writing). Replaying the same rows gives the
-    same table (idempotent)."""
-    old = read_table(spark, root)
-    if old is None:
-        return write_version(rows, root, partition_by)
-    new = merge(old, rows, keys, strategy="set", upsert=True, null_keeps_target=null_keeps_target, check_rows=False)
-    return write_version(new.table.select(*old.columns, *[c for c in rows.columns if c not in old.columns]), root, partition_by)
-
+from tidemark.sources.live import _fs as _file_system
 
 # --------------------------------------------------------------------------- streaming sinks
 # A micro-batch writes its rows under ``<root>/epoch=<batch id>`` with
@@ -119,7 +41,7 @@ def write_epoch(df: DataFrame, root: str, epoch: int, *, by_date: bool = False)
 
 
 def _epochs(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs(spark, root)
+    fs, p = _file_system(spark, root)
     if not fs.exists(p):
         return []
     out = []

@@ -24,6 +24,7 @@ from tidemark.operators.telemetry import HISTORY_SIZE, event_message
 from tidemark.operators.transfers import epoch_ms
 from tidemark.plans.jobs import master_mart, portfolio_mart
 from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE, PORTFOLIO_PERFORMANCE
+from tidemark.sources import live
 from tidemark.sources.tables import read_state, write_epoch
 from tidemark.streaming.stateful import ALERT_OUT, JOB_OUT, CooldownProcessor, JobProcessor, rocksdb
 
@@ -59,8 +60,8 @@ def snapshot_stream(
     so a backlog loses none. With ``portfolios`` only active accounts are valued,
     and the low-value alerts (L1; key, id, ts, message) are written to ``alert_root``,
     the files that ``alert_stream`` reads. A batch is valued once and feeds all
-    sinks, each under its own epoch; the upsert view is
-    ``read_upserted(summary_root, SUMMARY_KEYS)``."""
+    sinks: the summaries' live table by key, so a replayed batch sets the same rows,
+    and its own epoch of the others."""
     reader = spark.readStream.schema(PAYLOAD_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -74,7 +75,7 @@ def snapshot_stream(
         rows = snap.rows.persist()
         try:
             summaries = summaries_of(rows)
-            write_epoch(summaries, summary_root, epoch, by_date=True)
+            live.upsert(summaries, summary_root, SUMMARY_KEYS)
             write_epoch(quarantine_of(rows), quarantine_root, epoch)
             if alert_root is not None and portfolios is not None:
                 write_epoch(low_value_stream(summaries, portfolios), alert_root, epoch)
