@@ -104,3 +104,14 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 200 + i) for i in range(30)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(51)}, 100: 100, **{200 + i: 100 for i in range(30)}}
+
+
+def test_near_dedup_tells_texts_of_one_doc_id_apart(docs_of):
+    rnd = random.Random(12)
+    t, v, w = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(80)) for _ in range(3))
+    rows = [(3, t), (8, t), (8, v), (3, t), (3, t), (9, w), (None, t), (None, t), (1, None), (2, ""), (1, "")]
+    got = sorted(repr((r.doc_id, r.text)) for r in op.near_dedup(docs_of(rows)).select("doc_id", "text").collect())
+    kept = [(3, t), (8, v), (9, w), (None, t), (None, t)]
+    empty = [g for g in got if g in (repr((1, None)), repr((1, "")))]
+    assert len(empty) == 1 and sorted(g for g in got if g not in empty) == sorted(map(repr, kept))
+    assert op.near_dedup(docs_of(rows)).columns == docs_of(rows).columns

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, slices, text_of, utf8, without
+from tidemark.llm.common import bounded_batches, released, slices, text_of, utf8, without
 
 Q = 12
 PASSAGE = 80
@@ -235,7 +235,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, block: in
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()
         index = build([(r.item_id, r.text) for r in mine])
         if len(index.items):
-            parts.append(rows.mapInArrow(_scan(index, edits), _SCHEMA))
+            parts.append(rows.mapInArrow(released(_scan(index, edits)), _SCHEMA))
     return reduce(DataFrame.unionByName, parts) if parts else rows.limit(0).mapInArrow(_empty, _SCHEMA)
 
 

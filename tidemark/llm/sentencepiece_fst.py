@@ -17,6 +17,7 @@ word, and a task remembers the paths of the words it has met lately.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from array import array
@@ -31,12 +32,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from tidemark.llm.common import bounded_batches, slices, utf8, without
+from tidemark.llm.common import bounded_batches, released, slices, utf8, without
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE_MARK = "▁"
 #: Words whose paths a task remembers (twice as many at most), the longest such word, and remembered pairs.
-WORDS, WORD_CHARS, PAIRS = 100_000, 48, 400_000
+WORDS, WORD_CHARS, PAIRS = 150_000, 48, 400_000
 
 
 @dataclass
@@ -193,6 +194,18 @@ class Transducer:
         return out[1:].decode(errors="replace") if out[:1] == b" " else out.decode(errors="replace")
 
 
+_COMPILED: dict[bytes, Transducer] = {}
+
+
+def compiled(content: bytes) -> Transducer:
+    """The machine of a model, compiled once in a worker process; the last model's is kept."""
+    key = hashlib.sha256(content).digest()
+    if key not in _COMPILED:
+        _COMPILED.clear()
+        _COMPILED[key] = Transducer(read_model(content))
+    return _COMPILED[key]
+
+
 def model_bytes(spark: SparkSession, path: str = DEFAULT_MODEL) -> bytes:
     """A model file through Spark's readers (a bare path is a file of the driver)."""
     if "://" in path:
@@ -212,7 +225,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = DEFAULT_MODEL) -> D
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Transducer(read_model(shared.value))
+        machine = compiled(shared.value)
         for b in batches:
             texts = utf8(b.column(place))
             for lo, hi in slices(texts):
@@ -222,7 +235,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = DEFAULT_MODEL) -> D
                 pieces = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*b.slice(lo, hi - lo).columns, pieces, pa.array(same)], names=[*b.schema.names, "ids", "round_trip"])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())]))
+    return docs.mapInArrow(released(run), StructType([*docs.schema.fields, StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())]))
 
 
 def decode(spark: SparkSession, ids: str | Column = "ids", model: str = DEFAULT_MODEL) -> Column:
@@ -231,7 +244,7 @@ def decode(spark: SparkSession, ids: str | Column = "ids", model: str = DEFAULT_
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = Transducer(read_model(shared.value))
+        machine = compiled(shared.value)
         for rows in batches:
             yield pd.Series(["" if x is None else machine.decode(x.tolist()) for x in rows], dtype=object)
 

@@ -18,10 +18,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, utf8, without, written
+from tidemark.llm.common import bounded_batches, released, text_of, utf8, without, written
 from tidemark.llm.components import components
 
 SEED = 42
@@ -50,16 +50,18 @@ def text_fingerprint(text: bytes, shingle_words: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, shingle_words: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): one row per row of ``docs``; fp is the fingerprint as a signed
+    long. The columns of longs that ``carry`` names stay with their rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([text_fingerprint(t, shingle_words) for t in utf8(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *carry])
 
     bounded_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    return rows.mapInArrow(released(run), ", ".join(f"{c} long" for c in ("doc_id", "fp", *carry)))
 
 
 def _bit_groups(sample: np.ndarray, parts: int) -> list[list[int]]:
@@ -227,7 +229,7 @@ def links(distinct: DataFrame, max_bits: int = 3, parts: int = 3) -> DataFrame:
     total = distinct.count()
     sample = [r.fp for r in distinct.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()]
     sample = np.array(sample, np.int64).view(np.uint64)
-    rows = distinct.select("fp").mapInArrow(_signatures(_bit_groups(sample, parts), sample, total, max_bits), "bucket long, fp long, index boolean, probe boolean")
+    rows = distinct.select("fp").mapInArrow(released(_signatures(_bit_groups(sample, parts), sample, total, max_bits)), "bucket long, fp long, index boolean, probe boolean")
     rows = written(rows, "signatures")
     # buckets too large for one task become a grid of cells: a row of the index meets every block of probes
     hot = rows.groupBy("bucket").agg(F.sum(F.col("index").cast("long")).alias("ni"), F.sum(F.col("probe").cast("long")).alias("np"))
@@ -240,11 +242,11 @@ def links(distinct: DataFrame, max_bits: int = 3, parts: int = 3) -> DataFrame:
     as_probe = grid.filter("probe").select("bucket", F.explode(F.sequence(F.lit(0), F.col("gi") - 1)).alias("ci"), (mine % F.col("gp")).cast("int").alias("cp"), "fp", F.lit(False).alias("index"), F.lit(True).alias("probe"))
     cells = plain.unionByName(as_index).unionByName(as_probe)
     key = ["bucket", "ci", "cp"]
-    return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(_verify(max_bits), "u long, v long")
+    return cells.repartition(*key).sortWithinPartitions(*key).mapInArrow(released(_verify(max_bits)), "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, parts: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs`` (doc_id, text).
+def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, parts: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, component_id, and ``carry``) for every row of ``docs`` (doc_id, text).
 
     Texts are lower-cased (A-Z) and cut at ASCII white space into shingles of
     ``shingle_words`` words. Null, empty or blank text: fingerprint 0, linked like
@@ -254,7 +256,7 @@ def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, p
     doc_id link their fingerprints' groups only by the fingerprints themselves.
     Empty table: empty result.
     """
-    hashes = written(fingerprints(docs, shingle_words), "fingerprints")
+    hashes = written(fingerprints(docs, shingle_words, carry), "fingerprints")
     distinct = written(hashes.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "distinct")
     roots = components(links(distinct, max_bits, parts))
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -267,7 +269,26 @@ def simhash_groups(docs: DataFrame, shingle_words: int = 3, max_bits: int = 3, p
 
 def near_dedup(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the document with the
-    smallest doc_id. Rows without a doc_id stay."""
-    docs = without(docs, "_keep_id")
-    gone = simhash_groups(docs, **how).filter("component_id != doc_id").select(F.col("doc_id").alias("_keep_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_keep_id"), "left_anti")
+    smallest doc_id (of several texts under that doc_id the one with the least
+    hash). Rows that share a doc_id are told apart by their texts: each text belongs
+    to its own group. Of repeated rows (doc_id and text) one stays, that with the least
+    hash of its other columns. A null text reads as the empty one, and all empty
+    texts are one group. Rows without a doc_id stay.
+    """
+    names = docs.columns
+    docs = without(docs, "_h1", "_h2", "_id", "_act")
+    text = text_of("text")
+    docs = docs.withColumns({"_h1": F.xxhash64(text), "_h2": F.xxhash64(text, F.lit(2))})
+    key = ["doc_id", "_h1", "_h2"]
+    groups = simhash_groups(docs, carry=("_h1", "_h2"), **how).filter("doc_id is not null").groupBy(*key).agg(F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    groups = written(groups, "groups")
+    best = groups.groupBy("component_id").agg(F.min(F.struct(*key)).alias("best"), F.count("*").alias("texts"))
+    # only texts that go, or that stand in several rows, need a look
+    marked = groups.join(best.filter("texts > 1"), "component_id", "left")
+    stays = F.col("best").isNull() | (F.struct(*key) == F.col("best"))
+    acts = marked.select(F.col("doc_id").alias("_id"), F.col("_h1").alias("_a"), F.col("_h2").alias("_b"), F.when(~stays, "drop").when(F.col("n") > 1, "thin").alias("_act"))
+    rows = docs.join(acts.filter("_act is not null"), (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_h1") == F.col("_a")) & (F.col("_h2") == F.col("_b")), "left")
+    plain = [f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    first = Window.partitionBy("_id", "_h1", "_h2").orderBy(F.xxhash64(*plain))
+    thin = rows.filter("_act = 'thin'").withColumn("_act", F.row_number().over(first).cast("string")).filter("_act = '1'")
+    return rows.filter("_act is null").unionByName(thin).select(*[n for n in names if n in docs.columns])

@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, mix64, shuffle_partitions, slices, text_of, utf8, without, written
+from tidemark.llm.common import bounded_batches, mix64, released, shuffle_partitions, slices, text_of, utf8, without, written
 from tidemark.llm.suffix_array import permuted_prefixes, suffix_array
 
 MATCH = 50
 #: Bytes of text whose segments are packed together.
-PACK = 12 << 20
+PACK = 8 << 20
 #: Bytes of segments in one suffix array.
 SHARD = 1 << 20
 #: Documents sampled for frequent anchors, and the share of them that makes an anchor frequent.
@@ -313,10 +313,10 @@ def repeated_spans(docs: DataFrame, match: int = MATCH) -> DataFrame:
     frequent = np.array(sorted(r.anchor for r in often.collect()), np.uint64)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(shuffle_partitions(spark), math.ceil(size / (8 << 20)))
-    packed = rows.mapInArrow(_pack(match, shards, frequent), _PACKED)
+    packed = rows.mapInArrow(released(_pack(match, shards, frequent)), _PACKED)
     key = F.when(F.col("shard") < 0, F.pmod(F.xxhash64("start"), F.lit(shards))).otherwise(F.col("shard"))
     packed = packed.repartition(shards, key).sortWithinPartitions("shard")
-    first = written(packed.mapInArrow(_compare, _SETTLED), "segments")
+    first = written(packed.mapInArrow(released(_compare), _SETTLED), "segments")
     variants = first.filter(F.col("kind") == VARIANT)
     total = variants.agg(F.sum("length")).first()[0] or 0
     n = max(1, math.ceil(total / SHARD))
@@ -324,7 +324,7 @@ def repeated_spans(docs: DataFrame, match: int = MATCH) -> DataFrame:
     fetched = rows.join(wanted, (F.col("doc") == F.col("_doc")) & (F.col("tag") == F.col("_tag"))).select("doc", "tag", "text", "wanted")
     fetched = fetched.mapInArrow(_fetch, "anchor long, doc long, tag long, start int, bytes binary")
     dealt = fetched.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(n)).cast("int")).repartition(n, "shard").sortWithinPartitions("shard")
-    second = dealt.select("shard", "doc", "tag", "start", "bytes").mapInArrow(_sorted_shards(match), _SETTLED)
+    second = dealt.select("shard", "doc", "tag", "start", "bytes").mapInArrow(released(_sorted_shards(match)), _SETTLED)
     return first.filter(F.col("kind") == GONE).unionByName(second).select("doc", "tag", "start", "length")
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_of, written
+from tidemark.llm.common import released, text_of, written
 
 # Characters read as the ASCII letter they look like or replace.
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "l"}
@@ -132,13 +132,13 @@ def fit(labelled: DataFrame, most_terms: int = 1000, least_docs: int = 5) -> Mod
         return counts.withColumns({"p": (F.col("toxic") + 0.5) / (n1 + 1), "q": (F.col("clean") + 0.5) / (n0 + 1)})
 
     both = (F.col("toxic") + F.col("clean") + 1) / (n1 + n0 + 2)
-    words = shares(rows.mapInArrow(_count_words(None), "label int, term string, n long"))
+    words = shares(rows.mapInArrow(released(_count_words(None)), "label int, term string, n long"))
     words = words.withColumns({"z": (F.col("p") - F.col("q")) / F.sqrt(both * (1 - both) * (1.0 / n1 + 1.0 / n0)), "weight": F.log(F.col("p") / F.col("q"))})
     near = words.filter((F.col("toxic") >= least_docs) & (F.col("z") > 6) & (F.col("p") >= 3 * F.col("q"))).orderBy(F.desc("z"), "term").limit(most_terms).collect()
     weights = {r.term: float(r.weight) for r in near}
     pure = {r.term for r in near if r.toxic >= max(8, 0.02 * n1) and r.clean * n1 <= 0.01 * r.toxic * n0}
     model = Model(weights={w: weights[w] for w in sorted(pure.union(_picked(rows, list(weights))))})
-    phrases = shares(rows.mapInArrow(_count_words(frozenset(model.weights)), "label int, term string, n long"))
+    phrases = shares(rows.mapInArrow(released(_count_words(frozenset(model.weights))), "label int, term string, n long"))
     usual = phrases.filter((F.col("clean") >= 2) & (F.col("q") >= 3 * F.col("p")))
     model.exceptions = {r.term for r in usual.orderBy(F.desc("clean"), "term").limit(5000).collect()}
     x = rows.select("label", lexicon_features(model)("text").alias("x")).select("label", "x.*").toPandas()
