@@ -89,6 +89,40 @@ def test_closed_form_equals_stepping(spark, case, chunk, policy):
             assert math.isclose(getattr(g, f_got), w[f_want], rel_tol=1e-9, abs_tol=1e-9), (k, f_got)
 
 
+@pytest.mark.parametrize("policy", ["reset", "carry"])
+def test_positive_series_take_one_pass(spark, policy, monkeypatch):
+    """Without negative totals the drawdown comes from the pieces' summaries; with gaps inside
+    chunks, across chunks and at their borders."""
+    from tidemark.operators import performance
+
+    cuts = []
+    plain = performance.cut_lineage
+    monkeypatch.setattr(performance, "cut_lineage", lambda df: cuts.append(1) or plain(df))
+    rnd = random.Random(8)
+    rows = []
+    for step in range(60):
+        t = T0 + dt.timedelta(minutes=step)
+        rows += [dict(k=k, t=t, total=rnd.uniform(20, 300), adj=rnd.choice([0.0, rnd.uniform(-9, 9)])) for k in ("a", "b", "c", "hot") if k == "hot" or rnd.random() < 0.6]
+    series, seed = to_frames(spark, rows, [dict(k="hot", total=90.0, nav=105.0, hh=130.0, crr=0.1, mdd=-0.1), dict(k="a", total=50.0, nav=99.0, hh=101.0, crr=0.0, mdd=0.0)])
+    seeds = [r.asDict() for r in seed.collect()]
+    seeds = [dict(k=s["portfolio"], total=s["total_usd_value"], nav=s["nav"], hh=s["history_high"], crr=s["crr"], mdd=s["mdd"]) for s in seeds]
+    got = {(r.portfolio, r.current_time): r for r in refill_performance(series, "portfolio", seed, gap_policy=policy, chunk_batches=7).collect()}
+    assert len(cuts) == 3  # the series, its rows with the pieces, the piece table
+    for k, w in stepping(rows, seeds, carry=policy == "carry").items():
+        for f_got, f_want in (("nav", "nav"), ("history_high", "hh"), ("cd", "cd"), ("mdd", "mdd")):
+            assert math.isclose(getattr(got[k], f_got), w[f_want], rel_tol=1e-9, abs_tol=1e-9), (k, f_got)
+
+
+def test_a_key_with_many_gaps_brings_two_rows_a_chunk_to_the_scan(spark):
+    """Every second batch is a gap of the key: its pieces stay in their chunks."""
+    n = 4000
+    rows = [("hot", T0 + dt.timedelta(minutes=2 * i), "t", 100.0 + i % 7, 0.0) for i in range(n)]
+    rows += [("all", T0 + dt.timedelta(minutes=i), "t", 50.0, 0.0) for i in range(2 * n)]
+    df = spark.createDataFrame(rows, "portfolio string, current_time timestamp_ntz, tw_time string, total_usd_value double, transfer_adjustment double")
+    out = refill_performance(df, "portfolio", None, chunk_batches=500)
+    assert out.filter("portfolio = 'hot' and nav = 100 and mdd = 0").count() == n and out.filter("portfolio = 'all' and nav = 100").count() == 2 * n
+
+
 def test_gap_resets_state(spark):
     rows = [dict(k="a", t=T0, total=100.0, adj=0.0), dict(k="b", t=T0 + dt.timedelta(minutes=1), total=1.0, adj=0.0),
             dict(k="a", t=T0 + dt.timedelta(minutes=2), total=50.0, adj=0.0)]

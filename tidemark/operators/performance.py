@@ -189,14 +189,15 @@ def refill_performance(
 
     Skew: a key has at most one row per batch, so slicing its history into
     chunks of ``chunk_batches`` consecutive batches bounds every group. Rows
-    are shuffled once, by (key, chunk); segments, running products, maxima
-    and minima are computed inside each chunk, and only small per-piece
-    summaries (one row per (key, chunk, segment)) carry the prefix state
-    across chunk boundaries before being joined back on that key.
+    are shuffled once, by (key, chunk); segments, running products, maxima,
+    minima and falls are computed inside each chunk. A piece (a segment's part in
+    a chunk) acts on a state by (product, maximum, minimum, deepest fall), which
+    compose; only the first and last piece of a chunk meet others, so the scan
+    across chunks has two rows per (key, chunk), not one per gap.
     A key holding a third of all rows is spread over all executors.
 
-    The series is materialised once; two rows of a key at one time have no
-    defined order and raise ``ValueError``.
+    The series is materialised once, its rows with the pieces once; two rows of a
+    key at one time have no defined order and raise ``ValueError``.
     """
     if gap_policy not in ("reset", "carry"):
         raise ValueError("gap_policy must be 'reset' or 'carry'")
@@ -238,21 +239,33 @@ def refill_performance(
         rows.withColumn("_net", F.col("total_usd_value") + F.col("transfer_adjustment"))
         .withColumn("_rl", F.when(prev_local.isNotNull(), safe_div(F.col("_net") - prev_local, prev_local, otherwise=0.0)))
         .withColumn("_gp", F.product(F.lit(1.0) + F.coalesce(F.col("_rl"), F.lit(0.0))).over(run_piece))
+        .withColumn("_fall", F.col("_gp") / F.max("_gp").over(run_piece))  # G starts at 1: its maximum is positive
     )
     rows = cut_lineage(rows)
     if not rows.filter("_twice").isEmpty():
         raise ValueError(f"the series holds several rows of one {key} at one time; deduplicate it first")
 
-    # ---- piece table (small): link pieces into segments, prefix state ----
+    # ---- piece table: what a piece does to any state that comes in ---------
+    # G = running product inside the piece: its end, maximum, minimum, and the
+    # deepest fall from its own running maximum
     pieces = rows.groupBy(key, "cb", "ls").agg(
         F.min_by("_net", "current_time").alias("_net1"),
         F.max_by("total_usd_value", "current_time").alias("_tlast"),
         F.max_by("_gp", "current_time").alias("_pp"),
         F.max("_gp").alias("_gmax"),
         F.min("_gp").alias("_gmin"),
+        F.min("_fall").alias("_fall"),
         F.min("batch").alias("_fb"),
         F.max("batch").alias("_lb"),
     )
+    # Only a chunk's first and last piece can go on in another chunk; all between
+    # them begin and end at gaps. So a key brings two rows per chunk to the scan
+    # over chunks, however many gaps it has.
+    in_chunk = Window.partitionBy(key, "cb")
+    pieces = pieces.withColumn("_outer", (F.col("ls") == F.min("ls").over(in_chunk)) | (F.col("ls") == F.max("ls").over(in_chunk)))
+    no_seed = {c: F.lit(None).cast("double") for c in ("s_hh", "s_nav", "s_total", "s_crr", "s_mdd")}
+    inner = pieces.filter(~F.col("_outer")).withColumns({"seg": F.lit(-1).cast("long"), "_seedrow": F.lit(False), **no_seed})
+    pieces = pieces.filter("_outer")
     w_key = Window.partitionBy(key).orderBy("cb", "ls")
     prev_lb = F.lag("_lb").over(w_key)
     new_seg = prev_lb.isNull() | ((F.col("_fb") - prev_lb != 1) if gap_policy == "reset" else F.lit(False))
@@ -275,31 +288,44 @@ def refill_performance(
             how="left",
         )
     else:
-        for c in ("s_hh", "s_nav", "s_total", "s_crr", "s_mdd"):
-            pieces = pieces.withColumn(c, F.lit(None).cast("double"))
+        pieces = pieces.withColumns(no_seed)
 
     def seed_or(c: str, default: float) -> Column:
         return F.coalesce(F.when(F.col("_seedrow"), F.col(c)), F.lit(default))
 
-    prev1 = F.coalesce(F.lag("_tlast").over(w_seg), F.when(F.col("_seedrow"), F.col("s_total")), F.col("_net1"))
-    pieces = (
-        pieces.withColumn("_nav0", seed_or("s_nav", d.nav))
-        .withColumn("_hh0", seed_or("s_hh", d.history_high))
-        .withColumn("_crr0", seed_or("s_crr", d.crr))
-        .withColumn("_mdd0", seed_or("s_mdd", d.mdd))
-        .withColumn("_r1", safe_div(F.col("_net1") - prev1, prev1, otherwise=0.0))
-        .withColumn("_f1", F.lit(1.0) + F.col("_r1"))
-        .withColumn("_gin", F.coalesce(F.product(F.col("_f1") * F.col("_pp")).over(before), F.lit(1.0)))
-    )
-    scale = F.col("_nav0") * F.col("_gin") * F.col("_f1")
-    pieces = pieces.withColumn(
-        "_navmax", F.when(scale >= 0, scale * F.col("_gmax")).otherwise(scale * F.col("_gmin"))
-    ).withColumn("_hhin", F.greatest(F.col("_hh0"), F.max("_navmax").over(before)))
+    def with_state(p: DataFrame, last_total: Column, product: Column, high: Column) -> DataFrame:
+        """The state that comes into each piece, from that of the pieces before."""
+        prev1 = F.coalesce(last_total, F.when(F.col("_seedrow"), F.col("s_total")), F.col("_net1"))
+        p = (
+            p.withColumn("_nav0", seed_or("s_nav", d.nav))
+            .withColumn("_hh0", seed_or("s_hh", d.history_high))
+            .withColumn("_crr0", seed_or("s_crr", d.crr))
+            .withColumn("_mdd0", seed_or("s_mdd", d.mdd))
+            .withColumn("_r1", safe_div(F.col("_net1") - prev1, prev1, otherwise=0.0))
+            .withColumn("_f1", F.lit(1.0) + F.col("_r1"))
+            .withColumn("_gin", F.coalesce(product, F.lit(1.0)))
+        )
+        p = p.withColumn("_scale", F.col("_nav0") * F.col("_gin") * F.col("_f1"))
+        p = p.withColumn("_navmax", F.when(F.col("_scale") >= 0, F.col("_scale") * F.col("_gmax")).otherwise(F.col("_scale") * F.col("_gmin")))
+        return p.withColumn("_hhin", F.greatest(F.col("_hh0"), high))
+
+    none = F.lit(None).cast("double")
+    pieces = with_state(pieces, F.lag("_tlast").over(w_seg), F.product(F.col("_f1") * F.col("_pp")).over(before), F.max("_navmax").over(before))
+    inner = with_state(inner, none, none, none)
+    # Where no product is negative, cd = min(nav / incoming high, nav / own running
+    # high) - 1, so a piece's deepest cd follows from its summary. A negative
+    # one (debts outweigh the account) needs the rows.
+    lowest = F.least(F.when(F.col("_hhin") > 0, F.col("_scale") * F.col("_gmin") / F.col("_hhin")), F.col("_fall")) - F.lit(1.0)
+    pieces = pieces.withColumn("_pmin", lowest)
+    pieces = pieces.withColumn("_mddin", F.least(F.col("_mdd0"), F.min("_pmin").over(before)))
+    inner = inner.withColumn("_pmin", lowest).withColumn("_mddin", F.col("_mdd0"))
     piece = [key, "cb", "ls"]
-    state1 = pieces.select(*piece, "seg", "_nav0", "_crr0", "_mdd0", "_r1", "_f1", "_gin", "_hhin")
+    pieces = pieces.unionByName(inner)
+    pieces = cut_lineage(pieces.select(*piece, "seg", "_nav0", "_crr0", "_mdd0", "_r1", "_f1", "_gin", "_hhin", "_mddin", (~((F.col("_scale") > 0) & (F.col("_gmin") >= 0) & (F.col("_hhin") >= 0))).alias("_odd")))
+    odd = not pieces.filter(F.coalesce("_odd", F.lit(True))).isEmpty()
 
-    # ---- pass 2: nav, crr, hh, cd per row ---------------------------------
-    rows = rows.join(state1, on=piece)
+    # ---- nav, crr, hh, cd per row ------------------------------------------
+    rows = rows.join(pieces.drop("_odd"), on=piece)
     g = F.col("_gin") * F.col("_f1") * F.col("_gp")
     rows = (
         rows.withColumn("current_return", F.coalesce(F.col("_rl"), F.col("_r1")))
@@ -311,13 +337,14 @@ def refill_performance(
             F.when(F.col("history_high") != 0, F.col("nav") / F.col("history_high") - F.lit(1.0)).otherwise(0.0),
         )
         .withColumn("_cdmin", F.min("cd").over(run_piece))
-        .select(*[c for c in output_columns(key) if c != "mdd"], "cb", "ls", "seg", "_mdd0", "_cdmin")
+        .select(*[c for c in output_columns(key) if c != "mdd"], "cb", "ls", "seg", "_mdd0", "_mddin", "_cdmin")
     )
-    rows = cut_lineage(rows)
-
-    # ---- drawdown: prefix minimum of cd across a segment's pieces ---------
-    mins = rows.groupBy(key, "cb", "ls", "seg").agg(F.min("cd").alias("_pmin"), F.first("_mdd0").alias("_mdd0p"))
-    mins = mins.withColumn("_mddin", F.least(F.col("_mdd0p"), F.min("_pmin").over(before)))
-    rows = rows.join(mins.select(*piece, "_mddin"), on=piece)
+    if odd:
+        # drawdown from the rows: prefix minimum of cd across a segment's pieces
+        rows = cut_lineage(rows.drop("_mddin"))
+        mins = rows.groupBy(key, "cb", "ls", "seg").agg(F.min("cd").alias("_pmin"), F.first("_mdd0").alias("_mdd0p"))
+        outer = mins.filter("seg >= 0").withColumn("_mddin", F.least(F.col("_mdd0p"), F.min("_pmin").over(before)))
+        mins = outer.unionByName(mins.filter("seg < 0").withColumn("_mddin", F.col("_mdd0p")))
+        rows = rows.join(mins.select(*piece, "_mddin"), on=piece)
     out = rows.withColumn("mdd", F.least(F.col("_mddin"), F.col("_cdmin"))).select(*output_columns(key))
     return out.unionByName(null_rows)

@@ -214,19 +214,11 @@ def composite_live(joined: DataFrame, masters: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- A3 / J4 / A11 / U2
 def composite_refill(base: DataFrame) -> DataFrame:
-    """A3: member rows are copied under each composite they belong to (both
-    ids relabelled), unioned with the base rows and summed per
-    (master, time). A composite named like a master merges with it; NULL
-    masters stay a group."""
-    pairs = base.filter(present("composite")).select(F.col("composite").alias("new_master"), "portfolio").distinct()
-    mapped = (
-        base.join(pairs, on="portfolio", how="inner")
-        .withColumn("master_portfolio", F.col("new_master"))
-        .withColumn("portfolio", F.col("new_master"))
-        .drop("new_master")
-        .select(*base.columns)
-    )
-    aug = base.unionByName(mapped)
+    """A3: a row counts for its master and for each composite its portfolio
+    belongs to (``targets`` of ``refill_base``), summed per (master, time). A
+    composite named like a master merges with it; NULL masters stay a group. The
+    rows are read once and multiplied by their targets, not joined to a map of themselves."""
+    aug = base.withColumn("master_portfolio", F.explode(F.concat(F.array("master_portfolio"), "targets")))
     for c in AMOUNTS:
         aug = aug.withColumn(c, round_half_even(c, 10))
     summed = aug.groupBy("master_portfolio", "current_time", "tw_time").agg(*[_sum0(c) for c in AMOUNTS])
@@ -234,9 +226,14 @@ def composite_refill(base: DataFrame) -> DataFrame:
 
 
 def refill_base(portfolios: DataFrame, summaries: DataFrame) -> DataFrame:
-    """J1 for the refill: *all* portfolios (S3, inactive included)."""
-    return portfolios.join(summaries, on="portfolio", how="inner").select(
-        "portfolio", "master_portfolio", "composite", "current_time", "tw_time", *AMOUNTS
+    """J1 for the refill: *all* portfolios (S3, inactive included), with the
+    composites of each as ``targets`` (J4, A11)."""
+    member = F.when(present("composite"), F.col("composite"))
+    accounts = portfolios.select(
+        "portfolio", "master_portfolio", "composite", F.collect_set(member).over(Window.partitionBy("portfolio")).alias("targets")
+    )
+    return accounts.join(summaries, on="portfolio", how="inner").select(
+        "portfolio", "master_portfolio", "composite", "targets", "current_time", "tw_time", *AMOUNTS
     )
 
 

@@ -122,7 +122,7 @@ def refill_parts(
     enter the refill; the sums of the master level count a NULL as 0."""
     key = "master_portfolio" if level == "master" else "portfolio"
     series, _ = split_null_amounts(refill_series(portfolios, summaries, level, start, end))
-    quarantine = split_null_amounts(refill_base(portfolios, time_range(summaries, "current_time", start, end)))[1]
+    quarantine = split_null_amounts(refill_base(portfolios, time_range(summaries, "current_time", start, end)))[1].drop("targets")
     seed = prior_snapshot(performance, start, key) if (performance is not None and start is not None) else None
     kw = {} if chunk_batches is None else {"chunk_batches": chunk_batches}
     return refill_performance(series, key, seed, gap_policy=gap_policy, bucket=bucket, **kw), quarantine
