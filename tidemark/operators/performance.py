@@ -153,7 +153,7 @@ def batch_index(rows: DataFrame, time_col: str = "current_time", bucket: str = "
     local = F.row_number().over(Window.partitionBy("bucket").orderBy("t"))
     return (
         times.withColumn("local", local)
-        .join(F.broadcast(offsets), on="bucket")  # one row per day bucket: bounded by the range's span
+        .join(offsets, on="bucket")
         .select(F.col("t").alias(time_col), (F.col("offset") + F.col("local")).cast("long").alias("batch"))
     )
 

@@ -11,6 +11,8 @@ rows. Checkpoints live under the cluster's ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,7 @@ from tidemark.operators.telemetry import HISTORY_SIZE, event_message
 from tidemark.operators.transfers import epoch_ms
 from tidemark.plans.jobs import master_mart, portfolio_mart
 from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE, PORTFOLIO_PERFORMANCE
+from tidemark.session import cut_lineage
 from tidemark.sources import live
 from tidemark.sources.tables import read_state, write_epoch
 from tidemark.streaming.stateful import ALERT_OUT, JOB_OUT, CooldownProcessor, JobProcessor, rocksdb
@@ -105,9 +108,10 @@ def mart_stream(
     newest epoch); the latest summary per portfolio and the latest mart row
     per master are kept as small per-epoch state snapshots, so a batch reads
     O(#portfolios) rows, never the history. The mart of ``level`` (master or
-    portfolio) then steps once at the batch's newest ``current_time`` (W1), or at
-    the mart's own newest time if the batch is older, so a late batch chains on;
-    its rows are written under the epoch (K7: a replay rewrites the same rows)."""
+    portfolio) then steps once at the batch's newest ``current_time`` (W1). A late
+    batch that changes no account's latest summary leaves the mart as it is; one that
+    does is a run of its own, a second after the last, so no row is stepped from
+    itself or written over. The rows are written under the epoch (K7: a replay rewrites the same rows)."""
     state_root = state_root or f"{mart_root.rstrip('/')}_state"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -139,13 +143,18 @@ def mart_batch(
     tiebreak = [F.col("id").desc()] if "id" in batch.columns else []
     write_epoch(batch, summary_root, epoch, by_date=True)
     prev_latest = read_state(spark, f"{state_root}/latest_summary", epoch, batch.schema)
-    latest = latest_per_key(prev_latest.unionByName(batch), "portfolio", "current_time", tiebreak)
-    latest_path = write_epoch(latest, f"{state_root}/latest_summary", epoch)
+    both = prev_latest.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
+    latest = cut_lineage(latest_per_key(both, "portfolio", "current_time", [*tiebreak, F.col("_new")]))
+    latest_path = write_epoch(latest.drop("_new"), f"{state_root}/latest_summary", epoch)
     key, schema, mart = ("master_portfolio", MASTER_PERFORMANCE, master_mart) if level == "master" else ("portfolio", PORTFOLIO_PERFORMANCE, portfolio_mart)
     prev_mart = read_state(spark, f"{state_root}/latest_mart", epoch, schema)
     last = prev_mart.agg(F.max("current_time")).first()[0]
-    as_of = max(as_of, last) if last is not None else as_of
-    step = mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of, inclusive=True)
+    if last is not None and as_of <= last:
+        if latest.filter("_new = 1").isEmpty():
+            write_epoch(prev_mart, f"{state_root}/latest_mart", epoch)
+            return
+        as_of = last + timedelta(seconds=1)
+    step = mart(portfolios, spark.read.parquet(latest_path), prev_mart, as_of)
     step_path = write_epoch(step, mart_root, epoch, by_date=True)
     stepped = spark.read.parquet(step_path).drop("_date").withColumn("_write", F.lit(1))
     both = prev_mart.withColumn("_write", F.lit(0)).unionByName(stepped)
