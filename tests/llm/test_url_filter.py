@@ -40,3 +40,13 @@ def test_precedence_and_empty(spark):
     assert got == {1: ("a.org/x/", "block"), 2: ("b.a.org/x/y", "allow"), 3: ("b.a.org/", "block")}
     assert {r.verdict for r in op.judge(pages, spark.createDataFrame([], op.RULES)).collect()} == {"allow"}
     assert op.judge(pages.limit(0), spark.createDataFrame(rules, op.RULES)).count() == 0
+
+
+def test_very_long_hosts(spark):
+    """Only suffixes that some rule can have are made: a host of 16,000 labels costs no more than its length."""
+    import time
+
+    long = ".".join(["a"] * 16_000)
+    began = time.monotonic()
+    check(spark, [f"http://{long}.example.org/en/1x", f"http://{long}/", "http://" + "." * 16_000 + "com/de/"], URL_RULES)
+    assert time.monotonic() - began < 30

@@ -45,17 +45,22 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) ->
     rule's path; of several the longest host and path together wins, then the
     longer host. No rule (or empty host): rule null, verdict ``default``. Repeated
     rows stay repeated; columns of the output names are replaced. Rules with a
-    null part or an empty host fit nothing.
+    null part or an empty host fit nothing. Of a host only the suffixes with as many
+    labels as some rule's host are made, of a path only the prefixes as long as
+    some rule's, so the work per url does not grow with its length.
     """
     pages = with_host_path(without(pages, "host", "path", "rule", "verdict"))
     known = _rules(rules)
-    # the lengths that rule paths have, at most as many as the longest path has characters
+    # the lengths that rule paths have, and the numbers of labels of rule hosts: only such expressions can be in a rule
+    dots = r"\."
     lengths = sorted(r[0] for r in known.select(F.char_length("rpath")).distinct().collect())
+    depths = sorted(r[0] for r in known.select(F.size(F.split("rhost", dots))).distinct().collect())
     if not lengths:
         return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     urls = pages.filter("host != ''").select("host", "path").distinct().withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int"))
-    labels = F.split("host", r"\.")
-    suffixes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    labels = F.split("host", dots)
+    within = F.filter(F.array(*map(F.lit, depths)), lambda n: n <= F.size(labels))
+    suffixes = F.transform(within, lambda n: F.array_join(F.slice(labels, -n, n), "."))
     fitting = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.char_length("path"))
     prefixes = F.transform(fitting, lambda n: F.substring(F.col("path"), F.lit(1), n))
     grown = urls.withColumn("suffix", F.explode(suffixes)).withColumn("prefix", F.explode(prefixes))
