@@ -59,3 +59,22 @@ def test_remembered_words_are_bounded(both, monkeypatch):
     text = " ".join(f"word{k % 37}x" for k in range(400))
     assert machine.encode(text).tolist() == both[1].encode(text)
     assert len(machine.paths) <= 10 and len(machine.older) <= 10 and len(machine.stable) <= 11
+
+
+def test_other_models_are_refused():
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(op.DEFAULT_MODEL, "rb") as f:
+        content = f.read()
+    op.check_supported(content)
+    for change in (
+        lambda m: setattr(m.trainer_spec, "model_type", m.trainer_spec.UNIGRAM),
+        lambda m: setattr(m.normalizer_spec, "precompiled_charsmap", b"nfkc"),
+        lambda m: setattr(m.normalizer_spec, "remove_extra_whitespaces", True),
+        lambda m: setattr(m.normalizer_spec, "add_dummy_prefix", False),
+    ):
+        model = sentencepiece_model_pb2.ModelProto()
+        model.ParseFromString(content)
+        change(model)
+        with pytest.raises(ValueError):
+            op.read_model(model.SerializeToString())

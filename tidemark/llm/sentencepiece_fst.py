@@ -5,11 +5,13 @@ puts one in front. The piece layer holds every vocabulary piece as a path of its
 characters, weighted by its negated score; a character that no piece has is a
 path of its UTF-8 byte pieces. The context layer remembers the last piece and lets
 another follow only if the pair is stable, that is if merging the pair's characters
-by score gives back these two pieces. Encoding composes the machine with a text
-and takes the tropical shortest path. The context layer is what makes the result
+by score gives back these two pieces. Encoding composes the machine with a text.
+The context layer is what makes the result
 that of the merge-trained model (without it the shortest path would be another
 segmentation), and it leaves one state alive at each place of the text: the last
-piece of the encoding of what stands before.
+piece of the encoding of what stands before. So one path is left, the first arc
+admitted at a place is taken, and no costs are compared. Other models (unigram, or
+with a text normaliser) are refused.
 
 Pieces never run across the start of a word, so the machine is composed word by
 word, and a task remembers the paths of the words it has met lately.
@@ -31,6 +33,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
+from sentencepiece import sentencepiece_model_pb2
 
 from tidemark.llm.common import bounded_batches, released, slices, utf8, without
 
@@ -49,7 +52,21 @@ class Vocabulary:
     text: list[bytes]
 
 
+def check_supported(content: bytes) -> None:
+    """The machine is that of merge-trained models which only mark spaces; any other
+    would be encoded otherwise than its library does, so it is refused."""
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(content)
+    kind, rules = model.trainer_spec, model.normalizer_spec
+    if kind.model_type != kind.BPE:
+        raise ValueError("only merge-trained (BPE) models are supported")
+    plain = rules.add_dummy_prefix and rules.escape_whitespaces and not rules.remove_extra_whitespaces
+    if rules.precompiled_charsmap or not plain or kind.treat_whitespace_as_suffix:
+        raise ValueError("only models without a text normaliser are supported")
+
+
 def read_model(content: bytes) -> Vocabulary:
+    check_supported(content)
     sp = sentencepiece.SentencePieceProcessor(model_proto=content)
     pieces, byte_ids, text = {}, [-1] * 256, []
     for i in range(sp.get_piece_size()):
@@ -218,7 +235,8 @@ def encode(docs: DataFrame, text: str = "text", model: str = DEFAULT_MODEL) -> D
     """All rows and columns of ``docs`` plus ``ids`` (array of int, the piece ids
     of the text) and ``round_trip`` (whether they decode to the text again; false
     only for texts that hold U+2581 itself), which replace columns of those names.
-    Null and empty texts have no pieces."""
+    Null and empty texts have no pieces. Texts of any length are taken whole; repeated
+    rows are encoded each; an empty table gives an empty result."""
     docs = without(docs, "ids", "round_trip")
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model_bytes(docs.sparkSession, model))  # a model's size is fixed
