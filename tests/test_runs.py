@@ -13,6 +13,7 @@ from tidemark.operators.snapshot import Lookups
 from tidemark.plans import runs
 from tidemark.plans.fixtures import load
 from tidemark.session import checkpoint_root
+from tidemark.sources import live
 
 
 @pytest.fixture()
@@ -132,3 +133,14 @@ def test_rerun_with_a_new_value_reaches_the_state(spark):
         data.append(spark, runs.ACCOUNT_SUMMARY, row.select("portfolio", "current_time", "total_usd_value"), "portfolio")
     assert data.state(spark, runs.ACCOUNT_SUMMARY).first().total_usd_value == 250.0
     assert data.history(spark, runs.ACCOUNT_SUMMARY).first().total_usd_value == 250.0
+
+
+def test_compact_a_day(spark):
+    root = f"{checkpoint_root(spark)}/compact-{uuid.uuid4().hex[:8]}"
+    for k in range(4):
+        live.insert(spark.createDataFrame([("a", dt.datetime(2025, 1, 1, k), float(k)), ("a", dt.datetime(2025, 1, 2, k), float(k))], "portfolio string, current_time timestamp_ntz, v double"), root)
+    rows, before = sorted(map(tuple, live.read(spark, root).collect())), files(spark, root)
+    live.compact(spark, root, [dt.date(2025, 1, 1)])
+    after = files(spark, root)
+    assert sorted(map(tuple, live.read(spark, root).collect())) == rows
+    assert len([f for f in after if "2025-01-01" in f]) == 1 and {f for f in before if "2025-01-02" in f} < after

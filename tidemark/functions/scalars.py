@@ -159,18 +159,6 @@ def to_number(c: str | Column) -> Column:
     return col_of(c).try_cast("double")
 
 
-def empty_as_zero(c: str | Column) -> Column:
-    """"" or NULL -> 0.0, else the number (junk stays NULL for quarantine)."""
-    c = col_of(c)
-    s = c.cast("string")
-    return F.when(c.isNull() | (s == ""), F.lit(0.0)).otherwise(s.try_cast("double"))
-
-
-def nan_to_null(c: str | Column) -> Column:
-    c = col_of(c)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 # P3 -------------------------------------------------------------------------
 def round_half_even(c: str | Column, places: int = 10) -> Column:
     return F.bround(col_of(c), places)

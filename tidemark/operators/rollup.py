@@ -196,22 +196,6 @@ def drop_both_zero(df: DataFrame, null_safe: bool = True) -> DataFrame:
     return df.filter(~((t == 0) & (a == 0)))
 
 
-def composite_live(joined: DataFrame, masters: DataFrame) -> DataFrame:
-    """A2: a composite is the sum of the *whole* totals of every master that
-    has at least one member in it; masters and composites are unioned (a name
-    clash leaves two rows for one key) and both-zero rows dropped."""
-    pairs = joined.filter(present("composite") & F.col("master_portfolio").isNotNull()).select(
-        "composite", "master_portfolio"
-    ).distinct()
-    comp = (
-        masters.join(pairs, on="master_portfolio", how="inner")
-        .groupBy("composite", "current_time", "tw_time")
-        .agg(*[_sum0(c) for c in AMOUNTS])
-        .withColumnRenamed("composite", "master_portfolio")
-    )
-    return drop_both_zero(masters.unionByName(comp), null_safe=True)
-
-
 # --------------------------------------------------------------------------- A3 / J4 / A11 / U2
 def composite_refill(base: DataFrame) -> DataFrame:
     """A3: a row counts for its master and for each composite its portfolio

@@ -43,23 +43,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def apply_job_conf(spark: SparkSession) -> None:
-    """Set the per-session options the operators assume (idempotent)."""
-    for k, v in JOB_CONF.items():
-        spark.conf.set(k, v)
+def _registered(spark: SparkSession) -> str | None:
+    """What ``setCheckpointDir`` was given; Spark adds a folder of its own to it."""
+    folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/").rsplit("/", 1)[0] if folder else None
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming checkpoints.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; only when it is
-    unset in a local session a scratch folder is created and registered; a
-    cluster session without it is an error.
+    Uses ``spark.checkpoint.dir`` when the cluster sets it, or else the folder set
+    by ``setCheckpointDir``; only when both are unset in a local session a scratch
+    folder is created and registered; a cluster session without it is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         try:
-            conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or _registered(spark)
         except Exception:  # noqa: BLE001 - sessions without a local SparkContext
             conf_dir = None
     if not conf_dir:
