@@ -117,3 +117,24 @@ def test_excerpts_at_every_offset():
 def test_normalised_offsets():
     buf, at = op.normalised("Ab \n\t C".encode())
     assert buf.tobytes() == b"ab c" and at.tolist() == [0, 1, 2, 6] and isinstance(at, np.ndarray)
+
+
+def test_repeated_characters_need_little_memory(monkeypatch):
+    """A rule of dashes in a text and one in an item share every q-gram with every
+    place; in halves the result is the same."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    index = op.build([(1, "=" * 200), (2, "an ordinary item with words in it, and with more words than one passage would need to hold")])
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 6]), pa.array(["x " + "=" * 12_000 + " y", "nothing here"])], names=["doc_id", "text"])
+    results = []
+    for places in (10**9, 20_000):
+        monkeypatch.setattr(op, "PLACES", places)
+        tracemalloc.start()
+        results.append([r for out in op._scan(index, 0.06)(iter([batch])) for r in out.to_pylist()])
+        results.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    whole, much, halves, little = results
+    assert halves == whole and len(whole) == 1 and (whole[0]["start"], whole[0]["end"]) == (2, 12_002)
+    assert little < much / 4

@@ -122,6 +122,10 @@ def _windows(text: np.ndarray, m: int, need: int, offset: np.ndarray) -> np.ndar
     return low + np.flatnonzero(total[m - Q + 1 :] - total[: high + 1 - low] >= need)
 
 
+#: Places of q-grams in the benchmark that are listed at once.
+PLACES = 2_000_000
+
+
 def regions(buf: np.ndarray, index: Index, table: np.ndarray, edits: float) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, first byte, end, edits, window) of the regions of ``buf`` within
     budget of a window of a text, which starts at byte ``window`` of it."""
@@ -136,6 +140,15 @@ def regions(buf: np.ndarray, index: Index, table: np.ndarray, edits: float) -> I
     total = np.cumsum(sizes)
     lengths = np.array([min(len(t), index.passage) for t in index.texts])
     limits = np.array([budget(int(m), edits) for m in lengths])
+    # a frame of dashes shares each q-gram with each place of another: such texts go in
+    # halves, which overlap by more than a region, so the places listed at once stay few
+    reach = 2 * int(lengths.max() + limits.max()) + Q
+    if total[-1] > PLACES and len(buf) > 4 * reach:
+        middle = len(buf) // 2
+        yield from regions(buf[: middle + reach], index, table, edits)
+        for who, low, high, cost, window in regions(buf[middle:], index, table, edits):
+            yield who, low + middle, high + middle, cost, window
+        return
     needs = lengths + 1 - Q * (limits + 1)
     base = max(len(t) for t in index.texts)
     rows = np.repeat(np.arange(len(at)), sizes)
@@ -201,9 +214,11 @@ def _scan(index: Index, edits: float):
                 d = int(np.searchsorted(begins, low, side="right")) - 1
                 raw = made[d][1]
                 start, end = int(raw[low - begins[d]]), int(raw[min(high - begins[d], len(raw)) - 1]) + 1
-                hits.setdefault((d, int(index.items[p])), []).append(((p, window), start, end, cost))
-            for (d, item), rows in hits.items():
-                yield ids[a + d], item, len({r[0] for r in rows}), min(r[1] for r in rows), max(r[2] for r in rows), min(r[3] for r in rows)
+                held = hits.setdefault((d, int(index.items[p])), [set(), start, end, cost])
+                held[0].add((p, window))
+                held[1:] = min(held[1], start), max(held[2], end), min(held[3], cost)
+            for (d, item), (windows, start, end, cost) in hits.items():
+                yield ids[a + d], item, len(windows), start, end, cost
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
