@@ -92,13 +92,13 @@ class Transducer:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        # the piece layer, read backwards: what some piece ends with -> (id, weight), or None if it is no piece itself
-        self.ends: dict[str, tuple[int, float] | None] = {piece[k:]: None for piece in vocabulary.pieces for k in range(1, len(piece))}
-        self.ends.update({piece: (i, -score) for piece, (i, score) in vocabulary.pieces.items()})
-        self.made: set[int] = set()  # pieces known to be the merge of their characters
+        # the piece layer, read backwards: what some piece ends with -> its id, or -1 if it is no piece itself
+        self.ends: dict[str, int] = {piece[k:]: -1 for piece in vocabulary.pieces for k in range(1, len(piece))}
         self.names = {i: piece for piece, (i, _) in vocabulary.pieces.items()}
         self.order = {p: k for k, p in enumerate(sorted((p for p in vocabulary.pieces if len(p) > 1), key=lambda p: -vocabulary.pieces[p][1]))}
         self.halves: dict[str, tuple[str, str] | None] = {}
+        for piece, (k, _) in vocabulary.pieces.items():  # only pieces that are the merge of their characters have arcs
+            self.ends[piece] = k if self.split(piece) is not None else -1
         self.stable: dict[int, bool] = {}
         self.paths: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -147,31 +147,29 @@ class Transducer:
                 return True
 
     def shortest(self, word: str) -> list[int]:
-        """Piece ids on the shortest path of the composition with ``word``."""
-        n, ends, stable, made = len(word), self.ends, self.stable, self.made
-        # per place: weight so far, last piece (-1: start or bytes), place before it
-        cost, last, back = [0.0] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
+        """Piece ids on the path of the composition with ``word``."""
+        n, end, stable = len(word), self.ends.get, self.stable
+        # per place: last piece (-1: start or bytes), place before it; byte fallback, if no arc is found
+        last, back = [-1] * (n + 1), list(range(-1, n))
         for i in range(1, n + 1):
             j = i - 1
-            part = word[j:i]
-            cost[i], back[i] = cost[j], j  # byte fallback, if no arc is found
-            while part in ends:
-                found = ends[part]
-                if found is not None:
-                    piece, weight = found
-                    if piece in made or self.split(part) is not None:
-                        made.add(piece)
-                        before = last[j]
-                        arc = True if before < 0 else stable.get(before << 32 | piece)
-                        if arc is None:
-                            arc = self.follows(before, piece)
-                        if arc:  # the one state that is alive here
-                            cost[i], last[i], back[i] = cost[j] + weight, piece, j
-                            break
+            piece = end(word[j:i])
+            while piece is not None:
+                if piece >= 0:
+                    before = last[j]
+                    if before < 0:
+                        last[i], back[i] = piece, j
+                        break
+                    arc = stable.get(before << 32 | piece)
+                    if arc is None:
+                        arc = self.follows(before, piece)
+                    if arc:  # the one state that is alive here
+                        last[i], back[i] = piece, j
+                        break
                 if not j:
                     break
                 j -= 1
-                part = word[j:i]
+                piece = end(word[j:i])
         out, at = [], n
         while at:
             if last[at] >= 0:
