@@ -86,3 +86,33 @@ def test_query_separates_the_held_out_labels(spark):
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_SMALL}/labels.parquet").collect()}
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) for r in out)
     assert np.mean([r.predicted == truth[r.doc_id] for r in out if r.doc_id in truth and r.held_out]) > 0.9
+
+
+def brute_score(text, model):
+    """Every word against every term, without an automaton."""
+    words, total = op.fold(text or "").split(), 0.0
+    for i, w in enumerate(words):
+        around = [" ".join(words[i - 1 : i + 1])] * (i > 0) + [" ".join(words[i : i + 2])] * (i + 1 < len(words))
+        if not model.exceptions.intersection(around):
+            total += sum(v for t, v in model.weights.items() if (w == t.strip() if t[-1] == " " else w.startswith(t[1:])))
+    a, b, c = model.curve
+    x, y = np.log1p(total), np.log1p(100 * total / max(20, len(words)))
+    return 1 / (1 + np.exp(-(a + b * x + c * y)))
+
+
+def test_scores_equal_brute_force(docs_of):
+    rnd = random.Random(11)
+    model = op.Model({" clown ": 1.0, " idiot ": 2.0, " nasty": 4.0, " idiots": 0.5, " été ": 0.25}, {"clown fish", "a clown", "nasty weed", "idiot idiot"}, [-2.0, 1.5, 0.5])
+    words = ["clown", "Clown", "cl0wn", "fish", "a", "idiot", "idiots", "idiotss", "nasty", "n4stywort", "weed", "ÉTÉ", "стоp", "word", "x|y", "...", "12"]
+    rows = [(i, rnd.choice([" ", "\n", ", "]).join(rnd.choices(words, k=rnd.choice([0, 1, 2, 9, 60])))) for i in range(300)] + [(900, None), (901, "clown " * 50_000)]
+    got = {r.doc_id: r.s for r in docs_of(rows).select("doc_id", op.score(model, "text").alias("s")).collect()}
+    assert set(got) == {i for i, _ in rows}
+    assert all(abs(got[i] - brute_score(t, model)) < 1e-12 for i, t in rows)
+
+
+def test_several_labels_of_one_id(spark):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:4]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(ids[0], 1), (ids[0], 1), (ids[0], 0), (ids[1], 1), (ids[1], 0), (ids[2], None), (ids[2], 1), (ids[3], 0)], "doc_id long, toxic int")
+    got = {r.text: r.label for r in op.training_rows(docs, labels).collect()}
+    assert got == {f"text {ids[0]}": 1, f"text {ids[1]}": 0, f"text {ids[2]}": 1, f"text {ids[3]}": 0}
