@@ -232,6 +232,7 @@ def refill_performance(
     local_brk = (lag_b.isNotNull() & (F.col("batch") - lag_b != 1)) if gap_policy == "reset" else F.lit(False)
     rows = rows.withColumn("_twice", lag_b.eqNullSafe(F.col("batch")))
     rows = rows.withColumn("ls", F.sum(local_brk.cast("long")).over(w_chunk.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_outer", (F.col("ls") == 0) | (F.col("ls") == F.max("ls").over(Window.partitionBy(key, "cb"))))
     w_piece = Window.partitionBy(key, "cb", "ls").orderBy("current_time")
     run_piece = w_piece.rowsBetween(Window.unboundedPreceding, 0)
     prev_local = F.lag("total_usd_value").over(w_piece)
@@ -257,12 +258,11 @@ def refill_performance(
         F.min("_fall").alias("_fall"),
         F.min("batch").alias("_fb"),
         F.max("batch").alias("_lb"),
+        F.first("_outer").alias("_outer"),
     )
     # Only a chunk's first and last piece can go on in another chunk; all between
     # them begin and end at gaps. So a key brings two rows per chunk to the scan
     # over chunks, however many gaps it has.
-    in_chunk = Window.partitionBy(key, "cb")
-    pieces = pieces.withColumn("_outer", (F.col("ls") == F.min("ls").over(in_chunk)) | (F.col("ls") == F.max("ls").over(in_chunk)))
     no_seed = {c: F.lit(None).cast("double") for c in ("s_hh", "s_nav", "s_total", "s_crr", "s_mdd")}
     inner = pieces.filter(~F.col("_outer")).withColumns({"seg": F.lit(-1).cast("long"), "_seedrow": F.lit(False), **no_seed})
     pieces = pieces.filter("_outer")
@@ -321,7 +321,7 @@ def refill_performance(
     inner = inner.withColumn("_pmin", lowest).withColumn("_mddin", F.col("_mdd0"))
     piece = [key, "cb", "ls"]
     pieces = pieces.unionByName(inner)
-    pieces = cut_lineage(pieces.select(*piece, "seg", "_nav0", "_crr0", "_mdd0", "_r1", "_f1", "_gin", "_hhin", "_mddin", (~((F.col("_scale") > 0) & (F.col("_gmin") >= 0) & (F.col("_hhin") >= 0))).alias("_odd")))
+    pieces = cut_lineage(pieces.select(*piece, "seg", "_nav0", "_crr0", "_mdd0", "_r1", "_f1", "_gin", "_hhin", "_mddin", (~((F.col("_scale") >= 0) & (F.col("_gmin") >= 0) & (F.col("_hhin") > 0))).alias("_odd")))
     odd = not pieces.filter(F.coalesce("_odd", F.lit(True))).isEmpty()
 
     # ---- nav, crr, hh, cd per row ------------------------------------------
