@@ -192,3 +192,27 @@ def test_price_lists_beyond_a_constant_are_joined(spark, monkeypatch):
     constant = result()
     monkeypatch.setattr(module, "LOOKUP_ROWS", 0)
     assert result() == constant == [("b", 14.0, ["A7"]), ("g", 1.0, ["VST"]), ("m", 21.0, ["ADA", "X"]), ("x", 3000.0, ["ETH", "QQ"])]
+
+
+def test_payloads_are_valued_once_and_shuffled_as_text(spark, monkeypatch):
+    """A filter on the outcome values no payload again, and with transfers, polls and
+    long price lists the payload rows are shuffled once, before they are valued."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import snapshot as module
+    from tidemark.session import checkpoint_root
+
+    monkeypatch.setattr(module, "LOOKUP_ROWS", 0)
+    path = f"{checkpoint_root(spark)}/payload-once"
+    body = {"balances": [{"asset": "BTC", "free": "2", "locked": "0"}]}
+    rows = frame(spark, ("a", "binance", body), (None, "binance", body)).withColumn("fetched_at", F.lit("2024-01-01 00:00:01").cast("timestamp_ntz"))
+    rows.write.mode("overwrite").parquet(path)
+    transfers = spark.createDataFrame([("a", "1704067201000", "unified", "5")], "portfolio string, ts_ms string, to_account string, amount string")
+    prices = spark.createDataFrame([("BTCUSDT", "10")], "symbol string, price string")
+    snap = snapshot(spark.read.parquet(path), Lookups(prices=prices), AS_OF, transfers=transfers)
+    balances = snap.summaries.select("portfolio", "total_usd_value", F.explode("balances").alias("asset", "b"))
+    assert sorted((r.portfolio or "", r.total_usd_value, r.asset) for r in balances.collect()) == [("", 20.0, "BTC"), ("a", 20.0, "BTC")]
+    plan = balances._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.count("from_json(StructField(balances") for line in plan.splitlines()) == 2  # the symbols it asks for, and its value
+    text = [line for line in plan.splitlines() if "RepartitionByExpression" in line]
+    assert len(text) == 1

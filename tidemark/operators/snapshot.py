@@ -50,6 +50,8 @@ ZOOMEX_STABLES = ["USD", "USDT", "USDC", "FDUSD", "BUSD", "TUSD", "DAI", "USDe",
 OKX_TRANSFER_WINDOW_MIN = 0.5  # OKX ignores the configured interval
 #: Listed symbols of one exchange that are held as a constant, and the slots of its hash table.
 LOOKUP_ROWS, LOOKUP_SLOTS = 100_000, 4096
+#: Hash of the account: rows that meet others are partitioned by it once.
+AT = "_at"
 SUMMARY_COLUMNS = ["portfolio", "exchange", "total_usd_value", "balances", "transfer_adjustment", "current_time", "tw_time"]
 
 
@@ -198,15 +200,28 @@ def _constant(prices: DataFrame) -> Prices | None:
     return Prices(lambda key: F.get(table, F.pmod(F.xxhash64(key), F.lit(LOOKUP_SLOTS)).cast("int")))
 
 
-def _joined(rows: DataFrame, exchange: str, prices: DataFrame) -> DataFrame:
-    """More symbols than a constant should hold: the keys that each payload asks
-    for, joined to their prices, come back to its row as a map ``_px``."""
-    asked = SPECS[exchange].keys(F.col(f"_{exchange}"))
-    poll = [F.col("portfolio"), F.col("exchange"), F.xxhash64("payload").alias("_hash")]
-    found = rows.select(*poll, F.explode(F.array_distinct(asked)).alias("key")).distinct().join(prices, "key")
-    maps = found.groupBy("portfolio", "exchange", "_hash").agg(F.map_from_entries(F.collect_list(F.struct("key", "price"))).alias(f"_px_{exchange}"))
-    rows = rows.withColumn("_hash", F.xxhash64("payload")).join(maps, ["portfolio", "exchange", "_hash"], "left").drop("_hash")
-    return rows
+def _asked(payloads: DataFrame, exchanges: list[str]) -> DataFrame:
+    """(at, exchange, key): the symbols that the payloads of ``exchanges`` ask for."""
+    keys = None
+    for ex in exchanges:
+        own, asked = F.col("exchange") == ex, F.array_distinct(SPECS[ex].keys(F.from_json("payload", PAYLOAD_DDL[ex])))
+        keys = F.when(own, asked) if keys is None else keys.when(own, asked)
+    return payloads.filter(F.col("exchange").isin(exchanges)).select(_at().alias(AT), "exchange", F.explode(keys).alias("key")).filter("key is not null")
+
+
+def _joined(payloads: DataFrame, asking: DataFrame, listed: dict[str, DataFrame]) -> DataFrame:
+    """More symbols than a constant should hold: the keys that an account's payloads
+    ask for, joined to their prices, come back to its rows as a map ``_px`` per exchange.
+    Only keys and prices are shuffled, and the rows once, by ``AT``. Accounts that share
+    a hash share a map, which holds more than each needs but the same price per key."""
+    prices = None
+    for ex, p in listed.items():
+        p = p.select(F.lit(ex).alias("exchange"), "key", "price")
+        prices = p if prices is None else prices.unionByName(p)
+    found = _asked(asking, [*listed]).join(prices, ["exchange", "key"])
+    entry = F.struct("key", "price")
+    maps = found.groupBy(AT).agg(*[F.map_from_entries(F.collect_set(F.when(F.col("exchange") == ex, entry))).alias(f"_px_{ex}") for ex in listed])
+    return payloads.join(maps, AT, "left")
 
 
 # --------------------------------------------------------------------------- exchanges
@@ -329,6 +344,10 @@ def _parsed(payloads: DataFrame, exchange: str) -> Column:
     return F.when(F.col("exchange") == exchange, F.from_json("payload", PAYLOAD_DDL[exchange])).alias(f"_{exchange}")
 
 
+def _at() -> Column:
+    return F.xxhash64("portfolio")
+
+
 def _column(name: str) -> Callable[[Column], Column]:
     return lambda key: F.col(name)
 
@@ -337,13 +356,14 @@ def _by(spec: Spec, prices: Prices | None) -> Callable[[Column], Column]:
     return lambda x: spec.value(x, prices)
 
 
-def valued(payloads: DataFrame, lookups: Lookups, exchanges: list[str]) -> DataFrame:
+def valued(payloads: DataFrame, lookups: Lookups, exchanges: list[str], asking: DataFrame | None = None) -> DataFrame:
     """X1-X7 inside the row: the columns of ``payloads`` with ``balances``,
     ``total_usd_value`` and ``_bad``. Each payload is read and parsed once, by its
-    exchange's schema; assets are valued and folded as arrays, without a shuffle."""
-    json_ = F.when(F.col("exchange") == "binance", F.get_json_object("payload", "$")).alias("_json")
-    rows = payloads.select("*", json_, *[_parsed(payloads, ex) for ex in exchanges])
+    exchange's schema; assets are valued and folded as arrays, without a shuffle.
+    ``asking``: the same payloads before they were shuffled, where they were."""
+    columns = payloads.columns
     lookup: dict[str, Prices | None] = {}
+    long: dict[str, DataFrame] = {}
     for ex in exchanges:
         if any(getattr(lookups, name) is None for name in LISTS.get(ex, ())):
             lookup[ex] = Prices(lambda key: F.create_map().cast("map<string, double>"))  # nothing is listed
@@ -351,8 +371,12 @@ def valued(payloads: DataFrame, lookups: Lookups, exchanges: list[str]) -> DataF
         prices = reference_prices(lookups, ex)
         lookup[ex] = None if prices is None else _constant(prices)
         if prices is not None and lookup[ex] is None:
-            rows = _joined(rows, ex, prices)
+            long[ex] = prices
             lookup[ex] = Prices(_column(f"_px_{ex}"))
+    if long:
+        payloads = _joined(payloads if AT in columns else payloads.withColumn(AT, _at()), payloads if asking is None else asking, long)
+    json_ = F.when(F.col("exchange") == "binance", F.get_json_object("payload", "$")).alias("_json")
+    rows = payloads.select("*", json_, *[_parsed(payloads, ex) for ex in exchanges])
     assets = faults = total = reports = None
     for ex in exchanges:
         spec, own = SPECS[ex], F.col("exchange") == ex
@@ -363,7 +387,9 @@ def valued(payloads: DataFrame, lookups: Lookups, exchanges: list[str]) -> DataF
         if whole is not None:
             total = F.when(own, whole) if total is None else total.when(own, whole)
             reports = own if reports is None else reports | own
-    rows = rows.select(*payloads.columns, assets.alias("_assets"), faults.alias("_faults"), *([total.alias("_total")] if total is not None else []))
+    # one row each; unlike a projection's columns, what comes out is never computed again inside a later filter
+    once = F.struct(assets.alias("_assets"), faults.alias("_faults"), *([total.alias("_total")] if total is not None else []))
+    rows = rows.select(*columns, F.inline_outer(F.array(once)))
     return _folded(rows, reports)
 
 
@@ -407,15 +433,20 @@ def zoomex_missing_prices(payloads: DataFrame) -> DataFrame:
 
 
 def _with_adjustment(out: DataFrame, adjustments: DataFrame | None) -> DataFrame:
+    """``transfer_adjustment``, per poll where there are several: an account's
+    adjustments come to its rows as one map, by ``AT``."""
     if adjustments is None:
         return out.withColumn("transfer_adjustment", F.lit(0.0))
     keys = [k for k in ("portfolio", "exchange", "current_time") if k in adjustments.columns]
-    adj = adjustments.select(*keys, F.col("adjustment").alias("_adj"), F.col("ok").alias("_adj_ok"))
+    adj = adjustments.filter(F.col("portfolio").isNotNull())
+    maps = adj.groupBy(_at().alias(AT)).agg(F.map_from_entries(F.collect_list(F.struct(F.struct(*keys), F.struct("adjustment", "ok")))).alias("_adjs"))
+    found = F.try_element_at("_adjs", F.struct(*keys))
+    rows = out if AT in out.columns else out.withColumn(AT, _at())
     return (
-        out.join(adj, keys, "left")
-        .withColumn("_bad", F.col("_bad") | ~F.coalesce(F.col("_adj_ok"), F.lit(True)))
-        .withColumn("transfer_adjustment", F.coalesce(F.col("_adj"), F.lit(0.0)))
-        .drop("_adj", "_adj_ok")
+        rows.join(maps, AT, "left")
+        .withColumn("_bad", F.col("_bad") | ~F.coalesce(found.getField("ok"), F.lit(True)))
+        .withColumn("transfer_adjustment", F.coalesce(found.getField("adjustment"), F.lit(0.0)))
+        .drop("_adjs", *([] if AT in out.columns else [AT]))
     )
 
 
@@ -450,10 +481,15 @@ def snapshot(
     if polled:
         payloads = payloads.withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz"))
         time = F.coalesce(truncate_second("fetched_at"), time)
-    rows = valued(payloads, lookups, todo).withColumn("current_time", time)
+    rows = payloads.withColumn("current_time", time)
+    if polled or transfers is not None:
+        # payloads meet their accounts' other polls, prices and transfers in one place, before they grow by being valued
+        rows = rows.withColumn(AT, _at()).repartition(AT)
     if polled:
-        rows = latest_per_key(rows, ["portfolio", "exchange", "current_time"], "fetched_at", [F.xxhash64("payload")])
-    rows = _with_adjustment(rows.drop("payload"), None if transfers is None else _adjustments(payloads, transfers, time, as_of, bybit_interval_minutes, todo))
+        rows = latest_per_key(rows, [AT, "portfolio", "exchange", "current_time"], "fetched_at", [F.xxhash64("payload")])
+    # the join is last: below it, a filter on its outcome would value every payload twice
+    adjustments = None if transfers is None else _adjustments(payloads, transfers, time, as_of, bybit_interval_minutes, todo)
+    rows = _with_adjustment(valued(rows, lookups, todo, payloads).drop("payload"), adjustments).drop(AT)
     unknown = ~F.col("exchange").isin(EXCHANGES) | F.col("exchange").isNull()
     skipped = F.col("exchange").isin([ex for ex in EXCHANGES if ex not in todo])
     reason = F.when(unknown, F.lit("unsupported exchange")).when(F.col("_bad"), F.lit("unparsable payload"))

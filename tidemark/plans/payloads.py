@@ -11,6 +11,8 @@ results from the numeric columns directly.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,27 +71,20 @@ LINE_FIELDS = {
 }
 
 
+#: What a payload's array is made from, in its order: (linenumber, partkey, suppkey, quantity, price) is unique per line.
+LINE_COLUMNS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
 def _arr(*pairs: tuple[str, str]) -> F.Column:
-    """transform(lines, x -> struct(x.<src> AS <name>, ...))"""
-    return F.transform(F.col("lines"), lambda x: F.struct(*[x[src].alias(name) for name, src in pairs]))
+    """The lines with the fields ``(name, key of LINE_FIELDS)`` of an exchange, made
+    after the shuffle, which so carries plain columns only."""
+    fields = ", ".join(f"'{name}', " + re.sub(r"\bl_[a-z]+", r"x.\g<0>", LINE_FIELDS[src]) for name, src in pairs)
+    return F.expr(f"transform(lines, x -> named_struct({fields}))")
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    lines = li.select(
-        F.col("l_orderkey"),
-        F.expr(EXCHANGE).alias("exchange"),
-        # array order of a payload: (linenumber, partkey, suppkey, quantity, price) -- unique per line
-        F.struct(
-            F.col("l_linenumber").alias("ln"),
-            F.col("l_partkey").alias("o_pk"),
-            F.col("l_suppkey").alias("o_sk"),
-            F.col("l_quantity").alias("o_q"),
-            F.col("l_extendedprice").alias("o_ep"),
-            *[F.expr(v).alias(k) for k, v in LINE_FIELDS.items()],
-        ).alias("line"),
-        F.col("l_extendedprice"),
-    )
+    lines = li.select("l_orderkey", F.expr(EXCHANGE).alias("exchange"), F.struct(*LINE_COLUMNS).alias("line"), "l_extendedprice")
     per_order = lines.groupBy("l_orderkey", "exchange").agg(
         F.sort_array(F.collect_list("line")).alias("lines"),
         F.sum("l_extendedprice").cast("string").alias("total_eq"),
@@ -163,6 +158,11 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_order.select(F.col("l_orderkey").cast("string").alias("portfolio"), "exchange", payload.alias("payload"))
 
 
+def polled(payloads: DataFrame, *times: str) -> DataFrame:
+    """Every payload as polled at each of ``times``."""
+    return payloads.withColumn("fetched_at", F.explode(F.array(*[F.lit(t).cast("timestamp_ntz") for t in times])))
+
+
 # Lookup tables (exchange-wide reference data) --------------------------------
 PRICES_SQL = "SELECT 'A' || CAST(p_partkey AS STRING) || 'USDT' AS symbol, CAST(p_retailprice AS STRING) AS price FROM part WHERE p_size > 10"
 PAIRS_SQL = (

@@ -34,7 +34,7 @@ from tidemark.operators.transfers import transfer_adjustment
 from tidemark.plans import jobs
 from tidemark.plans import payloads as P
 from tidemark.plans.fixtures import AS_OF, load
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, spooled
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -344,7 +344,7 @@ def _snapshot(spark: SparkSession, d: str) -> SN.Snapshot:
     # the fixture payloads are derived (lineitem -> JSON); materialise them
     # once, like the payload files they stand for.
     return SN.snapshot(
-        cut_lineage(P.payloads(spark, d)),
+        spooled(P.payloads(spark, d), "payloads"),
         P.lookups(spark, d),
         P.PAYLOAD_AS_OF,
         transfers=load(spark, d, "transfers"),
@@ -389,9 +389,8 @@ def snapshot_quarantine(spark: SparkSession, d: str) -> DataFrame:
 @query
 def snapshot_two_fetches(spark: SparkSession, d: str) -> DataFrame:
     """Every account polled twice, ten seconds apart: two summaries each."""
-    polls = [P.payloads(spark, d).withColumn("fetched_at", F.lit(t).cast("timestamp_ntz")) for t in (P.PAYLOAD_AS_OF, P.PAYLOAD_NEXT)]
     snap = SN.snapshot(
-        cut_lineage(polls[0].unionByName(polls[1])),
+        P.polled(spooled(P.payloads(spark, d), "payloads"), P.PAYLOAD_AS_OF, P.PAYLOAD_NEXT),
         P.lookups(spark, d),
         P.PAYLOAD_NEXT,
         transfers=load(spark, d, "transfers"),

@@ -32,8 +32,7 @@ def _years(df: DataFrame) -> list[tuple[int, DataFrame]]:
 @Q.query
 def stream_snapshot(spark: SparkSession, d: str) -> DataFrame:
     root = _stage(spark, "stream-snapshot")
-    payloads = P.payloads(spark, d).withColumn("fetched_at", F.lit(P.PAYLOAD_AS_OF).cast("timestamp_ntz"))
-    payloads.write.mode("overwrite").json(f"{root}/in")
+    P.polled(P.payloads(spark, d), P.PAYLOAD_AS_OF).write.option("compression", "gzip").json(f"{root}/in")
     q = SJ.snapshot_stream(
         spark,
         f"{root}/in",
@@ -54,8 +53,7 @@ def stream_snapshot_backlog(spark: SparkSession, d: str) -> DataFrame:
     """Two polls of every account wait as files when the stream starts: one
     micro-batch, as many summaries as polls."""
     root = _stage(spark, "stream-backlog")
-    for at in (P.PAYLOAD_AS_OF, P.PAYLOAD_NEXT):
-        P.payloads(spark, d).withColumn("fetched_at", F.lit(at).cast("timestamp_ntz")).write.mode("append").json(f"{root}/in")
+    P.polled(P.payloads(spark, d), P.PAYLOAD_AS_OF, P.PAYLOAD_NEXT).write.option("compression", "gzip").json(f"{root}/in")
     SJ.snapshot_stream(
         spark, f"{root}/in", f"{root}/summary", f"{root}/quarantine", P.lookups(spark, d), f"{root}/ckpt",
         transfers=load(spark, d, "transfers"), bybit_interval_minutes=Q.BYBIT_INTERVAL_MIN, available_now=True,

@@ -14,7 +14,8 @@ read while it is maintained wants a table format on top.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,7 +24,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.scalars import ts_lit
 from tidemark.operators.maintenance import merge
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, spooled
 
 TIME = "current_time"
 DAY = "_date"
@@ -42,6 +43,18 @@ def exists(spark: SparkSession, root: str) -> bool:
     return fs.exists(p) and any(not s.getPath().getName().startswith((".", "_SUCCESS", "_temporary")) for s in fs.listStatus(p))
 
 
+@contextmanager
+def spool(rows: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``rows`` materialised (``session.spooled``) while the block runs; then the folder goes."""
+    spark = rows.sparkSession
+    held = spooled(rows, name)
+    try:
+        yield held
+    finally:
+        fs, p = _fs(spark, held.inputFiles()[0].rsplit("/", 1)[0])
+        fs.delete(p, True)
+
+
 def with_day(rows: DataFrame) -> DataFrame:
     return rows.withColumn(DAY, F.to_date(TIME))
 
@@ -113,13 +126,18 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], newest: Sequence[Column] =
     return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def upsert(rows: DataFrame, root: str, keys: Sequence[str], *, null_keeps: bool = False, newest: Sequence[Column] = ()) -> DataFrame:
+def upsert(rows: DataFrame, root: str, keys: Sequence[str], *, null_keeps: bool = False, newest: Sequence[Column] = (), settled: bool = False) -> DataFrame:
     """K8, or with ``null_keeps`` K7 (a NULL does not replace a stored value): set
-    ``rows`` by ``keys``, of which ``current_time`` is one. Returns the rows as they are stored."""
+    ``rows`` by ``keys``, of which ``current_time`` is one. Returns the rows as they are stored.
+    ``settled`` rows come from a table of their own, outside ``root``, that stays as it is
+    until the caller has read what is returned: they are copied only if keys repeat."""
     if TIME not in keys:
         raise ValueError(f"a live table is keyed by {TIME}, among others")
     spark = rows.sparkSession
-    rows = cut_lineage(with_day(one_per_key(rows, keys, newest)))
+    if settled and rows.groupBy(*keys).count().filter("count > 1").isEmpty():
+        rows = with_day(rows)
+    else:
+        rows = cut_lineage(with_day(one_per_key(rows, keys, newest)))
     at = rows.agg(F.min(TIME).alias("first"), F.max(TIME).alias("last")).first()
     if not exists(spark, root):
         insert(rows.drop(DAY), root)

@@ -75,15 +75,12 @@ def snapshot_stream(
         if as_of is None:
             return
         snap = snapshot(batch, lookups, as_of, transfers=transfers, bybit_interval_minutes=bybit_interval_minutes, portfolios=portfolios)
-        rows = snap.rows.persist()
-        try:
+        with live.spool(snap.rows, "snapshot-rows") as rows:
             summaries = summaries_of(rows)
-            live.upsert(summaries, summary_root, SUMMARY_KEYS)
+            live.upsert(summaries, summary_root, SUMMARY_KEYS, settled=True)
             write_epoch(quarantine_of(rows), quarantine_root, epoch)
             if alert_root is not None and portfolios is not None:
                 write_epoch(low_value_stream(summaries, portfolios), alert_root, epoch)
-        finally:
-            rows.unpersist()
 
     return _start(src.writeStream.foreachBatch(per_batch), checkpoint, available_now, processing_time)
 
