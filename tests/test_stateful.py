@@ -7,7 +7,7 @@ import random
 import pandas as pd
 import pytest
 
-from tidemark.streaming.stateful import CooldownProcessor, JobProcessor
+from tidemark.streaming.stateful import CooldownBuckets, CooldownProcessor, JobProcessor
 
 
 class Value:
@@ -84,6 +84,22 @@ def test_cooldown_over_frames_in_any_order(dedupe, frame_rows):
         assert Slices.most <= 7
 
 
+@pytest.mark.parametrize("dedupe", [True, False])
+@pytest.mark.parametrize("frame_rows", [7, 1000])
+def test_many_keys_share_a_call_and_keep_their_own_state(dedupe, frame_rows):
+    rnd = random.Random(frame_rows)
+    rows = [(f"k{rnd.randrange(20)}", rnd.randrange(20_000), i, rnd.choice(["x", "x", "y", None])) for i in range(900)]
+    p, got = processor(CooldownBuckets(1500, dedupe, slice_rows=3)), {}
+    for part in ([r for r in rows if r[1] < 9000], [r for r in rows if r[1] >= 9000]):
+        rnd.shuffle(part)
+        frames = (pd.DataFrame(part[k : k + frame_rows], columns=["key", "t", "id", "h"]) for k in range(0, len(part), frame_rows))
+        for out in p.handleInputRows((3,), frames, None):
+            got.update(zip(out["id"].tolist(), out["emitted"].tolist()))
+        assert not p.slices
+    assert got == {i: hit for k in {r[0] for r in rows} for i, hit in sequential([r[1:] for r in rows if r[0] == k], 1500, dedupe).items()}
+    assert len(p.last.get()[0]) == 20
+
+
 def test_no_cooldown_emits_all():
     p = processor(CooldownProcessor(0, True))
     out = pd.concat(p.handleInputRows(("k",), iter([pd.DataFrame({"t": [5, 5], "id": [1, 2], "h": ["x", "x"]})]), None))

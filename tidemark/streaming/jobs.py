@@ -29,9 +29,10 @@ from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE, PORTFOLIO_PERF
 from tidemark.session import cut_lineage
 from tidemark.sources import live
 from tidemark.sources.tables import read_state, write_epoch
-from tidemark.streaming.stateful import ALERT_OUT, JOB_OUT, CooldownProcessor, JobProcessor, rocksdb
+from tidemark.streaming.stateful import ALERT_OUT, JOB_OUT, CooldownBuckets, JobProcessor, rocksdb
 
 SUMMARY_KEYS = ["portfolio", "current_time"]
+ALERT_BUCKETS = 4096
 PAYLOAD_STREAM_SCHEMA = "portfolio string, exchange string, payload string, fetched_at timestamp_ntz"
 
 
@@ -168,9 +169,12 @@ def alert_stream(
     dedupe: bool = True,
     available_now: bool = False,
     processing_time: str = "10 seconds",
+    buckets: int = ALERT_BUCKETS,
 ):
     """L2 as a stateful stream. ``alerts`` is a streaming frame with
-    key, id, ts, message; state per key is (last emitted time, hash) in RocksDB.
+    key, id, ts, message; state per key is (last emitted time, hash) in RocksDB, where
+    the keys of one of ``buckets`` hash buckets lie together and are settled in one call.
+    A checkpoint keeps the number of buckets that it began with.
     Alerts without a time are left out."""
     ev = alerts.select(
         F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key"),
@@ -178,7 +182,8 @@ def alert_stream(
         epoch_ms(F.col("ts")).alias("t"),
         message_hash("message").alias("h"),
     ).filter("t is not null")
-    out = ev.groupBy("key").transformWithStateInPandas(CooldownProcessor(milliseconds(cooldown_sec), dedupe), ALERT_OUT, "Append", "None")
+    ev = ev.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int"))
+    out = ev.groupBy("bucket").transformWithStateInPandas(CooldownBuckets(milliseconds(cooldown_sec), dedupe), ALERT_OUT, "Append", "None")
 
     def per_batch(batch: DataFrame, epoch: int) -> None:
         write_epoch(batch, sink_root, epoch)

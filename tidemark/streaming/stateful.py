@@ -91,6 +91,70 @@ class CooldownProcessor(StatefulProcessor):
         pass
 
 
+class CooldownBuckets(StatefulProcessor):
+    """L2 for all keys of a bucket in one call: a call and a round trip to the state cost
+    more than a key's few alerts. The state is the last emission of every key of
+    the bucket. Rows: key, id, t (epoch ms), h. One frame is folded in time order; more
+    frames go through time slices kept in RocksDB, as in ``CooldownProcessor``."""
+
+    def __init__(self, cooldown_ms: int, dedupe: bool, slice_rows: int = 2000):
+        self.cooldown_ms, self.dedupe, self.slice_rows = cooldown_ms, dedupe, slice_rows
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "key array<string>, t array<long>, h array<string>")
+        self.slices = handle.getMapState("slices", "slice long, part int", "key array<string>, id array<long>, t array<long>, h array<string>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held = self.last.get() if self.last.exists() else ([], [], [])
+        state = {k: (t, h) for k, t, h in zip(*held, strict=True)}
+        first, parts, width = None, {}, 1
+        for frame in rows:
+            if first is None and not parts:
+                first = frame
+                continue
+            if first is not None:
+                span = int(first["t"].max() - first["t"].min())
+                width = max(1, span * self.slice_rows // len(first))
+                self._put(first, width, parts)
+                first = None
+            self._put(frame, width, parts)
+        if first is not None:
+            yield self._fold(*(first[c].tolist() for c in ("key", "id", "t", "h")), state)
+        for at in sorted(parts):
+            held = [self.slices.getValue((at, n)) for n in range(parts[at])]
+            out = self._fold(*([v for part in held for v in part[k]] for k in range(4)), state)
+            for n in range(parts[at]):
+                self.slices.removeKey((at, n))
+            yield out
+        if state:
+            self.last.update((list(state), [t for t, _ in state.values()], [h for _, h in state.values()]))
+
+    def _put(self, frame: pd.DataFrame, width: int, parts: dict[int, int]) -> None:
+        for at, rows in frame.groupby(frame["t"].to_numpy() // width):
+            at, n = int(at), parts.get(int(at), 0)
+            self.slices.updateValue((at, n), (rows["key"].tolist(), rows["id"].tolist(), rows["t"].tolist(), _texts(rows["h"])))
+            parts[at] = n + 1
+
+    def _fold(self, keys: list, ids: list, times: list, hashes: list, state: dict) -> pd.DataFrame:
+        hashes, flags = _texts(hashes), [True] * len(ids)
+        if self.cooldown_ms > 0:
+            for i in np.lexsort((ids, times)).tolist():
+                t, h, last = times[i], hashes[i], state.get(keys[i])
+                if last is not None and t - last[0] < self.cooldown_ms and (not self.dedupe or h == last[1]):
+                    flags[i] = False
+                else:
+                    state[keys[i]] = (t, h if self.dedupe else "")
+        return pd.DataFrame({"key": keys, "id": ids, "hash": hashes, "emitted": flags})
+
+    def close(self) -> None:
+        pass
+
+
+def _texts(values) -> list:
+    """A missing text is None, whatever pandas made of it."""
+    return [v if isinstance(v, str) else None for v in values]
+
+
 JOB_OUT = (
     "job_id string, total_runs long, total_success long, total_error long, total_missed long, last_event string, "
     "last_scheduled_at long, last_started_at long, last_finished_at long, last_duration_ms double, last_error string, "
