@@ -7,7 +7,7 @@ import random
 import pandas as pd
 import pytest
 
-from tidemark.streaming.stateful import CooldownBuckets, CooldownProcessor, JobProcessor
+from tidemark.streaming.stateful import CooldownBuckets, CooldownProcessor, JobBuckets, JobProcessor
 
 
 class Value:
@@ -153,3 +153,36 @@ def test_job_totals_and_history(shuffled):
             assert rows[rows["rank"].isna()][names].values.tolist() == [last]
             got = rows[rows["rank"].notna()][["rank", "event_id", "event", "recorded_at", "duration_ms"]]
             assert sorted(map(tuple, got.values.tolist())) == history
+
+
+class Entries(dict):
+    containsKey, getValue, updateValue = dict.__contains__, dict.__getitem__, dict.__setitem__
+
+
+@pytest.mark.parametrize("frame_rows", [9, 1000])
+def test_many_jobs_share_a_call_and_keep_their_own_state(frame_rows):
+    rnd = random.Random(frame_rows)
+    events = [
+        dict(job_id=rnd.choice([None, "", *(f"j{k}" for k in range(12))]), event_id=i, event=rnd.choice(["submitted", "submitted", "success", "error", "missed", "other", None]),
+             recorded_at=rnd.randrange(10**9), scheduled_at=rnd.choice([None, i]), message=rnd.choice([None, f"m{i}"]))
+        for i in range(600)
+    ]
+    events.sort(key=lambda e: (e["recorded_at"], e["event_id"]))
+    p, seen = processor(JobBuckets(12, out_rows=30)), []
+    p.jobs = Entries()
+    for part in (events[:300], [e for e in events[300:] if e["job_id"] != "j3"]):
+        seen += part
+        rnd.shuffle(part)
+        frames = (pd.DataFrame(part[k : k + frame_rows]).astype({"scheduled_at": "Int64"}) for k in range(0, len(part), frame_rows))
+        out = pd.concat(p.handleInputRows((5,), frames, None))
+        rows = out.astype(object).where(out.notna(), None)
+        brought = {e["job_id"] for e in part}
+        assert set(rows["job_id"]) == brought  # jobs without an event of this batch are neither read nor written
+        for name in brought:
+            last, history = jobs([e for e in seen if e["job_id"] == name], 12)
+            own = rows[[j == name and type(j) is type(name) for j in rows["job_id"]]]
+            names = ["total_runs", "total_success", "total_error", "total_missed", "last_event", "last_scheduled_at", "last_started_at", "last_finished_at", "last_duration_ms", "last_error"]
+            assert own[own["rank"].isna()][names].values.tolist() == [last]
+            got = own[own["rank"].notna()][["rank", "event_id", "event", "recorded_at", "duration_ms"]]
+            assert sorted(map(tuple, got.values.tolist())) == history
+    assert len(p.jobs) == 14

@@ -29,10 +29,11 @@ from tidemark.schemas import ACCOUNT_SUMMARY, MASTER_PERFORMANCE, PORTFOLIO_PERF
 from tidemark.session import cut_lineage
 from tidemark.sources import live
 from tidemark.sources.tables import read_state, write_epoch
-from tidemark.streaming.stateful import ALERT_OUT, JOB_OUT, CooldownBuckets, JobProcessor, rocksdb
+from tidemark.streaming.stateful import ALERT_OUT, JOB_OUT, CooldownBuckets, JobBuckets, rocksdb
 
 SUMMARY_KEYS = ["portfolio", "current_time"]
 ALERT_BUCKETS = 4096
+JOB_BUCKETS = 4096
 PAYLOAD_STREAM_SCHEMA = "portfolio string, exchange string, payload string, fetched_at timestamp_ntz"
 
 
@@ -212,18 +213,22 @@ def job_stats_stream(
     history_size: int = HISTORY_SIZE,
     available_now: bool = False,
     processing_time: str = "10 seconds",
+    buckets: int = JOB_BUCKETS,
 ):
     """A10, W5 and W6 as a stateful stream. Each batch writes the changed
     jobs' ten fields under its epoch of ``sink_root`` (upsert view: newest epoch per
     ``job_id``) and their newest events under ``history_root`` (newest epoch per
-    ``job_id`` and ``rank``), both from one pass."""
+    ``job_id`` and ``rank``), both from one pass. State per job is in RocksDB; the jobs of one of
+    ``buckets`` hash buckets are settled in one call. A checkpoint keeps the number of buckets
+    that it began with."""
     zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     micros = lambda c: F.timestamp_diff("MICROSECOND", zero, F.col(c))
     ev = events.select(
         "job_id", F.col("event_id").cast("long").alias("event_id"), "event", micros("recorded_at").alias("recorded_at"),
         micros("scheduled_at").alias("scheduled_at"), event_message().alias("message"),
     )
-    out = ev.groupBy("job_id").transformWithStateInPandas(JobProcessor(history_size), JOB_OUT, "Update", "None")
+    ev = ev.withColumn("bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int"))
+    out = ev.groupBy("bucket").transformWithStateInPandas(JobBuckets(history_size), JOB_OUT, "Update", "None")
     back = lambda c: F.timestamp_add("MICROSECOND", F.col(c), zero).alias(c)
     stats = ["total_runs", "total_success", "total_error", "total_missed", "last_event", "last_scheduled_at", "last_started_at", "last_finished_at", "last_duration_ms", "last_error"]
     history = ["rank", "event_id", "event", "recorded_at", "scheduled_at", "duration_ms", "message"]

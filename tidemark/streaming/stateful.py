@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -164,6 +165,77 @@ _COUNTED = ("submitted", "success", "error", "missed")
 _TERMINAL = ("success", "error", "missed")
 
 
+class _Job:
+    """What is remembered of a job: the counters, the newest ``size`` events (at, event_id,
+    event, scheduled, message) in order, the time of the newest submission before them, and the
+    last submission and terminal event. Further events may come late and in any order."""
+
+    def __init__(self, totals=(0,) * 4, kept=(), before=None, sub=None, term=None):
+        self.totals, self.kept, self.before, self.sub, self.term = dict(zip(_COUNTED, totals)), list(kept), before, sub, term
+
+    @classmethod
+    def of(cls, totals, kept, marks) -> _Job:
+        before, sub, term = marks[0], tuple(marks[1:4]), tuple(marks[4:9])
+        return cls(totals, kept, before, None if sub[0] is None else sub, None if term[0] is None else term)
+
+    @property
+    def marks(self) -> tuple:
+        return (self.before, *(self.sub or (None,) * 3), *(self.term or (None,) * 5))
+
+    def add(self, events: list[tuple], size: int) -> None:
+        """``events`` in order of (at, event_id)."""
+        for e in events:
+            if e[2] in self.totals:
+                self.totals[e[2]] += 1
+        sub = next((e for e in reversed(events) if e[2] == "submitted"), None)
+        if sub is not None and (self.sub is None or sub[:2] > self.sub[:2]):
+            self.sub = (sub[0], sub[1], sub[3])
+        term = next((e for e in reversed(events) if e[2] in _TERMINAL), None)
+        if term is not None and (self.term is None or term[:2] > self.term[:2]):
+            self.term = (term[0], term[1], term[2], term[4], None)
+        kept = sorted(self.kept + events, key=itemgetter(0, 1))
+        older = [e[0] for e in kept[:-size] if e[2] == "submitted"]
+        if older:
+            self.before = older[-1] if self.before is None else max(self.before, older[-1])
+        self.kept = kept[-size:]
+
+    def rows(self, job_id) -> list[tuple]:
+        """The job's totals and its newest events, as rows of ``JOB_OUT``."""
+        start, durations = self.before, []
+        for at, event_id, name, _, _ in self.kept:
+            start = at if name == "submitted" else start
+            durations.append((at - start) / 1e6 * 1000.0 if name in ("success", "error") and start is not None else None)
+            if self.term is not None and (at, event_id) == self.term[:2]:
+                self.term = (*self.term[:4], durations[-1])
+        sub, term, n = self.sub or (None,) * 3, self.term or (None,) * 5, len(self.kept)
+        last_error = None if term[2] in (None, "success") else term[3]
+        last = (job_id, *self.totals.values(), self.kept[-1][2], sub[2], sub[0], term[0], term[4], last_error, *(None,) * 7)
+        return [last, *((job_id, *(None,) * 10, n - k, e[1], e[2], e[0], e[3], durations[k], e[4]) for k, e in enumerate(self.kept))]
+
+
+def _ordered(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.iloc[np.lexsort((frame["event_id"].to_numpy(), frame["recorded_at"].to_numpy()))]
+
+
+def _events(frame: pd.DataFrame) -> list[tuple]:
+    """The events of a frame; an event has a time and an id, or this raises."""
+    at, ids = (frame[c].astype("int64").tolist() for c in ("recorded_at", "event_id"))
+    planned = frame["scheduled_at"]
+    scheduled = [None if none else at for none, at in zip(planned.isna().tolist(), planned.fillna(0).astype("int64").tolist())]
+    return list(zip(at, ids, _texts(frame["event"].tolist()), scheduled, _texts(frame["message"].tolist())))
+
+
+_JOB_KINDS = [(c.split()[0], {"string": object, "double": "float64"}.get(c.split()[1], "Int64")) for c in JOB_OUT.split(", ")]
+
+
+def _job_frame(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame({name: pd.Series(values, dtype=kind) for (name, kind), values in zip(_JOB_KINDS, zip(*rows))})
+
+
+_MARKS = "before long, sub_at long, sub_id long, sub_scheduled long, term_at long, term_id long, term_event string, term_message string, term_duration double"
+_KEPT = ("at long", "event_id long", "event string", "scheduled long", "message string")
+
+
 class JobProcessor(StatefulProcessor):
     """A10, W5 and W6 per job: the newest ``size`` events (list state), the
     counters, the newest submission older than those events, and the last
@@ -180,64 +252,66 @@ class JobProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.totals = handle.getValueState("totals", ", ".join(f"{c} long" for c in _COUNTED))
-        self.newest = handle.getListState("newest", "at long, event_id long, event string, scheduled long, message string")
-        self.marks = handle.getValueState("marks", "before long, sub_at long, sub_id long, sub_scheduled long, term_at long, term_id long, term_event string, term_message string, term_duration double")
+        self.newest = handle.getListState("newest", ", ".join(_KEPT))
+        self.marks = handle.getValueState("marks", _MARKS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        totals = list(self.totals.get()) if self.totals.exists() else [0] * 4
-        kept = [tuple(e) for e in self.newest.get()] if self.newest.exists() else []
-        before, sub_at, sub_id, sub_scheduled, term_at, term_id, term_event, term_message, term_duration = self.marks.get() if self.marks.exists() else [None] * 9
-        sub = None if sub_at is None else (sub_at, sub_id, sub_scheduled)
-        term = None if term_at is None else (term_at, term_id, term_event, term_message, term_duration)
+        job = _Job.of(self.totals.get(), [tuple(e) for e in self.newest.get()], self.marks.get()) if self.totals.exists() else _Job()
         for frame in rows:
-            event = frame["event"].to_numpy()
-            for k, name in enumerate(_COUNTED):
-                totals[k] += int((event == name).sum())
-            order = np.lexsort((frame["event_id"].to_numpy(), frame["recorded_at"].to_numpy()))
-            for name, rows_of in (("sub", order[event[order] == "submitted"]), ("term", order[np.isin(event[order], _TERMINAL)])):
-                if len(rows_of):
-                    r = _event(frame, rows_of[-1])
-                    if name == "sub" and (sub is None or r[:2] > sub[:2]):
-                        sub = (r[0], r[1], r[3])
-                    if name == "term" and (term is None or r[:2] > term[:2]):
-                        term = (r[0], r[1], r[2], r[4], None)
-            old = order[: -self.size]
-            old = old[event[old] == "submitted"]
-            if len(old):
-                before = max(before or -(1 << 62), int(frame["recorded_at"].iloc[old[-1]]))
-            kept = sorted(kept + [_event(frame, i) for i in order[-self.size :]], key=lambda e: e[:2])
-            for e in kept[: -self.size]:
-                if e[2] == "submitted":
-                    before = max(before or -(1 << 62), e[0])
-            kept = kept[-self.size :]
-        start, durations = before, []
-        for at, event_id, name, _, _ in kept:
-            start = at if name == "submitted" else start
-            durations.append((at - start) / 1e6 * 1000.0 if name in ("success", "error") and start is not None else None)
-            if term is not None and (at, event_id) == term[:2]:
-                term = (*term[:4], durations[-1])
-        self.totals.update(tuple(totals))
-        self.newest.put(kept)
-        self.marks.update((before, *(sub or (None,) * 3), *(term or (None,) * 5)))
-        last = dict(
-            total_runs=totals[0], total_success=totals[1], total_error=totals[2], total_missed=totals[3],
-            last_event=kept[-1][2], last_scheduled_at=sub and sub[2], last_started_at=sub and sub[0], last_finished_at=term and term[0],
-            last_duration_ms=term and term[4], last_error=None if term is None or term[2] == "success" else term[3],
-        )
-        history = [
-            dict(rank=len(kept) - k, event_id=e[1], event=e[2], recorded_at=e[0], scheduled_at=e[3], duration_ms=durations[k], message=e[4])
-            for k, e in enumerate(kept)
-        ]
-        names = [c.split()[0] for c in JOB_OUT.split(", ")]
-        kinds = {name: {"string": object, "double": float}.get(kind, "Int64") for name, kind in (c.split() for c in JOB_OUT.split(", "))}
-        yield pd.DataFrame([last, *history], columns=names).assign(job_id=key[0]).astype(kinds)
+            job.add(_events(_ordered(frame)), self.size)
+        out = job.rows(key[0])
+        self.totals.update(tuple(job.totals.values()))
+        self.newest.put(job.kept)
+        self.marks.update(job.marks)
+        yield _job_frame(out)
+
+    def close(self) -> None:
+        pass
+
+
+class JobBuckets(StatefulProcessor):
+    """``JobProcessor`` for all jobs of a bucket in one call: frames and a call per job cost far
+    more than its few events. The state is a map with an entry per job, so a micro-batch reads and
+    writes the jobs that it brings and no others. Rows as there."""
+
+    def __init__(self, size: int, out_rows: int = 20_000):
+        self.size, self.out_rows = size, out_rows
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        held = [f"{c} long" for c in _COUNTED] + [f"kept_{c.split()[0]} array<{c.split()[1]}>" for c in _KEPT]
+        self.jobs = handle.getMapState("jobs", "known boolean, job_id string", f"{', '.join(held)}, {_MARKS}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        jobs: dict[str | None, _Job] = {}
+        for frame in rows:
+            by_job: dict[str | None, list[tuple]] = {}
+            frame = _ordered(frame)
+            for name, event in zip(_texts(frame["job_id"].tolist()), _events(frame)):
+                by_job.setdefault(name, []).append(event)
+            for name, events in by_job.items():
+                if name not in jobs:
+                    jobs[name] = self._held(name)
+                jobs[name].add(events, self.size)
+        out: list[tuple] = []
+        for name, job in jobs.items():
+            out += job.rows(name)
+            self.jobs.updateValue(_known(name), (*job.totals.values(), *([e[k] for e in job.kept] for k in range(5)), *job.marks))
+            if len(out) >= self.out_rows:
+                yield _job_frame(out)
+                out = []
+        if out:
+            yield _job_frame(out)
+
+    def _held(self, name: str | None) -> _Job:
+        if not self.jobs.containsKey(_known(name)):
+            return _Job()
+        held = tuple(self.jobs.getValue(_known(name)))
+        return _Job.of(held[:4], zip(*held[4:9]), held[9:])
 
     def close(self) -> None:
         pass
 
 
-def _event(frame: pd.DataFrame, i: int) -> tuple:
-    r = frame.iloc[i]
-    scheduled = None if pd.isna(r["scheduled_at"]) else int(r["scheduled_at"])
-    message = None if pd.isna(r["message"]) else r["message"]
-    return int(r["recorded_at"]), int(r["event_id"]), r["event"], scheduled, message
+def _known(job_id: str | None) -> tuple[bool, str]:
+    """The key of a job in the state, where a key has no NULL."""
+    return job_id is not None, job_id or ""
