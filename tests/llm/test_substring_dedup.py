@@ -80,3 +80,37 @@ def test_permuted_prefixes():
     for r in range(1, len(sa)):
         x, y = b[sa[r - 1] :], b[sa[r] :]
         assert got[sa[r]] == next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+
+def test_names_that_tie_for_long():
+    """Only the suffixes that still tie are sorted further; periods tie longest."""
+    t = np.array([3, 1, 2] * 60 + [2, 1] * 40 + [1] * 30 + [3, 1, 2] * 60 + [0])
+    b = t.tolist()
+    assert suffix_array(t).tolist() == sorted(range(len(b)), key=lambda i: b[i:])
+    with pytest.raises(ValueError):
+        suffix_array(np.array([70_000, 1, 0]))
+
+
+def test_runs_of_a_batch_at_once():
+    rnd = random.Random(4)
+    sizes = [rnd.randint(0, 30) for _ in range(40)]
+    spans = [(i, p, rnd.randint(1, n - p)) for i, n in enumerate(sizes) for p in (rnd.randrange(n) for _ in range(rnd.randint(0, 4) if n else 0))]
+    spans += [(i, 0, n) for i, n in enumerate(sizes[:5]) if n]  # whole texts side by side stay apart
+    rnd.shuffle(spans)
+    want = []
+    for i, n in enumerate(sizes):
+        gone = [any(p <= k < p + m for j, p, m in spans if j == i) for k in range(n)]
+        begins = [k for k in range(n) if gone[k] and not (k and gone[k - 1])]
+        want += [(i, k, next((e for e in range(k, n) if not gone[e]), n)) for k in begins]
+    row, start, length = (np.array(x, np.int64) for x in zip(*spans))
+    assert [tuple(map(int, x)) for x in zip(*op.removed_runs(np.array(sizes), row, start, length))] == want
+
+
+def test_equal_pairs_are_neighbours():
+    """Also where the first 16 bits of their contents are alike."""
+    rng = np.random.default_rng(3)
+    a, c = rng.integers(0, 9, 500).astype(np.uint64) << np.uint64(44), rng.integers(0, 5, 500).astype(np.uint64)
+    order = op._grouped(a, c)
+    pairs = list(zip(a[order].tolist(), c[order].tolist()))
+    assert a[order].tolist() == sorted(a.tolist())
+    assert sum(x != y for x, y in zip(pairs, pairs[1:])) + 1 == len(set(pairs))

@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,6 +123,29 @@ def _first_of(*sorted_keys: np.ndarray) -> np.ndarray:
     return out
 
 
+def _least(x: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Per element the smallest of its group; groups begin at ``first``."""
+    if not len(x):
+        return x
+    return np.repeat(np.minimum.reduceat(x, first), np.diff(np.append(first, len(x))))
+
+
+def _grouped(a: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """An order by ``a`` in which equal (a, c) are neighbours; both are of 48 bits."""
+    key = (a << np.uint64(16)) | (c >> np.uint64(32))
+    order = np.argsort(key)
+    key, rest = key[order], c[order]
+    same = key[1:] == key[:-1]
+    mixed = np.flatnonzero(same & (rest[1:] != rest[:-1]))
+    if len(mixed):  # few: keys that the 16 bits do not tell apart
+        run = np.append(0, np.cumsum(~same))
+        touched = np.zeros(run[-1] + 1, bool)
+        touched[run[mixed]] = True
+        at = np.flatnonzero(touched[run])
+        order[at] = order[at][np.lexsort((rest[at], key[at]))]
+    return order
+
+
 _PACKED = "shard int, docs binary, tags binary, anchor binary, content binary, row binary, start binary, length binary"
 
 
@@ -168,11 +192,9 @@ def _pack(match: int, shards: int, frequent: np.ndarray):
                 a, c, who, start, length = segments(every[i:j], match, frequent)
                 found.append((a, c, who + i, start, length))
             a, c, who, start, length = (np.concatenate(x) for x in zip(*found))
-            order = np.lexsort((docs[who], c, a))
+            order = _grouped(a, c)
             a, c, who, start, length = a[order], c[order], who[order], start[order], length[order]
-            first = np.flatnonzero(_first_of(a, c))
-            least = np.repeat(docs[who[first]], np.diff(np.append(first, len(a))))
-            later = docs[who] > least
+            later = docs[who] > _least(docs[who], np.flatnonzero(_first_of(a, c)))
             out = []
             d, g = docs.astype("<i8").tobytes(), tags.astype("<i8").tobytes()
             if later.any():
@@ -214,11 +236,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def settle(held) -> Iterator[pa.RecordBatch]:
         a, c, doc, tag, start, length = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((start, tag, doc, c, a))
+        order = _grouped(a, c)
         a, c, doc, tag, start, length = (x[order] for x in (a, c, doc, tag, start, length))
-        first = np.flatnonzero(_first_of(a, c))
-        least = np.repeat(doc[first], np.diff(np.append(first, len(a))))
-        gone = doc > least
+        gone = doc > _least(doc, np.flatnonzero(_first_of(a, c)))
         yield _settled(GONE, a[gone] * 0, doc[gone], tag[gone], start[gone], length[gone])
         heads = np.flatnonzero(_first_of(a))
         size = np.diff(np.append(heads, len(a)))
@@ -350,23 +370,34 @@ def _anchors(match: int):
 _KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
+def removed_runs(sizes: np.ndarray, row: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, begin, end) of the maximal runs that spans cover in texts of these sizes, in order."""
+    base = np.cumsum(sizes + 1) - sizes - 1  # a place between texts, so that no run crosses it
+    at = base[row] + start
+    order = np.argsort(at)
+    at, reach = at[order], np.maximum.accumulate((at + length)[order])
+    new = np.flatnonzero(np.append(True, at[1:] > reach[:-1])) if len(at) else at
+    row = row[order][new]
+    return row, at[new] - base[row], reach[np.append(new[1:], len(at)) - 1] - base[row] if len(at) else at
+
+
 def _apply(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for doc, text, spans in zip(b.column(0).to_pylist(), utf8(b.column(1)), b.column(2).to_pylist()):
-                n, removed, runs, kept = len(text), 0, 0, text
-                if spans:
-                    raw = np.array([(s["start"], s["start"] + s["length"]) for s in spans], np.int64)
-                    edge = np.zeros(n + 1, np.int64)
-                    np.add.at(edge, raw[:, 0], 1)
-                    np.add.at(edge, raw[:, 1], -1)
-                    gone = np.cumsum(edge[:-1]) > 0
-                    removed, runs = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                out.append((doc, n, removed, runs, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
-            kinds = (*[pa.int64()] * 4, pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=[x.split()[0] for x in _KEPT.split(", ")])
+            texts = utf8(b.column(1))
+            sizes = np.array([len(t) for t in texts], np.int64)
+            spans = b.column(2).flatten()
+            start, length = (spans.field(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("start", "length"))
+            row, begin, end = removed_runs(sizes, pc.list_parent_indices(b.column(2)).to_numpy(zero_copy_only=False), start, length)
+            first = np.searchsorted(row, np.arange(len(texts) + 1))
+            removed = np.diff(np.append(0, np.cumsum(end - begin))[first])
+            cuts, begin, end = first.tolist(), begin.tolist(), end.tolist()
+            kept = []
+            for text, i, j in zip(texts, cuts, cuts[1:]):
+                kept.append(b"".join([text[p:q] for p, q in zip([0, *end[i:j]], [*begin[i:j], len(text)])]) if i < j else text)
+            digests = [hashlib.sha256(x).hexdigest() for x in kept]
+            cols = [b.column(0), sizes, removed, np.diff(first), digests, pa.array(kept if with_text else [None] * len(kept), pa.binary())]
+            yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in cols], names=[x.split()[0] for x in _KEPT.split(", ")])
 
     return run
 

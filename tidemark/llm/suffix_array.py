@@ -23,7 +23,7 @@ def smaller_than_next(t: np.ndarray) -> np.ndarray:
 
 def _ranked(values: np.ndarray) -> np.ndarray:
     """For each element, how many equal ones stand before it."""
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values.astype(np.uint16), kind="stable")  # 16 bits are sorted by digits
     v = values[order]
     new = np.append(True, v[1:] != v[:-1])
     out = np.empty(len(v), np.int64)
@@ -83,7 +83,7 @@ def induce(t: np.ndarray, s_type: np.ndarray, lms: np.ndarray, bounds: np.ndarra
 
 
 def _groups(values: np.ndarray, chars: int) -> list[np.ndarray]:
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values.astype(np.uint16), kind="stable")
     return np.split(order, np.cumsum(np.bincount(values, minlength=chars))[:-1])
 
 
@@ -103,6 +103,8 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     """The suffix array of an array of small integers (0 to some hundreds) whose
     last element is 0 and the only 0."""
     n = len(t)
+    if t.max() > 0xFFFF:
+        raise ValueError("characters of 16 bits at most")
     if n == 1:
         return np.zeros(1, np.int64)
     t = t.astype(np.int64)
@@ -126,21 +128,31 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
 
 def _sorted_names(names: np.ndarray) -> np.ndarray:
     """The suffix array of the reduced string. Its alphabet is about as large as
-    itself, so it is not induced by bucket: names are given to pairs of names, again
-    and again, until all differ."""
+    itself, so it is not induced by bucket: ranks are given to pairs of ranks, again
+    and again, and only the suffixes that still share one are sorted further."""
     step, n = 1, len(names)
+    order = np.argsort(names)
+    rows, key, base = order, names[order], np.zeros(n, np.int64)
+    rank, at = np.empty(n, np.int64), np.arange(n)
     while True:
-        order = np.argsort(names, kind="stable")
-        ranked = names[order]
-        if (ranked[1:] != ranked[:-1]).all():
-            return order
-        after = np.zeros(n, np.int64)
-        after[:-step] = names[step:] + 1
-        pair = names * (n + 2) + after
-        order = np.argsort(pair, kind="stable")
-        fresh = np.empty(n, np.int64)
-        fresh[order] = np.append(0, np.cumsum(pair[order][1:] != pair[order][:-1]))
-        names, step = fresh, step * 2
+        # a rank is the place of the first suffix that has it
+        first = np.append(True, key[1:] != key[:-1])
+        group = np.append(True, base[1:] != base[:-1])
+        at = at[: len(rows)]
+        rank[rows] = base + np.maximum.accumulate(np.where(first, at, 0)) - np.maximum.accumulate(np.where(group, at, 0))
+        rows = rows[~(first & np.append(first[1:], True))]
+        if not len(rows):
+            break
+        after = np.zeros(len(rows), np.int64)
+        inside = rows + step < n
+        after[inside] = rank[rows[inside] + step] + 1
+        key = rank[rows] * (n + 1) + after
+        order = np.argsort(key)
+        rows, key = rows[order], key[order]
+        base, step = key // (n + 1), step * 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    return order
 
 
 def permuted_prefixes(text: np.ndarray, left: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
