@@ -216,3 +216,15 @@ def test_payloads_are_valued_once_and_shuffled_as_text(spark, monkeypatch):
     assert sum(line.count("from_json(StructField(balances") for line in plan.splitlines()) == 2  # the symbols it asks for, and its value
     text = [line for line in plan.splitlines() if "RepartitionByExpression" in line]
     assert len(text) == 1
+
+
+def test_balances_are_folded_once(spark):
+    """Exploding them brings no filter on their size below the valuing, which would fold each payload twice."""
+    from conftest import SF_SMALL
+
+    from tidemark.plans.queries import registry
+
+    rows = registry()["snapshot_balances"](spark, SF_SMALL)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.count("map_from_entries(transform(") for line in plan.splitlines()) == 1
+    assert rows.filter("asset is null").isEmpty() and not rows.isEmpty()
